@@ -57,6 +57,14 @@ class Analysis:
             return infix_match(text, term, self.min_gram, self.max_gram)
         return word_match(text, term)
 
+    def hits(self, token: Column, term: str) -> Column:
+        """Whether the term hits one token."""
+        if self.grams == "word":
+            return token == term
+        if not self.min_gram <= len(term) <= self.max_gram:
+            return F.lit(False)
+        return token.startswith(term) if self.grams == "edge" else token.contains(term)
+
     def frequency(self, text: Column, term: str) -> Column:
         """Number of tokens of ``text`` that the term hits."""
         if self.grams != "word" and not self.min_gram <= len(term) <= self.max_gram:
@@ -155,6 +163,12 @@ class Fuzzy:
     def matches(self, text: Column, term: str) -> Column:
         return fuzzy_match(text, term, self.level)
 
+    def hits(self, token: Column, term: str) -> Column:
+        limit = fuzzy_distance(self.level)
+        if len(term) <= limit or limit == 0:
+            return token == term
+        return _close_to(term, limit)(token)
+
     def frequency(self, text: Column, term: str) -> Column:
         limit = fuzzy_distance(self.level)
         if len(term) <= limit or limit == 0:

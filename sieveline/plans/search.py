@@ -14,10 +14,14 @@ from ..operators.matching import search_text
 from ..operators.scoring import score
 from ..operators.sorting import SCORE, GeoSort, SortField, page, retrieve, sort_columns, total_count
 from ..schema import KEY
+from ..sizing import broadcast_if_small
 
 # Fixed value: page length where none is asked for.
 DEFAULT_TAKE = 20
 
+# Pages up to this length are broadcast to fetch their rows.
+MAX_FETCHED = 10_000
+
 
 @dataclass(frozen=True)
 class SearchRequest:
@@ -95,6 +99,33 @@ def search(
     return SearchResult(_documents(df, request, analysis, key), total, facets(found, request.facets))
 
 
+def search_hits(
+    df: DataFrame, hits: DataFrame, request: SearchRequest, key: str = KEY, place: Sequence[str] = ()
+) -> SearchResult:
+    """``search`` for a text already answered as ``hits`` (key, score), say from postings.
+
+    The page is found on the columns it needs and only its rows are then fetched.
+    ``place`` names columns that both sides have and that say where a row is
+    stored (partitions), so that the fetch can skip the others.
+    """
+    found = df.join(broadcast_if_small(hits), [*place, key])
+    selected = apply_filter(found, request.filter)
+    order = sort_columns(request.sort, selected.schema) or [F.desc(SCORE)]
+    by_score = not sort_columns([k for k in request.sort if k.field != SCORE], df.schema)
+    if request.filter is None and by_score:
+        # The documents are not needed for the page or the total.
+        total, ranked = total_count(hits), hits.orderBy(*order, key)
+    else:
+        total, ranked = total_count(selected), selected.orderBy(*order, key)
+    top = page(ranked, request.skip, request.take).select(*place, key, SCORE)
+    # Scores are never negative: the comparison only lets partition pruning see a filter.
+    top = top.filter(F.col(SCORE) >= 0)
+    if request.take <= MAX_FETCHED:
+        top = F.broadcast(top)
+    fetched = df.join(top, [*place, key]).orderBy(*order, key).drop(*place)
+    return SearchResult(retrieve(fetched, extra=(SCORE,)), total, facets(found, request.facets))
+
+
 def empty_result(spark) -> SearchResult:
     """Answer of an index that does not exist yet."""
     return SearchResult(

@@ -1,10 +1,10 @@
 """A document index as versioned Parquet folders.
 
-``<root>/<scope>-<type>/v=<n>`` holds one copy of the documents, partitioned by a
-hash bucket of the key.  A change rewrites only the buckets its keys fall into,
-by dynamic partition overwrite.  A log table beside the copies says which version
-is active, which one is the backup, and what their schemas are; publishing a
-rebuilt copy appends one row to it.
+``<root>/<scope>-<type>/v=<n>`` holds one copy of the documents and of their
+postings, both partitioned by a hash bucket of the key.  A change rewrites only
+the buckets its keys fall into, by dynamic partition overwrite.  A log table beside
+the copies says which version is active, which one is the backup, and what their
+schemas are; publishing a rebuilt copy appends one row to it.
 """
 
 from __future__ import annotations
@@ -17,17 +17,23 @@ from dataclasses import dataclass, replace
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.text import Analysis
-from ..operators.matching import suggest
-from ..plans.search import SearchRequest, SearchResult, empty_result, search
+from ..functions.text import Analysis, Fuzzy, query_terms
+from ..operators.matching import searchable_fields, suggest
+from ..operators.postings import build_postings, field_lengths, search_postings
+from ..plans.search import SearchRequest, SearchResult, empty_result, search, search_hits
 from ..schema import KEY, FieldError, FieldSpec, specs_of, to_schema
 from .documents import assemble, check_types, collect_specs, infer_fields, key_spec, read_documents
-from .mutations import evolve, merge_update, mutation_report, remove, upsert
+from .mutations import merge_update, mutation_report, remove, upsert
 
 BUCKET = "__bucket"
 ACTIVE, BACKUP = "active", "backup"
 
-_STATE = "seq bigint, versions int, active int, backup int, active_schema string, backup_schema string"
+_STATE = (
+    "seq bigint, buckets int, versions int, active int, backup int, active_schema string, "
+    "backup_schema string, active_lengths int, backup_lengths int"
+)
+_POSTINGS = f"{BUCKET} int, {KEY} string, field string, length int, token string, tf int"
+_LENGTHS = f"{BUCKET} int, field string, rows bigint, tokens bigint"
 
 
 @dataclass(frozen=True)
@@ -35,15 +41,21 @@ class _State:
     """Newest row of the log."""
 
     seq: int = 0
+    buckets: int | None = None
     versions: int = 0
     active: int | None = None
     backup: int | None = None
     active_schema: str | None = None
     backup_schema: str | None = None
+    active_lengths: int | None = None
+    backup_lengths: int | None = None
 
     def version(self, role: str) -> int | None:
         return getattr(self, role)
 
+    def lengths(self, role: str) -> int | None:
+        return getattr(self, f"{role}_lengths")
+
     def schema(self, role: str) -> T.StructType | None:
         text = getattr(self, f"{role}_schema")
         return None if text is None else T.StructType.fromJson(json.loads(text))
@@ -52,8 +64,8 @@ class _State:
 class DocumentIndex:
     """Index of one document type.
 
-    One writer at a time.  ``buckets`` is fixed when the index is made: choose it
-    so that a bucket holds a few gigabytes at the expected size.
+    One writer at a time.  ``buckets`` counts when the index is made: choose it so
+    that a bucket holds a few gigabytes at the expected size.
     """
 
     def __init__(
@@ -68,7 +80,7 @@ class DocumentIndex:
         self.spark = spark
         self.name = f"{scope}-{doc_type}".lower()
         self.folder = f"{root.rstrip('/')}/{self.name}"
-        self.buckets = buckets
+        self.new_buckets = buckets
         self.analysis = analysis
 
     # -- state ---------------------------------------------------------------
@@ -88,20 +100,16 @@ class DocumentIndex:
         row = self.spark.createDataFrame([tuple(vars(state).values())], _STATE)
         row.coalesce(1).write.mode("append").parquet(f"{self.folder}/_log")
 
-    def _path(self, version: int) -> str:
-        return f"{self.folder}/v={version}"
+    def _path(self, version: int, part: str = "documents") -> str:
+        return f"{self.folder}/v={version}/{part}"
 
     # -- reading -------------------------------------------------------------
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(KEY), F.lit(self.buckets)).cast("int")
-
     def _stored(self, state: _State, role: str) -> DataFrame | None:
         version, schema = state.version(role), state.schema(role)
         if version is None:
             return None
-        stored = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        rows = self.spark.read.schema(stored).parquet(self._path(version))
+        rows = self.spark.read.schema(_with_bucket(schema)).parquet(self._path(version))
         return rows.filter(F.col(KEY).isNotNull())
 
     def table(self, use_backup: bool = False) -> DataFrame | None:
@@ -111,17 +119,40 @@ class DocumentIndex:
 
     def get(self, ids: Sequence[str]) -> DataFrame | None:
         """Documents with these ids; only their buckets are read."""
-        stored = self._stored(self._state(), ACTIVE)
+        state = self._state()
+        stored = self._stored(state, ACTIVE)
         if stored is None:
             return None
         keys = self.spark.createDataFrame([(i,) for i in ids], f"{KEY} string")
-        touched = self._touched(keys)
-        rows = stored.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        rows = stored.filter(F.col(BUCKET).isin(_touched(keys, state.buckets))).drop(BUCKET)
         return rows.filter(F.col(KEY).isin(list(ids)))
 
+    def postings(self, use_backup: bool = False) -> DataFrame | None:
+        """Rows (bucket, key, field, length, token, tf) of the active (or backup) copy."""
+        state, role = self._state(), BACKUP if use_backup else ACTIVE
+        if state.version(role) is None:
+            return None
+        return self.spark.read.schema(_POSTINGS).parquet(self._path(state.version(role), "postings"))
+
     def search(self, request: SearchRequest) -> SearchResult:
-        table = self.table(request.use_backup)
-        return empty_result(self.spark) if table is None else search(table, request, self.analysis)
+        """Answer a request.
+
+        A text is looked up in the postings first; the hits (key and score) are
+        written once and then serve documents, total and facets.
+        """
+        state, role = self._state(), BACKUP if request.use_backup else ACTIVE
+        stored = self._stored(state, role)
+        if stored is None:
+            return empty_result(self.spark)
+        fields = [s.name for s in searchable_fields(stored.schema, request.fields)]
+        if request.raw or not query_terms(request.text) or not fields:
+            return search(stored.drop(BUCKET), request, self.analysis)
+        matcher = Fuzzy(request.fuzziness) if request.fuzzy else self.analysis
+        hits = search_postings(
+            self.postings(request.use_backup), self._lengths(state, role), request.text, fields, matcher
+        )
+        hits = self._staged(hits.withColumn(BUCKET, _bucket(state.buckets)))
+        return search_hits(stored, hits, request, place=[BUCKET])
 
     def suggest(self, query: str, fields: Sequence[str], size: int = 5) -> DataFrame:
         table = self.table()
@@ -129,6 +160,10 @@ class DocumentIndex:
             return self.spark.createDataFrame([], "text string")
         return suggest(table, query, fields, size)
 
+    def _lengths(self, state: _State, role: str) -> DataFrame:
+        folder = self._path(state.version(role), f"lengths/n={state.lengths(role)}")
+        return self.spark.read.schema(_LENGTHS).parquet(folder)
+
     # -- writing -------------------------------------------------------------
 
     def index(self, documents: DataFrame) -> DataFrame:
@@ -159,9 +194,9 @@ class DocumentIndex:
             raise FieldError(f"index {self.name!r} does not exist")
         keys = self._staged(keys.select(F.col(KEY).cast("string")).distinct())
         report = self._report(stored, keys, "remove")
-        touched = self._touched(keys)
+        touched = _touched(keys, state.buckets)
         base = stored.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        self._overwrite(remove(base, keys), state.active, touched)
+        self._record(self._overwrite(remove(base, keys), state, ACTIVE, touched))
         return report
 
     def swap(self) -> None:
@@ -178,12 +213,14 @@ class DocumentIndex:
                 backup=state.active,
                 active_schema=state.backup_schema,
                 backup_schema=state.active_schema,
+                active_lengths=state.backup_lengths,
+                backup_lengths=state.active_lengths,
             )
         )
 
     def forget_backup(self) -> None:
         """Detach the backup copy; its folder is left for the storage's own clean-up."""
-        self._record(replace(self._state(), backup=None, backup_schema=None))
+        self._record(replace(self._state(), backup=None, backup_schema=None, backup_lengths=None))
 
     def register_views(self) -> list[str]:
         """Temporary views ``<scope>_<type>_active`` and ``..._backup`` over the copies."""
@@ -200,11 +237,15 @@ class DocumentIndex:
         return [] if schema is None else [s for s in specs_of(schema) if not s.is_key]
 
     def _with_empty(self, state: _State, role: str, schema: T.StructType) -> _State:
-        version = state.versions + 1
+        """State with a new copy for ``role`` that holds no documents."""
+        state = replace(
+            state,
+            buckets=state.buckets or self.new_buckets,
+            versions=state.versions + 1,
+            **{role: state.versions + 1, f"{role}_schema": schema.json(), f"{role}_lengths": None},
+        )
         empty = self.spark.createDataFrame([], schema)
-        self._overwrite(empty, version, [])
-        changed = {role: version, f"{role}_schema": schema.json()}
-        return replace(state, versions=version, **changed)
+        return self._overwrite(empty, state, role, [])
 
     def _write(self, documents: DataFrame, role: str, kind: str) -> DataFrame:
         long = read_documents(documents).filter(F.col("name") != KEY)
@@ -219,20 +260,14 @@ class DocumentIndex:
         schema = to_schema([key_spec(), *specs])
         if state.version(role) is None:
             state = self._with_empty(state, role, schema)
-            self._record(state)
-            state = self._state()
-        elif len(specs) > len(known):
-            self._record(replace(state, **{f"{role}_schema": schema.json()}))
-            state = self._state()
+        else:
+            state = replace(state, **{f"{role}_schema": schema.json()})
         stored = self._stored(state, role)
         report = self._report(stored, batch, kind)
-        touched = self._touched(batch)
+        touched = _touched(batch, state.buckets)
         base = stored.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        if kind == "merge":
-            merged = merge_update(base, batch)
-        else:
-            merged = upsert(evolve(base, specs), batch)
-        self._overwrite(merged, state.version(role), touched)
+        changed = merge_update(base, batch) if kind == "merge" else upsert(base, batch)
+        self._record(self._overwrite(changed, state, role, touched))
         return report
 
     def _staged(self, df: DataFrame) -> DataFrame:
@@ -245,27 +280,54 @@ class DocumentIndex:
         """Outcome per key, fixed before the stored documents change."""
         return self._staged(mutation_report(stored, batch, kind))
 
-    def _touched(self, batch: DataFrame) -> list[int]:
-        """Buckets of the batch's keys: at most ``buckets`` numbers."""
-        buckets = batch.filter(F.col(KEY).isNotNull()).select(self._bucket().alias("b")).distinct()
-        return sorted(r.b for r in buckets.collect())
-
-    def _overwrite(self, rows: DataFrame, version: int, touched: list[int]) -> None:
-        """Replace the touched buckets.
+    def _overwrite(self, rows: DataFrame, state: _State, role: str, touched: list[int]) -> _State:
+        """Replace the touched buckets of documents and postings.
 
         A row without a key goes into each of them, so that a bucket left without
         documents is overwritten too; readers skip it.
         """
-        bucketed = rows.withColumn(BUCKET, self._bucket())
-        marks = self.spark.range(self.buckets).select(F.col("id").cast("int").alias(BUCKET))
+        version = state.version(role)
+        marks = self.spark.range(state.buckets).select(F.col("id").cast("int").alias(BUCKET))
         marks = marks.filter(F.col(BUCKET).isin(touched))
-        out = bucketed.unionByName(marks, allowMissingColumns=True)
+        bucketed = rows.withColumn(BUCKET, _bucket(state.buckets))
         # Rebalancing splits a large bucket over several tasks and files.
-        (
-            out.hint("rebalance", BUCKET)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET)
-            .parquet(self._path(version))
-        )
+        documents = bucketed.unionByName(marks, allowMissingColumns=True).hint("rebalance", BUCKET)
+        _replace_partitions(documents, self._path(version))
+
+        written = self.spark.read.schema(_with_bucket(state.schema(role))).parquet(self._path(version))
+        written = written.filter(F.col(BUCKET).isin(touched))
+        # Partitioned by bucket once, the postings are built and sorted without a further shuffle.
+        postings = build_postings(written.repartition(BUCKET), keep=(BUCKET, KEY))
+        postings = postings.sortWithinPartitions(BUCKET, "field", "token")
+        _replace_partitions(postings, self._path(version, "postings"))
+
+        lengths = field_lengths(written, by=(BUCKET,))
+        if state.lengths(role) is not None:
+            lengths = self._lengths(state, role).filter(~F.col(BUCKET).isin(touched)).unionByName(lengths)
+        number = (state.lengths(role) or 0) + 1
+        # One row per bucket and field.
+        lengths.coalesce(1).write.mode("overwrite").parquet(self._path(version, f"lengths/n={number}"))
+        return replace(state, **{f"{role}_lengths": number})
+
+
+def _with_bucket(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
+
+
+def _touched(batch: DataFrame, buckets: int) -> list[int]:
+    """Buckets of the batch's keys: at most ``buckets`` numbers."""
+    found = batch.filter(F.col(KEY).isNotNull()).select(_bucket(buckets).alias("b")).distinct()
+    return sorted(r.b for r in found.collect())
+
 
+def _replace_partitions(rows: DataFrame, path: str) -> None:
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BUCKET)
+        .parquet(path)
+    )

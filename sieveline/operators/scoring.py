@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx
 from ..functions.text import Analysis, Fuzzy
-from ..schema import FieldSpec
+from ..schema import FieldSpec, column
 from .matching import folded, searchable_fields
 from .sorting import SCORE
 
@@ -31,7 +31,7 @@ def corpus_stats(
     figures = []
     for i, spec in enumerate(searchable_fields(df.schema, fields)):
         target = folded(spec)
-        figures.append(F.count(target).alias(f"rows_{i}"))
+        figures.append(F.count(column(spec)).alias(f"rows_{i}"))
         figures.append(F.avg(tx.token_count(target)).alias(f"length_{i}"))
         for j, term in enumerate(terms):
             figures.append(F.count_if(matcher.matches(target, term)).alias(f"hits_{i}_{j}"))

@@ -122,7 +122,7 @@ def search_hits(
     top = top.filter(F.col(SCORE) >= 0)
     if request.take <= MAX_FETCHED:
         top = F.broadcast(top)
-    fetched = df.join(top, [*place, key]).orderBy(*order, key).drop(*place)
+    fetched = page(df.join(top, [*place, key]).orderBy(*order, key), 0, request.take).drop(*place)
     return SearchResult(retrieve(fetched, extra=(SCORE,)), total, facets(found, request.facets))
 
 

@@ -64,7 +64,8 @@ class _State:
 class DocumentIndex:
     """Index of one document type.
 
-    One writer at a time.  ``buckets`` counts when the index is made: choose it so
+    One writer at a time; a change that failed half-way is put right by applying it
+    again.  ``buckets`` counts when the index is made: choose it so
     that a bucket holds a few gigabytes at the expected size.
     """
 
@@ -124,7 +125,7 @@ class DocumentIndex:
         if stored is None:
             return None
         keys = self.spark.createDataFrame([(i,) for i in ids], f"{KEY} string")
-        rows = stored.filter(F.col(BUCKET).isin(_touched(keys, state.buckets))).drop(BUCKET)
+        rows = _in_buckets(stored, _touched(keys, state.buckets), state.buckets).drop(BUCKET)
         return rows.filter(F.col(KEY).isin(list(ids)))
 
     def postings(self, use_backup: bool = False) -> DataFrame | None:
@@ -195,7 +196,7 @@ class DocumentIndex:
         keys = self._staged(keys.select(F.col(KEY).cast("string")).distinct())
         report = self._report(stored, keys, "remove")
         touched = _touched(keys, state.buckets)
-        base = stored.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        base = _in_buckets(stored, touched, state.buckets).drop(BUCKET)
         self._record(self._overwrite(remove(base, keys), state, ACTIVE, touched))
         return report
 
@@ -265,7 +266,7 @@ class DocumentIndex:
         stored = self._stored(state, role)
         report = self._report(stored, batch, kind)
         touched = _touched(batch, state.buckets)
-        base = stored.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        base = _in_buckets(stored, touched, state.buckets).drop(BUCKET)
         changed = merge_update(base, batch) if kind == "merge" else upsert(base, batch)
         self._record(self._overwrite(changed, state, role, touched))
         return report
@@ -295,7 +296,7 @@ class DocumentIndex:
         _replace_partitions(documents, self._path(version))
 
         written = self.spark.read.schema(_with_bucket(state.schema(role))).parquet(self._path(version))
-        written = written.filter(F.col(BUCKET).isin(touched))
+        written = _in_buckets(written, touched, state.buckets)
         # Partitioned by bucket once, the postings are built and sorted without a further shuffle.
         postings = build_postings(written.repartition(BUCKET), keep=(BUCKET, KEY))
         postings = postings.sortWithinPartitions(BUCKET, "field", "token")
@@ -324,6 +325,10 @@ def _touched(batch: DataFrame, buckets: int) -> list[int]:
     return sorted(r.b for r in found.collect())
 
 
+def _in_buckets(rows: DataFrame, touched: list[int], buckets: int) -> DataFrame:
+    return rows if len(touched) == buckets else rows.filter(F.col(BUCKET).isin(touched))
+
+
 def _replace_partitions(rows: DataFrame, path: str) -> None:
     (
         rows.write.mode("overwrite")

@@ -1,4 +1,4 @@
-"""Eight sample documents in long form, and the index they are loaded into."""
+"""Eight sample documents in long form (fixed values), and the index they are loaded into."""
 
 from sieveline import DocumentIndex
 

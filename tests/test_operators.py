@@ -1,0 +1,266 @@
+"""Filters, facets, scores, postings and table changes against brute force on small random tables."""
+
+import math
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from sieveline import (
+    KEY, Analysis, And, FacetRange, FieldError, Fuzzy, Not, Or, Range, RangeFacet, RangeValue, SortField, Term, TermFacet,
+    apply_filter, bucket_counts, facets, score, search_text, sort, to_column, with_flags,
+)
+from sieveline.operators.facets import range_edges
+from sieveline.operators.filters import filter_by_keys
+from sieveline.operators.postings import build_postings, field_lengths, search_postings
+from sieveline.operators.sorting import sort_columns
+from sieveline.sources.mutations import merge_update, mutation_report, remove, upsert
+
+RNG = random.Random(11)
+ROWS = [
+    (str(i), RNG.choice([None, "red", "Red", "blue", "green"]), RNG.choice([None, *range(8)]),
+     RNG.choice([None, 0.5, 1.0, 2.25]), RNG.choice([None, [], ["a"], ["a", "b", "a"], ["c", None]]), RNG.choice([None, True, False]))
+    for i in range(300)
+]
+
+
+@pytest.fixture(scope="module")
+def df(spark):
+    schema = f"{KEY} string, color string, size int, weight double, tags array<string>, flag boolean"
+    return spark.createDataFrame(ROWS, schema).cache()
+
+
+def random_filter(rng, depth):
+    kind = rng.choice(["term", "tags", "range", "flag", "unknown", "none"] + (["and", "or", "not"] * 2 if depth else []))
+    if kind == "term":
+        field = rng.choice(["color", "size"])
+        values = rng.sample(["red", "blue", "x"] if field == "color" else ["1", "2", "5", "99"], rng.randint(0, 2))
+        return Term(field, values)
+    if kind == "tags":
+        return Term("tags", rng.sample(["a", "b", "c", "z"], rng.randint(1, 2)))
+    if kind == "range":
+        values = [RangeValue(rng.choice([None, "1", "3"]), rng.choice([None, "5", "6"]), rng.random() < 0.5, rng.random() < 0.5)
+                  for _ in range(rng.randint(0, 2))]
+        return Range("size", values)
+    if kind == "flag":
+        return Term("flag", [rng.choice(["TRUE", "false"])])
+    if kind == "unknown":
+        return Term("nowhere", ["x"])
+    if kind == "none":
+        return None
+    if kind == "not":
+        return Not(random_filter(rng, depth - 1))
+    return (And if kind == "and" else Or)([random_filter(rng, depth - 1) for _ in range(rng.randint(0, 3))])
+
+
+def expected(node, row):
+    """True or False, or None for no restriction."""
+    _, color, size, _, tags, flag = row
+    if node is None:
+        return None
+    if isinstance(node, Term):
+        if node.field == "nowhere":
+            return False
+        if not node.values:
+            return None
+        if node.field == "tags":
+            return tags is not None and any(t in node.values for t in tags)
+        value = {"color": color, "size": size, "flag": flag}[node.field]
+        return value is not None and str(value).lower() in [v.lower() for v in node.values] and (
+            node.field != "color" or value in node.values)
+    if isinstance(node, Range):
+        used = [v for v in node.values if v.lower or v.upper]
+        if not used:
+            return None
+        return size is not None and any(
+            (not v.lower or size > int(v.lower) or (v.include_lower and size == int(v.lower)))
+            and (not v.upper or size < int(v.upper) or (v.include_upper and size == int(v.upper)))
+            for v in used
+        )
+    if isinstance(node, Not):
+        inner = expected(node.child, row)
+        return None if inner is None else not inner
+    parts = [p for p in (expected(c, row) for c in node.children) if p is not None]
+    return (all if isinstance(node, And) else any)(parts) if parts else None
+
+
+def test_random_filter_trees(df):
+    rng = random.Random(7)
+    nodes = [random_filter(rng, 3) for _ in range(150)]
+    conditions = [to_column(n, df.schema) for n in nodes]
+    flags = df.select(KEY, *[F.coalesce(F.lit(True) if c is None else c, F.lit(False)).alias(f"n{i}")
+                             for i, c in enumerate(conditions)])
+    by_key = {r[KEY]: r for r in flags.collect()}
+    for i, node in enumerate(nodes):
+        for row in ROWS:
+            want = expected(node, row)
+            assert by_key[row[0]][f"n{i}"] == (True if want is None else want), (node, row)
+
+
+def test_filter_usage(df):
+    with pytest.raises(FieldError):
+        to_column(Term("color", ["x"]), with_flags(df, "color", filterable=False).schema)
+    with pytest.raises(ValueError):
+        to_column(Term("color", []), df.schema, strict=True)
+    with pytest.raises(TypeError):
+        to_column("color", df.schema)
+    keys = df.sparkSession.createDataFrame([("1",), ("2",), ("2",), ("x",)], f"{KEY} string")
+    assert sorted(r[KEY] for r in filter_by_keys(df, keys).collect()) == ["1", "2"]
+
+
+def test_sorting(df):
+    rows = sort(df, [SortField("Size"), SortField("size"), SortField("weight", True)]).collect()
+    missing = (0, 0)
+    want = sorted(ROWS, key=lambda r: (missing if r[2] is None else (1, r[2]),
+                                       missing if r[3] is not None else (1, 0), -(r[3] or 0), r[0]))
+    assert [r[KEY] for r in rows] == [r[0] for r in want]
+    assert len(sort_columns([SortField("Size"), SortField("size"), SortField("none")], df.schema)) == 1
+    with pytest.raises(FieldError):
+        sort(df, [SortField("tags")])
+
+
+def counts(df, *requests):
+    return {(r.aggregation_id, r.value_id): r["count"] for r in facets(df, requests).collect()}
+
+
+def test_facets(df):
+    got = counts(
+        df, TermFacet("color", size=0), TermFacet("tags", size=0), TermFacet("weight", size=0), TermFacet("flag", size=0),
+        TermFacet("color", id="ci", values=["RED", "Green", "red"]), TermFacet("size", id="top", size=3),
+        RangeFacet("size", [FacetRange("low", "", "4"), FacetRange("mid", "2", "6")], id="R"),
+        TermFacet(id="only", filter=Term("size", ["3"])), TermFacet("color", id="own", size=0, filter=Not(Term("size", ["3"]))),
+    )
+    want = {}
+
+    def add(name, values):
+        want.update({(name, v): n for v, n in Counter(values).items()})
+
+    add("color", [r[1] for r in ROWS if r[1]])
+    add("tags", [t for r in ROWS for t in set(r[4] or []) if t])
+    add("weight", [{0.5: "0.5", 1.0: "1", 2.25: "2.25"}[r[3]] for r in ROWS if r[3]])
+    add("flag", [str(r[5]) for r in ROWS if r[5] is not None])
+    best = max(sum(r[1] == "red" for r in ROWS), sum(r[1] == "Red" for r in ROWS))
+    want |= {("ci", "RED"): best, ("ci", "red"): best, ("ci", "Green"): sum(r[1] == "green" for r in ROWS)}
+    sizes = Counter(str(r[2]) for r in ROWS if r[2] is not None)
+    want |= {("top", v): n for v, n in sorted(sizes.items(), key=lambda x: (-x[1], x[0]))[:3]}
+    add("r", ["low" for r in ROWS if r[2] is not None and r[2] < 4] + ["mid" for r in ROWS if r[2] is not None and 2 <= r[2] < 6])
+    add("only", ["only" for r in ROWS if r[2] == 3])
+    add("own", [r[1] for r in ROWS if r[1] and r[2] != 3])
+    assert got == want
+
+
+def test_buckets(df):
+    edges = [FacetRange("a", "0", "2"), FacetRange("b", "2.0", "5"), FacetRange("c", "-3", "x")]
+    assert [str(e) for e in range_edges(edges)] == ["2", "5"]
+    rows = {r.bucket: (r.lower, r.upper, r["count"]) for r in bucket_counts(df, "size", edges).collect()}
+    sizes = [r[2] for r in ROWS if r[2] is not None]
+    assert rows == {
+        0: (None, "2", sum(s < 2 for s in sizes)),
+        1: ("2", "5", sum(2 <= s < 5 for s in sizes)),
+        2: ("5", None, sum(s >= 5 for s in sizes)),
+    }
+    assert bucket_counts(df, "nowhere", edges).count() == 0
+
+
+WORDS = ["red", "shirt", "shirts", "blue", "sox", "reddish", "re", "big"]
+
+
+def text_rows():
+    rng = random.Random(23)
+    line = lambda: " ".join(rng.choice(WORDS) for _ in range(rng.randint(0, 12)))
+    return [(str(i), line() if rng.random() < 0.9 else None, [line() for _ in range(rng.randint(0, 2))]) for i in range(250)]
+
+
+def brute_bm25(rows, terms, hit, boosts):
+    docs = {}
+    for key, title, body in rows:
+        docs[key] = [None if title is None else title.split(), " ".join(body).split()]
+    scores = {k: 0.0 for k in docs}
+    matched = {k: True for k in docs}
+    for i in (0, 1):
+        filled = [d[i] for d in docs.values() if d[i] is not None]
+        mean = sum(map(len, filled)) / len(filled)
+        for t in terms:
+            tf = {k: sum(hit(w, t) for w in d[i] or []) for k, d in docs.items()}
+            df_ = sum(v > 0 for v in tf.values())
+            idf = math.log(1 + (len(filled) - df_ + 0.5) / (df_ + 0.5))
+            for k, d in docs.items():
+                if tf[k]:
+                    scores[k] += boosts.get(t, 1) * idf * tf[k] * 2.2 / (tf[k] + 1.2 * (0.25 + 0.75 * len(d[i]) / mean))
+    for k, d in docs.items():
+        matched[k] = all(any(hit(w, t) for part in d for w in part or []) for t in terms)
+    return {k: round(v, 9) for k, v in scores.items() if matched[k]}
+
+
+@pytest.mark.parametrize(
+    "text,matcher,hit",
+    [
+        ("re", Analysis(), lambda w, t: w.startswith(t)),
+        ("red shirt", Analysis(), lambda w, t: w.startswith(t)),
+        ("ed hi", Analysis("ngram", 2, 3), lambda w, t: t in w),
+        ("red sox", Analysis("word"), lambda w, t: w == t),
+        ("shirtx big", Fuzzy(1), lambda w, t: w == t or (w, t) in {("shirt", "shirtx"), ("shirts", "shirtx")}),
+        ("zzz", Analysis(), lambda w, t: False),
+    ],
+)
+def test_scores_and_postings(spark, text, matcher, hit):
+    rows = text_rows()
+    df = spark.createDataFrame(rows, f"{KEY} string, title string, body array<string>")
+    boosts = {"red": 2.5}
+    want = brute_bm25(rows, text.split(), hit, boosts)
+    scanned = score(search_text(df, text, matcher=matcher), text, matcher=matcher, boosts=boosts, corpus=df)
+    assert {r[KEY]: round(r.score, 9) for r in scanned.collect()} == pytest.approx(want)
+    hits = search_postings(build_postings(df), field_lengths(df), text, ["title", "body"], matcher, boosts)
+    assert {r[KEY]: round(r.score, 9) for r in hits.collect()} == pytest.approx(want)
+
+
+@pytest.fixture(scope="module")
+def stored(spark):
+    return spark.createDataFrame([(str(i), f"n{i}", i) for i in range(40)], f"{KEY} string, name string, size int")
+
+
+LIMITS = pytest.mark.parametrize("limit", [0, 1 << 20], ids=["shuffled", "broadcast"])
+
+
+def as_dict(df):
+    return {r[KEY]: {k: v for k, v in r.asDict().items() if k != KEY} for r in df.collect()}
+
+
+@LIMITS
+def test_upsert(spark, stored, limit):
+    batch = spark.createDataFrame(
+        [("3", "old", None, 1), ("3", "new", None, 2), ("50", "x", 5.5, 1), (None, "lost", 1.0, 1)],
+        f"{KEY} string, name string, weight double, seq int")
+    got = as_dict(upsert(stored, batch, limit=limit))
+    assert len(got) == 41
+    assert got["3"] == {"name": "new", "size": None, "weight": None}
+    assert got["50"] == {"name": "x", "size": None, "weight": 5.5}
+    assert got["4"] == {"name": "n4", "size": 4, "weight": None}
+
+
+@LIMITS
+def test_merge_update(spark, stored, limit):
+    batch = spark.createDataFrame(
+        [("3", "a", None, ["name"], 1), ("3", "b", 9, ["size"], 2), ("4", None, None, ["name"], 1), ("50", "x", 7, ["name"], 1)],
+        f"{KEY} string, name string, size int, present array<string>, seq int")
+    got = as_dict(merge_update(stored, batch, limit=limit))
+    assert len(got) == 41
+    assert got["3"] == {"name": "a", "size": 9}  # both updates, each with its own fields
+    assert got["4"] == {"name": None, "size": 4}
+    assert got["50"] == {"name": "x", "size": None}
+    assert got["5"] == {"name": "n5", "size": 5}
+    with pytest.raises(FieldError):
+        merge_update(stored, batch.withColumn("other", F.lit(1)), limit=limit)
+
+
+@LIMITS
+def test_remove_and_report(spark, stored, limit):
+    keys = spark.createDataFrame([("1",), ("2",), ("2",), ("77",), (None,)], f"{KEY} string")
+    assert len(as_dict(remove(stored, keys, limit=limit))) == 38
+    report = {r.id: (r.succeeded, r.action) for r in mutation_report(stored, keys, "remove", limit=limit).collect()}
+    assert report == {"1": (True, "removed"), "2": (True, "removed"), "77": (True, "absent"), None: (False, None)}
+
+
+def test_apply_filter_without_restriction(df):
+    assert apply_filter(df, None) is df

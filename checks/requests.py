@@ -1,10 +1,15 @@
 """Composite search requests."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from sieveline import Analysis, Range, RangeValue, SearchRequest, SortField, Term, TermFacet, search
 
-from .registry import hits_sql, query, table
+from sieveline.sources.documents import FieldOf, to_long
+
+from .documents import new_index
+from .registry import hits_sql, one, query, table
 from .text import bm25_sql
 
 REQUEST = SearchRequest(
@@ -19,14 +24,17 @@ REQUEST = SearchRequest(
 MATCH = f"""{hits_sql('text', "starts_with(x, 'the')")} > 0 AND {hits_sql('text', "starts_with(x, 're')")} > 0"""
 
 
+DOCUMENTS_SQL = bm25_sql(["the", "re"]).replace("lang, source,", "lang, source, n_chars,") + """
+    SELECT doc_id::VARCHAR AS id, lang, source, n_chars, round(score, 6) AS score FROM scored
+    WHERE tf0 > 0 AND tf1 > 0 AND n_chars >= 400 AND n_chars < 9000
+    ORDER BY scored.score DESC, doc_id::VARCHAR LIMIT 15 OFFSET 5"""
+
+
 def run(spark, sf, request=REQUEST):
     return search(table(spark, sf, "documents"), request)
 
 
-@query(bm25_sql(["the", "re"]).replace("lang, source,", "lang, source, n_chars,") + """
-    SELECT doc_id::VARCHAR AS id, lang, source, n_chars, round(score, 6) AS score FROM scored
-    WHERE tf0 > 0 AND tf1 > 0 AND n_chars >= 400 AND n_chars < 9000
-    ORDER BY scored.score DESC, doc_id::VARCHAR LIMIT 15 OFFSET 5""")
+@query(DOCUMENTS_SQL)
 def search_documents(spark, sf):
     return run(spark, sf).documents.select("id", "lang", "source", "n_chars", F.round("score", 6).alias("score"))
 
@@ -36,8 +44,6 @@ def search_documents(spark, sf):
     WHERE tf0 > 0 AND tf1 > 0 AND n_chars >= 400 AND n_chars < 9000
     ORDER BY n_chars DESC, doc_id::VARCHAR LIMIT 10""")
 def search_sorted(spark, sf):
-    from dataclasses import replace
-
     request = replace(REQUEST, sort=[SortField("N_Chars", True)], skip=0, take=10)
     return run(spark, sf, request).documents.select("id", "n_chars", F.round("score", 6).alias("score"))
 
@@ -65,3 +71,18 @@ def search_raw(spark, sf):
 def search_ngram_total(spark, sf):
     request = SearchRequest(text="nter", fields=["text"], filter=Term("lang", ["en"]))
     return search(table(spark, sf, "documents"), request, Analysis("ngram")).total
+
+
+@query(DOCUMENTS_SQL)
+def index_search(spark, sf):
+    df = table(spark, sf, "documents")
+    fields = {
+        "Text": FieldOf(one("text"), searchable=True, filterable=False, retrievable=False),
+        "Lang": FieldOf(one("lang")),
+        "Source": FieldOf(one("source")),
+        "N Chars": FieldOf(one("n_chars"), "Long"),
+    }
+    index = new_index(spark, "Search")
+    index.index(to_long(df, F.col("doc_id"), F.col("doc_id"), fields))
+    request = replace(REQUEST, filter=Range("n chars", REQUEST.filter.values))
+    return index.search(request).documents.withColumn("score", F.round("score", 6))

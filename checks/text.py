@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sieveline import Analysis, Fuzzy, SortField, field_match, page, score, search_text, sort, suggest, with_flags
 from sieveline.functions import text as tx
+from sieveline.operators.postings import build_postings, field_lengths, search_postings
 
 from .registry import hits_sql, query, table, tokens_sql
 
@@ -113,6 +114,14 @@ def score_bm25(spark, sf):
     return hits.select("doc_id", F.round("score", 6).alias("score"))
 
 
+@query(bm25_sql(["the", "re"]) + " SELECT doc_id::VARCHAR AS __id, round(score, 6) AS score FROM scored WHERE tf0 > 0 AND tf1 > 0",
+       name="search_postings")
+def score_from_postings(spark, sf):
+    df = table(spark, sf, "documents")
+    hits = search_postings(build_postings(df, ["text"]), field_lengths(df, ["text"]), "the re", ["text"])
+    return hits.withColumn("score", F.round("score", 6))
+
+
 @query(bm25_sql(["the", "re"], [1.0, 3.5]) + " SELECT doc_id, round(score, 6) AS score FROM scored")
 def score_boosted(spark, sf):
     df = score(table(spark, sf, "documents"), "the re", ["text"], boosts={"re": 3.5})

@@ -69,13 +69,15 @@ def score(
     matcher: Analysis | Fuzzy = Analysis(),
     boosts: Mapping[str, float] | None = None,
     corpus: DataFrame | None = None,
+    stats: DataFrame | None = None,
     name: str = SCORE,
 ) -> DataFrame:
     """Add the relevance of each row; 1.0 for a blank text.
 
     ``corpus`` is the whole table the figures are taken over (default ``df``
-    itself); pass it when ``df`` is already filtered.  ``boosts`` maps a term to
-    the factor of its contribution.
+    itself); pass it when ``df`` is already filtered.  ``stats`` is a row of
+    ``corpus_stats`` for the same text and fields that was kept, which saves the
+    pass over the corpus.  ``boosts`` maps a term to the factor of its contribution.
     """
     terms = tx.query_terms(text)
     corpus = df if corpus is None else corpus
@@ -83,7 +85,9 @@ def score(
     if not terms or not targets:
         return df.withColumn(name, F.lit(1.0))
     weights = {term.lower(): weight for term, weight in (boosts or {}).items()}
-    stats = corpus_stats(corpus, text, fields, matcher).select(F.struct("*").alias("s")).scalar()
-    parts = [_field_score(i, s, terms, matcher, weights, stats) for i, s in enumerate(targets)]
+    if stats is None:
+        stats = corpus_stats(corpus, text, fields, matcher)
+    figures = stats.select(F.struct("*").alias("s")).scalar()
+    parts = [_field_score(i, s, terms, matcher, weights, figures) for i, s in enumerate(targets)]
     # A row without the field has a null length: it adds nothing.
     return df.withColumn(name, reduce(add, [F.coalesce(p, F.lit(0.0)) for p in parts]))

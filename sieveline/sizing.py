@@ -4,23 +4,32 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BROADCAST_LIMIT_BYTES = 64 << 20
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row written out as text."""
+    return F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Bytes of all rows written out as text: one pass, one number to the driver."""
-    row_text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-    total = df.agg(F.sum(F.octet_length(row_text))).first()[0]
-    return total or 0
+    """Bytes of all rows: one pass, one number to the driver."""
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
+
 
+def is_small(df: DataFrame, limit: int | None = BROADCAST_LIMIT_BYTES) -> bool:
+    """Whether ``df`` measures within ``limit``.
 
-def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
-    return measured_bytes(df) <= limit
+    A caller that has measured already passes the answer on: ``None`` is yes, 0 is no.
+    """
+    if limit is None:
+        return True
+    return limit > 0 and measured_bytes(df) <= limit
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, limit: int | None = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """``df`` marked for broadcast when it measures within ``limit``; else left to a shuffle join."""
     return F.broadcast(df) if is_small(df, limit) else df
 

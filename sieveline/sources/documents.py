@@ -126,6 +126,18 @@ def _storage_type(value_type: Column, collection: Column) -> Column:
     return F.when(collection & (scalar == "string"), F.lit("array<string>")).otherwise(scalar)
 
 
+def declarations(long: DataFrame) -> DataFrame:
+    """Distinct names, types and flags of a batch, each with the first document that has them.
+
+    A small table in long form (without values): ``infer_fields`` and
+    ``check_types`` give on it what they give on the batch, up to naming each
+    mismatch once.
+    """
+    return long.groupBy("name", "type", *FLAG_DEFAULTS).agg(
+        F.min("seq").alias("seq"), F.min_by("doc_id", "seq").alias("doc_id")
+    )
+
+
 def infer_fields(long: DataFrame, known: Sequence[FieldSpec] = (), markers: bool = False) -> DataFrame:
     """Fields of a batch: (field, type, retrievable, searchable, ..., suggestable).
 

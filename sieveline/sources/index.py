@@ -22,10 +22,21 @@ from ..operators.matching import searchable_fields, suggest
 from ..operators.postings import build_postings, field_lengths, search_postings
 from ..plans.search import SearchRequest, SearchResult, empty_result, search, search_hits
 from ..schema import KEY, FieldError, FieldSpec, specs_of, to_schema
-from .documents import assemble, check_types, collect_specs, infer_fields, key_spec, read_documents
+from ..sizing import BROADCAST_LIMIT_BYTES, row_bytes
+from .documents import (
+    assemble,
+    check_types,
+    collect_specs,
+    declarations,
+    infer_fields,
+    key_spec,
+    read_documents,
+)
 from .mutations import merge_update, mutation_report, remove, upsert
 
 BUCKET = "__bucket"
+PART = "__part"
+TOKENS_PER_PART = 50_000_000
 ACTIVE, BACKUP = "active", "backup"
 
 _STATE = (
@@ -125,7 +136,8 @@ class DocumentIndex:
         if stored is None:
             return None
         keys = self.spark.createDataFrame([(i,) for i in ids], f"{KEY} string")
-        rows = _in_buckets(stored, _touched(keys, state.buckets), state.buckets).drop(BUCKET)
+        touched, _ = _survey(keys, state.buckets)
+        rows = _in_buckets(stored, touched, state.buckets).drop(BUCKET)
         return rows.filter(F.col(KEY).isin(list(ids)))
 
     def postings(self, use_backup: bool = False) -> DataFrame | None:
@@ -194,10 +206,10 @@ class DocumentIndex:
         if stored is None:
             raise FieldError(f"index {self.name!r} does not exist")
         keys = self._staged(keys.select(F.col(KEY).cast("string")).distinct())
-        report = self._report(stored, keys, "remove")
-        touched = _touched(keys, state.buckets)
+        touched, limit = _survey(keys, state.buckets)
+        report = self._staged(mutation_report(stored, keys, "remove", limit=limit))
         base = _in_buckets(stored, touched, state.buckets).drop(BUCKET)
-        self._record(self._overwrite(remove(base, keys), state, ACTIVE, touched))
+        self._record(self._overwrite(remove(base, keys, limit=limit), state, ACTIVE, touched))
         return report
 
     def swap(self) -> None:
@@ -237,38 +249,46 @@ class DocumentIndex:
         schema = state.schema(role)
         return [] if schema is None else [s for s in specs_of(schema) if not s.is_key]
 
-    def _with_empty(self, state: _State, role: str, schema: T.StructType) -> _State:
-        """State with a new copy for ``role`` that holds no documents."""
-        state = replace(
+    def _with_copy(self, state: _State, role: str, schema: T.StructType) -> _State:
+        """State with a new copy for ``role``, of which nothing is written yet."""
+        version = state.versions + 1
+        return replace(
             state,
             buckets=state.buckets or self.new_buckets,
-            versions=state.versions + 1,
-            **{role: state.versions + 1, f"{role}_schema": schema.json(), f"{role}_lengths": None},
+            versions=version,
+            **{role: version, f"{role}_schema": schema.json(), f"{role}_lengths": None},
         )
+
+    def _with_empty(self, state: _State, role: str, schema: T.StructType) -> _State:
+        """State with a new copy for ``role`` that holds no documents."""
         empty = self.spark.createDataFrame([], schema)
-        return self._overwrite(empty, state, role, [])
+        return self._overwrite(empty, self._with_copy(state, role, schema), role, [])
 
     def _write(self, documents: DataFrame, role: str, kind: str) -> DataFrame:
         long = read_documents(documents).filter(F.col("name") != KEY)
         state = self._state()
         known = self._known(state, role)
-        specs = collect_specs(infer_fields(long, known), known)
+        # One pass over the batch for names and types, one for the values.
+        declared = self._staged(declarations(long))
+        specs = collect_specs(infer_fields(declared, known), known)
         if kind == "merge" and len(specs) > len(known):
             raise FieldError(f"partial update with unknown fields {[s.name for s in specs[len(known):]]}")
-        check_types(long, specs, "raise")
+        check_types(declared, specs, "raise")
         wide = assemble(long, specs, present="present" if kind == "merge" else None)
         batch = self._staged(wide)
         schema = to_schema([key_spec(), *specs])
         if state.version(role) is None:
-            state = self._with_empty(state, role, schema)
+            state = self._with_copy(state, role, schema)
+            stored = self.spark.createDataFrame([], _with_bucket(schema))
         else:
             state = replace(state, **{f"{role}_schema": schema.json()})
-        stored = self._stored(state, role)
-        report = self._report(stored, batch, kind)
-        touched = _touched(batch, state.buckets)
+            stored = self._stored(state, role)
+        touched, limit = _survey(batch, state.buckets)
+        # The outcome per key is fixed before the stored documents change.
+        report = self._staged(mutation_report(stored, batch, kind, limit=limit))
         base = _in_buckets(stored, touched, state.buckets).drop(BUCKET)
-        changed = merge_update(base, batch) if kind == "merge" else upsert(base, batch)
-        self._record(self._overwrite(changed, state, role, touched))
+        change = merge_update if kind == "merge" else upsert
+        self._record(self._overwrite(change(base, batch, limit=limit), state, role, touched))
         return report
 
     def _staged(self, df: DataFrame) -> DataFrame:
@@ -277,10 +297,6 @@ class DocumentIndex:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _report(self, stored: DataFrame, batch: DataFrame, kind: str) -> DataFrame:
-        """Outcome per key, fixed before the stored documents change."""
-        return self._staged(mutation_report(stored, batch, kind))
-
     def _overwrite(self, rows: DataFrame, state: _State, role: str, touched: list[int]) -> _State:
         """Replace the touched buckets of documents and postings.
 
@@ -295,20 +311,32 @@ class DocumentIndex:
         documents = bucketed.unionByName(marks, allowMissingColumns=True).hint("rebalance", BUCKET)
         _replace_partitions(documents, self._path(version))
 
-        written = self.spark.read.schema(_with_bucket(state.schema(role))).parquet(self._path(version))
+        schema = state.schema(role)
+        if not any(spec.searchable for spec in specs_of(schema)):
+            return state
+        written = self.spark.read.schema(_with_bucket(schema)).parquet(self._path(version))
         written = _in_buckets(written, touched, state.buckets)
-        # Partitioned by bucket once, the postings are built and sorted without a further shuffle.
-        postings = build_postings(written.repartition(BUCKET), keep=(BUCKET, KEY))
-        postings = postings.sortWithinPartitions(BUCKET, "field", "token")
-        _replace_partitions(postings, self._path(version, "postings"))
-
         lengths = field_lengths(written, by=(BUCKET,))
         if state.lengths(role) is not None:
             lengths = self._lengths(state, role).filter(~F.col(BUCKET).isin(touched)).unionByName(lengths)
-        number = (state.lengths(role) or 0) + 1
-        # One row per bucket and field.
-        lengths.coalesce(1).write.mode("overwrite").parquet(self._path(version, f"lengths/n={number}"))
-        return replace(state, **{f"{role}_lengths": number})
+        state = replace(state, **{f"{role}_lengths": (state.lengths(role) or 0) + 1})
+        folder = self._path(version, f"lengths/n={state.lengths(role)}")
+        # One row per bucket and field: a small table.
+        lengths.coalesce(1).write.mode("overwrite").parquet(folder)
+
+        # Spread by bucket and part once, the postings are built and sorted without a further shuffle.
+        parts = self._parts(self._lengths(state, role))
+        spread = written.withColumn(PART, F.pmod(F.hash(KEY), F.lit(parts))).repartition(BUCKET, PART)
+        postings = build_postings(spread, keep=(BUCKET, PART, KEY))
+        postings = postings.sortWithinPartitions(BUCKET, "field", "token").drop(PART)
+        _replace_partitions(postings, self._path(version, "postings"))
+        return state
+
+    def _parts(self, lengths: DataFrame) -> int:
+        """Tasks and files per bucket that keep each within ``TOKENS_PER_PART``."""
+        per_bucket = lengths.groupBy(BUCKET).agg(F.sum("tokens").alias("n"))
+        largest = per_bucket.agg(F.max("n")).first()[0] or 0
+        return 1 + largest // TOKENS_PER_PART
 
 
 def _with_bucket(schema: T.StructType) -> T.StructType:
@@ -319,10 +347,11 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
 
 
-def _touched(batch: DataFrame, buckets: int) -> list[int]:
-    """Buckets of the batch's keys: at most ``buckets`` numbers."""
-    found = batch.filter(F.col(KEY).isNotNull()).select(_bucket(buckets).alias("b")).distinct()
-    return sorted(r.b for r in found.collect())
+def _survey(batch: DataFrame, buckets: int) -> tuple[list[int], int | None]:
+    """Buckets the batch touches (at most ``buckets`` numbers), and the broadcast limit its size allows."""
+    keyed = batch.filter(F.col(KEY).isNotNull())
+    found = keyed.agg(F.collect_set(_bucket(buckets)).alias("b"), F.sum(row_bytes(batch)).alias("n")).first()
+    return sorted(found.b), None if (found.n or 0) <= BROADCAST_LIMIT_BYTES else 0
 
 
 def _in_buckets(rows: DataFrame, touched: list[int], buckets: int) -> DataFrame:

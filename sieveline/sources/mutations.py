@@ -51,7 +51,7 @@ def _aligned(rows: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def upsert(
-    base: DataFrame, batch: DataFrame, key: str = KEY, order: str = "seq", limit: int = BROADCAST_LIMIT_BYTES
+    base: DataFrame, batch: DataFrame, key: str = KEY, order: str = "seq", limit: int | None = BROADCAST_LIMIT_BYTES
 ) -> DataFrame:
     """Insert new documents, replace stored ones as a whole; new columns widen the table."""
     batch = batch.filter(F.col(key).isNotNull())
@@ -81,7 +81,7 @@ def merge_update(
     key: str = KEY,
     order: str = "seq",
     present: str = "present",
-    limit: int = BROADCAST_LIMIT_BYTES,
+    limit: int | None = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Overwrite the supplied fields, keep the others, insert unknown keys.
 
@@ -116,7 +116,7 @@ def merge_update(
     return updated.unionByName(_aligned(new, base.schema))
 
 
-def remove(base: DataFrame, keys: DataFrame, key: str = KEY, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+def remove(base: DataFrame, keys: DataFrame, key: str = KEY, limit: int | None = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Rows of ``base`` whose key is not among ``keys``."""
     return base.join(broadcast_if_small(keys.select(key).distinct(), limit), key, "left_anti")
 
@@ -130,7 +130,7 @@ _ACTIONS = {
 
 
 def mutation_report(
-    base: DataFrame, batch: DataFrame, kind: str, key: str = KEY, limit: int = BROADCAST_LIMIT_BYTES
+    base: DataFrame, batch: DataFrame, kind: str, key: str = KEY, limit: int | None = BROADCAST_LIMIT_BYTES
 ) -> DataFrame:
     """Outcome per input key: (id, succeeded, error_message, action).  A null key fails."""
     stored_action, new_action = _ACTIONS[kind]

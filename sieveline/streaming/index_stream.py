@@ -19,11 +19,12 @@ def index_stream(
     """
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        if partial:
-            index.index_partial(batch)
-        else:
-            index.index(batch)
+        # Read from the source once; an executor that is lost only costs its share again.
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                (index.index_partial if partial else index.index)(batch)
+        finally:
+            batch.unpersist()
 
     return documents.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

@@ -1,11 +1,15 @@
 """Text analysis, matching, scoring and suggestions."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from sieveline import Analysis, Fuzzy, SortField, field_match, page, score, search_text, sort, suggest, with_flags
+from sieveline import KEY, Analysis, Fuzzy, SortField, field_match, page, score, search_text, sort, suggest, with_flags
 from sieveline.functions import text as tx
 from sieveline.operators.postings import build_postings, field_lengths, search_postings
 
+from sieveline.sizing import work_folder
+
 from .registry import hits_sql, query, table, tokens_sql
 
 PART = ["p_partkey", "p_name"]
@@ -118,7 +122,12 @@ def score_bm25(spark, sf):
        name="search_postings")
 def score_from_postings(spark, sf):
     df = table(spark, sf, "documents")
-    hits = search_postings(build_postings(df, ["text"]), field_lengths(df, ["text"]), "the re", ["text"])
+    folder = f"{work_folder(spark)}/{uuid.uuid4().hex}"
+    sorted_tokens = build_postings(df, ["text"]).repartitionByRange("field", "token", KEY)
+    sorted_tokens.sortWithinPartitions("field", "token").write.parquet(f"{folder}/postings")
+    field_lengths(df, ["text"]).write.parquet(f"{folder}/lengths")
+    postings, lengths = (spark.read.parquet(f"{folder}/{part}") for part in ("postings", "lengths"))
+    hits = search_postings(postings, lengths, "the re", ["text"])
     return hits.withColumn("score", F.round("score", 6))
 
 

@@ -116,7 +116,7 @@ def _term_entry(
             position, facet.result_id, guard, [], F.array_distinct(field), T.StringType(), size, requested
         )
     value = plain_text(field, spec.data_type)
-    if requested is not None and size == 0 and isinstance(spec.data_type, T.StringType):
+    if requested is not None and size == 0 and isinstance(spec.data_type, (T.StringType, T.IntegralType)):
         # Only requested values are counted at all.
         value = F.when(F.lower(value).isin([v.lower() for v in requested]), value)
     return _Entry(

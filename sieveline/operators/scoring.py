@@ -44,7 +44,7 @@ def inverse_frequency(rows: Column, hits: Column) -> Column:
 
 def term_weight(tf: Column, length: Column, mean_length: Column) -> Column:
     """Weight of a term; 0 where it does not occur, null where there is no text at all."""
-    norm = F.lit(1 - B) + F.lit(B) * length / F.nullif(mean_length, F.lit(0.0))
+    norm = F.lit(1 - B) + F.lit(B) * length / F.when(mean_length > 0, mean_length)
     return tf * F.lit(K1 + 1) / (tf + F.lit(K1) * norm)
 
 

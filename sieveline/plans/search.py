@@ -53,8 +53,9 @@ def matched(df: DataFrame, request: SearchRequest, analysis: Analysis = Analysis
     """All rows the request selects, unordered."""
     if request.raw:
         return apply_filter(df, RawFilter(request.raw))
-    found = search_text(df, request.text, request.fields, _matcher(request, analysis))
-    return apply_filter(found, request.filter)
+    # The cheap comparisons come first: they reach the reader, and texts are only looked at after them.
+    selected = apply_filter(df, request.filter)
+    return search_text(selected, request.text, request.fields, _matcher(request, analysis))
 
 
 def _matcher(request: SearchRequest, analysis: Analysis) -> Analysis | Fuzzy:

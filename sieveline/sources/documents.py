@@ -167,10 +167,9 @@ def infer_fields(long: DataFrame, known: Sequence[FieldSpec] = (), markers: bool
         "suggestable",
     )
     if markers:
-        marked = fields.filter("suggestable").withColumn(
-            "field", F.concat("field", F.lit(SUGGEST_SUFFIX))
-        )
-        fields = fields.unionByName(marked)
+        marked = F.array("field", F.concat("field", F.lit(SUGGEST_SUFFIX)))
+        names = F.when(F.col("suggestable"), marked).otherwise(F.array("field"))
+        fields = fields.withColumn("field", F.explode(names))
     return fields
 
 
@@ -233,7 +232,8 @@ def assemble(
     A scalar field takes its first value, a collection all of them
     (``keep_arrays`` keeps every value of non-text fields declared as
     collections too).  ``present`` names a column listing the fields supplied.
-    One aggregation by document, combined on the map side.
+    One aggregation by document, combined on the map side; what it gathers is one
+    row of the result.
     """
     named = long.withColumn("field", normalize_name_column(F.col("name")))
     aggregates = []

@@ -18,11 +18,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import Analysis, Fuzzy, query_terms
+from ..operators.filters import required_ids
 from ..operators.matching import searchable_fields, suggest
 from ..operators.postings import build_postings, field_lengths, search_postings
 from ..plans.search import SearchRequest, SearchResult, empty_result, search, search_hits
 from ..schema import KEY, FieldError, FieldSpec, specs_of, to_schema
-from ..sizing import BROADCAST_LIMIT_BYTES, row_bytes
+from ..sizing import BROADCAST_LIMIT_BYTES, row_bytes, work_folder
 from .documents import (
     assemble,
     check_types,
@@ -135,10 +136,14 @@ class DocumentIndex:
         stored = self._stored(state, ACTIVE)
         if stored is None:
             return None
+        rows = self._holding(stored, ids, state).drop(BUCKET)
+        return rows.filter(F.col(KEY).isin(list(ids)))
+
+    def _holding(self, stored: DataFrame, ids: Sequence[str], state: _State) -> DataFrame:
+        """The buckets that can hold these ids."""
         keys = self.spark.createDataFrame([(i,) for i in ids], f"{KEY} string")
         touched, _ = _survey(keys, state.buckets)
-        rows = _in_buckets(stored, touched, state.buckets).drop(BUCKET)
-        return rows.filter(F.col(KEY).isin(list(ids)))
+        return _in_buckets(stored, touched, state.buckets)
 
     def postings(self, use_backup: bool = False) -> DataFrame | None:
         """Rows (bucket, key, field, length, token, tf) of the active (or backup) copy."""
@@ -151,7 +156,8 @@ class DocumentIndex:
         """Answer a request.
 
         A text is looked up in the postings first; the hits (key and score) are
-        written once and then serve documents, total and facets.
+        written once, to the shared work folder, and then serve documents, total and
+        facets.
         """
         state, role = self._state(), BACKUP if request.use_backup else ACTIVE
         stored = self._stored(state, role)
@@ -159,12 +165,15 @@ class DocumentIndex:
             return empty_result(self.spark)
         fields = [s.name for s in searchable_fields(stored.schema, request.fields)]
         if request.raw or not query_terms(request.text) or not fields:
+            ids = None if request.raw or request.facets else required_ids(request.filter)
+            if ids:
+                stored = self._holding(stored, ids, state)
             return search(stored.drop(BUCKET), request, self.analysis)
         matcher = Fuzzy(request.fuzziness) if request.fuzzy else self.analysis
         hits = search_postings(
             self.postings(request.use_backup), self._lengths(state, role), request.text, fields, matcher
         )
-        hits = self._staged(hits.withColumn(BUCKET, _bucket(state.buckets)))
+        hits = self._staged(hits.withColumn(BUCKET, _bucket(state.buckets)), work_folder(self.spark))
         return search_hits(stored, hits, request, place=[BUCKET])
 
     def suggest(self, query: str, fields: Sequence[str], size: int = 5) -> DataFrame:
@@ -291,9 +300,12 @@ class DocumentIndex:
         self._record(self._overwrite(change(base, batch, limit=limit), state, role, touched))
         return report
 
-    def _staged(self, df: DataFrame) -> DataFrame:
-        """``df`` written once and read back, so that no later step computes it again."""
-        path = f"{self.folder}/_staged/{uuid.uuid4().hex}"
+    def _staged(self, df: DataFrame, folder: str | None = None) -> DataFrame:
+        """``df`` written once and read back, so that no later step computes it again.
+
+        Staged tables are left behind: let the storage expire ``_staged`` folders.
+        """
+        path = f"{folder or self.folder}/_staged/{uuid.uuid4().hex}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

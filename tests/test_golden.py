@@ -218,3 +218,29 @@ def test_suggest(index):
 
 def test_get_by_ids(index):
     assert [r["__id"] for r in index.get(["Item-3", "Item-7"]).collect()] == ["Item-3"]
+
+
+def test_ids_filter_reads_only_their_buckets(index):
+    result = index.search(SearchRequest(filter=And([Ids(["Item-2", "Item-9"]), Term("Color", ["Red"])])))
+    assert [r.id for r in result.documents.collect()] == ["Item-2"]
+    assert result.total.first().total == 1
+    assert "__bucket" in result.documents._jdf.queryExecution().executedPlan().toString()
+
+
+def test_text_search_equals_a_scan_of_the_texts(index):
+    from dataclasses import replace
+
+    from sieveline import search
+
+    base = SearchRequest(text="sh r", facets=[TermFacet("Color", size=0), TermFacet("Size", filter=Term("Color", ["Red"]))])
+    requests = [
+        base, replace(base, filter=Range("Size", [RangeValue("2")])), replace(base, sort=[SortField("Size", True)], take=2),
+        replace(base, sort=[SortField("score"), SortField("Name")], skip=1), replace(base, text="shrit", fuzzy=True),
+        replace(base, text="nothing"),
+    ]
+    for request in requests:
+        got, want = index.search(request), search(index.table(), request)
+        rows = lambda r: [(x.id, round(x.score, 9)) for x in r.documents.collect()]
+        assert rows(got) == rows(want)
+        assert got.total.first() == want.total.first()
+        assert sorted(got.facets.collect()) == sorted(want.facets.collect())

@@ -76,6 +76,14 @@ def test_search_neither_joins_nor_shuffles_documents(spark):
     assert "EqualTo(lang,en)" in text
 
 
+@pytest.mark.parametrize("keys", [(), (SortField("n_chars", True),), (SortField("score"),)], ids=["default", "field", "score"])
+def test_search_pages_are_top_k(spark, keys):
+    documents = spark.read.parquet(f"{SF}/documents.parquet").withColumn(KEY, F.col("doc_id").cast("string"))
+    result = search(documents, SearchRequest(text="the re", fields=["text"], sort=keys, skip=3, take=5))
+    text = plan(result.documents.select("id", F.round("score", 6)))
+    assert "TakeOrderedAndProject(limit=8, offset=3" in text and "rangepartitioning" not in text
+
+
 @pytest.mark.parametrize("change", [upsert, remove])
 def test_small_changes_do_not_shuffle_the_table(part, change):
     batch = part.filter("p_partkey < 5").withColumn("seq", F.lit(1))

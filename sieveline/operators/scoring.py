@@ -48,16 +48,21 @@ def term_weight(tf: Column, length: Column, mean_length: Column) -> Column:
     return tf * F.lit(K1 + 1) / (tf + F.lit(K1) * norm)
 
 
-def _field_score(
-    i: int, spec: FieldSpec, terms: list[str], matcher: Analysis | Fuzzy, boosts: Mapping[str, float], stats: Column
-) -> Column:
-    target = folded(spec)
-    length = tx.token_count(target)
+def _counts(targets: list[FieldSpec], terms: list[str], matcher: Analysis | Fuzzy) -> Column:
+    """Struct of the token count per field and the hits per field and term."""
+    counts = []
+    for i, spec in enumerate(targets):
+        target = folded(spec)
+        counts.append(tx.token_count(target).alias(f"__length_{i}"))
+        counts += [matcher.frequency(target, term).alias(f"__tf_{i}_{j}") for j, term in enumerate(terms)]
+    return F.struct(*counts)
+
+
+def _field_score(i: int, terms: list[str], boosts: Mapping[str, float], stats: Column) -> Column:
     parts = []
     for j, term in enumerate(terms):
-        tf = matcher.frequency(target, term)
         idf = inverse_frequency(stats[f"rows_{i}"], stats[f"hits_{i}_{j}"])
-        weight = term_weight(tf, length, stats[f"length_{i}"])
+        weight = term_weight(F.col(f"__tf_{i}_{j}"), F.col(f"__length_{i}"), stats[f"length_{i}"])
         parts.append(F.lit(float(boosts.get(term, 1.0))) * idf * weight)
     return reduce(add, parts)
 
@@ -88,6 +93,10 @@ def score(
     if stats is None:
         stats = corpus_stats(corpus, text, fields, matcher)
     figures = stats.select(F.struct("*").alias("s")).scalar()
-    parts = [_field_score(i, s, terms, matcher, weights, figures) for i, s in enumerate(targets)]
+    parts = [_field_score(i, terms, weights, figures) for i in range(len(targets))]
     # A row without the field has a null length: it adds nothing.
-    return df.withColumn(name, reduce(add, [F.coalesce(p, F.lit(0.0)) for p in parts]))
+    total = reduce(add, [F.coalesce(p, F.lit(0.0)) for p in parts])
+    # The counts are used several times each.  As output of a generator they are
+    # computed once per row; as plain columns the optimizer would copy them into the sum.
+    counted = df.select("*", F.inline(F.array(_counts(targets, terms, matcher))))
+    return counted.select(*[F.col(f"`{c}`") for c in df.columns if c != name], total.alias(name))

@@ -32,8 +32,8 @@ _TOKENS_PY = re.compile(r"\w+")
 def _at_start(term: str) -> str:
     """Pattern of the term at the start of a token.
 
-    The look-behind comes after the term: the matcher then runs it only where the
-    term occurs, not at every character.
+    The look-behind comes after the term: the pattern then begins with a literal,
+    which is searched for as such, and looks around only where the term occurs.
     """
     return f"{term}(?<!{TOKEN_CLASS}{term})"
 
@@ -76,8 +76,7 @@ class Analysis:
             pattern = rf"{term}{TOKEN_CLASS}*+"
         else:
             pattern = _at_start(term) + _END
-        hits = F.regexp_count(text, F.lit(pattern))
-        return F.when(F.contains(text, F.lit(term)), hits).otherwise(F.lit(0))
+        return F.regexp_count(text, F.lit(pattern))
 
 
 def fold(column: Column, data_type: T.DataType = T.StringType()) -> Column:
@@ -115,7 +114,7 @@ def prefix_match(
     term = _single_term(term)
     if not min_gram <= len(term) <= max_gram:
         return F.lit(False)
-    return F.contains(text, F.lit(term)) & text.rlike(_at_start(term))
+    return text.rlike(_at_start(term))
 
 
 def infix_match(
@@ -131,7 +130,7 @@ def infix_match(
 def word_match(text: Column, term: str) -> Column:
     """Some token equals the term."""
     term = _single_term(term)
-    return F.contains(text, F.lit(term)) & text.rlike(_at_start(term) + _END)
+    return text.rlike(_at_start(term) + _END)
 
 
 def fuzzy_distance(level: int | None) -> int:
@@ -151,7 +150,7 @@ def fuzzy_match(text: Column, term: str, level: int | None = None) -> Column:
     term, limit = _single_term(term), fuzzy_distance(level)
     if len(term) <= limit or limit == 0:
         return word_match(text, term)
-    return word_match(text, term) | F.exists(tokens(text), _close_to(term, limit))
+    return F.exists(tokens(text), _close_to(term, limit))
 
 
 @dataclass(frozen=True)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx
 from ..functions.text import Analysis, Fuzzy
-from ..schema import FieldSpec, column
+from ..schema import column
 from .matching import folded, searchable_fields
 from .sorting import SCORE
 
@@ -48,11 +48,11 @@ def term_weight(tf: Column, length: Column, mean_length: Column) -> Column:
     return tf * F.lit(K1 + 1) / (tf + F.lit(K1) * norm)
 
 
-def _counts(targets: list[FieldSpec], terms: list[str], matcher: Analysis | Fuzzy) -> Column:
+def _counts(fields: int, terms: list[str], matcher: Analysis | Fuzzy) -> Column:
     """Struct of the token count per field and the hits per field and term."""
     counts = []
-    for i, spec in enumerate(targets):
-        target = folded(spec)
+    for i in range(fields):
+        target = F.col(f"__text_{i}")
         counts.append(tx.token_count(target).alias(f"__length_{i}"))
         counts += [matcher.frequency(target, term).alias(f"__tf_{i}_{j}") for j, term in enumerate(terms)]
     return F.struct(*counts)
@@ -98,5 +98,6 @@ def score(
     total = reduce(add, [F.coalesce(p, F.lit(0.0)) for p in parts])
     # The counts are used several times each.  As output of a generator they are
     # computed once per row; as plain columns the optimizer would copy them into the sum.
-    counted = df.select("*", F.inline(F.array(_counts(targets, terms, matcher))))
+    texts = df.select("*", *[folded(s).alias(f"__text_{i}") for i, s in enumerate(targets)])
+    counted = texts.select("*", F.inline(F.array(_counts(len(targets), terms, matcher))))
     return counted.select(*[F.col(f"`{c}`") for c in df.columns if c != name], total.alias(name))

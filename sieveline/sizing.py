@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -35,5 +36,21 @@ def broadcast_if_small(df: DataFrame, limit: int | None = BROADCAST_LIMIT_BYTES)
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Folder all executors share: ``spark.checkpoint.dir``; a temporary one only where unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sieveline-")
+    """Folder all executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder serves a local master only: on a cluster, every
+    executor would write to its own disk.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="sieveline-")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: computed once, kept if executors are lost."""
+    path = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -133,6 +133,8 @@ def mix_sources(
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
-    """One row per copy with its ``position``, range-sorted by it; documents without copies go."""
-    copies = mixed.select("*", F.explode("positions").alias("position"))
-    return copies.orderBy("position")
+    """One row per copy with its ``position``, range-sorted by it; documents without copies go.
+
+    Texts without words may share a position: ties are ordered by what the source took so far."""
+    copies = mixed.select("*", F.posexplode("positions").alias("copy", "position"))
+    return copies.orderBy("position", "copy", "source_size", "size")

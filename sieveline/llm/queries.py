@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sieveline.llm import chat, curriculum, exact_dedup as dedup, hash_tree
-from sieveline.sizing import staged
+from sieveline.llm import (
+    chat,
+    curriculum,
+    decontaminate,
+    exact_dedup as dedup,
+    hash_tree,
+    language,
+    line_dedup,
+    lm_score,
+    ngram_join,
+    warc,
+)
+from sieveline.sizing import staged, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -29,6 +41,45 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+# Distinct 5-word shingles of the lower-cased texts; of fewer words, the whole sequence.
+SHINGLES_SQL = f"""
+w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{dedup.UPPER}', '{dedup.LOWER}'),
+        '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), g AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id)"""
+
+JOIN_SQL = f"""
+WITH RECURSIVE {SHINGLES_SQL}, c AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), l AS (
+    SELECT c.a, c.b FROM c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b
+    WHERE 100 * common >= 75 * (x.n + y.n - common)
+), r AS (
+    SELECT doc_id, doc_id AS node FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.node = l.a
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(node) AS component_id FROM r GROUP BY doc_id) r ON r.doc_id = d.doc_id
+"""
+
+
+@query(JOIN_SQL)
+def op1_ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language.fit_on(docs)
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score", "entropy", "rejected")
+
+
 MIX_SQL = f"""
 WITH d AS (
     SELECT doc_id, source, {WORDS_SQL}::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, 'null')) AS k FROM documents
@@ -70,10 +121,46 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.round(F.try_element_at("positions", F.lit(1)), 9)
     return (
         mixed.select("doc_id", "size", "source_size", "target", "copies", F.col("taken").cast("long"), first.alias("position"))
-        .orderBy(F.col("position").asc_nulls_last())
+        .orderBy(F.col("position").asc_nulls_last(), "doc_id")
     )
 
 
+# Runs of lines are compared as texts: the shortest ones of 50 words from, and up to, each line.
+LINES_SQL = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents
+), a AS (SELECT doc_id, unnest(s) AS text, generate_subscripts(s, 1) - 1 AS idx FROM d
+), b AS (SELECT *, {WORDS_SQL} AS n FROM a
+), l AS (SELECT doc_id, idx, text, n, row_number() OVER p AS seq,
+    coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS c
+    FROM b WHERE n > 0 WINDOW p AS (PARTITION BY doc_id ORDER BY idx)
+), x AS (
+    SELECT doc_id, idx AS first, max(idx) OVER f AS last, max(c + n) OVER f - c AS words, seq AS start,
+        string_agg(text, chr(10)) OVER f AS run FROM l
+    WINDOW f AS (PARTITION BY doc_id ORDER BY c RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+    UNION ALL
+    SELECT doc_id, min(idx) OVER f, idx, c + n - min(c) OVER f, min(seq) OVER f, string_agg(text, chr(10)) OVER f FROM l
+    WINDOW f AS (PARTITION BY doc_id ORDER BY c + n RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
+), y AS (
+    SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, start) > 1
+        AND (doc_id, start) <> first_value((doc_id, start)) OVER (PARTITION BY run ORDER BY doc_id, start) AS later
+    FROM x WHERE words >= 50
+), gone AS (
+    SELECT DISTINCT b.doc_id, b.idx FROM b JOIN y ON y.doc_id = b.doc_id AND b.idx BETWEEN y.first AND y.last WHERE y.later
+)
+SELECT b.doc_id, count(*) AS n_lines, count(gone.idx) AS removed_lines,
+    sha256(coalesce(string_agg(b.text, chr(10) ORDER BY b.idx) FILTER (gone.idx IS NULL), '')) AS text_sha256
+FROM b LEFT JOIN gone ON gone.doc_id = b.doc_id AND gone.idx = b.idx GROUP BY b.doc_id
+"""
+
+
+@query(LINES_SQL)
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(1)).cast("long"))
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "removed_lines", F.sha2(text, 256).alias("text_sha256"))
+
+
 @query()
 def op5_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -82,6 +169,31 @@ def op5_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest FROM p
+), k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS keep FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 1000 AND page_id < keep THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND page_id < keep THEN keep END AS refers_to
+FROM k
+"""
+
+
+@query(WARC_SQL)
+def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{work_folder(spark)}/archives-{uuid.uuid4().hex}"
+    warc.write_archives(read(spark, sf_dir, "pages"), path)
+    number = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
+    return warc.read_archives(spark, path).select(
+        number(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def escaped_sql(value: str) -> str:
     out = f"replace({value}, '\\', '\\\\')"
     for c in chat.CONTROL:
@@ -159,3 +271,54 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND copy
 @query(DEDUP_SQL)
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_dedup(read(spark, sf_dir, "documents"))
+
+
+SCORES_SQL = """
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), t AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w
+), u AS (
+    SELECT *, lag(word) OVER (PARTITION BY doc_id ORDER BY i) AS before, count(*) OVER (PARTITION BY doc_id) AS n,
+        count(*) OVER () AS total,
+        count(*) OVER (PARTITION BY word) - count(*) OVER (PARTITION BY word, doc_id) AS c1 FROM t
+), v AS (
+    SELECT *, lag(c1) OVER (PARTITION BY doc_id ORDER BY i) AS c0,
+        CASE WHEN before IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY before, word)
+            - count(*) OVER (PARTITION BY before, word, doc_id) END AS c2 FROM u
+), s AS (
+    SELECT doc_id, any_value(n) AS n, sum(CASE WHEN c2 > 0 AND c0 > 0 THEN ln(c2 / c0)
+        ELSE ln(greatest(c1, 0.5) / greatest(total - n, 1)) + CASE WHEN i > 1 THEN ln(0.4) ELSE 0 END END) AS log_score
+    FROM v GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_words, round(coalesce(s.log_score, 0)::DOUBLE, 4) AS log_score,
+    round((s.log_score / s.n)::DOUBLE, 6) AS score_per_word
+FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id
+"""
+
+
+@query(SCORES_SQL)
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("score_per_word", 6).alias("score_per_word")
+    )
+
+
+LEAKS_SQL = f"""
+WITH {SHINGLES_SQL}, iw AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{dedup.UPPER}', '{dedup.LOWER}'),
+        '[^\\x20\\x09-\\x0D]+') AS w FROM benchmark
+), ig AS (
+    SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+    FROM iw WHERE len(w) >= 5
+), sets AS (SELECT item_id, string_agg(g, chr(10) ORDER BY g) AS s, count(*) AS m FROM ig GROUP BY item_id
+), item AS (SELECT min(item_id) AS item_id, count(*) AS item_copies, any_value(m) AS m FROM sets GROUP BY s)
+SELECT g.doc_id, item.item_id, item.item_copies, item.m::INT AS item_shingles, count(*) AS shared
+FROM g JOIN ig ON ig.g = g.g JOIN item ON item.item_id = ig.item_id
+GROUP BY g.doc_id, item.item_id, item.item_copies, item.m HAVING 100 * count(*) >= 75 * item.m
+"""
+
+
+@query(LEAKS_SQL)
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

@@ -22,6 +22,15 @@ def text_key(column: str | Column) -> Column:
     return F.md5(F.coalesce(value.cast("string"), F.lit("null")))
 
 
+def set_aside(docs: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all columns but the used ones under other names, and the columns that undo it.
+
+    For operators whose results may be named like columns that must survive them.
+    """
+    names = {c: f"__doc_{i}" for i, c in enumerate(docs.columns) if c not in used}
+    return docs.withColumnsRenamed(names), [F.col(names.get(c, c)).alias(c) for c in docs.columns]
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, members: str, total: int) -> DataFrame:
     """Inner join of ``rows`` to one row per ``key`` of ``groups``, safe against hot keys.
 

@@ -72,9 +72,9 @@ def targets(sources: DataFrame, repeats: int) -> DataFrame:
     return sources.withColumn("target", F.least(cap.cast("double"), F.lit(level) * F.col("weight")))
 
 
-def time_of(demand: Column) -> Column:
+def time_of(demand: Column, knots: str) -> Column:
     """Time at which the integral of the schedule in ``knots`` reaches ``demand``."""
-    piece = F.element_at(F.filter("knots", lambda k: k["before"] <= demand), -1)
+    piece = F.element_at(F.filter(knots, lambda k: k["before"] <= demand), -1)
     rest = demand - piece["before"]
     slope = piece["dw"] / piece["dt"]
     root = F.sqrt(F.greatest(piece["w"] * piece["w"] + slope * rest * 2.0, F.lit(0.0)))
@@ -116,25 +116,25 @@ def mix_sources(
     sources = staged(targets(sources, repeats).drop("n"), "mix-targets")
     digits = hex_digits(sizes.agg(F.sum("n")).first()[0] or 0)
     placed = running_total(rows, ["__source"], "__key", ["__size"], F.col("__size"), digits, "__before")
-    mixed = placed.join(broadcast_if_small(sources.drop("knots")), "__source")
+    sources = sources.withColumnsRenamed({"weight": "__weight", "knots": "__knots"})
+    mixed = placed.join(broadcast_if_small(sources), "__source")
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - full * F.col("source_size")
     more = (F.col("__before") + F.col("__size") / 2.0 <= rest) & (rest > 0)
     mixed = mixed.withColumn("copies", (full + more.cast("long")).cast("int"))
-    mixed = mixed.join(broadcast_if_small(sources.select("__source", "knots")), "__source")
     middle = lambda j: (j * F.col("source_size") + F.col("__before") + F.col("__size") / 2.0) / F.col("target")
-    at = lambda j: time_of(F.least(middle(j), F.lit(1.0)) * F.col("weight"))
+    at = lambda j: time_of(F.least(middle(j), F.lit(1.0)) * F.col("__weight"), "__knots")
     positions = F.when(
         (F.col("copies") > 0) & (F.col("target") > 0), F.transform(F.sequence(F.lit(0), F.col("copies") - 1), at)
     ).otherwise(F.array().cast("array<double>"))
     return mixed.withColumns(
         {"size": F.col("__size"), "taken": F.col("copies") * F.col("__size"), "positions": positions}
-    ).drop("__source", "__size", "__key", "__before", "weight", "knots")
+    ).drop("__source", "__size", "__key", "__before", "__weight", "__knots")
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
     """One row per copy with its ``position``, range-sorted by it; documents without copies go.
 
     Texts without words may share a position: ties are ordered by what the source took so far."""
-    copies = mixed.select("*", F.posexplode("positions").alias("copy", "position"))
+    copies = mixed.drop("copy", "position").select("*", F.posexplode("positions").alias("copy", "position"))
     return copies.orderBy("position", "copy", "source_size", "size")

@@ -96,7 +96,7 @@ def with_slots(placed: DataFrame, key: str = "doc_id", order: list[str] | None =
     """``placed`` with ``slot``: a gapless number from 0 within each shard, in an order by hash of
     ``key``, then by ``order``; rows equal in these are interchangeable. A shard is numbered in
     buckets, so neither a heavy shard nor a small number of shards limits the tasks."""
-    rows = placed.withColumn("__key", text_key(key))
+    rows = placed.drop("slot").withColumn("__key", text_key(key))
     digits = hex_digits(placed.count())
     one = F.lit(1).cast("long")
     return running_total(rows, ["shard"], "__key", order or [key], one, digits, "slot").drop("__key")
@@ -116,5 +116,5 @@ def shard_documents(docs: DataFrame, shards: int = BASE_SHARDS, doc_id: str = "d
             "law": F.lit("key"),
         }
     )
-    grown = place(sized, shard_tree(shards + 1), doc_id).withColumnRenamed("shard", "grown_shard")
+    grown = place(sized.drop("grown_shard"), shard_tree(shards + 1), doc_id).withColumnRenamed("shard", "grown_shard")
     return with_slots(place(grown, shard_tree(shards), doc_id), doc_id, [doc_id, "size", "text_crc32"])

@@ -85,7 +85,7 @@ def windows(lines: DataFrame, min_words: int) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(__id, __text_hash, runs, removed): the line ranges of each document that repeat earlier lines."""
+    """(__id, __text_hash, __runs, __removed): the line ranges of each document that repeat earlier lines."""
     lines = staged(text_lines(docs), "lines")
     ids = lines.filter("seq = 0").select("__id", "__text_hash").distinct()
     ids = staged(ranked(ids, [F.col("__id"), F.col("__text_hash")], "ord"), "line-documents")
@@ -109,22 +109,23 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = found.join(at("start", "head_rank"), ["ord", "start", "k"]).join(at("tail", "tail_rank"), ["ord", "tail", "k"])
     place = F.shiftleft("ord", LINE_BITS) + F.col("start")
     found = found.select(
-        "ord", "first", "last", F.struct("m", "head_rank", "tail_rank").alias("interval"), place.alias("place")
+        "ord", "start", "m", "first", "last", F.struct("m", "head_rank", "tail_rank").alias("interval"), place.alias("place")
     )
     found = staged(found, "line-intervals")
     leaders = found.groupBy("interval").agg(F.min("place").alias("leader"), F.count(F.lit(1)).alias("__n")).filter("__n > 1")
     copies = join_groups(found, leaders, "interval", "__n", found.count()).filter("place > leader")
 
-    # Overlapping and touching ranges of a document become one.
-    earlier = Window.partitionBy("ord").orderBy("first", "last")
-    reach = F.max("last").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
-    ranges = copies.select("ord", "first", "last").distinct().withColumn("new", (F.col("first") > F.coalesce(reach, F.lit(-2)) + 1).cast("int"))
+    # Overlapping and touching runs of a document become one; lines without words between them go too.
+    earlier = Window.partitionBy("ord").orderBy("start", "m")
+    reach = F.max(F.col("start") + F.col("m")).over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    ranges = copies.select("ord", "start", "m", "first", "last").distinct()
+    ranges = ranges.withColumn("new", (F.col("start") > F.coalesce(reach, F.lit(-1))).cast("int"))
     ranges = ranges.withColumn("run", F.sum("new").over(earlier.rowsBetween(Window.unboundedPreceding, 0)))
     ranges = ranges.groupBy("ord", "run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     runs = ranges.groupBy("ord").agg(
-        F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs"), F.sum(F.expr("last - first + 1")).alias("removed")
+        F.array_sort(F.collect_list(F.struct("first", "last"))).alias("__runs"), F.sum(F.expr("last - first + 1")).alias("__removed")
     )
-    return runs.join(ids, "ord").select("__id", "__text_hash", "runs", "removed")
+    return runs.join(ids, "ord").select("__id", "__text_hash", "__runs", "__removed")
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -132,7 +133,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
 
     A run is a sequence of neighbouring lines with at least ``min_words`` words together. Of equal
     runs, the first by document id, then by line, stays. Lines are equal when identical; lines
-    without words do not interrupt a run and go with it, and stay elsewhere. A text
+    without words do not interrupt a run; they go if the lines next to them do, and stay elsewhere. A text
     whose lines all go is empty. Null texts stay null; documents with a null id come first. Rows
     that repeat an id with the same text are one document and are treated alike; with different
     texts they come in the order of a hash. Columns of ``docs`` with a name of the result are
@@ -145,14 +146,14 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     left, right = docs.withColumns(key).alias("l"), broadcast_if_small(runs).alias("r")
     same = F.col("l.__id").eqNullSafe(F.col("r.__id")) & (F.col("l.__text_hash") == F.col("r.__text_hash"))
     kept = F.filter(
-        F.split(F.col(text), "\n"), lambda _, i: ~F.exists("runs", lambda r: (i >= r["first"]) & (i <= r["last"]))
+        F.split(F.col(text), "\n"), lambda _, i: ~F.exists("__runs", lambda r: (i >= r["first"]) & (i <= r["last"]))
     )
-    cleaned = F.when(F.col("runs").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    found = left.join(right, same, "left").select(*[F.col(f"l.`{c}`") for c in docs.columns], "r.runs", F.col("r.removed").alias("__removed"))
+    cleaned = F.when(F.col("__runs").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    found = left.join(right, same, "left").select(*[F.col(f"l.`{c}`") for c in docs.columns], "r.__runs", "r.__removed")
     return found.withColumns(
         {
             text: cleaned,
             "removed_lines": F.coalesce("__removed", F.lit(0)).cast("long"),
-            "removed_runs": F.coalesce(F.size("runs"), F.lit(0)).cast("long"),
+            "removed_runs": F.coalesce(F.size("__runs"), F.lit(0)).cast("long"),
         }
-    ).drop("runs", "__removed")
+    ).drop("__runs", "__removed")

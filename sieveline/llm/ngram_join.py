@@ -332,11 +332,11 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     found = staged(components(links), "ngram-components")
     if not met.filter("run is not null").isEmpty():
         inside = classes.join(found.withColumnRenamed("node", "id"), "id").select(F.col("key").alias("a"), "component")
-        members = met.filter("member is not null").select("grp", "a", "member", "n").join(inside, "a", "left")
+        members = met.filter("member is not null").select(F.col("grp").alias("__grp"), "a", "member", "n").join(inside, "a", "left")
         # A document without a link so far is a component by itself.
         members = members.withColumn("component", F.coalesce(F.col("component").cast("string"), F.hex("a")))
         runs = met.filter("run is not null").select("grp", "run")
-        more = runs.groupBy("grp").cogroup(members.groupBy("grp")).applyInPandas(
+        more = runs.groupBy("grp").cogroup(members.groupBy("__grp")).applyInPandas(
             lambda r, m: left_over(r, m, percent), "a binary, b binary, c binary"
         )
         more = staged(more, "ngram-left")
@@ -347,7 +347,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         "key", "members", F.coalesce("component", "id").alias("component_id")
     )
     return with_class(sets, lead).select(
-        F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
+        F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")
     )
 
 

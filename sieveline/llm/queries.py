@@ -145,11 +145,19 @@ WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM do
         AND (doc_id, start) <> first_value((doc_id, start)) OVER (PARTITION BY run ORDER BY doc_id, start) AS later
     FROM x WHERE words >= 50
 ), gone AS (
-    SELECT DISTINCT b.doc_id, b.idx FROM b JOIN y ON y.doc_id = b.doc_id AND b.idx BETWEEN y.first AND y.last WHERE y.later
+    SELECT DISTINCT b.doc_id, b.idx FROM b JOIN y ON y.doc_id = b.doc_id AND b.idx BETWEEN y.first AND y.last
+    WHERE y.later AND b.n > 0
+), z AS (
+    SELECT b.*, CASE WHEN n > 0 THEN gone.idx IS NOT NULL END AS g
+    FROM b LEFT JOIN gone ON gone.doc_id = b.doc_id AND gone.idx = b.idx
+), q AS (
+    SELECT *, coalesce(g, last_value(g IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY idx)
+        AND first_value(g IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+        false) AS removed FROM z
 )
-SELECT b.doc_id, count(*) AS n_lines, count(gone.idx) AS removed_lines,
-    sha256(coalesce(string_agg(b.text, chr(10) ORDER BY b.idx) FILTER (gone.idx IS NULL), '')) AS text_sha256
-FROM b LEFT JOIN gone ON gone.doc_id = b.doc_id AND gone.idx = b.idx GROUP BY b.doc_id
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS removed_lines,
+    sha256(coalesce(string_agg(text, chr(10) ORDER BY idx) FILTER (NOT removed), '')) AS text_sha256
+FROM q GROUP BY doc_id
 """
 
 

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
 # Texts handled together: words of one such chunk are held at a time.
@@ -122,7 +123,7 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
 
 def chunks(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows with about ``CHUNK_BYTES`` of text; a longer text is a run by itself."""
-    lengths = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+    lengths = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths)
     at = 0
     while at < len(batch):

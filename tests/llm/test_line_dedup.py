@@ -28,9 +28,13 @@ def brute(rows, least):
                 if sum(map(size, run)) < least:
                     continue
                 if run in seen:
-                    gone[key].update(range(at[s], at[e] + 1))
+                    gone[key].update(at[s : e + 1])
                 else:
                     seen.add(run)
+        # Lines without words between two that go.
+        for before, after in zip(at[:-1], at[1:]):
+            if before in gone[key] and after in gone[key]:
+                gone[key].update(range(before, after))
     out = []
     for r in rows:
         lines = (r[1] or "").split("\n")

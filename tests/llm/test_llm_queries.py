@@ -1,6 +1,7 @@
 """The registered queries against their SQL, and the pipeline stage by stage."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -22,7 +23,7 @@ def db():
 
 def rows(df):
     df = df[sorted(df.columns)].astype(object)
-    return sorted((tuple(None if v != v else v for v in r) for r in df.itertuples(index=False)), key=str)
+    return sorted((tuple(None if pd.isna(v) else v for v in r) for r in df.itertuples(index=False)), key=str)
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

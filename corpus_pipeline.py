@@ -8,13 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sieveline.llm import curriculum, decontaminate, hash_tree, language, ngram_join
+from sieveline.llm.common import set_aside
 from sieveline.sizing import staged
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones teach; what the models reject goes."""
-    found = language.identify(docs, language.fit_on(docs))
-    return found.filter("not rejected").select(*docs.columns)
+    rows, columns = set_aside(docs, "text")
+    return language.identify(rows, language.fit_on(docs)).filter("not rejected").select(*columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +30,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order."""
-    return curriculum.training_order(curriculum.mix_sources(docs)).select(*docs.columns)
+    rows, columns = set_aside(docs, "doc_id", "source", "text")
+    return curriculum.training_order(curriculum.mix_sources(rows)).select(*columns)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

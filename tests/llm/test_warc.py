@@ -85,7 +85,7 @@ def test_random_damage_accounts_for_every_byte():
     for _ in range(60):
         parts = [gzip.compress(record(i)) if rng.random() < 0.5 else record(i) for i in range(10)]
         data = bytearray(b"".join(parts))
-        at = rng.randrange(len(data))
+        at = rng.randrange(len(data) - 60)
         size = rng.randrange(1, 60)
         data[at : at + size] = bytes(rng.randrange(256) for _ in range(size))
         starts = [sum(map(len, parts[:i])) for i in range(11)]

@@ -114,7 +114,7 @@ def type_mismatches(spark, sf):
 def assemble_documents(spark, sf):
     long = part_long(spark, sf)
     wide = assemble(long, collect_specs(infer_fields(long)))
-    return wide.drop("seq").withColumn("tags", F.array_join("tags", "|"))
+    return wide.drop("__seq").withColumn("tags", F.array_join("tags", "|"))
 
 
 @query("""SELECT o_orderkey, '{"status":"' || o_orderstatus || '"' ||
@@ -212,6 +212,16 @@ def rebuild_then_publish(spark, sf):
     return spark.table(active).select(KEY, "name", "price", "size")
 
 
+@query("SELECT p_partkey::VARCHAR AS __id, p_name AS name FROM part WHERE p_partkey % 6 = 0")
+def rebuild_twice(spark, sf):
+    index = new_index(spark, "Again")
+    long = part_long(spark, sf)
+    for kept in (1, 2, 6):
+        index.rebuild(long.filter(f"doc_id % {kept} = 0"))
+        index.swap()
+    return index.table().select(KEY, "name")
+
+
 @query("""SELECT p_partkey::VARCHAR AS __id, p_name AS name, CASE WHEN p_partkey % 5 = 0 THEN p_size + 1 ELSE p_size END AS size,
       CASE WHEN p_partkey % 4 = 0 THEN p_type END AS kind, CASE WHEN p_partkey % 4 <> 0 THEN p_brand END AS brand
     FROM part WHERE p_partkey % 7 <> 0""")
@@ -224,6 +234,7 @@ def index_lifecycle(spark, sf):
     bigger = {"Size": FieldOf(F.array((F.col("p_size") + 1).cast("string")), "Integer")}
     index.index_partial(part_long(spark, sf, bigger).filter("doc_id % 5 = 0"))
     index.remove(table(spark, sf, "part").filter("p_partkey % 7 = 0"))
+    index.compact()
     return index.table().select(KEY, "name", "size", "kind", "brand")
 
 

@@ -66,6 +66,31 @@ def filter_range_multi(spark, sf):
     return apply_filter(table(spark, sf, "part"), Range("p_size", values)).select(PART)
 
 
+def priced(spark, sf):
+    """Orders with their price as a decimal with two places."""
+    return table(spark, sf, "orders").withColumn("price", F.round("o_totalprice", 2).cast("decimal(12,2)"))
+
+
+@query("""SELECT o_orderkey FROM orders WHERE round(o_totalprice, 2)::DECIMAL(12,2) > 150000.005
+    AND round(o_totalprice, 2)::DECIMAL(12,2) <= 200000.50""")
+def filter_range_decimal(spark, sf):
+    return apply_filter(priced(spark, sf), Range("price", [RangeValue("150000.005", "200000.5", False, True)])).select("o_orderkey")
+
+
+@query("""SELECT o_orderkey FROM orders WHERE round(o_totalprice, 2)::DECIMAL(12,2) IN
+    (SELECT round(o_totalprice, 2)::DECIMAL(12,2) FROM orders WHERE o_orderkey = 1)""")
+def filter_term_decimal(spark, sf):
+    df = priced(spark, sf)
+    price = df.filter("o_orderkey = 1").first()["price"]
+    return apply_filter(df, Term("price", [f"{price}000", f"{price}5"])).select("o_orderkey")
+
+
+@query(f"SELECT {PART_SQL} FROM part WHERE (p_size > 3.5 AND p_size <= 9.2) OR (p_size >= 20.1 AND p_size < 22.9)")
+def filter_range_fraction(spark, sf):
+    values = [RangeValue("3.5", "9.2", False, True), RangeValue("20.1", "22.9", True)]
+    return apply_filter(table(spark, sf, "part"), Range("p_size", values)).select(PART)
+
+
 @query("""SELECT o_orderkey, o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate <= TIMESTAMP '1998-10-03' AS closed,
       o_orderdate > TIMESTAMP '1997-01-01' AND o_orderdate <= TIMESTAMP '1998-10-03' AS left_open,
       o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-10-03' AS right_open,

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sieveline import KEY
 from sieveline.functions.geo import geo_point
-from sieveline.sources.documents import FieldOf, to_long
+from sieveline.sources.documents import FieldOf, to_long, with_key
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,7 @@ KEYS = {
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; those with a single-column key get it as ``__id`` too."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.withColumn(KEY, F.col(KEYS[name]).cast("string")) if name in KEYS else df
+    return with_key(df, KEYS[name]) if name in KEYS else df
 
 
 def size_with_nulls(df: DataFrame) -> DataFrame:

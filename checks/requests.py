@@ -4,7 +4,23 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from sieveline import Analysis, Range, RangeValue, SearchRequest, SortField, Term, TermFacet, search
+from sieveline import (
+    AllOf,
+    Analysis,
+    AnyOf,
+    Boost,
+    Match,
+    NoneOf,
+    Phrase,
+    Range,
+    RangeValue,
+    SearchRequest,
+    SortField,
+    Term,
+    TermFacet,
+    Wildcard,
+    search,
+)
 
 from sieveline.sources.documents import FieldOf, to_long
 
@@ -73,6 +89,71 @@ def search_ngram_total(spark, sf):
     return search(table(spark, sf, "documents"), request, Analysis("ngram")).total
 
 
+@query(bm25_sql(["the", "re"]).replace("lang, source,", "lang, source, n_chars,") + """
+    SELECT doc_id::VARCHAR AS id, n_chars AS score, round(score, 6) AS relevance FROM scored WHERE tf0 > 0 AND tf1 > 0
+    ORDER BY n_chars DESC, doc_id::VARCHAR LIMIT 10""")
+def search_own_score(spark, sf):
+    df = table(spark, sf, "documents").withColumnRenamed("n_chars", "score")
+    request = SearchRequest(text="the re", fields=["text"], sort=[SortField("score", True)], take=10)
+    found = search(df, request).documents
+    return found.select("id", "score", F.round("__score", 6).alias("relevance"))
+
+
+def tree_sql(tfs: list[str], where: str, weights: list[float] | None = None) -> str:
+    """BM25 of the leaves with the given counts over the token array ``toks``."""
+    given = bm25_sql([f"leaf{i}" for i in range(len(tfs))], weights)
+    for i, tf in enumerate(tfs):
+        given = given.replace(f"len(list_filter(toks, lambda x: starts_with(x, 'leaf{i}'))) AS tf{i}", f"{tf} AS tf{i}")
+    return given + f""" SELECT doc_id::VARCHAR AS id, lang, round(score, 6) AS score FROM scored WHERE {where}
+        ORDER BY scored.score DESC, doc_id::VARCHAR LIMIT 20"""
+
+
+def with_tree(spark, sf, tree, df=None):
+    request = SearchRequest(text=tree, fields=["text"])
+    found = search(table(spark, sf, "documents") if df is None else df, request).documents
+    return found.select("id", "lang", F.round("score", 6).alias("score"))
+
+
+STARTS = "len(list_filter(toks, lambda x: starts_with(x, '{}')))"
+
+
+@query(tree_sql([STARTS.format("shat"), STARTS.format("que")], "tf0 > 0 OR tf1 > 0"))
+def search_any_terms(spark, sf):
+    return with_tree(spark, sf, AnyOf(Match("shat"), Match("Que")))
+
+
+@query(tree_sql([STARTS.format("the")], f"tf0 > 0 AND {STARTS.format('sho')} = 0"))
+def search_without_term(spark, sf):
+    return with_tree(spark, sf, AllOf(Match("the"), NoneOf(Match("sho"))))
+
+
+@query(tree_sql(["len(list_filter(range(1, len(toks)), lambda i: toks[i] = 'of' AND toks[i + 1] = 'the'))"], "tf0 > 0"))
+def search_phrase_scored(spark, sf):
+    return with_tree(spark, sf, Phrase("Of the"))
+
+
+@query(tree_sql(["len(list_filter(toks, lambda x: x LIKE 'th%ing'))", "len(list_filter(toks, lambda x: x LIKE '_n'))"], "tf0 > 0 AND tf1 > 0"))
+def search_wildcard_scored(spark, sf):
+    return with_tree(spark, sf, AllOf(Wildcard("th*ing"), Wildcard("?n")))
+
+
+BOOSTED = AllOf(Match("the"), Boost(Match("re"), 3.5))
+
+
+@query(tree_sql([STARTS.format("the"), STARTS.format("re")], "tf0 > 0 AND tf1 > 0", [1.0, 3.5]))
+def search_boosted_request(spark, sf):
+    return with_tree(spark, sf, BOOSTED)
+
+
+@query(tree_sql([STARTS.format("the"), STARTS.format("re")], "tf0 > 0 AND tf1 > 0", [1.0, 3.5]))
+def index_search_tree(spark, sf):
+    index = new_index(spark, "Tree")
+    fields = {"Text": FieldOf(one("text"), searchable=True, retrievable=False), "Lang": FieldOf(one("lang"))}
+    index.index(to_long(table(spark, sf, "documents"), F.col("doc_id"), F.col("doc_id"), fields))
+    found = index.search(SearchRequest(text=BOOSTED, fields=["text"])).documents
+    return found.select("id", "lang", F.round("score", 6).alias("score"))
+
+
 @query(DOCUMENTS_SQL)
 def index_search(spark, sf):
     df = table(spark, sf, "documents")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sieveline import GeoSort, SortField, geo_distance, page, retrieve, sort, total_count, with_flags
 from sieveline import KEY, Range, RangeValue, apply_filter
+from sieveline.operators.sorting import sort_columns
 
 from .registry import CUSTOMERS_SQL, customers_on_map, km_sql, query, table
 
@@ -57,6 +58,13 @@ def page_skip_take(spark, sf):
     return page(df, 40, 10).select("o_orderkey", "o_totalprice")
 
 
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey OFFSET 40")
+def page_skip_only(spark, sf):
+    df = table(spark, sf, "orders")
+    order = [*sort_columns([SortField("o_totalprice")], df.schema), F.col("o_orderkey").asc()]
+    return page(df, 40, None, order).select("o_orderkey", "o_totalprice")
+
+
 @query("SELECT count(*) AS total FROM orders WHERE o_totalprice > 300000", name="total_count")
 def total_count_of_matches(spark, sf):
     return total_count(apply_filter(table(spark, sf, "orders"), Range("o_totalprice", [RangeValue("300000")])))

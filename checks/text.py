@@ -19,9 +19,11 @@ DOC = ["doc_id", "lang"]
 @query(f"""SELECT token, count(*) AS n, count(DISTINCT doc_id) AS docs
     FROM (SELECT doc_id, unnest({tokens_sql('text')}) AS token FROM documents) GROUP BY token""")
 def tokenize_documents(spark, sf):
-    words = table(spark, sf, "documents").select("doc_id", F.explode(tx.tokens(tx.fold(F.col("text")))).alias("token"))
-    per_doc = words.groupBy("token", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_doc.groupBy("token").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("docs"))
+    tokens = table(spark, sf, "documents").select(tx.tokens(tx.fold(F.col("text"))).alias("tokens"))
+    # A document is one row: which of its tokens are distinct is known before any shuffle.
+    counted = lambda n, docs: lambda t: F.struct(t.alias("token"), F.lit(n).alias("n"), F.lit(docs).alias("docs"))
+    pairs = F.concat(F.transform("tokens", counted(1, 0)), F.transform(F.array_distinct("tokens"), counted(0, 1)))
+    return tokens.select(F.inline(pairs)).groupBy("token").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 @query(f"SELECT p_partkey, p_name FROM part WHERE {hits_sql('p_name', "starts_with(x, 'wid')")} > 0")
@@ -43,8 +45,7 @@ def match_word(spark, sf):
       lambda x: list_transform(generate_series(1, least(20, length(x))), lambda n: substring(x, 1, n::INT))))) AS gram FROM part)
     GROUP BY gram""")
 def edge_ngrams(spark, sf):
-    grams = tx.ngrams(tx.tokens(tx.fold(F.col("p_name"))), 1, 20, edge=True)
-    return _count_grams(table(spark, sf, "part"), grams)
+    return _count_grams(table(spark, sf, "part"), lambda tokens: tx.ngrams(tokens, 1, 20, edge=True))
 
 
 @query(f"""SELECT gram, count(*) AS n FROM (SELECT unnest(flatten(list_transform({tokens_sql('p_name')},
@@ -52,12 +53,14 @@ def edge_ngrams(spark, sf):
         generate_series(2, least(4, length(x) - i + 1)), lambda n: substring(x, i::INT, n::INT))))))) AS gram FROM part)
     GROUP BY gram""")
 def ngrams(spark, sf):
-    grams = tx.ngrams(tx.tokens(tx.fold(F.col("p_name"))), 2, 4, edge=False)
-    return _count_grams(table(spark, sf, "part"), grams)
+    return _count_grams(table(spark, sf, "part"), lambda tokens: tx.ngrams(tokens, 2, 4, edge=False))
 
 
 def _count_grams(df, grams):
-    return df.select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    """Tokens are counted first, so that every distinct one is taken apart once."""
+    tokens = df.select(F.explode(tx.tokens(tx.fold(F.col("p_name")))).alias("token"))
+    counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.explode(grams(F.array("token"))).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 @query(f"""SELECT doc_id, lang FROM documents

@@ -17,6 +17,7 @@ from .operators.filters import (
     to_column,
 )
 from .operators.matching import field_match, search_text, suggest
+from .operators.query import AllOf, AnyOf, Boost, InField, Match, Near, NoneOf, Phrase, Regex, Wildcard
 from .operators.scoring import corpus_stats, score
 from .operators.sorting import GeoSort, SortField, page, retrieve, sort, total_count
 from .plans.search import SearchRequest, SearchResult, search
@@ -25,8 +26,11 @@ from .sources.index import DocumentIndex
 
 __all__ = [
     "KEY",
+    "AllOf",
     "Analysis",
     "And",
+    "AnyOf",
+    "Boost",
     "DocumentIndex",
     "FacetRange",
     "FieldError",
@@ -35,17 +39,24 @@ __all__ = [
     "GeoDistance",
     "GeoSort",
     "Ids",
+    "InField",
+    "Match",
+    "Near",
+    "NoneOf",
     "Not",
     "Or",
+    "Phrase",
     "Range",
     "RangeFacet",
     "RangeValue",
     "RawFilter",
+    "Regex",
     "SearchRequest",
     "SearchResult",
     "SortField",
     "Term",
     "TermFacet",
+    "Wildcard",
     "apply_filter",
     "bucket_counts",
     "corpus_stats",

@@ -19,10 +19,10 @@ from pyspark.sql import Column, functions as F, types as T
 # Characters of a token, as a regular-expression class.
 TOKEN_CLASS = r"[\p{L}\p{N}_]"
 SEPARATOR_CLASS = r"[^\p{L}\p{N}_]"
-# Default gram lengths, default and largest fuzzy distance.
+# Default gram lengths, default fuzzy distance.
 DEFAULT_MIN_GRAM = 1
 DEFAULT_MAX_GRAM = 20
-MAX_FUZZY_DISTANCE = 2
+DEFAULT_FUZZY_DISTANCE = 2
 
 _START = rf"(?<!{TOKEN_CLASS})"
 _END = rf"(?!{TOKEN_CLASS})"
@@ -134,7 +134,7 @@ def word_match(text: Column, term: str) -> Column:
 
 
 def fuzzy_distance(level: int | None) -> int:
-    return MAX_FUZZY_DISTANCE if level is None else max(0, min(level, MAX_FUZZY_DISTANCE))
+    return DEFAULT_FUZZY_DISTANCE if level is None else max(0, level)
 
 
 def _close_to(term: str, limit: int):
@@ -175,15 +175,20 @@ class Fuzzy:
         return F.size(F.filter(tokens(text), _close_to(term, limit)))
 
 
+def wildcard_pattern(pattern: str) -> str:
+    pieces = re.findall(r"\w+|[*?]", pattern.lower())
+    body = "".join({"*": f"{TOKEN_CLASS}*", "?": TOKEN_CLASS}.get(p, p) for p in pieces)
+    if set(pieces) == {"*"}:
+        body = f"{TOKEN_CLASS}+"
+    return _START + body + _END
+
+
 def wildcard_match(text: Column, pattern: str) -> Column:
     """Some token matches a pattern with ``*`` (any run) and ``?`` (one character)."""
     pieces = re.findall(r"\w+|[*?]", pattern.lower())
     if "".join(pieces) != pattern.lower() or not pieces:
         raise ValueError(f"not a wildcard pattern over one token: {pattern!r}")
-    body = "".join({"*": f"{TOKEN_CLASS}*", "?": TOKEN_CLASS}.get(p, p) for p in pieces)
-    if set(pieces) == {"*"}:
-        body = f"{TOKEN_CLASS}+"
-    test = text.rlike(_START + body + _END)
+    test = text.rlike(wildcard_pattern(pattern))
     for literal in sorted((p for p in pieces if p not in "*?"), key=len, reverse=True)[:1]:
         test = F.contains(text, F.lit(literal)) & test
     return test
@@ -191,7 +196,29 @@ def wildcard_match(text: Column, pattern: str) -> Column:
 
 def regex_match(text: Column, pattern: str) -> Column:
     """Some whole token matches the regular expression."""
-    return F.exists(tokens(text), lambda token: token.rlike(rf"\A(?:{pattern})\z"))
+    return F.exists(tokens(text), whole_token(pattern))
+
+
+def whole_token(pattern: str):
+    return lambda token: token.rlike(rf"\A(?:{pattern})\z")
+
+
+def phrase_terms(text: str) -> list[str]:
+    """Terms of a phrase in order, repeated ones too."""
+    terms = _TOKENS_PY.findall(text.lower())
+    if not terms:
+        raise ValueError(f"a phrase without a term: {text!r}")
+    return terms
+
+
+def phrase_pattern(terms: Sequence[str]) -> str:
+    return _at_start(terms[0]) + "".join(f"{SEPARATOR_CLASS}++{t}" for t in terms[1:]) + _END
+
+
+def phrase_match(text: Column, terms: Sequence[str]) -> Column:
+    """The terms as whole tokens, each directly after the one before."""
+    present = [F.contains(text, F.lit(t)) for t in dict.fromkeys(terms)]
+    return reduce(and_, [*present, text.rlike(phrase_pattern(terms))])
 
 
 def proximity_match(text: Column, terms: Sequence[str], slop: int = 0) -> Column:

@@ -2,13 +2,38 @@
 
 from __future__ import annotations
 
-import re
 from datetime import datetime, timezone
-from decimal import Decimal
+from decimal import Decimal, InvalidOperation
+from math import ceil, floor
 
 from pyspark.sql import Column, functions as F, types as T
 
-_INTEGER = re.compile(r"[+-]?\d+\Z")
+
+def _number(raw: str) -> Decimal:
+    try:
+        number = Decimal(raw.strip())
+    except InvalidOperation:
+        raise ValueError(f"not a number: {raw!r}") from None
+    if not number.is_finite():
+        raise ValueError(f"not a number: {raw!r}")
+    return number
+
+
+def can_equal(raw: str, data_type: T.DataType) -> bool:
+    """Whether a value of ``data_type`` can equal ``raw``: no whole number equals a fraction."""
+    return not isinstance(data_type, T.IntegralType) or _number(raw) % 1 == 0
+
+
+def compared(field: Column, operator: str, raw: str, data_type: T.DataType) -> Column:
+    """``field`` compared (``<``, ``<=``, ``>``, ``>=``) with a bound given as text.
+
+    A fractional bound of a whole-number column becomes the next whole number that decides alike.
+    """
+    if not can_equal(raw, data_type):
+        up = operator in (">", ">=")
+        operator, raw = (">=", str(ceil(_number(raw)))) if up else ("<=", str(floor(_number(raw))))
+    bound = typed_literal(raw, data_type)
+    return {"<": field < bound, "<=": field <= bound, ">": field > bound, ">=": field >= bound}[operator]
 
 
 def typed_literal(raw: str, data_type: T.DataType) -> Column:
@@ -25,23 +50,40 @@ def typed_literal(raw: str, data_type: T.DataType) -> Column:
             raise ValueError(f"not a boolean: {raw!r}")
         return F.lit(flag)
     if isinstance(data_type, T.IntegralType):
-        if not _INTEGER.match(raw):
-            return F.lit(float(raw))
-        number, bits = int(raw), {"tinyint": 7, "smallint": 15, "int": 31}.get(data_type.simpleString(), 63)
+        if not can_equal(raw, data_type):
+            return F.lit(_number(raw))
+        number, bits = int(_number(raw)), {"tinyint": 7, "smallint": 15, "int": 31}.get(data_type.simpleString(), 63)
         fits = -(2**bits) <= number < 2**bits
         return F.lit(number).cast(data_type) if fits else F.lit(Decimal(number))
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return F.lit(float(raw)).cast(data_type)
-    if isinstance(data_type, T.TimestampNTZType):
+    if isinstance(data_type, T.DecimalType):
+        number = _number(raw)
+        _, digits, exponent = number.as_tuple()
+        whole = len(digits) + exponent <= data_type.precision - data_type.scale
+        # Rounded to the column's scale, the bound would be another one.
+        return F.lit(number).cast(data_type) if whole and -exponent <= data_type.scale else F.lit(number)
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         instant = datetime.fromisoformat(raw)
+        # Without a zone, a date-time is UTC.
         if instant.tzinfo is not None:
             instant = instant.astimezone(timezone.utc).replace(tzinfo=None)
-        return F.lit(instant.isoformat(sep=" ")).cast(data_type)
+        zone = "+00:00" if isinstance(data_type, T.TimestampType) else ""
+        return F.lit(instant.isoformat(sep=" ") + zone).cast(data_type)
     return F.lit(raw).cast(data_type)
 
 
+def utc_time(value: Column, data_type: T.DataType) -> Column:
+    """Instants as date-times in UTC, whatever the session's zone; other values unchanged."""
+    if not isinstance(data_type, T.TimestampType):
+        return value
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(value), epoch)
+
+
 def plain_text(column: Column, data_type: T.DataType) -> Column:
     """Cheap one-to-one text of a value, fit as a grouping key."""
+    column = utc_time(column, data_type)
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         column = column.cast("double") + F.lit(0.0)
     return column.cast("string")
@@ -56,7 +98,10 @@ def invariant_text(text: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.DecimalType):
         return text
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return F.concat(F.date_format(text.cast(data_type), "MM/dd/yyyy HH:mm:ss"), F.lit(" +00:00"))
+        # From yyyy-MM-dd HH:mm:ss.
+        part = lambda start, size: F.substring(text, start, size)
+        slash = F.lit("/")
+        return F.concat(part(6, 2), slash, part(9, 2), slash, part(1, 4), F.lit(" "), part(12, 8), F.lit(" +00:00"))
     return text
 
 

@@ -16,7 +16,7 @@ from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.values import invariant_text, plain_text, typed_literal
+from ..functions.values import compared, invariant_text, plain_text
 from ..schema import FieldSpec, column, require, resolve
 from .filters import join_conditions, to_column
 
@@ -82,9 +82,9 @@ class _Entry:
 def _in_range(field: Column, data_type: T.DataType, value: FacetRange) -> Column:
     condition = field.isNotNull()
     if value.lower and value.lower != "0":
-        condition = condition & (field >= typed_literal(value.lower, data_type))
+        condition = condition & compared(field, ">=", value.lower, data_type)
     if value.upper:
-        condition = condition & (field < typed_literal(value.upper, data_type))
+        condition = condition & compared(field, "<", value.upper, data_type)
     return condition
 
 
@@ -258,7 +258,7 @@ def bucket_counts(df: DataFrame, field: str, values: Sequence[FacetRange]) -> Da
         return df.sparkSession.createDataFrame([], schema)
     value = column(require(spec, "facetable"))
     edges = [format(e, "f") for e in range_edges(values)]
-    reached = [F.when(value >= typed_literal(e, spec.data_type), 1).otherwise(0) for e in edges]
+    reached = [F.when(compared(value, ">=", e, spec.data_type), 1).otherwise(0) for e in edges]
     number = F.when(value.isNotNull(), reduce(add, reached, F.lit(0)))
     bounds = [None, *edges, None]
     rows = [

@@ -8,6 +8,7 @@ reach the Parquet reader.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce, singledispatch
@@ -16,8 +17,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import geo
-from ..functions.values import typed_literal
-from ..schema import KEY, FieldError, column, require, resolve
+from ..functions.values import can_equal, compared, typed_literal
+from ..schema import KEY, KEY_OF, FieldError, column, require, resolve
 from ..sizing import broadcast_if_small
 
 
@@ -138,7 +139,14 @@ def _equals_any(field: Column, literals: list[Column], negate: bool) -> Column:
 def _(node: Ids, schema: T.StructType, negate: bool) -> Column | None:
     if node.values is None:
         return None
-    return compile_filter(Term(KEY, node.values), schema, negate)
+    values = [v for v in node.values if v]
+    source = schema[KEY].metadata.get(KEY_OF) if KEY in schema.names else None
+    if not values or source not in schema.names or not isinstance(schema[source].dataType, T.IntegralType):
+        return compile_filter(Term(KEY, values), schema, negate)
+    # The key is the text of a whole-number column: compared as numbers, the ids reach the reader.
+    numbers = dict.fromkeys(v for v in values if re.fullmatch(r"0|-?[1-9][0-9]*", v))
+    literals = [typed_literal(v, schema[source].dataType) for v in numbers]
+    return _equals_any(F.col(f"`{source}`"), literals, negate) if literals else _unknown_field(negate)
 
 
 @compile_filter.register
@@ -153,17 +161,16 @@ def _(node: Term, schema: T.StructType, negate: bool) -> Column | None:
     if spec.is_collection:
         overlap = F.arrays_overlap(field, F.array(*[F.lit(v) for v in values]))
         return ~F.coalesce(overlap, F.lit(False)) if negate else overlap
-    return _equals_any(field, [typed_literal(v, spec.data_type) for v in values], negate)
+    literals = [typed_literal(v, spec.data_type) for v in values if can_equal(v, spec.data_type)]
+    return _equals_any(field, literals, negate) if literals else _unknown_field(negate)
 
 
 def range_condition(field: Column, data_type: T.DataType, value: RangeValue) -> Column | None:
     bounds = []
     if value.lower:
-        low = typed_literal(value.lower, data_type)
-        bounds.append(field >= low if value.include_lower else field > low)
+        bounds.append(compared(field, ">=" if value.include_lower else ">", value.lower, data_type))
     if value.upper:
-        high = typed_literal(value.upper, data_type)
-        bounds.append(field <= high if value.include_upper else field < high)
+        bounds.append(compared(field, "<=" if value.include_upper else "<", value.upper, data_type))
     return join_conditions(bounds, and_)
 
 
@@ -181,18 +188,18 @@ def _(node: Range, schema: T.StructType, negate: bool) -> Column | None:
     return _negated(condition, field)
 
 
-def location(schema: T.StructType, name: str) -> tuple[Column, Column, bool] | None:
-    """Latitude, longitude and whether both are columns of their own."""
+def location(schema: T.StructType, name: str) -> tuple[Column, Column] | None:
+    """Latitude and longitude."""
     spec = resolve(schema, name)
     if spec is not None:
         if not geo.is_point(spec.data_type):
             raise FieldError(f"field {spec.name!r} is not a point")
         point = column(spec)
-        return geo.latitude(point), geo.longitude(point), False
+        return geo.latitude(point), geo.longitude(point)
     pair = [resolve(schema, f"{name}_{axis}") for axis in ("lat", "lon")]
     if None in pair:
         return None
-    return column(pair[0]), column(pair[1]), True
+    return column(pair[0]), column(pair[1])
 
 
 @compile_filter.register
@@ -200,11 +207,12 @@ def _(node: GeoDistance, schema: T.StructType, negate: bool) -> Column | None:
     place = location(schema, node.field)
     if place is None:
         return _unknown_field(negate)
-    lat, lon, separate = place
+    lat, lon = place
     near = geo.haversine_km(lat, lon, node.lat, node.lon) <= F.lit(float(node.km))
     if negate:
         return _negated(near, lat, lon)
-    return geo.within_box(lat, lon, node.lat, node.lon, node.km) & near if separate else near
+    # Comparisons first: the reader can use them on columns, and distances are only worked out inside.
+    return geo.within_box(lat, lon, node.lat, node.lon, node.km) & near
 
 
 @compile_filter.register

@@ -89,7 +89,9 @@ def search_postings(
     documents = hits.groupBy(key).agg(*counts)
 
     pairs = [(i, j) for i in range(len(names)) for j in range(len(terms))]
-    frequencies = documents.agg(*[F.count(f"tf_{i}_{j}").alias(f"hits_{i}_{j}") for i, j in pairs])
+    # The lengths, which say nothing here, keep both readers on the same columns: one scan, one shuffle.
+    hit = lambda i, j: F.when(F.col(f"length_{i}").isNotNull(), F.col(f"tf_{i}_{j}"))
+    frequencies = documents.agg(*[F.count(hit(i, j)).alias(f"hits_{i}_{j}") for i, j in pairs])
     hit_rows = frequencies.select(F.struct("*").alias("s")).scalar()
     totals = lengths.agg(
         *[F.sum(F.when(F.col("field") == f, F.col(c))).alias(f"{c}_{i}")

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx
 from ..functions.text import Analysis, Fuzzy
-from ..schema import column
+from ..schema import FieldSpec, column
 from .matching import folded, searchable_fields
+from .query import Unit, units
 from .sorting import SCORE
 
 K1 = 1.2
@@ -24,17 +25,18 @@ B = 0.75
 
 
 def corpus_stats(
-    df: DataFrame, text: str | None, fields: Sequence[str] | None = None, matcher: Analysis | Fuzzy = Analysis()
+    df: DataFrame, text, fields: Sequence[str] | None = None, matcher: Analysis | Fuzzy = Analysis()
 ) -> DataFrame:
-    """One row: per field the filled rows and mean length, per field and term the rows hit."""
-    terms = tx.query_terms(text)
+    """One row: per field the filled rows and mean length, per field and query leaf the rows hit."""
+    leaves = units(text)
     figures = []
     for i, spec in enumerate(searchable_fields(df.schema, fields)):
         target = folded(spec)
         figures.append(F.count(column(spec)).alias(f"rows_{i}"))
         figures.append(F.avg(tx.token_count(target)).alias(f"length_{i}"))
-        for j, term in enumerate(terms):
-            figures.append(F.count_if(matcher.matches(target, term)).alias(f"hits_{i}_{j}"))
+        for j, unit in enumerate(leaves):
+            if unit.in_field(spec):
+                figures.append(F.count_if(unit.leaf.matches(target, matcher)).alias(f"hits_{i}_{j}"))
     return df.agg(*figures)
 
 
@@ -48,28 +50,33 @@ def term_weight(tf: Column, length: Column, mean_length: Column) -> Column:
     return tf * F.lit(K1 + 1) / (tf + F.lit(K1) * norm)
 
 
-def _counts(fields: int, terms: list[str], matcher: Analysis | Fuzzy) -> Column:
-    """Struct of the token count per field and the hits per field and term."""
+def _counts(fields: list[FieldSpec], leaves: list[Unit], matcher: Analysis | Fuzzy) -> Column:
+    """Struct of the token count per field and the hits per field and leaf."""
     counts = []
-    for i in range(fields):
+    for i, spec in enumerate(fields):
         target = F.col(f"__text_{i}")
         counts.append(tx.token_count(target).alias(f"__length_{i}"))
-        counts += [matcher.frequency(target, term).alias(f"__tf_{i}_{j}") for j, term in enumerate(terms)]
+        counts += [
+            unit.leaf.frequency(target, matcher).alias(f"__tf_{i}_{j}")
+            for j, unit in enumerate(leaves)
+            if unit.in_field(spec)
+        ]
     return F.struct(*counts)
 
 
-def _field_score(i: int, terms: list[str], boosts: Mapping[str, float], stats: Column) -> Column:
-    parts = []
-    for j, term in enumerate(terms):
-        idf = inverse_frequency(stats[f"rows_{i}"], stats[f"hits_{i}_{j}"])
-        weight = term_weight(F.col(f"__tf_{i}_{j}"), F.col(f"__length_{i}"), stats[f"length_{i}"])
-        parts.append(F.lit(float(boosts.get(term, 1.0))) * idf * weight)
+def _field_score(i: int, spec: FieldSpec, leaves: list[Unit], stats: Column) -> Column:
+    parts = [F.lit(0.0)]
+    for j, unit in enumerate(leaves):
+        if unit.in_field(spec):
+            idf = inverse_frequency(stats[f"rows_{i}"], stats[f"hits_{i}_{j}"])
+            weight = term_weight(F.col(f"__tf_{i}_{j}"), F.col(f"__length_{i}"), stats[f"length_{i}"])
+            parts.append(F.lit(unit.weight) * idf * weight)
     return reduce(add, parts)
 
 
 def score(
     df: DataFrame,
-    text: str | None,
+    text,
     fields: Sequence[str] | None = None,
     matcher: Analysis | Fuzzy = Analysis(),
     boosts: Mapping[str, float] | None = None,
@@ -77,27 +84,26 @@ def score(
     stats: DataFrame | None = None,
     name: str = SCORE,
 ) -> DataFrame:
-    """Add the relevance of each row; 1.0 for a blank text.
+    """Add the relevance of each row for a text or a query tree; 1.0 where nothing is scored.
 
     ``corpus`` is the whole table the figures are taken over (default ``df``
     itself); pass it when ``df`` is already filtered.  ``stats`` is a row of
     ``corpus_stats`` for the same text and fields that was kept, which saves the
     pass over the corpus.  ``boosts`` maps a term to the factor of its contribution.
     """
-    terms = tx.query_terms(text)
+    leaves = units(text, boosts)
     corpus = df if corpus is None else corpus
     targets = searchable_fields(df.schema, fields)
-    if not terms or not targets:
+    if not leaves or not targets:
         return df.withColumn(name, F.lit(1.0))
-    weights = {term.lower(): weight for term, weight in (boosts or {}).items()}
     if stats is None:
         stats = corpus_stats(corpus, text, fields, matcher)
     figures = stats.select(F.struct("*").alias("s")).scalar()
-    parts = [_field_score(i, terms, weights, figures) for i in range(len(targets))]
+    parts = [_field_score(i, spec, leaves, figures) for i, spec in enumerate(targets)]
     # A row without the field has a null length: it adds nothing.
     total = reduce(add, [F.coalesce(p, F.lit(0.0)) for p in parts])
     # The counts are used several times each.  As output of a generator they are
     # computed once per row; as plain columns the optimizer would copy them into the sum.
     texts = df.select("*", *[folded(s).alias(f"__text_{i}") for i, s in enumerate(targets)])
-    counted = texts.select("*", F.inline(F.array(_counts(len(targets), terms, matcher))))
+    counted = texts.select("*", F.inline(F.array(_counts(targets, leaves, matcher))))
     return counted.select(*[F.col(f"`{c}`") for c in df.columns if c != name], total.alias(name))

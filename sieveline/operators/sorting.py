@@ -8,10 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import geo
+from ..functions.values import utc_time
 from ..schema import KEY, column, external_name, normalize_name, require, resolve, specs_of
 from .filters import location
+from .ranking import ranked
 
 SCORE = "score"
+# Rows that a top-k may gather; a deeper page is found by ranks.
+DEEP_PAGE = 100_000
 
 
 @dataclass(frozen=True)
@@ -70,8 +74,23 @@ def sort(
     return df.orderBy(*expressions, *known) if expressions or known else df
 
 
-def page(df: DataFrame, skip: int = 0, take: int | None = None) -> DataFrame:
-    """Rows ``skip`` to ``skip + take`` of an ordered frame: a distributed top-k."""
+def page(df: DataFrame, skip: int = 0, take: int | None = None, order: Sequence[Column] = ()) -> DataFrame:
+    """Rows ``skip`` to ``skip + take`` of an ordered frame, or of a frame and its ``order``.
+
+    Up to :data:`DEEP_PAGE` rows this is a distributed top-k. Beyond that, and for a skip without a
+    take, ``order`` is needed: rows are ranked range by range, so that no task and not the
+    driver takes all rows before the page. That writes the ranges to the shared folder at once.
+    """
+    if skip + (take or 0) > DEEP_PAGE or (skip and take is None):
+        if not order:
+            raise ValueError("a deep skip, or a skip without a take, needs the order")
+        position = F.col("__position")
+        ranks = ranked(df, list(order), "__position").filter(position >= skip)
+        if take is not None:
+            ranks = ranks.filter(position < skip + take)
+        return ranks.orderBy("__position").drop("__position")
+    if order:
+        df = df.orderBy(*order)
     if skip:
         df = df.offset(skip)
     return df if take is None else df.limit(take)
@@ -93,10 +112,5 @@ def retrieve(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
         elif spec.is_key:
             columns.append(column(spec).alias("id"))
         elif spec.retrievable:
-            columns.append(as_utc(column(spec), spec.data_type).alias(external_name(normalize_name(spec.name))))
+            columns.append(utc_time(column(spec), spec.data_type).alias(external_name(normalize_name(spec.name))))
     return df.select(*columns)
-
-
-def as_utc(value: Column, data_type: T.DataType) -> Column:
-    """Instants read as date-times of the session zone, which is UTC; others unchanged."""
-    return value.cast("timestamp_ntz") if isinstance(data_type, T.TimestampType) else value

@@ -10,31 +10,34 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.text import Analysis, Fuzzy
 from ..operators.facets import RESULT_SCHEMA, RangeFacet, TermFacet, facets
 from ..operators.filters import RawFilter, apply_filter
-from ..operators.matching import search_text
+from ..operators.query import query_condition
 from ..operators.scoring import score
 from ..operators.sorting import SCORE, GeoSort, SortField, page, retrieve, sort_columns, total_count
-from ..schema import KEY
-from ..sizing import broadcast_if_small
+from ..schema import KEY, resolve
 
 # Fixed value: page length where none is asked for.
 DEFAULT_TAKE = 20
 
-# Pages up to this length are broadcast to fetch their rows.
-MAX_FETCHED = 10_000
+# Relevance while a request is answered: no field can have this name.
+RELEVANCE = "__score"
 
 
 @dataclass(frozen=True)
 class SearchRequest:
-    """What to look for.  ``raw`` is a Spark SQL predicate that replaces text and filter."""
+    """What to look for.
 
-    text: str | None = None
+    ``text`` is a string, all of whose terms must match, or a tree of ``operators.query``. ``raw`` is
+    a Spark SQL predicate that replaces text and filter. ``take=None`` takes all rows after ``skip``.
+    """
+
+    text: object | None = None
     fields: Sequence[str] | None = None
     fuzzy: bool = False
     fuzziness: int | None = None
     filter: object | None = None
     sort: Sequence[SortField | GeoSort] = ()
     skip: int = 0
-    take: int = DEFAULT_TAKE
+    take: int | None = DEFAULT_TAKE
     facets: Sequence[TermFacet | RangeFacet] = ()
     raw: str | None = None
     use_backup: bool = False
@@ -42,20 +45,25 @@ class SearchRequest:
 
 @dataclass(frozen=True)
 class SearchResult:
-    """Three lazy frames; nothing runs before an action on one of them."""
+    """Three lazy frames; nothing runs before an action on one of them, except that a deep page
+    (see ``page``) is ranked at once."""
 
     documents: DataFrame
     total: DataFrame
     facets: DataFrame
 
 
+def _text_matched(df: DataFrame, request: SearchRequest, analysis: Analysis) -> DataFrame:
+    condition = query_condition(df.schema, request.text, request.fields, _matcher(request, analysis))
+    return df if condition is None else df.filter(condition)
+
+
 def matched(df: DataFrame, request: SearchRequest, analysis: Analysis = Analysis()) -> DataFrame:
     """All rows the request selects, unordered."""
     if request.raw:
         return apply_filter(df, RawFilter(request.raw))
     # The cheap comparisons come first: they reach the reader, and texts are only looked at after them.
-    selected = apply_filter(df, request.filter)
-    return search_text(selected, request.text, request.fields, _matcher(request, analysis))
+    return _text_matched(apply_filter(df, request.filter), request, analysis)
 
 
 def _matcher(request: SearchRequest, analysis: Analysis) -> Analysis | Fuzzy:
@@ -67,21 +75,21 @@ def _documents(df: DataFrame, request: SearchRequest, analysis: Analysis, key: s
     text = None if request.raw else request.text
 
     def scored(rows: DataFrame) -> DataFrame:
-        if SCORE in df.columns:
-            return rows
-        return score(rows, text, request.fields, _matcher(request, analysis), corpus=df)
+        return score(rows, text, request.fields, _matcher(request, analysis), corpus=df, name=RELEVANCE)
 
+    own_score = resolve(df.schema, SCORE)
     by_field = sort_columns(request.sort, df.schema)
-    wants_score = any(isinstance(k, SortField) and k.field == SCORE for k in request.sort)
-    if by_field and not wants_score:
+    wants_relevance = own_score is None and any(isinstance(k, SortField) and k.field == SCORE for k in request.sort)
+    if by_field and not wants_relevance:
         # Only the rows of the page are scored.
-        ordered = hits.orderBy(*by_field, key)
-        rows = scored(page(ordered, request.skip, request.take))
+        rows = scored(page(hits, request.skip, request.take, [*by_field, F.col(key).asc()]))
     else:
         hits = scored(hits)
-        order = sort_columns(request.sort, hits.schema) or [F.desc(SCORE)]
-        rows = page(hits.orderBy(*order, key), request.skip, request.take)
-    return retrieve(rows, extra=(SCORE,))
+        order = sort_columns(request.sort, hits.schema, RELEVANCE) or [F.desc(RELEVANCE)]
+        rows = page(hits, request.skip, request.take, [*order, F.col(key).asc()])
+    found = retrieve(rows, extra=(RELEVANCE,))
+    # A field of that name stays as it is; the relevance then keeps the inner name.
+    return found if SCORE in found.columns else found.withColumnRenamed(RELEVANCE, SCORE)
 
 
 def search(
@@ -90,43 +98,18 @@ def search(
     """Text and filter, then sort, page and projection; total over all matches.
 
     Facets count under the text and their own filters, not the main filter.
-    Without a sort, rows come by score, then key.
+    Without a sort, rows come by score, then key. The relevance is returned as ``score``; where
+    the table has a field of that name, which then also is what a sort by ``score`` means, as
+    ``__score``.
     """
     if request.raw:
         total = df.sparkSession.range(1).select(F.lit(None).cast("bigint").alias("total"))
     else:
         total = total_count(matched(df, request, analysis))
-    found = search_text(df, request.text, request.fields, _matcher(request, analysis))
+    found = _text_matched(df, request, analysis)
     return SearchResult(_documents(df, request, analysis, key), total, facets(found, request.facets))
 
 
-def search_hits(
-    df: DataFrame, hits: DataFrame, request: SearchRequest, key: str = KEY, place: Sequence[str] = ()
-) -> SearchResult:
-    """``search`` for a text already answered as ``hits`` (key, score), say from postings.
-
-    The page is found on the columns it needs and only its rows are then fetched.
-    ``place`` names columns that both sides have and that say where a row is
-    stored (partitions), so that the fetch can skip the others.
-    """
-    found = df.join(broadcast_if_small(hits), [*place, key])
-    selected = apply_filter(found, request.filter)
-    order = sort_columns(request.sort, selected.schema) or [F.desc(SCORE)]
-    by_score = not sort_columns([k for k in request.sort if k.field != SCORE], df.schema)
-    if request.filter is None and by_score:
-        # The documents are not needed for the page or the total.
-        total, ranked = total_count(hits), hits.orderBy(*order, key)
-    else:
-        total, ranked = total_count(selected), selected.orderBy(*order, key)
-    top = page(ranked, request.skip, request.take).select(*place, key, SCORE)
-    # Scores are never negative: the comparison only lets partition pruning see a filter.
-    top = top.filter(F.col(SCORE) >= 0)
-    if request.take <= MAX_FETCHED:
-        top = F.broadcast(top)
-    fetched = page(df.join(top, [*place, key]).orderBy(*order, key), 0, request.take).drop(*place)
-    return SearchResult(retrieve(fetched, extra=(SCORE,)), total, facets(found, request.facets))
-
-
 def empty_result(spark) -> SearchResult:
     """Answer of an index that does not exist yet."""
     return SearchResult(

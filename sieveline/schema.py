@@ -15,6 +15,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 KEY = "__id"
+# Metadata entry of a key column that is the text of another column of the table.
+KEY_OF = "key_of"
 
 # Prefix of stored field names, suffix of suggestion marker fields.
 STORED_PREFIX = "f_"

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.geo import parse_point
 from ..schema import (
     KEY,
+    KEY_OF,
     SUGGEST_SUFFIX,
     TYPE_NAMES,
     VALUE_TYPES,
@@ -33,7 +34,8 @@ FLAG_DEFAULTS = {
     "collection": False,
 }
 
-MAX_FIELDS = 10_000
+# Columns beside the fields of a document: no field can have these names.
+SEQ, PRESENT = "__seq", "__present"
 
 
 class TypeMismatch(ValueError):
@@ -87,10 +89,10 @@ def to_long(df: DataFrame, doc_id: Column, seq: Column, fields: Mapping[str, Fie
 
 
 def with_key(df: DataFrame, id_col: str) -> DataFrame:
-    """Add the key column ``__id`` unless the table has one."""
+    """Add the key column ``__id`` unless the table has one. It remembers the column it was made of."""
     if KEY in df.columns:
         return df
-    return df.withColumn(KEY, F.col(id_col).cast("string"))
+    return df.withColumn(KEY, F.col(id_col).cast("string")).withMetadata(KEY, {KEY_OF: id_col})
 
 
 def complex_to_json(value: Column) -> Column:
@@ -127,15 +129,11 @@ def _storage_type(value_type: Column, collection: Column) -> Column:
 
 
 def declarations(long: DataFrame) -> DataFrame:
-    """Distinct names, types and flags of a batch, each with the first document that has them.
+    """Distinct names, types and flags of a batch, each with its first place in it.
 
-    A small table in long form (without values): ``infer_fields`` and
-    ``check_types`` give on it what they give on the batch, up to naming each
-    mismatch once.
+    A small table, counted by hash: the batch is not sorted.
     """
-    return long.groupBy("name", "type", *FLAG_DEFAULTS).agg(
-        F.min("seq").alias("seq"), F.min_by("doc_id", "seq").alias("doc_id")
-    )
+    return long.groupBy("name", "type", *FLAG_DEFAULTS).agg(F.min("seq").alias("seq"))
 
 
 def infer_fields(long: DataFrame, known: Sequence[FieldSpec] = (), markers: bool = False) -> DataFrame:
@@ -146,12 +144,12 @@ def infer_fields(long: DataFrame, known: Sequence[FieldSpec] = (), markers: bool
     suggestable one.
     """
     taken = [s.name for s in known]
-    named = long.withColumn("field", normalize_name_column(F.col("name")))
+    named = declarations(long).withColumn("field", normalize_name_column(F.col("name")))
     if taken:
         named = named.filter(~F.col("field").isin(taken))
-    declared = F.struct("type", *FLAG_DEFAULTS)
-    first = named.groupBy("field").agg(F.min_by(declared, F.struct("seq", "name")).alias("f"))
-    stored = first.select("field", "f.*").withColumn(
+    declared = F.struct("seq", "name", "type", *FLAG_DEFAULTS)
+    first = named.groupBy("field").agg(F.array_min(F.collect_list(declared)).alias("f"))
+    stored = first.select("field", *[f"f.{c}" for c in ("type", *FLAG_DEFAULTS)]).withColumn(
         "stored", _storage_type(F.col("type"), F.col("collection"))
     )
     is_array = F.col("stored") == "array<string>"
@@ -173,13 +171,12 @@ def infer_fields(long: DataFrame, known: Sequence[FieldSpec] = (), markers: bool
     return fields
 
 
-def collect_specs(
-    fields: DataFrame, known: Sequence[FieldSpec] = (), max_fields: int = MAX_FIELDS
-) -> list[FieldSpec]:
-    """Field specs on the driver: one row per field; a batch with too many fields raises."""
-    rows = fields.limit(max_fields + 1).collect()
-    if len(rows) > max_fields:
-        raise FieldError(f"more than {max_fields} fields in one batch")
+def collect_specs(fields: DataFrame, known: Sequence[FieldSpec] = ()) -> list[FieldSpec]:
+    """Field specs on the driver: one row per field, which the schema needs there anyway."""
+    rows = fields.collect()
+    reserved = sorted(r["field"] for r in rows if r["field"] and r["field"].startswith("__"))
+    if reserved:
+        raise FieldError(f"field names that begin with two underscores are reserved: {reserved}")
     found = [
         FieldSpec(r["field"], TYPE_NAMES[r["type"]], **{f: r[f] for f in FieldSpec.FLAGS}) for r in rows
     ]
@@ -191,31 +188,34 @@ def check_types(long: DataFrame, specs: Sequence[FieldSpec], on_mismatch: str =
     """Fields whose type does not fit: (doc_id, field, doc_type, schema_type).
 
     A type fits itself, its collection, and an integer fits a double field.
-    ``raise`` looks for a first mismatch and aborts the batch.
+    ``raise`` tests the batch's declarations and aborts it on a mismatch, of which it then looks for
+    an example.
     """
     types = F.create_map(*[F.lit(x) for s in specs for x in (s.name, type_name(s.data_type))])
     field = normalize_name_column(F.col("name"))
-    checked = long.select(
-        "doc_id",
-        field.alias("field"),
-        _storage_type(F.col("type"), F.lit(False)).alias("doc_type"),
-        F.try_element_at(types, field).alias("schema_type"),
-    )
-    doc, schema = F.col("doc_type"), F.col("schema_type")
-    fits = (
-        (doc == schema)
-        | (F.concat(F.lit("array<"), doc, F.lit(">")) == schema)
-        | (doc.isin("int", "bigint") & (schema == "double"))
-    )
-    mismatches = checked.filter(schema.isNotNull() & ~fits)
-    if on_mismatch == "raise":
-        first = mismatches.first()
-        if first is not None:
-            raise TypeMismatch(
-                f"document {first.doc_id!r}: field {first.field!r} is {first.doc_type}, "
-                f"the schema says {first.schema_type}"
-            )
-    return mismatches
+
+    def mismatches(rows: DataFrame, *keep: str) -> DataFrame:
+        checked = rows.select(
+            *keep,
+            field.alias("field"),
+            _storage_type(F.col("type"), F.lit(False)).alias("doc_type"),
+            F.try_element_at(types, field).alias("schema_type"),
+        )
+        doc, schema = F.col("doc_type"), F.col("schema_type")
+        fits = (
+            (doc == schema)
+            | (F.concat(F.lit("array<"), doc, F.lit(">")) == schema)
+            | (doc.isin("int", "bigint") & (schema == "double"))
+        )
+        return checked.filter(schema.isNotNull() & ~fits)
+
+    if on_mismatch == "raise" and not mismatches(declarations(long)).isEmpty():
+        first = mismatches(long, "doc_id").first()
+        raise TypeMismatch(
+            f"document {first.doc_id!r}: field {first.field!r} is {first.doc_type}, "
+            f"the schema says {first.schema_type}"
+        )
+    return mismatches(long, "doc_id")
 
 
 def _typed(text: Column, data_type: T.DataType) -> Column:
@@ -227,37 +227,45 @@ def _typed(text: Column, data_type: T.DataType) -> Column:
 def assemble(
     long: DataFrame, specs: Sequence[FieldSpec], present: str | None = None, keep_arrays: bool = False
 ) -> DataFrame:
-    """Wide table: one row per document, one typed column per field, plus ``seq``.
+    """Wide table: one row per document, one typed column per field, plus ``__seq``.
 
     A scalar field takes its first value, a collection all of them
     (``keep_arrays`` keeps every value of non-text fields declared as
     collections too).  ``present`` names a column listing the fields supplied.
-    One aggregation by document, combined on the map side; what it gathers is one
-    row of the result.
+    One aggregation by document gathers its fields once, into a map from which every
+    column takes its own; fields that collide are looked up only where some do.
     """
     named = long.withColumn("field", normalize_name_column(F.col("name")))
-    aggregates = []
+    entry = F.struct("field", "name", "values")
+    gathered = named.groupBy(F.col("doc_id").alias(KEY), F.col("seq").alias(SEQ)).agg(
+        F.array_sort(F.collect_list(entry)).alias("__fields")
+    )
+    entries = F.col("__fields")
+    first_of_name = lambda e, i: (i == 0) | ~e["field"].eqNullSafe(F.get(entries, i - 1)["field"])
+    firsts = F.filter(entries, lambda e, i: first_of_name(e, i) & e["field"].isNotNull())
+    by_name = F.map_from_entries(F.transform(firsts, lambda e: F.struct(e["field"], e["values"])))
+    gathered = gathered.withColumns({"__by_name": by_name, "__collide": F.size(firsts) < F.size(entries)})
+
+    def values_of(name: str, every: bool) -> Column:
+        values = F.try_element_at(F.col("__by_name"), F.lit(name))
+        if not every:
+            return values
+        parts = F.transform(F.filter(entries, lambda e: e["field"] == name), lambda e: e["values"])
+        return F.when(F.col("__collide"), F.flatten(parts)).otherwise(values)
+
+    columns = []
     for spec in (s for s in specs if not s.is_key):
-        mine = F.col("field") == spec.name
         if spec.is_collection:
-            parts = F.array_sort(F.collect_list(F.when(mine, F.struct("name", "values"))))
-            values = F.flatten(F.transform(parts, lambda p: p["values"]))
+            values = values_of(spec.name, every=True)
             value = F.when(F.size(values) > 0, values)
         elif keep_arrays and not spec.is_text:
-            every = F.min_by(F.when(mine, F.col("values")), F.when(mine, F.col("name")))
-            value = F.transform(every, lambda v, t=spec.data_type: _typed(v, t))
+            value = F.transform(values_of(spec.name, every=False), lambda v, t=spec.data_type: _typed(v, t))
         else:
-            first = F.try_element_at(F.col("values"), F.lit(1))
-            value = _typed(
-                F.min_by(F.when(mine, first), F.when(mine, F.col("name"))), spec.data_type
-            )
-        field = spec.to_struct_field()
-        aggregates.append(value.alias(spec.name, metadata=field.metadata))
+            value = _typed(F.try_element_at(values_of(spec.name, every=False), F.lit(1)), spec.data_type)
+        columns.append(value.alias(spec.name, metadata=spec.to_struct_field().metadata))
     if present:
-        aggregates.append(F.collect_set("field").alias(present))
-    wide = named.groupBy(F.col("doc_id").alias(KEY), "seq").agg(*aggregates)
-    return wide
-
+        columns.append(F.map_keys("__by_name").alias(present))
+    return gathered.select(KEY, SEQ, *columns)
 
 
 def key_spec() -> FieldSpec:

@@ -1,10 +1,13 @@
-"""A document index as versioned Parquet folders.
+"""A document index as Parquet folders that are only ever added to.
 
-``<root>/<scope>-<type>/v=<n>`` holds one copy of the documents and of their
-postings, both partitioned by a hash bucket of the key.  A change rewrites only
-the buckets its keys fall into, by dynamic partition overwrite.  A log table beside
-the copies says which version is active, which one is the backup, and what their
-schemas are; publishing a rebuilt copy appends one row to it.
+``<root>/<scope>-<type>/v=<n>`` holds one copy of the documents: ``base``, partitioned by a hash
+bucket of the key, and one folder ``c=<k>`` for each change made since. Reading applies the
+changes to the base: one aggregation of the changes by key and one join. :meth:`~DocumentIndex.compact`
+writes the result as the base of a new copy; when to do so is the caller's choice.
+
+A log says which copy is active, which one is the backup, their schemas and their changes. Each
+step adds one entry under a number of its own. A change takes effect with its entry: a write
+that stops before has changed nothing, and frames taken earlier go on reading what they read.
 """
 
 from __future__ import annotations
@@ -12,73 +15,71 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.text import Analysis, Fuzzy, query_terms
+from ..functions.text import Analysis
 from ..operators.filters import required_ids
-from ..operators.matching import searchable_fields, suggest
-from ..operators.postings import build_postings, field_lengths, search_postings
-from ..plans.search import SearchRequest, SearchResult, empty_result, search, search_hits
+from ..operators.matching import suggest
+from ..plans.search import SearchRequest, SearchResult, empty_result, search
 from ..schema import KEY, FieldError, FieldSpec, specs_of, to_schema
-from ..sizing import BROADCAST_LIMIT_BYTES, row_bytes, work_folder
+from ..sizing import BROADCAST_LIMIT_BYTES, row_bytes
 from .documents import (
+    PRESENT,
+    SEQ,
     assemble,
     check_types,
     collect_specs,
-    declarations,
     infer_fields,
     key_spec,
     read_documents,
 )
-from .mutations import merge_update, mutation_report, remove, upsert
+from .mutations import latest, merge_update, mutation_report
 
 BUCKET = "__bucket"
-PART = "__part"
-TOKENS_PER_PART = 50_000_000
 ACTIVE, BACKUP = "active", "backup"
+# Columns of a change: its number and the document's place in it, whether the row replaces the
+# whole document, and whether it removes it.
+ORDER, WHOLE, GONE = "__order", "__whole", "__gone"
 
-_STATE = (
-    "seq bigint, buckets int, versions int, active int, backup int, active_schema string, "
-    "backup_schema string, active_lengths int, backup_lengths int"
-)
-_POSTINGS = f"{BUCKET} int, {KEY} string, field string, length int, token string, tf int"
-_LENGTHS = f"{BUCKET} int, field string, rows bigint, tokens bigint"
+
+@dataclass(frozen=True)
+class _Copy:
+    version: int
+    schema: str
+    has_base: bool = False
+    changes: tuple[str, ...] = ()
+    change_bytes: int = 0
+
+    @property
+    def fields(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema))
 
 
 @dataclass(frozen=True)
 class _State:
-    """Newest row of the log."""
+    """Newest entry of the log."""
 
     seq: int = 0
     buckets: int | None = None
     versions: int = 0
-    active: int | None = None
-    backup: int | None = None
-    active_schema: str | None = None
-    backup_schema: str | None = None
-    active_lengths: int | None = None
-    backup_lengths: int | None = None
-
-    def version(self, role: str) -> int | None:
-        return getattr(self, role)
+    active: _Copy | None = None
+    backup: _Copy | None = None
 
-    def lengths(self, role: str) -> int | None:
-        return getattr(self, f"{role}_lengths")
-
-    def schema(self, role: str) -> T.StructType | None:
-        text = getattr(self, f"{role}_schema")
-        return None if text is None else T.StructType.fromJson(json.loads(text))
+    @classmethod
+    def parse(cls, text: str) -> _State:
+        row = json.loads(text)
+        copies = {r: _Copy(**row[r] | {"changes": tuple(row[r]["changes"])}) if row[r] else None for r in (ACTIVE, BACKUP)}
+        return cls(**row | copies)
 
 
 class DocumentIndex:
     """Index of one document type.
 
-    One writer at a time; a change that failed half-way is put right by applying it
-    again.  ``buckets`` counts when the index is made: choose it so
-    that a bucket holds a few gigabytes at the expected size.
+    A second writer that adds the same log entry fails. ``buckets`` counts when the index is made:
+    choose it so that a bucket holds a few gigabytes at the expected size.
     """
 
     def __init__(
@@ -98,83 +99,88 @@ class DocumentIndex:
 
     # -- state ---------------------------------------------------------------
 
-    def _log(self) -> DataFrame:
-        return self.spark.read.schema(_STATE).parquet(f"{self.folder}/_log")
-
     def _state(self) -> _State:
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         try:
-            newest = self._log().orderBy(F.desc("seq")).first()
-        except AnalysisException:
-            return _State()
-        return _State() if newest is None else _State(**newest.asDict())
+            newest = files.load(f"{self.folder}/_log").agg(F.max("path")).first()[0]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            newest = None
+        return _State() if newest is None else _State.parse(self.spark.read.text(newest, wholetext=True).first()[0])
 
     def _record(self, state: _State) -> None:
         state = replace(state, seq=state.seq + 1)
-        row = self.spark.createDataFrame([tuple(vars(state).values())], _STATE)
-        row.coalesce(1).write.mode("append").parquet(f"{self.folder}/_log")
+        entry = self.spark.createDataFrame([(json.dumps(asdict(state)),)], "entry string")
+        entry.coalesce(1).write.mode("errorifexists").text(f"{self.folder}/_log/{state.seq:012d}")
 
-    def _path(self, version: int, part: str = "documents") -> str:
-        return f"{self.folder}/v={version}/{part}"
+    def _path(self, copy: _Copy, part: str) -> str:
+        return f"{self.folder}/v={copy.version}/{part}"
 
     # -- reading -------------------------------------------------------------
 
-    def _stored(self, state: _State, role: str) -> DataFrame | None:
-        version, schema = state.version(role), state.schema(role)
-        if version is None:
-            return None
-        rows = self.spark.read.schema(_with_bucket(schema)).parquet(self._path(version))
-        return rows.filter(F.col(KEY).isNotNull())
+    def _base(self, copy: _Copy, buckets: Sequence[int] | None = None) -> DataFrame:
+        schema = T.StructType([*copy.fields.fields, T.StructField(BUCKET, T.IntegerType())])
+        if not copy.has_base:
+            return self.spark.createDataFrame([], schema).drop(BUCKET)
+        rows = self.spark.read.schema(schema).parquet(self._path(copy, "base"))
+        return (rows if buckets is None else rows.filter(F.col(BUCKET).isin(list(buckets)))).drop(BUCKET)
+
+    def _changes(self, copy: _Copy) -> DataFrame:
+        order = T.StructType([T.StructField("change", T.IntegerType()), T.StructField("seq", T.LongType())])
+        extra = [
+            T.StructField(ORDER, order),
+            T.StructField(WHOLE, T.BooleanType()),
+            T.StructField(GONE, T.BooleanType()),
+            T.StructField(PRESENT, T.ArrayType(T.StringType())),
+        ]
+        schema = T.StructType([*copy.fields.fields, *extra])
+        return self.spark.read.schema(schema).parquet(*[self._path(copy, c) for c in copy.changes])
+
+    def _read(self, state: _State, copy: _Copy, ids: Sequence[str] | None = None) -> DataFrame:
+        """Documents of a copy; with ``ids``, these only, out of their buckets."""
+        buckets = None
+        if ids is not None:
+            keys = self.spark.createDataFrame([(i,) for i in ids], f"{KEY} string")
+            buckets, _ = _survey(keys, state.buckets)
+        rows = self._base(copy, buckets)
+        if ids is not None:
+            rows = rows.filter(F.col(KEY).isin(list(ids)))
+        if not copy.changes:
+            return rows
+        changes = self._changes(copy)
+        if ids is not None:
+            changes = changes.filter(F.col(KEY).isin(list(ids)))
+        every = F.array(*[F.lit(c) for c in [*copy.fields.names[1:], GONE]])
+        own = F.concat(F.coalesce(PRESENT, F.array().cast("array<string>")), F.array(F.lit(GONE)))
+        changes = changes.withColumn(PRESENT, F.when(F.col(WHOLE), every).otherwise(own)).drop(WHOLE)
+        limit = None if copy.change_bytes <= BROADCAST_LIMIT_BYTES else 0
+        merged = merge_update(rows.withColumn(GONE, F.lit(False)), changes, KEY, ORDER, PRESENT, limit)
+        return merged.filter(~F.col(GONE)).drop(GONE)
+
+    def _copy(self, state: _State, use_backup: bool) -> _Copy | None:
+        return state.backup if use_backup else state.active
 
     def table(self, use_backup: bool = False) -> DataFrame | None:
         """Documents of the active (or backup) copy; ``None`` if there is none."""
-        stored = self._stored(self._state(), BACKUP if use_backup else ACTIVE)
-        return None if stored is None else stored.drop(BUCKET)
+        state = self._state()
+        copy = self._copy(state, use_backup)
+        return None if copy is None else self._read(state, copy)
 
     def get(self, ids: Sequence[str]) -> DataFrame | None:
         """Documents with these ids; only their buckets are read."""
         state = self._state()
-        stored = self._stored(state, ACTIVE)
-        if stored is None:
-            return None
-        rows = self._holding(stored, ids, state).drop(BUCKET)
-        return rows.filter(F.col(KEY).isin(list(ids)))
-
-    def _holding(self, stored: DataFrame, ids: Sequence[str], state: _State) -> DataFrame:
-        """The buckets that can hold these ids."""
-        keys = self.spark.createDataFrame([(i,) for i in ids], f"{KEY} string")
-        touched, _ = _survey(keys, state.buckets)
-        return _in_buckets(stored, touched, state.buckets)
-
-    def postings(self, use_backup: bool = False) -> DataFrame | None:
-        """Rows (bucket, key, field, length, token, tf) of the active (or backup) copy."""
-        state, role = self._state(), BACKUP if use_backup else ACTIVE
-        if state.version(role) is None:
-            return None
-        return self.spark.read.schema(_POSTINGS).parquet(self._path(state.version(role), "postings"))
+        return None if state.active is None else self._read(state, state.active, ids)
 
     def search(self, request: SearchRequest) -> SearchResult:
-        """Answer a request.
-
-        A text is looked up in the postings first; the hits (key and score) are
-        written once, to the shared work folder, and then serve documents, total and
-        facets.
-        """
-        state, role = self._state(), BACKUP if request.use_backup else ACTIVE
-        stored = self._stored(state, role)
-        if stored is None:
+        """Answer a request; ids that a filter requires limit the buckets that are read."""
+        state = self._state()
+        copy = self._copy(state, request.use_backup)
+        if copy is None:
             return empty_result(self.spark)
-        fields = [s.name for s in searchable_fields(stored.schema, request.fields)]
-        if request.raw or not query_terms(request.text) or not fields:
-            ids = None if request.raw or request.facets else required_ids(request.filter)
-            if ids:
-                stored = self._holding(stored, ids, state)
-            return search(stored.drop(BUCKET), request, self.analysis)
-        matcher = Fuzzy(request.fuzziness) if request.fuzzy else self.analysis
-        hits = search_postings(
-            self.postings(request.use_backup), self._lengths(state, role), request.text, fields, matcher
-        )
-        hits = self._staged(hits.withColumn(BUCKET, _bucket(state.buckets)), work_folder(self.spark))
-        return search_hits(stored, hits, request, place=[BUCKET])
+        narrow = not (request.raw or request.facets or request.text)
+        ids = required_ids(request.filter) if narrow else None
+        return search(self._read(state, copy, ids), request, self.analysis)
 
     def suggest(self, query: str, fields: Sequence[str], size: int = 5) -> DataFrame:
         table = self.table()
@@ -182,67 +188,88 @@ class DocumentIndex:
             return self.spark.createDataFrame([], "text string")
         return suggest(table, query, fields, size)
 
-    def _lengths(self, state: _State, role: str) -> DataFrame:
-        folder = self._path(state.version(role), f"lengths/n={state.lengths(role)}")
-        return self.spark.read.schema(_LENGTHS).parquet(folder)
+    def changed(self) -> DataFrame | None:
+        """(key, seq) of the documents changed since the active copy was last compacted."""
+        state = self._state()
+        if state.active is None or not state.active.changes:
+            return None
+        return self._changes(state.active).select(KEY, F.col(f"{ORDER}.seq").alias(SEQ))
 
     # -- writing -------------------------------------------------------------
 
-    def index(self, documents: DataFrame) -> DataFrame:
-        """Insert or replace documents (long form); new fields widen the schema."""
-        return self._write(documents, ACTIVE, "upsert")
+    def index(self, documents: DataFrame, as_change: bool = False) -> DataFrame:
+        """Insert or replace documents (long form); new fields widen the schema.
+
+        The first documents of a copy become its base, unless ``as_change``.
+        """
+        return self._write(documents, ACTIVE, "upsert", as_change)
 
     def index_partial(self, documents: DataFrame) -> DataFrame:
         """Overwrite only the supplied fields; a field the schema lacks raises."""
-        return self._write(documents, ACTIVE, "merge")
+        return self._write(documents, ACTIVE, "merge", True)
+
+    def widen(self, documents: DataFrame) -> None:
+        """Add the fields of these documents to the active copy's schema, and nothing else."""
+        state = self._state()
+        if state.active is None:
+            raise FieldError(f"index {self.name!r} does not exist")
+        known = [s for s in specs_of(state.active.fields) if not s.is_key]
+        specs = collect_specs(infer_fields(read_documents(documents).filter(F.col("name") != KEY), known), known)
+        if len(specs) > len(known):
+            schema = to_schema([key_spec(), *specs])
+            self._record(replace(state, active=replace(state.active, schema=schema.json())))
 
     def index_with_backup(self, documents: DataFrame) -> DataFrame:
-        """Fill the backup copy while readers stay on the active one."""
+        """Add to the backup copy while readers stay on the active one."""
         return self._write(documents, BACKUP, "upsert")
 
+    def rebuild(self, documents: DataFrame) -> DataFrame:
+        """Fill a new backup copy with these documents only, whatever the backup held."""
+        return self._write(documents, BACKUP, "upsert", fresh=True)
+
     def create(self, sample: DataFrame) -> None:
         """Make an empty backup copy with the schema of sample documents (long form)."""
         state = self._state()
-        known = self._known(state, BACKUP)
-        specs = collect_specs(infer_fields(read_documents(sample), known), known)
+        specs = collect_specs(infer_fields(read_documents(sample)))
         if state.backup is None:
-            self._record(self._with_empty(state, BACKUP, to_schema([key_spec(), *specs])))
+            state, copy = self._new_copy(state, to_schema([key_spec(), *specs]))
+            self._record(replace(state, backup=copy))
 
     def remove(self, keys: DataFrame) -> DataFrame:
         """Delete the documents whose ``__id`` is given."""
         state = self._state()
-        stored = self._stored(state, ACTIVE)
-        if stored is None:
+        if state.active is None:
             raise FieldError(f"index {self.name!r} does not exist")
-        keys = self._staged(keys.select(F.col(KEY).cast("string")).distinct())
-        touched, limit = _survey(keys, state.buckets)
-        report = self._staged(mutation_report(stored, keys, "remove", limit=limit))
-        base = _in_buckets(stored, touched, state.buckets).drop(BUCKET)
-        self._record(self._overwrite(remove(base, keys, limit=limit), state, ACTIVE, touched))
-        return report
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in state.active.fields.fields[1:]]
+        rows = keys.select(F.col(KEY).cast("string")).distinct().select(KEY, *nothing, F.lit(0).cast("long").alias(SEQ))
+        return self._add_change(state, ACTIVE, state.active, rows, "remove")
+
+    def compact(self, use_backup: bool = False) -> None:
+        """Write the documents as the base of a new copy, to which no changes have to be applied.
+
+        The one step that reads and writes a whole copy.
+        """
+        state = self._state()
+        old = self._copy(state, use_backup)
+        if old is None or (old.has_base and not old.changes):
+            return
+        new_state, copy = self._new_copy(state, old.fields)
+        copy = self._write_base(new_state, copy, self._read(state, old))
+        self._record(replace(new_state, **{BACKUP if use_backup else ACTIVE: copy}))
 
     def swap(self) -> None:
         """Exchange active and backup; nothing happens without a backup."""
         state = self._state()
         if state.backup is None:
             return
-        if state.active is None:
-            state = self._with_empty(state, ACTIVE, state.schema(BACKUP))
-        self._record(
-            replace(
-                state,
-                active=state.backup,
-                backup=state.active,
-                active_schema=state.backup_schema,
-                backup_schema=state.active_schema,
-                active_lengths=state.backup_lengths,
-                backup_lengths=state.active_lengths,
-            )
-        )
+        active = state.active
+        if active is None:
+            state, active = self._new_copy(state, state.backup.fields)
+        self._record(replace(state, active=state.backup, backup=active))
 
     def forget_backup(self) -> None:
         """Detach the backup copy; its folder is left for the storage's own clean-up."""
-        self._record(replace(self._state(), backup=None, backup_schema=None, backup_lengths=None))
+        self._record(replace(self._state(), backup=None))
 
     def register_views(self) -> list[str]:
         """Temporary views ``<scope>_<type>_active`` and ``..._backup`` over the copies."""
@@ -254,126 +281,82 @@ class DocumentIndex:
                 table.createOrReplaceTempView(made[-1])
         return made
 
-    def _known(self, state: _State, role: str) -> list[FieldSpec]:
-        schema = state.schema(role)
-        return [] if schema is None else [s for s in specs_of(schema) if not s.is_key]
-
-    def _with_copy(self, state: _State, role: str, schema: T.StructType) -> _State:
-        """State with a new copy for ``role``, of which nothing is written yet."""
+    def _new_copy(self, state: _State, schema: T.StructType) -> tuple[_State, _Copy]:
+        """State that knows a new, empty copy, and the copy."""
         version = state.versions + 1
-        return replace(
-            state,
-            buckets=state.buckets or self.new_buckets,
-            versions=version,
-            **{role: version, f"{role}_schema": schema.json(), f"{role}_lengths": None},
+        return (
+            replace(state, versions=version, buckets=state.buckets or self.new_buckets),
+            _Copy(version, schema.json()),
         )
 
-    def _with_empty(self, state: _State, role: str, schema: T.StructType) -> _State:
-        """State with a new copy for ``role`` that holds no documents."""
-        empty = self.spark.createDataFrame([], schema)
-        return self._overwrite(empty, self._with_copy(state, role, schema), role, [])
+    def _write_base(self, state: _State, copy: _Copy, rows: DataFrame) -> _Copy:
+        # Rebalancing splits a large bucket over several tasks and files.
+        bucketed = rows.withColumn(BUCKET, _bucket(state.buckets)).hint("rebalance", BUCKET)
+        bucketed.write.mode("errorifexists").partitionBy(BUCKET).parquet(self._path(copy, "base"))
+        return replace(copy, has_base=True)
 
-    def _write(self, documents: DataFrame, role: str, kind: str) -> DataFrame:
+    def _write(self, documents: DataFrame, role: str, kind: str, as_change: bool = False, fresh: bool = False) -> DataFrame:
         long = read_documents(documents).filter(F.col("name") != KEY)
         state = self._state()
-        known = self._known(state, role)
-        # One pass over the batch for names and types, one for the values.
-        declared = self._staged(declarations(long))
-        specs = collect_specs(infer_fields(declared, known), known)
+        copy = None if fresh else getattr(state, role)
+        known: list[FieldSpec] = [] if copy is None else [s for s in specs_of(copy.fields) if not s.is_key]
+        specs = collect_specs(infer_fields(long, known), known)
         if kind == "merge" and len(specs) > len(known):
             raise FieldError(f"partial update with unknown fields {[s.name for s in specs[len(known):]]}")
-        check_types(declared, specs, "raise")
-        wide = assemble(long, specs, present="present" if kind == "merge" else None)
-        batch = self._staged(wide)
+        check_types(long, specs, "raise")
+        wide = assemble(long, specs, present=PRESENT if kind == "merge" else None)
         schema = to_schema([key_spec(), *specs])
-        if state.version(role) is None:
-            state = self._with_copy(state, role, schema)
-            stored = self.spark.createDataFrame([], _with_bucket(schema))
-        else:
-            state = replace(state, **{f"{role}_schema": schema.json()})
-            stored = self._stored(state, role)
-        touched, limit = _survey(batch, state.buckets)
-        # The outcome per key is fixed before the stored documents change.
-        report = self._staged(mutation_report(stored, batch, kind, limit=limit))
-        base = _in_buckets(stored, touched, state.buckets).drop(BUCKET)
-        change = merge_update if kind == "merge" else upsert
-        self._record(self._overwrite(change(base, batch, limit=limit), state, role, touched))
-        return report
-
-    def _staged(self, df: DataFrame, folder: str | None = None) -> DataFrame:
-        """``df`` written once and read back, so that no later step computes it again.
-
-        Staged tables are left behind: let the storage expire ``_staged`` folders.
-        """
-        path = f"{folder or self.folder}/_staged/{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def _overwrite(self, rows: DataFrame, state: _State, role: str, touched: list[int]) -> _State:
-        """Replace the touched buckets of documents and postings.
-
-        A row without a key goes into each of them, so that a bucket left without
-        documents is overwritten too; readers skip it.
-        """
-        version = state.version(role)
-        marks = self.spark.range(state.buckets).select(F.col("id").cast("int").alias(BUCKET))
-        marks = marks.filter(F.col(BUCKET).isin(touched))
-        bucketed = rows.withColumn(BUCKET, _bucket(state.buckets))
-        # Rebalancing splits a large bucket over several tasks and files.
-        documents = bucketed.unionByName(marks, allowMissingColumns=True).hint("rebalance", BUCKET)
-        _replace_partitions(documents, self._path(version))
-
-        schema = state.schema(role)
-        if not any(spec.searchable for spec in specs_of(schema)):
-            return state
-        written = self.spark.read.schema(_with_bucket(schema)).parquet(self._path(version))
-        written = _in_buckets(written, touched, state.buckets)
-        lengths = field_lengths(written, by=(BUCKET,))
-        if state.lengths(role) is not None:
-            lengths = self._lengths(state, role).filter(~F.col(BUCKET).isin(touched)).unionByName(lengths)
-        state = replace(state, **{f"{role}_lengths": (state.lengths(role) or 0) + 1})
-        folder = self._path(version, f"lengths/n={state.lengths(role)}")
-        # One row per bucket and field: a small table.
-        lengths.coalesce(1).write.mode("overwrite").parquet(folder)
-
-        # Spread by bucket and part once, the postings are built and sorted without a further shuffle.
-        parts = self._parts(self._lengths(state, role))
-        spread = written.withColumn(PART, F.pmod(F.hash(KEY), F.lit(parts))).repartition(BUCKET, PART)
-        postings = build_postings(spread, keep=(BUCKET, PART, KEY))
-        postings = postings.sortWithinPartitions(BUCKET, "field", "token").drop(PART)
-        _replace_partitions(postings, self._path(version, "postings"))
-        return state
-
-    def _parts(self, lengths: DataFrame) -> int:
-        """Tasks and files per bucket that keep each within ``TOKENS_PER_PART``."""
-        per_bucket = lengths.groupBy(BUCKET).agg(F.sum("tokens").alias("n"))
-        largest = per_bucket.agg(F.max("n")).first()[0] or 0
-        return 1 + largest // TOKENS_PER_PART
-
-
-def _with_bucket(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        if copy is not None:
+            return self._add_change(state, role, replace(copy, schema=schema.json()), wide, kind)
+        state, copy = self._new_copy(state, schema)
+        if as_change:
+            return self._add_change(state, role, copy, wide, kind)
+        # The key may be missing: such a document is reported, not stored.
+        keyed = latest(wide.filter(F.col(KEY).isNotNull()), KEY, SEQ)
+        copy = self._write_base(state, copy, keyed.select(*schema.names))
+        self._record(replace(state, **{role: copy}))
+        nothing = self.spark.createDataFrame([], f"{KEY} string")
+        # Read back from what was written, and the keys that were not.
+        lost = long.filter(F.col("doc_id").isNull()).select(F.col("doc_id").alias(KEY)).distinct()
+        return mutation_report(nothing, self._base(copy).select(KEY).unionByName(lost), kind, limit=0)
+
+    def _add_change(self, state: _State, role: str, copy: _Copy, rows: DataFrame, kind: str) -> DataFrame:
+        """Append a change and enter it in the log; the outcome by key against the documents before."""
+        number = state.seq + 1
+        name = f"c={number:09d}-{uuid.uuid4().hex[:8]}"
+        rows = rows.withColumns(
+            {
+                ORDER: F.struct(F.lit(number).alias("change"), F.col(SEQ).alias("seq")),
+                WHOLE: F.lit(kind != "merge"),
+                GONE: F.lit(kind == "remove"),
+            }
+        )
+        rows.drop(SEQ).write.mode("errorifexists").parquet(self._path(copy, name))
+        changed = replace(copy, changes=(*copy.changes, name))
+        written = self._changes(replace(copy, changes=(name,)))
+        touched, size = _survey(written, state.buckets)
+        self._record(replace(state, **{role: replace(changed, change_bytes=copy.change_bytes + size)}))
+        # Nothing that the outcome reads is ever overwritten: it may be worked out later.
+        limit = None if copy.change_bytes + size <= BROADCAST_LIMIT_BYTES else 0
+        keys = written.select(KEY).distinct()
+        stored = self._stored_keys(copy, touched, keys)
+        return mutation_report(stored, keys, kind, limit=limit)
+
+    def _stored_keys(self, copy: _Copy, touched: list[int], keys: DataFrame) -> DataFrame:
+        """Keys of the documents before a change, as far as ``keys`` may name them."""
+        base = self._base(copy, touched).select(KEY)
+        if not copy.changes:
+            return base
+        earlier = self._changes(copy).groupBy(KEY).agg(F.max_by(GONE, ORDER).alias(GONE))
+        return base.join(earlier, KEY, "left_anti").unionByName(earlier.filter(~F.col(GONE)).select(KEY))
 
 
 def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
 
 
-def _survey(batch: DataFrame, buckets: int) -> tuple[list[int], int | None]:
-    """Buckets the batch touches (at most ``buckets`` numbers), and the broadcast limit its size allows."""
+def _survey(batch: DataFrame, buckets: int) -> tuple[list[int], int]:
+    """Buckets the batch touches (at most ``buckets`` numbers), and its size in bytes."""
     keyed = batch.filter(F.col(KEY).isNotNull())
     found = keyed.agg(F.collect_set(_bucket(buckets)).alias("b"), F.sum(row_bytes(batch)).alias("n")).first()
-    return sorted(found.b), None if (found.n or 0) <= BROADCAST_LIMIT_BYTES else 0
-
-
-def _in_buckets(rows: DataFrame, touched: list[int], buckets: int) -> DataFrame:
-    return rows if len(touched) == buckets else rows.filter(F.col(BUCKET).isin(touched))
-
-
-def _replace_partitions(rows: DataFrame, path: str) -> None:
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(path)
-    )
+    return sorted(found.b), found.n or 0

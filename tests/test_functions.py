@@ -147,7 +147,9 @@ MATCHERS = [
     (lambda c: tx.fuzzy_match(c, "shirt"), lambda w: any(close(t, "shirt", 2) for t in w)),
     (lambda c: tx.fuzzy_match(c, "shirt", 1), lambda w: any(close(t, "shirt", 1) for t in w)),
     (lambda c: tx.fuzzy_match(c, "shirt", 0), lambda w: "shirt" in w),
-    (lambda c: tx.fuzzy_match(c, "shirt", 7), lambda w: any(close(t, "shirt", 2) for t in w)),
+    (lambda c: tx.fuzzy_match(c, "shirt", 3), lambda w: any(close(t, "shirt", 3) for t in w)),
+    (lambda c: tx.fuzzy_match(c, "shirt", 7), lambda w: "shirt" in w),
+    (lambda c: tx.phrase_match(c, ["red", "shirt"]), lambda w: phrase(w, ["red", "shirt"])),
     (lambda c: tx.fuzzy_match(c, "a1"), lambda w: "a1" in w),
     (lambda c: tx.wildcard_match(c, "sh*t"), lambda w: any(re.fullmatch(r"sh\w*t", t) for t in w)),
     (lambda c: tx.wildcard_match(c, "?1"), lambda w: any(re.fullmatch(r"\w1", t) for t in w)),

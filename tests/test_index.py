@@ -121,3 +121,100 @@ def test_stream(spark, index, tmp_path):
     assert names(index.table()) == {
         "Item-1": "Sample Product", "Item-2": "Red Shirt 2", "Item-3": "Again", "Item-4": "Again", "Item-5": "Again",
     }
+
+
+def test_frames_taken_before_a_change_keep_their_rows(spark, index):
+    index.index(documents(spark, ITEMS[:3]))
+    before, found = index.table(), index.search(SearchRequest(text="red")).documents
+    index.index(spark.createDataFrame([row("Item-2", 0, "Name", "String", ["Blue Hat"])], LONG))
+    index.remove(spark.createDataFrame([("Item-1",)], f"{KEY} string"))
+    index.compact()
+    assert set(names(before)) == {"Item-1", "Item-2", "Item-3"} and found.count() == 3
+    assert names(index.table()) == {"Item-2": "Blue Hat", "Item-3": "Red Shirt"}
+
+
+def test_a_change_writes_its_own_size(spark, index, tmp_path):
+    many = spark.range(20_000).selectExpr(
+        "string(id) doc_id", "id seq", "'Name' name", "'String' type", "array(concat('name ', id)) values",
+        "true searchable", "true filterable", "true retrievable", "false suggestable", "false collection",
+    )
+    index.index(many)
+    size = lambda: sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    before = size()
+    index.index(many.filter("seq < 5").withColumn("values", F.array(F.lit("changed"))))
+    assert size() - before < before / 10
+    assert index.table().filter("name = 'changed'").count() == 5 and index.table().count() == 20_000
+
+
+def test_a_write_without_its_log_entry_changes_nothing(spark, index, monkeypatch):
+    index.index(documents(spark, ITEMS[:2]))
+    monkeypatch.setattr(index, "_record", lambda state: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        index.index(documents(spark, ITEMS[2:4]))
+    monkeypatch.undo()
+    assert set(names(index.table())) == {"Item-1", "Item-2"}
+    index.index(documents(spark, ITEMS[2:4]))
+    assert len(names(index.table())) == 4
+
+
+def test_a_second_writer_fails(spark, index):
+    index.index(documents(spark, ITEMS[:2]))
+    state = index._state()
+    index.index(documents(spark, ITEMS[2:3]))
+    with pytest.raises(Exception, match="(?i)exists"):
+        index._record(state)
+
+
+def test_rebuild_forgets_the_old_backup(spark, index):
+    for items in (ITEMS[:4], ITEMS[:3], ITEMS[:1]):
+        index.rebuild(documents(spark, items))
+        index.swap()
+        assert len(names(index.table())) == len(items)
+
+
+def test_partial_after_removal_inserts(spark, index):
+    index.index(documents(spark, ITEMS[:2]))
+    index.remove(spark.createDataFrame([("Item-1",)], f"{KEY} string"))
+    index.index_partial(spark.createDataFrame([row("Item-1", 0, "Name", "String", ["Back"])], LONG))
+    again = {r[KEY]: r for r in index.table().collect()}["Item-1"]
+    assert again.asDict()["name"] == "Back" and again.color is None
+    index.compact()
+    assert names(index.table())["Item-1"] == "Back"
+
+
+def test_many_fields_and_reserved_names(spark, index):
+    wide = spark.range(10_500).selectExpr(
+        "'a' doc_id", "0L seq", "concat('F', id) name", "'Integer' type", "array(string(id)) values",
+    )
+    from sieveline.sources.documents import collect_specs, infer_fields, read_documents
+
+    assert len(collect_specs(infer_fields(read_documents(wide)))) == 10_500
+    index.index(spark.createDataFrame([row("a", 0, n, "String", [n]) for n in ("Seq", "Present", "Rank", "Score")], LONG))
+    found = index.get(["a"]).first()
+    assert (found.seq, found.present, found.rank, found.score) == ("Seq", "Present", "Rank", "Score")
+    with pytest.raises(FieldError):
+        index.index(spark.createDataFrame([row("a", 0, "__seq", "String", ["x"])], LONG))
+
+
+def test_take_none(spark, index):
+    index.index(documents(spark, ITEMS[:5]))
+    found = index.search(SearchRequest(text="red", take=None)).documents
+    assert found.count() == 3
+    assert index.search(SearchRequest(skip=3, take=None)).documents.count() == 2
+
+
+def test_document_split_over_micro_batches(spark, index, tmp_path):
+    source = str(tmp_path / "in")
+
+    def run(rows):
+        spark.createDataFrame(rows, LONG).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(LONG).parquet(source)
+        index_stream(stream, index, str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+
+    run([row("a", 0, "Name", "String", ["first"]), row("b", 1, "Name", "String", ["other"])])
+    run([row("a", 0, "Color", "String", ["Red"])])
+    found = {r[KEY]: r.asDict() for r in index.table().collect()}
+    assert (found["a"]["name"], found["a"]["color"]) == ("first", "Red") and found["b"]["color"] is None
+    run([row("a", 7, "Color", "String", ["Blue"])])
+    found = {r[KEY]: r.asDict() for r in index.table().collect()}
+    assert (found["a"]["name"], found["a"]["color"]) == (None, "Blue")

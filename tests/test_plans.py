@@ -101,3 +101,58 @@ def test_postings_need_one_shuffle_at_most(part):
     assert plan(build_postings(part, ["p_name"])).count("Exchange") == 1
     bucketed = part.withColumn("b", F.col("p_partkey") % 4).repartition("b")
     assert plan(build_postings(bucketed, ["p_name"], keep=("b", KEY))).count("Exchange") == 1
+
+
+def test_key_made_of_a_number_reaches_the_reader(spark):
+    from sieveline import Ids
+    from sieveline.sources.documents import with_key
+
+    orders = with_key(spark.read.parquet(f"{SF}/orders.parquet"), "o_orderkey")
+    text = plan(apply_filter(orders, Ids(["5", "007", "x", "99"])))
+    assert "In(o_orderkey, [5,99])" in text
+    assert apply_filter(orders, Ids(["05", "x"])).count() == 0
+
+
+def test_deep_pages_are_ranked_by_range(part, monkeypatch):
+    from sieveline.operators import sorting
+
+    monkeypatch.setattr(sorting, "DEEP_PAGE", 10)
+    order = [F.col("p_name").asc(), F.col("p_partkey").asc()]
+    wanted = [r.p_partkey for r in part.orderBy(*order).collect()]
+    for skip, take in ((40, None), (150, 30), (0, 25)):
+        found = page(part, skip, take, order)
+        text = plan(found)
+        assert "CollectLimit" not in text and "TakeOrdered" not in text and "GlobalLimit" not in text
+        assert [r.p_partkey for r in found.collect()] == wanted[skip : None if take is None else skip + take]
+    with pytest.raises(ValueError):
+        page(part, 40)
+
+
+def test_building_documents_does_not_sort_the_batch(spark):
+    from sieveline.sources.documents import assemble, collect_specs, infer_fields, read_documents
+
+    long = spark.range(20).selectExpr("string(id) doc_id", "id seq", "explode(transform(sequence(1, 500), i -> concat('F', i))) name",
+                                      "'String' type", "array(string(id)) values")
+    long = read_documents(long)
+    fields = infer_fields(long)
+    specs = collect_specs(fields)
+    wide = assemble(long, specs)
+    assert len(specs) == 500
+    assert "SortAggregate" not in plan(fields) and "SortAggregate" not in plan(wide)
+    assert wide.select("f1", "f500").distinct().count() == 20
+
+
+def test_postings_are_scanned_and_shuffled_once(part, spark, tmp_path):
+    from sieveline.operators.postings import field_lengths, search_postings
+
+    build_postings(part, ["p_name"]).write.parquet(str(tmp_path / "p"))
+    hits = search_postings(spark.read.parquet(str(tmp_path / "p")), field_lengths(part, ["p_name"]), "red", ["p_name"])
+    hits.collect()
+    text = hits._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in text or text.count(str(tmp_path / "p")) == 1
+
+
+def test_tokens_are_counted_in_one_shuffle(spark):
+    from checks import REGISTRY
+
+    assert plan(REGISTRY["tokenize_documents"].run(spark, SF)).count("Exchange hashpartitioning") == 1

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sieveline.llm.words import chunks, mixed
-from sieveline.sizing import staged
+from sieveline.sizing import broadcast_if_small, staged
 
 ORDER = 5
 SAMPLE_TEXTS = 400
@@ -62,7 +62,7 @@ def gram_hashes(codes: np.ndarray, order: int = ORDER) -> list[np.ndarray]:
     out, total = [], np.zeros(len(codes), np.uint64)
     for k in range(order):
         total = total.copy()
-        total[k:] += value[: len(value) - k] * np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64)) if k else value * np.uint64(0x9E3779B97F4A7C15)
+        total[k:] += value[: max(0, len(value) - k)] * np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64))
         h = mixed(total)
         h[:k] = 0
         out.append(h)
@@ -177,9 +177,13 @@ def fit(labelled: DataFrame) -> dict:
     Rows are sampled by ``key``, smallest hash first; a language's first row is always taken.
     Languages without a letter in their sample are not learned.
     """
-    rows = labelled.filter("lang is not null and text is not null").withColumn("h", F.xxhash64("key", "lang"))
+    hash_ = F.shiftrightunsigned(F.xxhash64("key", "lang"), 11)
+    rows = labelled.filter("lang is not null and text is not null").withColumn("h", hash_)
+    # Only the smallest hashes are shuffled: of each language, about twice as many rows as are sampled.
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    share = F.lit(2.0 * SAMPLE_TEXTS + 100) / F.col("n")
+    rows = rows.join(broadcast_if_small(sizes), "lang").filter(F.col("h") <= share * float(1 << 53)).drop("n")
     by_hash = Window.partitionBy("lang").orderBy("h", "key")
-    # The limit on each language's rows is applied before the shuffle.
     rows = rows.withColumn("i", F.row_number().over(by_hash)).filter(F.col("i") <= SAMPLE_TEXTS)
     chars = F.sum(F.length("text")).over(by_hash.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = rows.withColumn("chars", chars).filter((F.col("chars") <= SAMPLE_CHARS) | (F.col("i") == 1))
@@ -202,8 +206,10 @@ def fit(labelled: DataFrame) -> dict:
 
 
 def calibrated(models: list[dict], back: list[list[np.ndarray]]) -> dict:
-    """Mean and spread of the cross-entropy in each language, and the sharpness of confidence."""
+    """Per language the mean and spread of the cross-entropy of its own texts and the mean of other
+    languages' texts; and the sharpness of confidence."""
     scorer, limits, gaps, right = Scorer(models), [], [], []
+    foreign = np.zeros((len(models), 2))
     for k, texts in enumerate(back):
         sums = scorer.totals(texts)
         n = np.maximum(np.array([len(c) - 1 for c in texts]), 1)
@@ -213,10 +219,15 @@ def calibrated(models: list[dict], back: list[list[np.ndarray]]) -> dict:
         # Spread between texts beyond what their lengths explain.
         between = max(float(np.mean((entropy[:, k] - mean) ** 2 - per_char / n)), 0.0)
         limits.append((mean, between, per_char))
+        others = np.arange(len(models)) != k
+        foreign[others] += np.stack([sums[:, others, 0].sum(axis=0), np.full(others.sum(), n.sum())], axis=1)
         gaps.append(entropy - entropy.min(axis=1, keepdims=True))
         right.append(np.full(len(texts), k))
     if not gaps:
         return {"limits": limits, "sharpness": 1.0}
+    # A single language has no foreign texts: characters drawn evenly stand for them.
+    even = [-np.log(m["unseen"]) for m in models]
+    limits = [(*x, f[0] / f[1] if f[1] else e) for x, f, e in zip(limits, foreign, even)]
     gaps, right = np.concatenate(gaps), np.concatenate(right)
 
     def loss(s: float) -> float:
@@ -230,9 +241,9 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred, score, entropy, rejected``.
 
     ``score`` is the confidence from 0 to 1: the calibrated share of the best language.
-    ``entropy`` is the cross-entropy per character in it. A text is ``rejected`` when that lies
-    more than :data:`REJECT_DEVIATIONS` standard deviations, for a text of its length, above the
-    mean of the language. A null text and one without letters are ``und``, with score 0, no entropy,
+    ``entropy`` is the cross-entropy per character in it. A text is ``rejected`` when that is as
+    high as that of texts in other languages, on average, and more than :data:`REJECT_DEVIATIONS`
+    standard deviations, for a text of its length, above the mean of the language. A null text and one without letters are ``und``, with score 0, no entropy,
     and rejected; so is every text if no language was learned. Among equal languages the first by
     name wins. Columns of ``docs`` with a name of the result are replaced.
     """
@@ -264,8 +275,8 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                 best = entropy.argmin(axis=1)
                 least = entropy[np.arange(len(texts)), best]
                 share = 1.0 / np.exp(-sharpness * (entropy - least[:, None])).sum(axis=1)
-                mean, between, per_char = np.array(limits or [(0, 0, 0)]).T[:, best]
-                limit = mean + REJECT_DEVIATIONS * np.sqrt(between + per_char / n)
+                mean, between, per_char, foreign = np.array(limits or [(0, 0, 0, 0)]).T[:, best]
+                limit = np.maximum(mean + REJECT_DEVIATIONS * np.sqrt(between + per_char / n), foreign)
                 columns = [run.column(c) for c in run.schema.names if c != value]
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -39,6 +39,7 @@ VALUE_TYPES: dict[str, T.DataType] = {
     "Long": T.LongType(),
     "Double": T.DoubleType(),
     "Decimal": T.DoubleType(),
+    "ExactDecimal": T.DecimalType(38, 18),
     "Boolean": T.BooleanType(),
     "DateTime": T.TimestampType(),
     "GeoPoint": GEO_TYPE,
@@ -52,6 +53,7 @@ TYPE_NAMES: dict[str, T.DataType] = {
     "int": T.IntegerType(),
     "bigint": T.LongType(),
     "double": T.DoubleType(),
+    "decimal(38,18)": T.DecimalType(38, 18),
     "boolean": T.BooleanType(),
     "timestamp": T.TimestampType(),
     "geo": GEO_TYPE,

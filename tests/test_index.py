@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixture import ITEMS, LONG, documents, row
-from sieveline import KEY, DocumentIndex, FieldError, SearchRequest
+from sieveline import KEY, DocumentIndex, FieldError, SearchRequest, Term
 from sieveline.sources.documents import TypeMismatch
 from sieveline.streaming import index_stream
 
@@ -218,3 +218,10 @@ def test_document_split_over_micro_batches(spark, index, tmp_path):
     run([row("a", 7, "Color", "String", ["Blue"])])
     found = {r[KEY]: r.asDict() for r in index.table().collect()}
     assert (found["a"]["name"], found["a"]["color"]) == (None, "Blue")
+
+
+def test_exact_decimals(spark, index):
+    rows = [row(str(i), i, "Price", "ExactDecimal", [v]) for i, v in enumerate(["0.1", "0.10", "0.100000000000000001", "7"])]
+    index.index(spark.createDataFrame(rows, LONG))
+    found = index.search(SearchRequest(filter=Term("price", ["0.1"]))).documents
+    assert sorted(r.id for r in found.collect()) == ["0", "1"]

@@ -35,6 +35,21 @@ def chunk_counts(docs: list[np.ndarray], order: int) -> tuple[np.ndarray, np.nda
     return np.unique(np.concatenate(found), return_counts=True)
 
 
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, byte plane by byte plane, which compresses well."""
+    return np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Part of the count table that holds a key: equal ranges of hashes, in their order."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
 def score(words: np.ndarray, keys: np.ndarray, counts: np.ndarray, total: int, order: int) -> float:
     """Sum over the words of log S(word | words before), with the document's own counts taken off.
 
@@ -89,20 +104,18 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
         docs_words = words_of(pdf)
         keys, counts = chunk_counts(docs_words, order)
-        part = (keys >> np.uint64(40)) % np.uint64(parts)
-        by_part = np.argsort(part, kind="stable")
-        bounds = np.searchsorted(part[by_part], np.arange(parts + 1, dtype=np.uint64))
+        bounds = np.searchsorted(part_of(keys, parts), np.arange(parts + 1, dtype=np.uint64))
         out = [
-            (int(g), keys[at].tobytes(), counts[at].astype(np.int32).tobytes())
-            for g in range(parts)
-            if len(at := by_part[bounds[g] : bounds[g + 1]])
+            (g, packed(keys[a:b]), counts[a:b].astype(np.int32).tobytes())
+            for g, (a, b) in enumerate(zip(bounds[:-1], bounds[1:]))
+            if a < b
         ]
         return pd.DataFrame(out, columns=["part", "keys", "counts"]).assign(chunk=pdf["chunk"].iloc[0])
 
     asked = dealt.groupBy("chunk").applyInPandas(ask, "chunk int, part int, keys binary, counts binary")
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(k, np.uint64) for k in pdf["keys"]]
+        keys = [unpacked(k) for k in pdf["keys"]]
         names, where = np.unique(np.concatenate(keys), return_inverse=True)
         given = np.concatenate([np.frombuffer(c, np.int32) for c in pdf["counts"]])
         sums = np.bincount(where, weights=given).astype(np.int64)[where]
@@ -117,11 +130,9 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order
     def score_chunk(pdf: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         docs_words = words_of(pdf)
         keys, _ = chunk_counts(docs_words, order)
-        # Answers come in the order of the questions: within a part, by hash.
-        counts = np.zeros(len(keys), np.int64)
-        part = (keys >> np.uint64(40)) % np.uint64(parts)
-        for g, c in zip(told["part"], told["counts"]):
-            counts[part == g] = np.frombuffer(c, np.int64)
+        # Answers come in the order of the questions, so part after part in the order of the keys.
+        told = told.sort_values("part")["counts"]
+        counts = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(c, np.int64) for c in told]])
         n = np.array([len(w) for w in docs_words], np.int64)
         logs = np.array([score(w, keys, counts, total, order) if len(w) else 0.0 for w in docs_words])
         per_word = [x / k if k else None for x, k in zip(logs, n)]

@@ -32,11 +32,15 @@ SKETCH_BLOCK = 1 << 16
 # Prefix elements per shuffle group, and words of pairs per verifying group.
 GROUP_TOKENS = 1 << 20
 GROUP_WORDS = 8 << 20
-# Up to so many documents that share an element, all their pairs are candidates at once.
-ALL_PAIRS = 16
+# Rows of clusters per group.
+GROUP_ROWS = 20_000
+# Documents of a block that all others are compared with at first.
+PIVOTS = 16
+# Members of a cluster that one task compares with as many others.
+BLOCK_MEMBERS = 2000
 # Pairs of one cluster that are verified together.
 CLUSTER_PAIRS = 2000
-SUFFIX_RANGES = 16
+SUFFIX_RANGES = 128
 
 
 def set_key(u: np.ndarray) -> bytes:
@@ -79,7 +83,8 @@ def measured_sets(docs: DataFrame) -> DataFrame:
                 u = np.unique(shingles(w, SHINGLE_WORDS))
                 n.append(len(u))
                 key.append(set_key(u) if len(u) else None)
-                ranges.append(np.bincount((u >> np.uint64(40)).astype(np.int64) % SUFFIX_RANGES, minlength=SUFFIX_RANGES).astype(np.int32).tobytes())
+                counts = np.bincount((u >> np.uint64(40)).astype(np.int64) % SUFFIX_RANGES, minlength=SUFFIX_RANGES)
+                ranges.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
                 all_.append(u)
             slots = (np.concatenate(all_) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
             sketch += np.bincount(slots, minlength=len(sketch)).astype(np.uint32)
@@ -164,12 +169,12 @@ def possible(m: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def meetings(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Candidate pairs among the documents of one group, and what is left to a later round.
+    """Who meets whom among the documents of one group: (``c``, ``key``, ``place``).
 
-    Documents that share an element are a run. A run of up to ``ALL_PAIRS`` gives all its pairs;
-    a longer one pairs its first document with all others and is kept as a ``run`` row, so that
-    later only pairs are compared that no chain of links joins yet. A pair passes if the lengths
-    allow the overlap and if, after the positions of the shared element, enough elements are left.
+    Documents that share an element are a run; it belongs to the cluster named by its first
+    document. ``place`` is the least position of an element that brought a document into a cluster.
+    A run of two is dropped if the lengths do not allow the overlap or if, from the positions of the
+    shared element on, too few elements are left.
     """
     keys = np.concatenate([np.frombuffer(k, "V16") for k in pdf["keys"]])
     starts = np.cumsum([0] + [len(k) // 16 for k in pdf["keys"]])
@@ -185,89 +190,121 @@ def meetings(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     tokens, owners, places = tokens[new], owners[new], places[new]
     first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
     length = np.diff(np.append(first, len(tokens)))
-
-    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-
-    def add(a: np.ndarray, b: np.ndarray) -> None:
-        m, n = sizes[owners[a]], sizes[owners[b]]
-        rest = np.minimum(m - places[a], n - places[b])
-        ok = possible(m, n, percent) & (rest >= least_overlap(m, n, percent))
-        found_a.append(a[ok])
-        found_b.append(b[ok])
-
-    run = np.repeat(np.arange(len(first)), length)
-    short = (length <= ALL_PAIRS)[run]
-    # Pairs at the same distance, within all short runs at once.
-    for step in range(1, ALL_PAIRS):
-        at = np.flatnonzero(short[step:] & (run[step:] == run[: len(run) - step]))
-        add(at, at + step)
-    long_ = np.flatnonzero(length > ALL_PAIRS)
-    for r in long_:
-        add(np.full(length[r] - 1, first[r]), np.arange(first[r] + 1, first[r] + length[r]))
-    a, b = np.concatenate(found_a), np.concatenate(found_b)
-    # The first place of a run names the cluster of its pairs.
-    pairs = pd.DataFrame({"a": owners[a], "b": owners[b], "c": owners[first[run[a]]]}).groupby(["a", "b"], as_index=False)["c"].min()
-    out = [pd.DataFrame({"a": as_bytes(names[pairs["a"]]), "b": as_bytes(names[pairs["b"]]), "c": as_bytes(names[pairs["c"]])})]
-    if len(long_):
-        held = [owners[first[r] : first[r] + length[r]] for r in long_]
-        distinct = {h.tobytes(): h for h in held}.values()
-        members = np.unique(np.concatenate(list(distinct)))
-        local = [np.searchsorted(members, h).astype(np.int32) for h in distinct]
-        out.append(pd.DataFrame({"a": as_bytes(names[members]), "member": np.arange(len(members)), "n": sizes[members]}))
-        out.append(pd.DataFrame({"run": [h.tobytes() for h in local]}))
-    done = pd.concat(out, ignore_index=True).reindex(columns=["a", "b", "c", "member", "n", "run"])
-    done.insert(0, "grp", int(pdf["grp"].iloc[0]))
-    return done.astype({"member": "Int32", "n": "Int32"})
+    two = first[length == 2]
+    m, n = sizes[owners[two]], sizes[owners[two + 1]]
+    ok = possible(m, n, percent) & (np.minimum(m - places[two], n - places[two + 1]) >= least_overlap(m, n, percent))
+    kept = length > 2
+    kept[length == 2] = ok
+    at = np.flatnonzero(np.repeat(kept, length))
+    lead = np.repeat(owners[first], length)[at]
+    rows = pd.DataFrame({"c": lead, "key": owners[at], "place": places[at]}).groupby(["c", "key"], as_index=False)["place"].min()
+    return pd.DataFrame({"c": as_bytes(names[rows["c"]]), "key": as_bytes(names[rows["key"]]), "place": rows["place"].astype(np.int32)})
 
 
 def as_bytes(keys: np.ndarray) -> list[bytes]:
     return [k.tobytes() for k in keys]
 
 
-def left_over(runs: pd.DataFrame, members: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs of long runs whose documents are not in one component yet."""
-    members = members.sort_values("member")
-    part = pd.factorize(members["component"])[0]
-    n, key = members["n"].to_numpy(np.int64), members["a"].to_numpy()
-    found: set[tuple[int, int]] = set()
-    for run in runs["run"]:
-        h = np.frombuffer(run, np.int32)
-        largest = np.bincount(part[h]).argmax()
-        rest = h[part[h] != largest]
-        for x in rest:
-            y = h[(part[h] != part[x]) & possible(n[h], n[x], percent)]
-            found.update((min(int(x), int(v)), max(int(x), int(v))) for v in y)
-    a, b = [key[x] for x, _ in found], [key[y] for _, y in found]
-    return pd.DataFrame({"a": a, "b": b, "c": a})
-
-
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among candidate pairs, each compared once over its whole sets.
+def may_be_linked(rows: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Length, positional and suffix filter of pairs of rows.
 
-    The suffix filter first: elements are counted in 16 ranges of their hashes, and the
-    differences of the counts bound the size of the symmetric difference from below. Pairs that
-    pass are dealt out by cluster, large clusters in parts, and the texts they need follow them.
-    Every task contracts its links to a spanning forest.
+    The suffix filter counts elements in ranges of their hashes: the differences of the counts bound
+    the size of the symmetric difference from below.
     """
-    pairs = pairs.groupBy("a", "b").agg(F.min("c").alias("c"))
-    side = lambda x: classes.select(F.col("key").alias(x), F.col("id").alias(f"id_{x}"), F.col("n").alias(f"n_{x}"), F.col("ranges").alias(f"r_{x}"))
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b")
+    m, n = rows["n"][x], rows["n"][y]
+    need = least_overlap(m, n, percent)
+    ok = possible(m, n, percent) & (np.minimum(m - rows["place"][x], n - rows["place"][y]) >= need)
+    at = np.flatnonzero(ok)
+    for part in np.array_split(at, max(1, len(at) // 50_000)):
+        apart = np.abs(rows["ranges"][x[part]] - rows["ranges"][y[part]]).sum(axis=1, dtype=np.int64)
+        ok[part] = apart <= (m + n - 2 * need)[part]
+    return ok
 
-    columns = ["a", "b", "c", "id_a", "id_b", "words"]
 
-    def suffix_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            if not len(t):
-                continue
-            m, n = (t.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b"))
-            ra, rb = (np.frombuffer(b"".join(t.column(c).to_pylist()), np.int32).reshape(-1, SUFFIX_RANGES) for c in ("r_a", "r_b"))
-            ok = np.abs(ra - rb).sum(axis=1) <= m + n - 2 * least_overlap(m, n, percent)
-            t = t.append_column("words", pa.array(m + n)).filter(pa.array(ok))
-            yield t.select(columns)
-
-    ids = classes.schema["id"].dataType
-    kept = T.StructType([T.StructField(f, t) for f, t in zip(columns, [T.BinaryType(), T.BinaryType(), T.BinaryType(), ids, ids, T.LongType()])])
-    pairs = staged(pairs.mapInArrow(suffix_filter, kept), "ngram-pairs")
+PAIRS = ["a", "b", "c", "id_a", "id_b", "words"]
+
+
+def pairs_of(pdf: pd.DataFrame, percent: int, stars: bool) -> pd.DataFrame:
+    """Pairs to verify among the cluster blocks of a group.
+
+    ``stars``: every member with the first documents of its block, of which the cluster's first is
+    one. That joins most of a group that belongs together. Else: members in different components, of one block or of the two blocks that the rows bring together.
+    """
+    pdf = pdf.sort_values(["c", "i", "j", "key"], ignore_index=True)
+    rows = {
+        "n": pdf["n"].to_numpy(np.int64),
+        "place": pdf["place"].to_numpy(np.int64),
+        "ranges": np.frombuffer(b"".join(pdf["ranges"]), np.uint8).reshape(-1, SUFFIX_RANGES).astype(np.int16),
+    }
+    same = (pdf[["c", "i", "j"]].shift() == pdf[["c", "i", "j"]]).all(axis=1).to_numpy()
+    first = np.flatnonzero(~same)
+    length = np.diff(np.append(first, len(pdf)))
+    if stars:
+        start = np.repeat(first, length)
+        offset = np.arange(len(pdf)) - start
+        found = [np.zeros((2, 0), np.int64)]
+        for step in range(PIVOTS):
+            y = np.flatnonzero(offset > step)
+            x = start[y] + step
+            ok = may_be_linked(rows, x, y, percent)
+            found.append(np.stack([x[ok], y[ok]]))
+        x, y = np.concatenate(found, axis=1)
+    else:
+        part, block = pd.factorize(pdf["component"])[0], pdf["block"].to_numpy()
+        found = [np.zeros((2, 0), np.int64)]
+        i, j = pdf["i"].to_numpy(), pdf["j"].to_numpy()
+        for f, k in zip(first, length):
+            at = np.arange(f, f + k)
+            left = at[block[at] == i[f]]
+            right = at[block[at] == j[f]]
+            # Row by row of the left block, so that memory grows with one block only.
+            for v in left:
+                y = right[right > v] if i[f] == j[f] else right
+                y = y[part[y] != part[v]]
+                x = np.full(len(y), v)
+                ok = may_be_linked(rows, x, y, percent)
+                found.append(np.stack([x[ok], y[ok]]))
+        x, y = np.concatenate(found, axis=1)
+    key, ids, n = pdf["key"].to_numpy(), pdf["id"].to_numpy(), rows["n"]
+    swap = np.array([key[p] > key[q] for p, q in zip(x, y)], bool)
+    x, y = np.where(swap, y, x), np.where(swap, x, y)
+    return pd.DataFrame(
+        {"a": key[x], "b": key[y], "c": pdf["c"].to_numpy()[x], "id_a": ids[x], "id_b": ids[y], "words": n[x] + n[y]}, columns=PAIRS
+    )
+
+
+def candidates(clusters: DataFrame, percent: int, stars: bool) -> DataFrame:
+    """Pairs that pass the filters, from rows (c, key, place, id, n, ranges, blocks) of clusters.
+
+    A large cluster is cut into blocks. For ``stars`` its first document goes to every block; else
+    every block meets every other, each pair of blocks as a group of its own.
+    """
+    rows = clusters.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    if stars:
+        rows = rows.withColumn("i", F.explode(F.when(F.col("key") == F.col("c"), every).otherwise(F.array("block"))))
+        rows = rows.withColumn("j", F.col("i"))
+    else:
+        rows = rows.withColumn("other", F.explode(every))
+        rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
+    ids = clusters.schema["id"].dataType
+    groups = max(12, rows.count() // GROUP_ROWS)
+    schema = T.StructType(
+        [T.StructField(f, t) for f, t in zip(PAIRS, [T.BinaryType(), T.BinaryType(), T.BinaryType(), ids, ids, T.LongType()])]
+    )
+    rows = rows.withColumn("grp", F.pmod(F.xxhash64("c", "i", "j"), F.lit(groups)))
+    return staged(rows.groupBy("grp").applyInPandas(lambda pdf: pairs_of(pdf, percent, stars), schema), "ngram-pairs")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among candidate pairs, each compared once over its whole sets.
+
+    Pairs are dealt out by cluster, large clusters in parts, and the texts they need follow them.
+    Every task contracts its links to a spanning forest.
+    """
+    ids = pairs.schema["id_a"].dataType
+    pairs = pairs.groupBy("a", "b").agg(F.min("c").alias("c"), *[F.first(x).alias(x) for x in ("id_a", "id_b", "words")])
+    pairs = staged(pairs, "ngram-distinct")
     # Of all pairs, one cluster in CLUSTER_PAIRS at most is large.
     large = pairs.groupBy("c").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > CLUSTER_PAIRS)
     parts = F.coalesce(F.ceil(F.col("__n") / CLUSTER_PAIRS), F.lit(1))
@@ -322,27 +359,24 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     classes = staged(classes, "ngram-classes")
     tokens = classes.agg(F.sum("n")).first()[0] or 0
     groups = max(12, math.ceil(tokens * (100 - percent) / 100 / GROUP_TOKENS))
-    met = staged(
-        prefixes(rows.filter("id is not null"), frequency_classes(measured), groups, percent)
-        .groupBy("grp")
-        .applyInPandas(lambda pdf: meetings(pdf, percent), "grp int, a binary, b binary, c binary, member int, n int, run binary"),
-        "ngram-met",
-    )
-    links = verified(met.filter("b is not null").select("a", "b", "c"), classes, rows, percent).select("a", "b")
+    met = prefixes(rows.filter("id is not null"), frequency_classes(measured), groups, percent)
+    met = met.groupBy("grp").applyInPandas(lambda pdf: meetings(pdf, percent), "c binary, key binary, place int")
+    met = met.groupBy("c", "key").agg(F.min("place").alias("place"))
+    clusters = staged(met.join(classes.select("key", "id", "n", "ranges"), "key"), "ngram-clusters")
+    large = clusters.groupBy("c").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > BLOCK_MEMBERS)
+    blocks = F.coalesce(F.ceil(F.col("__n") / BLOCK_MEMBERS), F.lit(1)).cast("int")
+    clusters = clusters.join(broadcast_if_small(large), "c", "left").withColumn("blocks", blocks).drop("__n")
+    links = verified(candidates(clusters, percent, stars=True), rows, percent)
     found = staged(components(links), "ngram-components")
-    if not met.filter("run is not null").isEmpty():
-        inside = classes.join(found.withColumnRenamed("node", "id"), "id").select(F.col("key").alias("a"), "component")
-        members = met.filter("member is not null").select(F.col("grp").alias("__grp"), "a", "member", "n").join(inside, "a", "left")
-        # A document without a link so far is a component by itself.
-        members = members.withColumn("component", F.coalesce(F.col("component").cast("string"), F.hex("a")))
-        runs = met.filter("run is not null").select("grp", "run")
-        more = runs.groupBy("grp").cogroup(members.groupBy("__grp")).applyInPandas(
-            lambda r, m: left_over(r, m, percent), "a binary, b binary, c binary"
-        )
-        more = staged(more, "ngram-left")
-        if not more.isEmpty():
-            late = verified(more, classes, rows, percent).select("a", "b")
-            found = staged(components(links.unionByName(late)), "ngram-components")
+    # What is left: members of one cluster that no chain of links joins.
+    parted = clusters.join(found.withColumnRenamed("node", "id"), "id", "left")
+    parted = parted.withColumn("component", F.coalesce("component", "id"))
+    apart = parted.groupBy("c").agg(F.count(F.lit(1)).alias("__n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    apart = apart.filter("__n > 2 and lo != hi").select("c")
+    left = staged(parted.join(apart, "c"), "ngram-parted")
+    if not left.isEmpty():
+        late = verified(candidates(left, percent, stars=False), rows, percent)
+        found = staged(components(links.unionByName(late)), "ngram-components")
     lead = classes.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "key", "members", F.coalesce("component", "id").alias("component_id")
     )

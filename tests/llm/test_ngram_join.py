@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from sieveline.llm import components, ngram_join, words as w
-from rows import clashing, empty_docs, odd_docs, odd_rows, sentence, words
+from rows import clashing, empty_docs, odd_rows, words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -29,9 +29,8 @@ def found(df):
     return sorted([tuple(r) for r in ngram_join.jaccard_components(df).collect()], key=str)
 
 
-@pytest.mark.parametrize("make", [odd_docs, clashing])
-def test_against_brute_force(spark, make):
-    assert found(make(spark)) == brute(odd_rows())
+def test_against_brute_force(spark):
+    assert found(clashing(spark)) == brute(odd_rows())
 
 
 def copies(rng, groups, most):
@@ -52,8 +51,9 @@ def test_near_copies(spark):
 
 
 def test_large_groups_of_near_copies(spark, monkeypatch):
-    # Long runs: only pairs with the first document at once, the rest in the later round.
-    monkeypatch.setattr(ngram_join, "ALL_PAIRS", 3)
+    # Clusters in blocks: pairs with the first document at once, the rest in the later round.
+    monkeypatch.setattr(ngram_join, "BLOCK_MEMBERS", 7)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 2)
     monkeypatch.setattr(ngram_join, "CLUSTER_PAIRS", 20)
     rows = copies(random.Random(5), 6, 60)
     assert found(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
@@ -70,7 +70,9 @@ def test_empty(spark):
     assert ngram_join.jaccard_components(empty_docs(spark)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("limit", [0, components.ONE_TASK_LINKS])
+def test_components(spark, monkeypatch, limit):
+    monkeypatch.setattr(components, "ONE_TASK_LINKS", limit)
     rng = random.Random(1)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [(i, i + 1) for i in range(1000, 1200)] + [(5000, i) for i in range(5001, 7000)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

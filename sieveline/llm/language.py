@@ -29,9 +29,18 @@ SAMPLE_TEXTS = 400
 SAMPLE_CHARS = 1_500_000
 # One text in so many of the sample is held back for calibration.
 HELD_BACK = 4
-# Standard deviations above the mean cross-entropy of its language at which a text is rejected.
+# Standard deviations above the mean cross-entropy of its language at which a text is rejected: from
+# the least, as a few held-back texts do not show how far clean ones go, to the most.
+LEAST_DEVIATIONS = 5.0
 REJECT_DEVIATIONS = 8.0
+# Quantiles, of own texts and of texts in left-out languages, between which the limit lies.
+OWN_SHARE = 0.995
+FOREIGN_SHARE = 0.05
+# Texts of its own that weigh as much as all languages together in the spread of a language.
+SPREAD_TEXTS = 100
 UNDETERMINED = "und"
+# Characters of a text, about, whose best language is looked at by itself before a text is rejected.
+WINDOW = 100
 # Characters scored together.
 PIECE = 1 << 19
 
@@ -128,8 +137,11 @@ class Scorer:
     def __init__(self, models: list[dict], order: int = ORDER):
         self.models, self.order = models, order
 
-    def totals(self, texts: list[np.ndarray]) -> np.ndarray:
-        """(texts, languages, 2): sums of the surprisals and of their squares, the first space left out."""
+    def totals(self, texts: list[np.ndarray], windows: list | None = None) -> np.ndarray:
+        """(texts, languages, 2): sums of the surprisals and of their squares, the first space left out.
+
+        ``windows`` takes pairs of arrays: windows' texts, and their sums (windows, languages).
+        """
         out = np.zeros((len(texts), len(self.models), 2))
         run, size = [], 0
         for i, codes in enumerate(texts):
@@ -139,13 +151,13 @@ class Scorer:
                 run.append((i, min(at, self.order - 1) or 1, piece))
                 size += len(piece)
                 if size >= PIECE:
-                    self.add(out, run)
+                    self.add(out, run, windows)
                     run, size = [], 0
         if run:
-            self.add(out, run)
+            self.add(out, run, windows)
         return out
 
-    def add(self, out: np.ndarray, run: list[tuple[int, int, np.ndarray]]) -> None:
+    def add(self, out: np.ndarray, run: list[tuple[int, int, np.ndarray]], windows: list | None) -> None:
         run = [(i, skip, c) for i, skip, c in run if len(c) > skip]
         if not run:
             return
@@ -161,10 +173,25 @@ class Scorer:
         c = [np.zeros(len(at), np.uint64)] + [x[at] for x in before]
         bounds = np.cumsum([0] + [len(p[0]) - s for p, (_, s, _) in zip(parts, run)])
         owner = np.array([i for i, _, _ in run])
+        cuts = np.maximum(np.diff(bounds) // WINDOW, 1)
+        edges = np.concatenate([a + np.arange(k) * (b - a) // k for a, b, k in zip(bounds[:-1], bounds[1:], cuts)])
+        inner = np.zeros((len(edges), len(self.models)))
         for m, model in enumerate(self.models):
             values = surprisal(model, g, c)[where]
             np.add.at(out[:, m, 0], owner, np.add.reduceat(values, bounds[:-1]))
             np.add.at(out[:, m, 1], owner, np.add.reduceat(values * values, bounds[:-1]))
+            inner[:, m] = np.add.reduceat(values, edges)
+        if windows is not None:
+            windows.append((np.repeat(owner, cuts), inner))
+
+
+def by_window(windows: list, n: np.ndarray, chosen: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """Cross-entropy of each text with every window in its best one of the chosen languages: a text
+    in two learned languages is no foreign text."""
+    out = np.zeros(len(n))
+    for owner, sums in windows:
+        np.add.at(out, owner, sums[:, chosen].min(axis=1))
+    return out / n
 
 
 def held_out(doc_id: str) -> Column:
@@ -206,44 +233,68 @@ def fit(labelled: DataFrame) -> dict:
 
 
 def calibrated(models: list[dict], back: list[list[np.ndarray]]) -> dict:
-    """Per language the mean and spread of the cross-entropy of its own texts and the mean of other
-    languages' texts; and the sharpness of confidence."""
-    scorer, limits, gaps, right = Scorer(models), [], [], []
-    foreign = np.zeros((len(models), 2))
+    """Per language the mean and spread of the cross-entropy of its own texts (:func:`by_window`) and the
+    deviations above the mean from which a text is rejected; the sharpness of confidence; and two
+    error rates.
+
+    A language's limit lies half-way between the high deviations of held-back texts in their own
+    language and the low ones of texts that have it as best model when the model of their own
+    language is left out: what an unlearned language would look like. Where both overlap, the former
+    count. ``lost`` is the share of own texts that are rejected; ``passed`` lists, per left-out
+    language, the share of its texts that are not.
+    """
+    scorer, entropies, lengths, parts, likely = Scorer(models), [], [], [], []
+    mean, between, per_char = np.zeros((3, len(models)))
     for k, texts in enumerate(back):
-        sums = scorer.totals(texts)
+        parts.append([])
+        sums = scorer.totals(texts, parts[k])
         n = np.maximum(np.array([len(c) - 1 for c in texts]), 1)
-        entropy = sums[:, :, 0] / n[:, None]
-        mean = sums[:, k, 0].sum() / n.sum()
-        per_char = max(sums[:, k, 1].sum() / n.sum() - mean**2, 1e-6)
+        entropies.append(sums[:, :, 0] / n[:, None])
+        lengths.append(n)
+        likely.append(by_window(parts[k], n))
+        mean[k] = (likely[k] * n).sum() / n.sum()
+        per_char[k] = max(sums[:, k, 1].sum() / n.sum() - (sums[:, k, 0].sum() / n.sum()) ** 2, 1e-6)
         # Spread between texts beyond what their lengths explain.
-        between = max(float(np.mean((entropy[:, k] - mean) ** 2 - per_char / n)), 0.0)
-        limits.append((mean, between, per_char))
-        others = np.arange(len(models)) != k
-        foreign[others] += np.stack([sums[:, others, 0].sum(axis=0), np.full(others.sum(), n.sum())], axis=1)
-        gaps.append(entropy - entropy.min(axis=1, keepdims=True))
-        right.append(np.full(len(texts), k))
-    if not gaps:
-        return {"limits": limits, "sharpness": 1.0}
-    # A single language has no foreign texts: characters drawn evenly stand for them.
-    even = [-np.log(m["unseen"]) for m in models]
-    limits = [(*x, f[0] / f[1] if f[1] else e) for x, f, e in zip(limits, foreign, even)]
-    gaps, right = np.concatenate(gaps), np.concatenate(right)
+        between[k] = max(float(np.mean((likely[k] - mean[k]) ** 2 - per_char[k] / n)), 0.0)
+    if not models:
+        return {"limits": [], "sharpness": 1.0, "lost": 0.0, "passed": []}
+    # A few texts say little of the spread, so it leans on that of all languages.
+    size = np.array([len(t) for t in back])
+    common = (size * between / mean**2).sum() / size.sum() * mean**2
+    between = (size * between + SPREAD_TEXTS * common) / (size + SPREAD_TEXTS) * (1 + 1 / size)
+    deviation = lambda e, n, k: (e - mean[k]) / np.sqrt(between[k] + per_char[k] / n)
+    own = [deviation(e, n, k) for k, (e, n) in enumerate(zip(likely, lengths))]
+    foreign = []
+    for k, (e, n) in enumerate(zip(entropies, lengths)):
+        others = np.delete(np.arange(len(models)), k)
+        best = others[e[:, others].argmin(axis=1)] if len(others) else np.zeros(0, int)
+        foreign.append((best, deviation(by_window(parts[k], n, others), n, best) if len(others) else np.zeros(0)))
+    high = max(np.quantile(np.concatenate(own), OWN_SHARE), LEAST_DEVIATIONS)
+    nearest, far = (np.concatenate(x) for x in zip(*foreign))
+    limits = []
+    for k in range(len(models)):
+        low = np.quantile(far[nearest == k], FOREIGN_SHARE) if (nearest == k).any() else np.inf
+        limits.append((mean[k], between[k], per_char[k], min(max(high, (high + low) / 2), REJECT_DEVIATIONS)))
+    cut = np.array([x[3] for x in limits])
+    lost = float(np.mean(np.concatenate([z > cut[k] for k, z in enumerate(own)])))
+    passed = [float(np.mean(z <= cut[best])) for best, z in foreign if len(z)]
+    gaps = np.concatenate([e - e.min(axis=1, keepdims=True) for e in entropies])
+    right = np.repeat(np.arange(len(models)), size)
 
     def loss(s: float) -> float:
         p = np.exp(-s * gaps)
         return float(-np.log(p[np.arange(len(right)), right] / p.sum(axis=1)).mean())
 
-    return {"limits": limits, "sharpness": min((2.0**e for e in range(0, 9)), key=loss)}
+    return {"limits": limits, "sharpness": min((2.0**e for e in range(0, 9)), key=loss), "lost": lost, "passed": passed}
 
 
 def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred, score, entropy, rejected``.
 
     ``score`` is the confidence from 0 to 1: the calibrated share of the best language.
-    ``entropy`` is the cross-entropy per character in it. A text is ``rejected`` when that is as
-    high as that of texts in other languages, on average, and more than :data:`REJECT_DEVIATIONS`
-    standard deviations, for a text of its length, above the mean of the language. A null text and one without letters are ``und``, with score 0, no entropy,
+    ``entropy`` is the cross-entropy per character in it. A text is ``rejected`` when its
+    cross-entropy, every window of it in its own best language, is above the limit of the language
+    (see :func:`calibrated`) for a text of its length: a text of a few words has a wide one. A null text and one without letters are ``und``, with score 0, no entropy,
     and rejected; so is every text if no language was learned. Among equal languages the first by
     name wins. Columns of ``docs`` with a name of the result are replaced.
     """
@@ -271,12 +322,13 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                 texts = [codes_of(t.as_py() or "") if langs else np.zeros(0, np.uint32) for t in run.column(value)]
                 n = np.maximum(np.array([len(c) - 1 for c in texts]), 1)
                 known = np.array([len(c) > 0 for c in texts])
-                entropy = scorer.totals(texts)[:, :, 0] / n[:, None] if langs else np.zeros((len(texts), 1))
+                windows = []
+                entropy = scorer.totals(texts, windows)[:, :, 0] / n[:, None] if langs else np.zeros((len(texts), 1))
                 best = entropy.argmin(axis=1)
                 least = entropy[np.arange(len(texts)), best]
                 share = 1.0 / np.exp(-sharpness * (entropy - least[:, None])).sum(axis=1)
-                mean, between, per_char, foreign = np.array(limits or [(0, 0, 0, 0)]).T[:, best]
-                limit = np.maximum(mean + REJECT_DEVIATIONS * np.sqrt(between + per_char / n), foreign)
+                mean, between, per_char, deviations = np.array(limits or [(0, 0, 0, 0)]).T[:, best]
+                limit = mean + deviations * np.sqrt(between + per_char / n)
                 columns = [run.column(c) for c in run.schema.names if c != value]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -284,7 +336,7 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                         pa.array([langs[b] if k else UNDETERMINED for b, k in zip(best, known)], pa.string()),
                         pa.array(np.where(known, share, 0.0)),
                         pa.array(least, mask=~known),
-                        pa.array(~known | (least > limit)),
+                        pa.array(~known | (by_window(windows, n) > limit)),
                     ],
                     schema=pa.schema([*[run.schema.field(c) for c in run.schema.names if c != value], ("lang_pred", pa.string()), ("score", pa.float64()), ("entropy", pa.float64()), ("rejected", pa.bool_())]),
                 )

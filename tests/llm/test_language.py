@@ -99,6 +99,19 @@ def test_rejects_foreign_text_and_keeps_odd_rows(spark):
     assert language.identify(greek, model).first().rejected
 
 
+@pytest.mark.parametrize("unlearned", ["en", "de", "es", "fr"])
+def test_rejects_an_unlearned_language_of_the_same_script(spark, unlearned):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) >= 200")
+    model = language.fit_on(docs.filter(F.col("lang") != unlearned))
+    rows = language.identify(docs.filter(language.held_out("doc_id")), model).collect()
+    foreign = [r.rejected for r in rows if r.lang == unlearned]
+    assert sum(foreign) / len(foreign) > 0.9
+    own = [r.rejected for r in rows if r.lang in model["langs"]]
+    assert sum(own) / len(own) < 0.01
+    # The rates that the model states for itself, from its held-back texts.
+    assert model["lost"] < 0.02 and max(model["passed"]) < 0.2
+
+
 def test_nothing_to_learn(spark):
     model = language.fit_on(empty_docs(spark))
     assert {r.lang_pred for r in language.identify(odd_docs(spark), model).collect()} == {"und"}

@@ -6,9 +6,10 @@ discounted probabilities, and the contexts with the weight they give to the next
 context. A text's score in a language is its cross-entropy per character; the lowest wins.
 
 Models are trained on a bounded sample of the labelled texts (:data:`SAMPLE_TEXTS` per language,
-of :data:`SAMPLE_CHARS` characters together, whole texts drawn by a hash of the id). Part of the
-sample is held back to calibrate: per language, how much the cross-entropy of a text in the
-language varies, and, over all, how differences of cross-entropy turn into confidence.
+of :data:`SAMPLE_CHARS` characters together, drawn by a hash of the id). Of a long text the sample
+has the first :data:`TEXT_CHARS` characters, so that a few texts never fill it. Part of the sample
+is held back to calibrate: per language, how much the cross-entropy of a text in the language
+varies, and, over all, how differences of cross-entropy turn into confidence.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from sieveline.sizing import broadcast_if_small, staged
 ORDER = 5
 SAMPLE_TEXTS = 400
 SAMPLE_CHARS = 1_500_000
+# Characters of one text that are learned from: fifty texts at least fit into the sample.
+TEXT_CHARS = 30_000
 # One text in so many of the sample is held back for calibration.
 HELD_BACK = 4
 # Standard deviations above the mean cross-entropy of its language at which a text is rejected: from
@@ -206,6 +209,7 @@ def fit(labelled: DataFrame) -> dict:
     """
     hash_ = F.shiftrightunsigned(F.xxhash64("key", "lang"), 11)
     rows = labelled.filter("lang is not null and text is not null").withColumn("h", hash_)
+    rows = rows.withColumn("text", F.substring("text", 1, TEXT_CHARS))
     # Only the smallest hashes are shuffled: of each language, about twice as many rows as are sampled.
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = F.lit(2.0 * SAMPLE_TEXTS + 100) / F.col("n")
@@ -213,17 +217,15 @@ def fit(labelled: DataFrame) -> dict:
     by_hash = Window.partitionBy("lang").orderBy("h", "key")
     rows = rows.withColumn("i", F.row_number().over(by_hash)).filter(F.col("i") <= SAMPLE_TEXTS)
     chars = F.sum(F.length("text")).over(by_hash.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = rows.withColumn("chars", chars).filter((F.col("chars") <= SAMPLE_CHARS) | (F.col("i") == 1))
+    rows = rows.withColumn("chars", chars).filter(F.col("chars") <= SAMPLE_CHARS)
     sample = staged(rows.select("lang", "i", "text"), "language-sample")
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("i")
-        texts = [codes_of(t) for t in pdf["text"]]
-        back = [c for i, c in zip(pdf["i"], texts) if i % HELD_BACK == 0 and len(c)]
-        used = [c for i, c in zip(pdf["i"], texts) if i % HELD_BACK != 0 and len(c)]
-        if not used:
+        texts = [c for c in map(codes_of, pdf["text"]) if len(c)]
+        if not texts:
             return pd.DataFrame({"lang": [], "model": []})
-        return pd.DataFrame({"lang": pdf["lang"][:1], "model": [pickle.dumps((train(used), back or used))]})
+        return pd.DataFrame({"lang": pdf["lang"][:1], "model": [pickle.dumps(divided(texts))]})
 
     learned = sorted(sample.groupBy("lang").applyInPandas(learn, "lang string, model binary").collect())
     langs = [r["lang"] for r in learned]
@@ -232,6 +234,18 @@ def fit(labelled: DataFrame) -> dict:
     return {"langs": langs, "models": models} | calibrated(models, back)
 
 
+def divided(texts: list[np.ndarray]) -> tuple[dict, list[np.ndarray]]:
+    """The model of some texts and the texts held back from it: one in :data:`HELD_BACK`, of fewer
+    texts the last, of a single one its last part. Only a text of a few letters is both."""
+    used, back = [c for i, c in enumerate(texts) if (i + 1) % HELD_BACK], texts[HELD_BACK - 1 :: HELD_BACK]
+    if not back and len(texts) > 1:
+        used, back = texts[:-1], texts[-1:]
+    elif not back and len(texts[0]) >= 10 * HELD_BACK:
+        at = len(texts[0]) - len(texts[0]) // HELD_BACK
+        used, back = [texts[0][:at]], [texts[0][at - 1 :]]
+    return train(used), back or used
+
+
 def calibrated(models: list[dict], back: list[list[np.ndarray]]) -> dict:
     """Per language the mean and spread of the cross-entropy of its own texts (:func:`by_window`) and the
     deviations above the mean from which a text is rejected; the sharpness of confidence; and two

@@ -112,6 +112,28 @@ def test_rejects_an_unlearned_language_of_the_same_script(spark, unlearned):
     assert model["lost"] < 0.02 and max(model["passed"]) < 0.2
 
 
+@pytest.mark.parametrize("first", [1, 2])
+def test_very_long_texts_do_not_fill_the_sample(spark, monkeypatch, first):
+    learned = []
+    monkeypatch.setattr(language, "calibrated", lambda models, back: learned.append(back) or {"limits": [], "sharpness": 1.0})
+    docs = spark.range(100).selectExpr("cast(id as string) as key", "'xx' as lang", "concat('some words of text ', id % 7) as text")
+    h = F.shiftrightunsigned(F.xxhash64("key", "lang"), 11)
+    drawn = [r.key for r in docs.orderBy(h, "key").collect()]
+    # One text longer than all others may be together, drawn at first or second.
+    long_text = F.repeat(F.lit("long text "), 1 + language.SAMPLE_CHARS // 10)
+    docs = docs.withColumn("text", F.when(F.col("key") == drawn[first - 1], long_text).otherwise(F.col("text")))
+    language.fit(docs)
+    assert len(learned[0][0]) == 100 // language.HELD_BACK
+
+
+def test_held_back_texts_are_not_learned_from(monkeypatch):
+    monkeypatch.setattr(language, "train", lambda used: used)
+    text = lambda i: language.codes_of(f"{'abcdefgh'[i]} words " * 20)
+    for n in range(1, 9):
+        used, back = language.divided([text(i) for i in range(n)])
+        assert back and used and not {c.tobytes() for c in used} & {c.tobytes() for c in back}
+
+
 def test_nothing_to_learn(spark):
     model = language.fit_on(empty_docs(spark))
     assert {r.lang_pred for r in language.identify(odd_docs(spark), model).collect()} == {"und"}

@@ -7,7 +7,8 @@ leave nothing half-written in sight, and any file system that Spark writes to wi
 The reader takes archives as they are found, plain or as gzip members, whole or damaged. When a
 check fails - a member that does not inflate, a version line that is not there, a header
 without a length, a block that does not end where it should - it searches for the next valid
-member or version line, goes on there, and reports the bytes in between as a quarantined gap.
+member or version line, goes on there, and reports the bytes in between as a quarantined gap. It does
+so inside of a member too, also in what inflates of a member that is damaged or cut off.
 """
 
 from __future__ import annotations
@@ -124,7 +125,9 @@ class Record:
 
 @dataclass
 class Gap:
-    """Bytes ``offset`` to ``offset + length`` of an archive that are no valid record."""
+    """Bytes ``offset`` to ``offset + length`` of an archive that hold no valid record, or none but the
+    ones given before. A gap inside of a member has the member's offset, its length in inflated bytes, and the reason
+    names its place in them."""
 
     offset: int
     length: int
@@ -173,44 +176,78 @@ def check(record: Record) -> None:
                 raise Damaged(f"{name} differs")
 
 
-def inflated(data: bytes, at: int) -> tuple[bytes, int]:
-    """The gzip member that starts at ``at`` and the place behind it; its checksum must hold."""
-    stream = zlib.decompressobj(wbits=31)
-    try:
-        out = [stream.decompress(data[at : at + (1 << 16)])]
-        read = at + (1 << 16)
-        while not stream.eof and read < len(data):
-            out.append(stream.decompress(data[read : read + (1 << 16)]))
-            read += 1 << 16
-    except zlib.error as e:
-        raise Damaged(f"member does not inflate: {e}") from None
-    if not stream.eof:
-        raise Damaged("member is cut off")
-    return b"".join(out), min(read, len(data)) - len(stream.unused_data)
-
-
-def read_one(data: bytes, at: int) -> tuple[list[Record], int]:
-    """The records of the member, or the plain record, at ``at``."""
+def inflated(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What inflates of the gzip member that starts at ``at``, the place behind what was read, and the
+    reason why that is not the whole member; None if it is, and its checksum holds."""
+    stream, out, read = zlib.decompressobj(wbits=31), [], at
+    while not stream.eof and read < len(data):
+        before, chunk = stream.copy(), data[read : read + (1 << 16)]
+        try:
+            out.append(stream.decompress(chunk))
+        except zlib.error as e:
+            # Byte by byte, nothing is lost that comes before the error.
+            for k in range(len(chunk)):
+                try:
+                    out.append(before.decompress(chunk[k : k + 1]))
+                except zlib.error:
+                    break
+            return b"".join(out), read + k, f"member does not inflate: {e}"
+        read += len(chunk)
+    return b"".join(out), read - len(stream.unused_data), None if stream.eof else "member is cut off"
+
+
+def in_member(inner: bytes, at: int) -> Iterator[Record | Gap]:
+    """The valid records of a member's inflated bytes in order, and the gaps between them."""
+    place, lost_from, reason = 0, None, ""
+
+    def gap() -> Gap:
+        return Gap(at, place - lost_from, f"{reason} (inflated bytes from {lost_from} of the member)")
+
+    while place < len(inner):
+        try:
+            record, end = parse(inner, place, at)
+        except Damaged as e:
+            if lost_from is None:
+                lost_from, reason = place, str(e)
+            start = VERSION_LINE.search(inner, place + 1)
+            place = start.start() if start else len(inner)
+            continue
+        if lost_from is not None:
+            yield gap()
+            lost_from = None
+        yield record
+        place = end
+    if lost_from is not None:
+        yield gap()
+
+
+def read_one(data: bytes, at: int) -> tuple[list[Record | Gap], int, str | None]:
+    """The records of the member, or the plain record, at ``at``, the place behind what was read, and
+    the reason if the member is not whole; :class:`Damaged` if there is no valid record."""
     if data[at : at + 3] != GZIP:
         record, end = parse(data, at)
-        return [record], end
-    inner, end = inflated(data, at)
-    found, place = [], 0
-    while place < len(inner):
-        record, place = parse(inner, place, at)
-        found.append(record)
-    if not found:
-        raise Damaged("empty member")
-    return found, end
+        return [record], end, None
+    inner, end, fault = inflated(data, at)
+    found = list(in_member(inner, at))
+    if not any(isinstance(f, Record) for f in found):
+        raise Damaged(fault or (found[0].reason if found else "empty member"))
+    # What follows the last record of a broken member is in the gap that the member leaves.
+    while fault and isinstance(found[-1], Gap):
+        found.pop()
+    return found, end, fault
 
 
 def salvage(data: bytes) -> Iterator[Record | Gap]:
     """All valid records of an archive in order, and the gaps between them."""
     at, lost_from, reason = 0, None, ""
     next_start = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
+    # Records of the last broken member and how far it was read: stored blocks show them again.
+    shown, reach = [], 0
     while at < len(data):
         try:
-            found, end = read_one(data, at)
+            found, end, fault = read_one(data, at)
+            if at < reach and data[at : at + 3] != GZIP and (found[0].headers, found[0].block) in shown:
+                raise Damaged("part of a broken member")
         except Damaged as e:
             if lost_from is None:
                 lost_from, reason = at, str(e)
@@ -221,7 +258,13 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
             yield Gap(lost_from, at - lost_from, reason)
             lost_from = None
         yield from found
-        at = end
+        if fault is None:
+            at = end
+            continue
+        shown, reach = [(f.headers, f.block) for f in found if isinstance(f, Record)], end
+        lost_from, reason = at, fault
+        start = next_start.search(data, at + 1)
+        at = start.start() if start else len(data)
     if lost_from is not None:
         yield Gap(lost_from, len(data) - lost_from, reason)
 

@@ -95,6 +95,42 @@ def test_random_damage_accounts_for_every_byte():
         assert sum(f[1] for f in found if not isinstance(f, str)) <= sum(len(parts[i]) for i in touched)
 
 
+def named(found):
+    return [f.headers["warc-record-id"] for f in found if isinstance(f, warc.Record)]
+
+
+def test_damaged_record_inside_of_a_member():
+    parts = [record(i) for i in range(6)]
+    parts[2] = parts[2][:-40] + b"#" + parts[2][-39:]
+    data = gzip.compress(b"".join(parts)) + gzip.compress(record(6))
+    found = list(warc.salvage(data))
+    assert named(found) == [f"<r{i}>" for i in (0, 1, 3, 4, 5, 6)]
+    (gap,) = [f for f in found if isinstance(f, warc.Gap)]
+    assert (gap.offset, gap.length) == (0, len(parts[2])) and "warc-block-digest differs" in gap.reason
+    assert str(len(parts[0] + parts[1])) in gap.reason
+
+
+@pytest.mark.parametrize("level", [0, 6])
+@pytest.mark.parametrize("fault", ["cut", "checksum", "flipped"])
+def test_broken_members_with_many_records(fault, level):
+    whole = gzip.compress(b"".join(record(i, 3000) for i in range(100)), level)
+    if fault == "cut":
+        broken, lost = whole[:-9], {"<r99>"}
+    elif fault == "checksum":
+        broken, lost = whole[:-8] + bytes([whole[-8] ^ 1]) + whole[-7:], set()
+    else:
+        at = len(whole) // 2
+        broken, lost = whole[:at] + bytes(b ^ 0xFF for b in whole[at : at + 30]) + whole[at + 30 :], None
+    data = gzip.compress(record(200)) + broken + gzip.compress(record(201))
+    found = list(warc.salvage(data))
+    got = named(found)
+    assert len(got) == len(set(got)) and {"<r200>", "<r201>"} <= set(got)
+    every = {f"<r{i}>" for i in range(100)}
+    assert every - set(got) <= lost if lost is not None else len(every & set(got)) >= 40
+    gaps = [f for f in found if isinstance(f, warc.Gap)]
+    assert any(g.offset == len(gzip.compress(record(200))) for g in gaps)
+
+
 def test_gaps_are_rows(spark, tmp_path):
     path = tmp_path / "damaged"
     path.mkdir()

@@ -18,8 +18,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from sieveline.llm.common import join_groups
 from sieveline.llm.components import components, forest
 from sieveline.llm.words import mixed, shingles, texts_of_words
 from sieveline.sizing import broadcast_if_small, staged
@@ -59,10 +60,11 @@ def least_overlap(m: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def measured_sets(docs: DataFrame) -> DataFrame:
-    """First pass, staged: a row per document (``id, n, key, ranges``) and sketch rows (``block, counts``)."""
+    """First pass, staged: a row per document (``id, hash, n, key, ranges``) and sketch rows (``block, counts``)."""
     schema = T.StructType(
         [
             T.StructField("id", docs.schema["id"].dataType),
+            T.StructField("hash", T.LongType()),
             T.StructField("n", T.IntegerType()),
             T.StructField("key", T.BinaryType()),
             T.StructField("ranges", T.BinaryType()),
@@ -90,13 +92,13 @@ def measured_sets(docs: DataFrame) -> DataFrame:
             sketch += np.bincount(slots, minlength=len(sketch)).astype(np.uint32)
             none = pa.nulls(len(n), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [run.column("id"), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(ranges, pa.binary()), none, pa.nulls(len(n), pa.binary())],
+                [run.column("id"), run.column("hash"), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(ranges, pa.binary()), none, pa.nulls(len(n), pa.binary())],
                 names,
             )
         blocks = [sketch[i : i + SKETCH_BLOCK].tobytes() for i in range(0, len(sketch), SKETCH_BLOCK)]
         k = len(blocks)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(k, to_arrow_type(id_type)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), pa.array(blocks, pa.binary())],
+            [pa.nulls(k, to_arrow_type(id_type)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), pa.array(blocks, pa.binary())],
             names,
         )
 
@@ -297,12 +299,11 @@ def candidates(clusters: DataFrame, percent: int, stars: bool) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among candidate pairs, each compared once over its whole sets.
+    """Links (a, b) of keys among candidate pairs, each compared once over its whole sets.
 
     Pairs are dealt out by cluster, large clusters in parts, and the texts they need follow them.
     Every task contracts its links to a spanning forest.
     """
-    ids = pairs.schema["id_a"].dataType
     pairs = pairs.groupBy("a", "b").agg(F.min("c").alias("c"), *[F.first(x).alias(x) for x in ("id_a", "id_b", "words")])
     pairs = staged(pairs, "ngram-distinct")
     # Of all pairs, one cluster in CLUSTER_PAIRS at most is large.
@@ -326,15 +327,14 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                 u = np.unique(shingles(w, SHINGLE_WORDS))
                 sets[set_key(u)] = u
         links = []
-        for a, b, id_a, id_b in zip(left["a"], left["b"], left["id_a"], left["id_b"]):
+        for a, b in zip(left["a"], left["b"]):
             x, y = sets[a], sets[b]
             common = len(np.intersect1d(x, y, assume_unique=True))
             if common * 100 >= percent * (len(x) + len(y) - common):
-                links.append((id_a, id_b))
+                links.append((a, b))
         return pd.DataFrame(forest(links), columns=["a", "b"])
 
-    links = T.StructType([T.StructField("a", ids), T.StructField("b", ids)])
-    return staged(pairs.groupBy("grp").cogroup(with_text.groupBy("grp")).applyInPandas(compare, links), "ngram-links")
+    return staged(pairs.groupBy("grp").cogroup(with_text.groupBy("grp")).applyInPandas(compare, "a binary, b binary"), "ngram-links")
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -350,9 +350,20 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     Documents with equal sets are one class, which is compared once and joined by its key, never
     expanded into pairs.
     """
+    found = grouped(docs, doc_id, text, percent, by_id=True)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def grouped(docs: DataFrame, doc_id: str, text: str, percent: int, by_id: bool) -> DataFrame:
+    """(id, hash, n, component_id) of each row, ``hash`` being that of its text.
+
+    The nodes are classes of equal sets. With ``by_id``, those that share an id are joined too, and
+    ``component_id`` is the smallest id; else it is the key of a class, null without a set.
+    """
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
+    rows = rows.withColumn("hash", F.xxhash64("text"))
     measured = measured_sets(rows)
-    sets = measured.filter("block is null").select("id", "n", "key", "ranges")
+    sets = measured.filter("block is null").select("id", "hash", "n", "key", "ranges")
     classes = sets.filter("key is not null and id is not null").groupBy("key").agg(
         F.min("id").alias("id"), F.max("n").alias("n"), F.max("ranges").alias("ranges"), F.count(F.lit(1)).alias("members")
     )
@@ -367,22 +378,47 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     blocks = F.coalesce(F.ceil(F.col("__n") / BLOCK_MEMBERS), F.lit(1)).cast("int")
     clusters = clusters.join(broadcast_if_small(large), "c", "left").withColumn("blocks", blocks).drop("__n")
     links = verified(candidates(clusters, percent, stars=True), rows, percent)
+    twice = repeated(sets) if by_id else None
+    if by_id:
+        links = links.unionByName(twice.filter("key != a").select("a", F.col("key").alias("b")))
     found = staged(components(links), "ngram-components")
     # What is left: members of one cluster that no chain of links joins.
-    parted = clusters.join(found.withColumnRenamed("node", "id"), "id", "left")
-    parted = parted.withColumn("component", F.coalesce("component", "id"))
+    parted = clusters.join(found.withColumnRenamed("node", "key"), "key", "left")
+    parted = parted.withColumn("component", F.coalesce("component", "key"))
     apart = parted.groupBy("c").agg(F.count(F.lit(1)).alias("__n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     apart = apart.filter("__n > 2 and lo != hi").select("c")
     left = staged(parted.join(apart, "c"), "ngram-parted")
     if not left.isEmpty():
         late = verified(candidates(left, percent, stars=False), rows, percent)
         found = staged(components(links.unionByName(late)), "ngram-components")
-    lead = classes.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "members", F.coalesce("component", "id").alias("component_id")
-    )
-    return with_class(sets, lead).select(
-        F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")
+    if not by_id:
+        of_key = classes.join(found.withColumnRenamed("node", "key"), "key", "left")
+        return with_class(sets, staged(of_key.select("key", "members", F.coalesce("component", "key").alias("component_id")), "ngram-lead"))
+    # A component is named by its smallest id; what no link joins is a component by itself.
+    named = staged(classes.select("key", "id").join(found.withColumnRenamed("node", "key"), "key"), "ngram-named")
+    least = named.groupBy("component").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("__n"))
+    named = join_groups(named, least, "component", "__n", named.count()).select("key", "component_id")
+    lead = staged(classes.join(named, "key", "left").select("key", "members", F.coalesce("component_id", "id").alias("component_id")), "ngram-lead")
+    # A row without a set goes with the others of its id.
+    bare = twice.filter("bare and a = key").join(lead, "key")
+    lead = lead.unionByName(bare.select(no_set(F.xxhash64("id")).alias("key"), F.lit(0).cast("long").alias("members"), "component_id"))
+    out = with_class(sets, lead)
+    return out.withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")))
+
+
+def repeated(sets: DataFrame) -> DataFrame:
+    """(id, key, a, bare) of the ids that occur with different sets, or also without one (``bare``):
+    their keys and the least of them."""
+    ids = sets.filter("id is not null").groupBy("id").agg(
+        F.min("key").alias("a"), F.max("key").alias("hi"), (F.count("key") < F.count(F.lit(1))).alias("bare")
     )
+    ids = staged(ids.filter("a is not null and (bare or a != hi)").drop("hi"), "ngram-repeated")
+    return staged(sets.filter("key is not null").select("id", "key").join(broadcast_if_small(ids), "id").distinct(), "ngram-same-id")
+
+
+def no_set(hash_: Column) -> Column:
+    """Key of a row without a set, by the hash of its id."""
+    return F.concat(F.lit(b"none"), F.unhex(F.hex(hash_)))
 
 
 def with_class(sets: DataFrame, lead: DataFrame) -> DataFrame:
@@ -391,16 +427,30 @@ def with_class(sets: DataFrame, lead: DataFrame) -> DataFrame:
     total = sets.count()
     hot = F.broadcast(lead.filter(F.col("members") * 1000 >= total).select("key", F.col("component_id").alias("hot_id")))
     rest = lead.filter(F.col("members") * 1000 < total).select("key", "component_id")
-    rows = sets.select("id", "n", "key").join(hot, "key", "left")
+    rows = sets.select("id", "hash", "n", "key").join(hot, "key", "left")
     # Hot rows and rows without a set take a key of their own in the second join.
     own = F.when(F.col("hot_id").isNull(), F.col("key"))
-    spread = F.coalesce(own, F.concat(F.lit(b"none"), F.unhex(F.hex(F.xxhash64("id")))))
+    spread = F.coalesce(own, no_set(F.xxhash64("id")))
     joined = rows.withColumn("key", spread).join(rest, "key", "left")
-    return joined.select("id", "n", F.coalesce("hot_id", "component_id").alias("component_id"))
+    return joined.select("id", "hash", "n", F.coalesce("hot_id", "component_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component: the one named by it. A null id stays."""
-    found = jaccard_components(docs, doc_id, text, percent)
-    gone = staged(found.filter("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct(), "ngram-gone")
-    return docs.join(broadcast_if_small(gone), docs[doc_id] == F.col("__gone"), "left_anti")
+    """``docs`` with one row of each group of near duplicates: of its smallest id. A null id stays.
+
+    Groups are those of the texts: rows that repeat an id with another text are documents of their
+    own, so no text goes without one like it that stays. Rows that repeat id and text are one.
+    """
+    found = staged(grouped(docs, doc_id, text, percent, by_id=False).filter("id is not null"), "ngram-grouped")
+    some = staged(found.filter("component_id is not null").select("id", "hash", "component_id").distinct(), "ngram-rows")
+    first = some.groupBy("component_id").agg(F.min(F.struct("id", "hash")).alias("first"), F.count(F.lit(1)).alias("__n"))
+    some = join_groups(some, first.filter("__n > 1"), "component_id", "__n", some.count())
+    gone = staged(some.filter(F.struct("id", "hash") != F.col("first")).select(F.col("id").alias("__id"), F.col("hash").alias("__gone")), "ngram-gone")
+    rows = docs.withColumn("__hash", F.xxhash64(F.col(text).cast("string")))
+    rows = rows.join(broadcast_if_small(gone), (F.col(doc_id) == F.col("__id")) & (F.col("__hash") == F.col("__gone")), "left_anti")
+    twice = found.groupBy("id", "hash").count().filter("count > 1").select(F.col("id").alias("__id"), F.col("hash").alias("__gone"))
+    twice = staged(twice, "ngram-twice")
+    if not twice.isEmpty():
+        twice, same = broadcast_if_small(twice), (F.col(doc_id) == F.col("__id")) & (F.col("__hash") == F.col("__gone"))
+        rows = rows.join(twice, same, "left_anti").unionByName(rows.join(twice, same, "left_semi").dropDuplicates([doc_id, "__hash"]))
+    return rows.drop("__hash")

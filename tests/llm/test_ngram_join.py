@@ -66,6 +66,26 @@ def test_one_of_each(spark):
     assert {r.doc_id for r in kept.collect()} == stays
 
 
+def repeated_ids():
+    t = [" ".join(f"{x}{i}" for i in range(40)) for x in "abcde"]
+    # An id with two texts, with a text and none, rows that repeat id and text, three texts in a chain.
+    return [
+        (5, t[0]), (7, t[0]), (7, t[1]), (9, t[1]), (12, t[1] + " tail"), (20, t[2]), (20, None), (18, t[2]),
+        (30, t[3]), (30, t[3]), (31, t[3]), (40, ""), (40, ""), (41, t[4]), (41, t[4].upper()),
+    ]
+
+
+def test_ids_with_several_texts_are_one_node(spark):
+    rows = repeated_ids()
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_no_text_vanishes_and_no_copy_stays(spark):
+    kept = ngram_join.one_of_each(spark.createDataFrame(repeated_ids(), "doc_id long, text string")).collect()
+    first = [(r.doc_id, next(iter(words(r.text)), "")) for r in kept]
+    assert sorted(first) == [(5, "a0"), (7, "b0"), (18, "c0"), (20, ""), (30, "d0"), (40, ""), (41, "e0")]
+
+
 def test_empty(spark):
     assert ngram_join.jaccard_components(empty_docs(spark)).count() == 0
 

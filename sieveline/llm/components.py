@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from sieveline.llm.common import join_groups
 from sieveline.sizing import staged
 
 
-# So many links, a few megabytes, are joined by one task; more are joined in rounds.
-ONE_TASK_LINKS = 200_000
+# So many links are joined by one task instead of in rounds, whatever the input: none.
+ONE_TASK_LINKS = 0
 
 
 def forest(pairs: list[tuple]) -> list[tuple]:
@@ -50,22 +49,12 @@ def star(links: DataFrame, large: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of the links (a, b): the smallest node it can reach.
 
-    Nodes without links have no row. Links that a task can hold (a fixed number) are joined
-    at once; others in rounds, each staged, until a round changes nothing.
+    Nodes without links have no row. Links are joined in rounds, each staged, until a round changes nothing.
     Links may repeat and may run either way; a link of a node to itself, or to null, is none.
     """
     edges = staged(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     sign = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     before = sign(edges)
-    if before[0] <= ONE_TASK_LINKS:
-        kind = edges.schema["a"].dataType.simpleString()
-
-        def joined(pdf: pd.DataFrame) -> pd.DataFrame:
-            found = forest(list(zip(pdf["a"], pdf["b"])))
-            roots = dict.fromkeys(root for _, root in found)
-            return pd.DataFrame([*found, *((r, r) for r in roots)], columns=["node", "component"])
-
-        return edges.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(joined, f"node {kind}, component {kind}")
     while before[0]:
         edges = staged(star(staged(star(edges, True), "links"), False), "links")
         after = sign(edges)

@@ -17,8 +17,10 @@ from sieveline.llm import (
     line_dedup,
     lm_score,
     ngram_join,
+    periodic,
     warc,
 )
+from sieveline.llm.common import WORD
 from sieveline.sizing import staged, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -330,3 +332,83 @@ GROUP BY g.doc_id, item.item_id, item.item_copies, item.m HAVING 100 * count(*)
 @query(LEAKS_SQL)
 def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def crc32_sql(value: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    step = "list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    digits = f"list_transform(string_split({value}, ''), lambda d: ascii(d)::BIGINT)"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), lambda r, d: "
+        + step.replace("[c,", "[xor(r, d),")
+        + "), 4294967295)"
+    )
+
+
+# Every stretch of words that equal those some period before, for every period up to a quarter of the text.
+PERIODIC_SQL = f"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, {crc32_sql("doc_id::VARCHAR")} AS h FROM documents
+), e AS (
+    SELECT doc_id, w, h % 10 = 0 AND len(w) > 0 AS planted, len(w)::BIGINT AS n, (h // 10) % greatest(len(w), 1) AS a,
+        1 + (len(w) - (h // 10) % greatest(len(w), 1)) // (3 + (h // 10) % 8) AS p FROM d
+), w AS (
+    SELECT doc_id, n, i, CASE WHEN planted AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+    FROM (SELECT *, unnest(range(n)) AS i FROM e)
+), same AS (
+    SELECT x.doc_id, y.i - x.i AS q, x.i, x.i - row_number() OVER (PARTITION BY x.doc_id, y.i - x.i ORDER BY x.i) AS stretch
+    FROM w x JOIN w y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), every_period AS (
+    SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM same GROUP BY doc_id, q, stretch HAVING count(*) >= 3 * q
+), run AS (
+    SELECT * FROM every_period r WHERE length >= 6 AND NOT EXISTS (
+        SELECT 1 FROM every_period s WHERE s.doc_id = r.doc_id AND s.q < r.q AND r.q % s.q = 0
+            AND s.start <= r.start AND s.start + s.length >= r.start + r.length)
+), best AS (
+    SELECT doc_id, count(*) AS n_runs, first(start ORDER BY length DESC, start, q) AS start,
+        max(length) AS length, first(q ORDER BY length DESC, start, q) AS period,
+        string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS listed FROM run GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed FROM w
+    WHERE NOT EXISTS (SELECT 1 FROM run r WHERE r.doc_id = w.doc_id AND w.i >= r.start + r.q AND w.i < r.start + r.length)
+    GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+    (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+    sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM d LEFT JOIN best ON best.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
+
+
+def with_repetitions(docs: DataFrame) -> DataFrame:
+    """The texts of about a tenth of the documents, chosen by id, with their words repeated from some place on."""
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    n, a, p = F.col("__n"), F.col("__a"), F.col("__p")
+    hashed = docs.withColumn("__h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    parted = hashed.withColumn("__w", F.when(F.col("__h") % 10 == 0, words))
+    placed = parted.withColumns({"__n": F.size("__w"), "__g": F.floor(F.col("__h") / 10)})
+    placed = placed.withColumn("__a", F.when(n > 0, F.col("__g") % n).cast("int"))
+    placed = placed.withColumn("__p", (F.lit(1) + F.floor((n - a) / (F.lit(3) + F.col("__g") % 8))).cast("int"))
+    block = F.slice("__w", a + 1, p)
+    copies = F.flatten(F.array_repeat(block, F.ceil((n - a) / p).cast("int")))
+    repeated = F.concat(F.slice("__w", F.lit(1), a), F.slice(copies, F.lit(1), n - a))
+    return placed.select("doc_id", F.when(n > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query(PERIODIC_SQL)
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_repetitions(read(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    shown = found.withColumns({"__best": best, "__listed": F.array_join(listed, "")})
+    start, length, period = -F.col("__best.s"), F.col("__best.n"), -F.col("__best.p")
+    return shown.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(F.lit(1000) * length / period).alias("exponent_milli"),
+        F.sha2(F.col("__listed").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )

@@ -20,6 +20,7 @@ from sieveline.llm import (
     lm_score,
     ngram_join,
     periodic,
+    ranked_search,
     warc,
 )
 from sieveline.llm.common import WORD
@@ -336,6 +337,31 @@ def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+TERMS_SQL = f"""regexp_extract_all(translate(coalesce(text, ''), '{dedup.UPPER}', '{dedup.LOWER}'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+RANKED_SQL = f"""
+WITH d AS (SELECT doc_id, {TERMS_SQL} AS w FROM documents
+), n AS (SELECT doc_id, len(w) AS n FROM d WHERE len(w) > 0
+), c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n
+), f AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY doc_id, term
+), g AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM f, c GROUP BY term, docs
+), q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({TERMS_SQL}) AS term FROM benchmark) GROUP BY item_id, term
+), s AS (
+    SELECT item_id, f.doc_id,
+        sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))))::BIGINT AS score
+    FROM q JOIN g ON g.term = q.term JOIN f ON f.term = q.term JOIN n ON n.doc_id = f.doc_id, c
+    GROUP BY item_id, f.doc_id
+), r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query(RANKED_SQL)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")

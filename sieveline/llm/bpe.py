@@ -13,9 +13,14 @@ fewer the tasks that meet it.
 from __future__ import annotations
 
 import base64
+import gc
+import re
+import struct
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 from pathlib import Path
 
 import numpy as np
@@ -28,17 +33,17 @@ from sieveline.llm.spans import runs_of_rows
 from sieveline.sizing import staged
 
 # Texts handled together have about this many bytes; a longer text is a piece by itself.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 # Words are replayed together up to this many bytes; a longer word is a piece by itself.
-REPLAY_BYTES = 1 << 20
+REPLAY_BYTES = 1 << 18
 # The table of encodings that every executor gets, and the table of known units of a task.
 SHARED_BYTES = 8 << 20
-KNOWN_UNITS = 500_000
+KNOWN_UNITS = 200_000
 # What an entry of the shared table takes besides its word and its ids.
 ENTRY_BYTES = 8
 
-# Places before which a text may be cut, and the spaces that are none.
-CUT, ODD_SPACE = regex.compile(r" (?=\S)"), regex.compile(r" (?!\S)")
+# Places before which a text may be cut; spaces of which some are none.
+CUT, ODD_SPACE = regex.compile(r" (?=\S)"), re.compile(r" (?:\s|\Z)")
 
 
 def read_ranks(path: str) -> bytes:
@@ -50,7 +55,7 @@ class Merges:
     """The ranks of the tokens and, for each pair of tokens that is a token, its rank."""
 
     def __init__(self, rank_file: bytes):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines()) if a}
+        self.ranks = self.ranks_of(rank_file)
         self.single = [self.ranks.get(bytes([b])) for b in range(256)]
         if None in self.single:
             raise ValueError("a byte-level vocabulary has a token for every byte")
@@ -62,6 +67,10 @@ class Merges:
             if token[:i] in self.ranks and token[i:] in self.ranks
         }
 
+    @staticmethod
+    def ranks_of(rank_file: bytes) -> dict[bytes, int]:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines())}
+
     def replayed(self, words: list[bytes]) -> list[list[int]]:
         """The tokens of each word: all merges in rank order, from the left within a rank.
 
@@ -71,15 +80,18 @@ class Merges:
         symbols: list[int] = []
         for word in words:
             symbols += [single[b] for b in word]
-            symbols.append(-1)  # pairs with a negative symbol have no rank
+            symbols.append(-1)  # a pair with a negative symbol has a negative key, which none of the pairs has
         symbols.append(-1)
         after = list(range(1, len(symbols) + 1))
         before = list(range(-1, len(symbols) - 1))
         places: dict[int, list[int]] = {}
-        for i in range(len(symbols) - 1):
-            rank = pairs.get(symbols[i] << bits | symbols[i + 1]) if symbols[i] >= 0 <= symbols[i + 1] else None
+        rank_of = pairs.get
+        for i, rank in enumerate(map(rank_of, [a << bits | b for a, b in pairwise(symbols)])):
             if rank is not None:
-                places.setdefault(rank, []).append(i)
+                if rank in places:
+                    places[rank].append(i)
+                else:
+                    places[rank] = [i]
         waiting = list(places)
         heapify(waiting)
         while waiting:
@@ -87,20 +99,27 @@ class Merges:
             here = places.pop(rank)
             here.sort()
             for i in here:
-                j, a = after[i], symbols[i]
-                if a < 0 or symbols[j] < 0 or pairs.get(a << bits | symbols[j]) != rank:
+                j = after[i]
+                if rank_of(symbols[i] << bits | symbols[j]) != rank:
                     continue
                 symbols[i], symbols[j] = rank, -2
                 k = after[i] = after[j]
                 before[k] = i
-                for left, right in ((before[i], i), (i, k)):
-                    if left >= 0 and symbols[left] >= 0 <= symbols[right]:
-                        made = pairs.get(symbols[left] << bits | symbols[right])
-                        if made is not None:
-                            if made not in places:
-                                places[made] = []
-                                heappush(waiting, made)
-                            places[made].append(left)
+                made = rank_of(rank << bits | symbols[k])
+                if made is not None:
+                    if made in places:
+                        places[made].append(i)
+                    else:
+                        places[made] = [i]
+                        heappush(waiting, made)
+                k = before[i]
+                made = rank_of(symbols[k] << bits | rank)
+                if made is not None:
+                    if made in places:
+                        places[made].append(k)
+                    else:
+                        places[made] = [k]
+                        heappush(waiting, made)
         out: list[list[int]] = []
         at = 0
         for word in words:
@@ -112,20 +131,36 @@ class Merges:
             at = end + 1
         return out
 
-    def encoded(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    def encoded(self, words: Iterable[str]) -> Iterator[tuple[str, bytes]]:
         """Each word with its ids as 32-bit integers. A word that is a token is that token."""
-        rest: list[bytes] = []
+        rest: list[str] = []
+        texts: list[bytes] = []
         size = 0
         for word in words:
-            if word in self.ranks:
-                yield word, np.int32(self.ranks[word]).tobytes()
+            text = word.encode()
+            if text in self.ranks:
+                yield word, self.ranks[text].to_bytes(4, "little")
                 continue
             rest.append(word)
-            size += len(word)
+            texts.append(text)
+            size += len(text)
             if size >= REPLAY_BYTES:
-                yield from zip(rest, (np.array(ids, np.int32).tobytes() for ids in self.replayed(rest)))
-                rest, size = [], 0
-        yield from zip(rest, (np.array(ids, np.int32).tobytes() for ids in self.replayed(rest)))
+                yield from zip(rest, self.packed(texts))
+                rest, texts, size = [], [], 0
+        yield from zip(rest, self.packed(texts))
+
+    def packed(self, words: list[bytes]) -> list[bytes]:
+        return [struct.pack(f"<{len(ids)}i", *ids) for ids in self.replayed(words)]
+
+
+@contextmanager
+def no_search_for_cycles():
+    """Millions of small lists of strings hold no cycles; looking for some takes half of the time."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
 
 
 _merges: dict[bytes, Merges] = {}
@@ -148,56 +183,86 @@ def units_of(text: str) -> list[str]:
     return text.split(" ") if ODD_SPACE.search(text) is None else CUT.split(text)
 
 
+def words_of(units: Iterable[str], find) -> Iterator[tuple[str, list[str]]]:
+    """Each unit that follows a space with its words."""
+    plain = []
+    for unit in units:
+        if " " in unit:
+            yield unit, find(" " + unit)
+        else:
+            plain.append(unit)
+    # Every unit in one text: a word with a space at its start begins the next unit.
+    words: list[str] = []
+    at = -1
+    for word in find("".join([" " + unit for unit in plain])):
+        if word[0] == " ":
+            if at >= 0:
+                yield plain[at], words
+            at, words = at + 1, [word]
+        else:
+            words.append(word)
+    if at >= 0:
+        yield plain[at], words
+
+
 def word_counts(docs: DataFrame, text: str, pattern: str) -> DataFrame:
     """(word, n): the words of all texts and how often they occur; counted first within each task."""
 
     def count(batches):
+        with no_search_for_cycles():
+            yield from counted(batches)
+
+    def counted(batches):
         find = regex.compile(pattern).findall
-        first, later = Counter(), Counter()
+        units: Counter = Counter()
+        leading: Counter = Counter()
 
         def flushed():
-            words: Counter = Counter()
-            for units, space in ((first, ""), (later, " ")):
-                for unit, n in units.items():
-                    for word in find(space + unit):
-                        words[word] += n
-                units.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([w.encode() for w in words], pa.binary()), pa.array(list(words.values()), pa.int64())], ["word", "n"]
-            )
+            words = Counter(leading)
+            for unit, found in words_of(units, find):
+                n = units[unit]
+                for word in found:
+                    words[word] += n
+            units.clear()
+            leading.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
 
         for batch in batches:
             for piece in runs_of_rows(batch, "text", PIECE_BYTES):
                 for value in piece.column("text").to_pylist():
-                    units = units_of(value or "")
-                    first[units[0]] += 1
-                    later.update(units[1:])
-                if len(first) + len(later) > KNOWN_UNITS:
+                    head, *rest = units_of(value or "")
+                    leading.update(find(head))
+                    units.update(rest)
+                if len(units) + len(leading) > KNOWN_UNITS:
                     yield flushed()
         yield flushed()
 
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def encodings(words: DataFrame, rank_file: Broadcast) -> DataFrame:
     """(word, n, ids): the words with their ids as 32-bit integers, each partition replayed in pieces."""
 
     def encode(batches):
+        with no_search_for_cycles():
+            yield from encoded(batches)
+
+    def encoded(batches):
         merges = merges_of(rank_file)
         for batch in batches:
             count = dict(zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()))
             words, ids = zip(*merges.encoded(count)) if count else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array([count[w] for w in words], pa.int64()), pa.array(ids, pa.binary())],
+                [pa.array(words, pa.string()), pa.array([count[w] for w in words], pa.int64()), pa.array(ids, pa.binary())],
                 ["word", "n", "ids"],
             )
 
-    return words.mapInArrow(encode, "word binary, n long, ids binary")
+    return words.mapInArrow(encode, "word string, n long, ids binary")
 
 
-def most_frequent(encoded: DataFrame, limit: int) -> list[tuple[bytes, bytes]]:
-    """(word, ids) of the most frequent words: as many classes of frequency as fit in ``limit`` bytes."""
+def most_frequent(encoded: DataFrame, limit: int) -> dict[str, bytes]:
+    """The ids of the most frequent words: as many classes of frequency as fit in ``limit`` bytes."""
     rows = encoded.withColumns(
         {"__class": F.floor(F.log2("n")).cast("int"), "__bytes": F.octet_length("word") + F.octet_length("ids") + ENTRY_BYTES}
     )
@@ -208,8 +273,8 @@ def most_frequent(encoded: DataFrame, limit: int) -> list[tuple[bytes, bytes]]:
             break
         least = r["__class"]
     if least is None:
-        return []
-    return [(bytes(r.word), bytes(r.ids)) for r in rows.filter(F.col("__class") >= least).select("word", "ids").collect()]
+        return {}
+    return {r.word: bytes(r.ids) for r in rows.filter(F.col("__class") >= least).select("word", "ids").collect()}
 
 
 def encode(
@@ -228,7 +293,7 @@ def encode(
     rank_file = session.sparkContext.broadcast(read_ranks(rank_path))
     words = word_counts(docs, text, pattern).filter("n > 1")
     encoded = staged(encodings(words, rank_file), "bpe-words")
-    table = session.sparkContext.broadcast(dict(most_frequent(encoded, shared_bytes)))
+    table = session.sparkContext.broadcast(most_frequent(encoded, shared_bytes))
     source = "__text"
     others = [c for c in docs.columns if c != ids]
     rows = docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text}`").cast("string").alias(source))
@@ -236,22 +301,27 @@ def encode(
     schema = T.StructType([*fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def encode_texts(batches):
+        with no_search_for_cycles():
+            yield from encoded_texts(batches)
+
+    def encoded_texts(batches):
         merges, shared = merges_of(rank_file), table.value
         find = regex.compile(pattern).findall
         known: dict[str, bytes] = {}
         for batch in batches:
             for piece in runs_of_rows(batch, source, PIECE_BYTES):
-                texts = [units_of(v or "") for v in piece.column(source).to_pylist()]
                 if len(known) > KNOWN_UNITS:
                     known = {}
-                new = {u: " " + u for t in texts for u in t[1:] if u not in known}
-                split = {u: [w.encode() for w in find(whole)] for u, whole in new.items()}
-                leading = [[w.encode() for w in find(u)] for u, *_ in texts]
-                missing = {w for words in (*split.values(), *leading) for w in words if w not in shared}
-                own = dict(merges.encoded(missing))
+                heads, tails = [], []
+                for value in piece.column(source).to_pylist():
+                    head, *tail = units_of(value or "")
+                    heads.append(find(head))  # no space stands before a first unit
+                    tails.append(tail)
+                new = dict(words_of({u for tail in tails for u in tail if u not in known}, find))
+                own = dict(merges.encoded({w for words in (*new.values(), *heads) for w in words if w not in shared}))
                 of = lambda w: shared.get(w) or own[w]
-                known.update((u, b"".join(map(of, words))) for u, words in split.items())
-                found = [b"".join((*map(of, head), *map(known.__getitem__, t[1:]))) for head, t in zip(leading, texts)]
+                known.update((u, b"".join(map(of, words))) for u, words in new.items())
+                found = [b"".join((*map(of, head), *map(known.__getitem__, tail))) for head, tail in zip(heads, tails)]
                 bounds = np.concatenate([[0], np.cumsum([len(b) // 4 for b in found])])
                 values = pa.Array.from_buffers(pa.int32(), int(bounds[-1]), [None, pa.py_buffer(b"".join(found))])
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)
@@ -263,22 +333,15 @@ def encode(
 def decode(rows: DataFrame, rank_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """The rows with one more column ``decoded``, the bytes that the array ``ids`` stands for.
 
-    Null ids are taken as none; an id that the ranks do not have raises. A column named like the
-    result is replaced.
+    Column operations only: every id is looked up in a literal list of the tokens' hexadecimal
+    digits. A null array is taken as none; a null or an id without a token raises. A column named like
+    the result is replaced.
     """
-    rank_file = rows.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
-    source = "__ids"
-    others = [c for c in rows.columns if c != decoded]
-    given = rows.select(
-        *[F.col(f"`{c}`") for c in others],
-        F.coalesce(F.col(f"`{ids}`").cast("array<int>"), F.array().cast("array<int>")).alias(source),
-    )
-    schema = T.StructType([*rows.select(*[F.col(f"`{c}`") for c in others]).schema, T.StructField(decoded, T.BinaryType())])
-
-    def decode_ids(batches):
-        token = {rank: word for word, rank in merges_of(rank_file).ranks.items()}
-        for batch in batches:
-            texts = [b"".join(map(token.__getitem__, x)) for x in batch.column(source).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], pa.array(texts, pa.binary())], [*others, decoded])
-
-    return given.mapInArrow(decode_ids, schema)
+    ranks = Merges.ranks_of(read_ranks(rank_path))
+    digits = ["-"] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        digits[rank] = token.hex()
+    tokens = F.split(F.lit(" ".join(digits)), " ")
+    given = F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>"))
+    joined = F.array_join(F.transform(given, lambda i: F.get(tokens, i)), "", "-")
+    return rows.withColumn(decoded, F.coalesce(F.unhex(joined), F.raise_error(F.lit("an id without a token")).cast("binary")))

@@ -37,8 +37,8 @@ PIECE_BYTES = 2 << 20
 # Words are replayed together up to this many bytes; a longer word is a piece by itself.
 REPLAY_BYTES = 1 << 18
 # The table of encodings that every executor gets, and the table of known units of a task.
-SHARED_BYTES = 8 << 20
-KNOWN_UNITS = 200_000
+SHARED_BYTES = 16 << 20
+KNOWN_UNITS = 400_000
 # What an entry of the shared table takes besides its word and its ids.
 ENTRY_BYTES = 8
 
@@ -205,6 +205,16 @@ def words_of(units: Iterable[str], find) -> Iterator[tuple[str, list[str]]]:
         yield plain[at], words
 
 
+def parted(units: Iterable[str], letters: bool) -> tuple[list[str], list[str]]:
+    """Units of letters only, and the others. The pattern must take letters after a space as one word
+    (``letters``); else all are others."""
+    return ([u for u in units if u.isalpha()], [u for u in units if not u.isalpha()]) if letters else ([], list(units))
+
+
+def takes_letters(pattern: str) -> bool:
+    return r"| ?\p{L}+|" in pattern
+
+
 def word_counts(docs: DataFrame, text: str, pattern: str) -> DataFrame:
     """(word, n): the words of all texts and how often they occur; counted first within each task."""
 
@@ -218,8 +228,10 @@ def word_counts(docs: DataFrame, text: str, pattern: str) -> DataFrame:
         leading: Counter = Counter()
 
         def flushed():
-            words = Counter(leading)
-            for unit, found in words_of(units, find):
+            alone, others = parted(units, takes_letters(pattern))
+            words = Counter({" " + unit: units[unit] for unit in alone})
+            words.update(leading)
+            for unit, found in words_of(others, find):
                 n = units[unit]
                 for word in found:
                     words[word] += n
@@ -264,7 +276,7 @@ def encodings(words: DataFrame, rank_file: Broadcast) -> DataFrame:
 def most_frequent(encoded: DataFrame, limit: int) -> dict[str, bytes]:
     """The ids of the most frequent words: as many classes of frequency as fit in ``limit`` bytes."""
     rows = encoded.withColumns(
-        {"__class": F.floor(F.log2("n")).cast("int"), "__bytes": F.octet_length("word") + F.octet_length("ids") + ENTRY_BYTES}
+        {"__class": F.floor(F.log2("n") * 8).cast("int"), "__bytes": F.octet_length("word") + F.octet_length("ids") + ENTRY_BYTES}
     )
     least, room = None, limit
     for r in rows.groupBy("__class").agg(F.sum("__bytes").alias("b")).orderBy(F.desc("__class")).collect():
@@ -307,21 +319,26 @@ def encode(
     def encoded_texts(batches):
         merges, shared = merges_of(rank_file), table.value
         find = regex.compile(pattern).findall
+        letters = takes_letters(pattern)
         known: dict[str, bytes] = {}
+        ids_of = dict(shared)
         for batch in batches:
             for piece in runs_of_rows(batch, source, PIECE_BYTES):
                 if len(known) > KNOWN_UNITS:
-                    known = {}
+                    known, ids_of = {}, dict(shared)
                 heads, tails = [], []
                 for value in piece.column(source).to_pylist():
                     head, *tail = units_of(value or "")
                     heads.append(find(head))  # no space stands before a first unit
                     tails.append(tail)
-                new = dict(words_of({u for tail in tails for u in tail if u not in known}, find))
-                own = dict(merges.encoded({w for words in (*new.values(), *heads) for w in words if w not in shared}))
-                of = lambda w: shared.get(w) or own[w]
-                known.update((u, b"".join(map(of, words))) for u, words in new.items())
-                found = [b"".join((*map(of, head), *map(known.__getitem__, tail))) for head, tail in zip(heads, tails)]
+                alone, mixed = parted(set().union(*tails).difference(known), letters)
+                single = [" " + unit for unit in alone]
+                split = dict(words_of(mixed, find))
+                words = set().union(single, *split.values(), *heads)
+                ids_of.update(merges.encoded(words.difference(ids_of)))
+                known.update(zip(alone, map(ids_of.__getitem__, single)))
+                known.update((unit, b"".join(map(ids_of.__getitem__, found))) for unit, found in split.items())
+                found = [b"".join((*map(ids_of.__getitem__, head), *map(known.__getitem__, tail))) for head, tail in zip(heads, tails)]
                 bounds = np.concatenate([[0], np.cumsum([len(b) // 4 for b in found])])
                 values = pa.Array.from_buffers(pa.int32(), int(bounds[-1]), [None, pa.py_buffer(b"".join(found))])
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)

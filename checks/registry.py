@@ -85,6 +85,19 @@ def hits_sql(column: str, test: str) -> str:
     return f"len(list_filter({tokens_sql(column)}, lambda x: {test}))"
 
 
+# Letters with apostrophes, colons or stops between, digits with commas or stops between, joined with underscores.
+LETTERS_RE = r"[\p{Latin}\p{Greek}\p{Cyrillic}\p{Lm}]\p{M}*"
+STANDARD_RE = (
+    rf"_*(?:(?:{LETTERS_RE})+(?:[:·''.‘’](?:{LETTERS_RE})+)*|\p{{Nd}}+(?:[,;''.‘’]\p{{Nd}}+)*)+"
+    rf"(?:_+(?:(?:{LETTERS_RE})+(?:[:·''.‘’](?:{LETTERS_RE})+)*|\p{{Nd}}+(?:[,;''.‘’]\p{{Nd}}+)*)+)*_*|\p{{Han}}|\p{{Hiragana}}"
+)
+
+
+def standard_sql(text: str) -> str:
+    """Tokens of a text by the standard tokenizer, for the scripts of the given tables and ideographs."""
+    return f"regexp_extract_all(lower({text}), '{STANDARD_RE}')"
+
+
 def one(column: str) -> Column:
     return F.array(F.col(column).cast("string"))
 

@@ -1,7 +1,7 @@
 """Document search and faceting over Spark tables."""
 
 from .functions.geo import geo_distance, geo_point
-from .functions.text import Analysis, Fuzzy
+from .functions.text import LETTERS, STANDARD_WORDS, Analysis, Fuzzy
 from .operators.facets import FacetRange, RangeFacet, TermFacet, bucket_counts, facets
 from .operators.filters import (
     And,
@@ -17,7 +17,7 @@ from .operators.filters import (
     to_column,
 )
 from .operators.matching import field_match, search_text, suggest
-from .operators.query import AllOf, AnyOf, Boost, InField, Match, Near, NoneOf, Phrase, Regex, Wildcard
+from .operators.query import AllOf, AnyOf, Boost, InField, Match, Near, NearAll, NoneOf, Phrase, Regex, Wildcard
 from .operators.scoring import corpus_stats, score
 from .operators.sorting import GeoSort, SortField, page, retrieve, sort, total_count
 from .plans.search import SearchRequest, SearchResult, search
@@ -26,6 +26,8 @@ from .sources.index import DocumentIndex
 
 __all__ = [
     "KEY",
+    "LETTERS",
+    "STANDARD_WORDS",
     "AllOf",
     "Analysis",
     "And",
@@ -42,6 +44,7 @@ __all__ = [
     "InField",
     "Match",
     "Near",
+    "NearAll",
     "NoneOf",
     "Not",
     "Or",

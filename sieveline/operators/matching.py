@@ -25,6 +25,11 @@ def folded(spec: FieldSpec) -> Column:
     return tx.fold(column(spec), spec.data_type)
 
 
+def target(spec: FieldSpec, matcher: Analysis | Fuzzy) -> Column:
+    """The text of a field as a matcher takes it."""
+    return matcher.words.prepared(folded(spec))
+
+
 def text_condition(
     schema: T.StructType,
     text: str | None,
@@ -32,10 +37,10 @@ def text_condition(
     matcher: Analysis | Fuzzy = Analysis(),
 ) -> Column | None:
     """Every term must hit in some searchable field; ``None`` when there is no term."""
-    terms = tx.query_terms(text)
+    terms = tx.query_terms(text, matcher.words)
     if not terms:
         return None
-    targets = [folded(s) for s in searchable_fields(schema, fields)]
+    targets = [target(s, matcher) for s in searchable_fields(schema, fields)]
     if not targets:
         return F.lit(False)
     return reduce(and_, [reduce(or_, [matcher.matches(t, term) for t in targets]) for term in terms])
@@ -59,7 +64,8 @@ def field_match(
     spec = resolve(df.schema, field)
     if spec is None:
         return df.filter(F.lit(False))
-    return df.filter(matcher(folded(require(spec, "searchable")), *args, **options))
+    words = options.get("words", tx.LETTERS)
+    return df.filter(matcher(words.prepared(folded(require(spec, "searchable"))), *args, **options))
 
 
 def suggest(df: DataFrame, query: str | None, fields: Sequence[str], size: int = 5) -> DataFrame:

@@ -21,7 +21,7 @@ from .matching import folded, searchable_fields
 from .scoring import inverse_frequency, term_weight
 from .sorting import SCORE
 
-def _field_tokens(df: DataFrame, fields: Sequence[str] | None, keep: Sequence[str]) -> DataFrame:
+def _field_tokens(df: DataFrame, fields: Sequence[str] | None, keep: Sequence[str], words: tx.Words) -> DataFrame:
     """One row per document and searchable field; ``tokens`` is null where there is no text."""
     texts = [
         F.struct(F.lit(normalize_name(s.name)).alias("field"), folded(s).alias("text"))
@@ -29,26 +29,30 @@ def _field_tokens(df: DataFrame, fields: Sequence[str] | None, keep: Sequence[st
     ]
     array = F.array(*texts) if texts else F.array().cast("array<struct<field:string,text:string>>")
     rows = df.select(*keep, F.inline_outer(array))
-    return rows.select(*keep, "field", tx.tokens(F.col("text")).alias("tokens"))
+    return rows.select(*keep, "field", tx.tokens(words.prepared(F.col("text")), words).alias("tokens"))
 
 
-def build_postings(df: DataFrame, fields: Sequence[str] | None = None, keep: Sequence[str] = (KEY,)) -> DataFrame:
+def build_postings(
+    df: DataFrame, fields: Sequence[str] | None = None, keep: Sequence[str] = (KEY,), words: tx.Words = tx.LETTERS
+) -> DataFrame:
     """Rows (*keep, field, length, token, tf); the last column of ``keep`` is the key.
 
     The counts are complete before the shuffle, because a document's tokens come
     from one row; if ``df`` is partitioned by one of the ``keep`` columns there is
     no shuffle at all.  A row without a key stays as a row without a token.
     """
-    tokens = _field_tokens(df, fields, keep)
+    tokens = _field_tokens(df, fields, keep, words)
     exploded = tokens.select(
         *keep, "field", F.size("tokens").alias("length"), F.explode_outer("tokens").alias("token")
     ).filter(F.col("token").isNotNull() | F.col(keep[-1]).isNull())
     return exploded.groupBy(*keep, "field", "length", "token").agg(F.count(F.lit(1)).cast("int").alias("tf"))
 
 
-def field_lengths(df: DataFrame, fields: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+def field_lengths(
+    df: DataFrame, fields: Sequence[str] | None = None, by: Sequence[str] = (), words: tx.Words = tx.LETTERS
+) -> DataFrame:
     """Filled rows and tokens per field: (*by, field, rows, tokens)."""
-    return _field_tokens(df, fields, by).groupBy(*by, "field").agg(
+    return _field_tokens(df, fields, by, words).groupBy(*by, "field").agg(
         F.count("tokens").alias("rows"), F.sum(F.size("tokens").cast("bigint")).alias("tokens")
     )
 
@@ -72,7 +76,7 @@ def search_postings(
     One aggregation by document over the hit tokens; the number of documents per
     term comes from that same aggregation.
     """
-    terms = tx.query_terms(text)
+    terms = tx.query_terms(text, matcher.words)
     names = [normalize_name(f) for f in fields]
     if not terms or not names:
         raise ValueError("a search over postings needs terms and fields")

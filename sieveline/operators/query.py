@@ -17,7 +17,7 @@ from pyspark.sql import Column, functions as F, types as T
 from ..functions import text as tx
 from ..functions.text import Analysis, Fuzzy
 from ..schema import FieldSpec, normalize_name
-from .matching import folded, searchable_fields
+from .matching import searchable_fields, target
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,7 @@ class Match:
     fuzziness: int | None = None
 
     def _matcher(self, matcher: Analysis | Fuzzy) -> Analysis | Fuzzy:
-        return matcher if self.fuzziness is None else Fuzzy(self.fuzziness)
+        return matcher if self.fuzziness is None else Fuzzy(self.fuzziness, words=matcher.words)
 
     def matches(self, text: Column, matcher: Analysis | Fuzzy) -> Column:
         return self._matcher(matcher).matches(text, self.term)
@@ -44,10 +44,10 @@ class Phrase:
     text: str
 
     def matches(self, text: Column, matcher: Analysis | Fuzzy) -> Column:
-        return tx.phrase_match(text, tx.phrase_terms(self.text))
+        return tx.phrase_match(text, tx.phrase_terms(self.text, matcher.words), matcher.words)
 
     def frequency(self, text: Column, matcher: Analysis | Fuzzy) -> Column:
-        return F.regexp_count(text, F.lit(tx.phrase_pattern(tx.phrase_terms(self.text))))
+        return F.regexp_count(text, F.lit(tx.phrase_pattern(tx.phrase_terms(self.text, matcher.words), matcher.words)))
 
 
 @dataclass(frozen=True)
@@ -57,10 +57,10 @@ class Wildcard:
     pattern: str
 
     def matches(self, text: Column, matcher: Analysis | Fuzzy) -> Column:
-        return tx.wildcard_match(text, self.pattern)
+        return tx.wildcard_match(text, self.pattern, matcher.words)
 
     def frequency(self, text: Column, matcher: Analysis | Fuzzy) -> Column:
-        return F.regexp_count(text, F.lit(tx.wildcard_pattern(self.pattern)))
+        return F.regexp_count(text, F.lit(tx.wildcard_pattern(self.pattern, matcher.words)))
 
 
 @dataclass(frozen=True)
@@ -70,10 +70,10 @@ class Regex:
     pattern: str
 
     def matches(self, text: Column, matcher: Analysis | Fuzzy) -> Column:
-        return tx.regex_match(text, self.pattern)
+        return tx.regex_match(text, self.pattern, matcher.words)
 
     def frequency(self, text: Column, matcher: Analysis | Fuzzy) -> Column:
-        return F.size(F.filter(tx.tokens(text), tx.whole_token(self.pattern)))
+        return F.size(F.filter(tx.tokens(text, matcher.words), tx.whole_token(self.pattern)))
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,25 @@ class Near:
     slop: int
 
     def matches(self, text: Column, matcher: Analysis | Fuzzy) -> Column:
-        return tx.proximity_match(text, [self.first, self.second], self.slop)
+        return tx.proximity_match(text, [self.first, self.second], self.slop, matcher.words)
+
+    def frequency(self, text: Column, matcher: Analysis | Fuzzy) -> Column:
+        return F.when(self.matches(text, matcher), 1).otherwise(0)
+
+
+@dataclass(frozen=True, init=False)
+class NearAll:
+    """Any number of tokens, in any order, with at most ``slop`` others between; counts once for a text."""
+
+    terms: tuple
+    slop: int
+
+    def __init__(self, *terms: str, slop: int):
+        object.__setattr__(self, "terms", terms)
+        object.__setattr__(self, "slop", slop)
+
+    def matches(self, text: Column, matcher: Analysis | Fuzzy) -> Column:
+        return tx.proximity_match(text, self.terms, self.slop, matcher.words)
 
     def frequency(self, text: Column, matcher: Analysis | Fuzzy) -> Column:
         return F.when(self.matches(text, matcher), 1).otherwise(0)
@@ -137,21 +155,21 @@ class Unit:
         return self.field is None or normalize_name(spec.name) == normalize_name(self.field)
 
 
-def parsed(text) -> object | None:
+def parsed(text, words: tx.Words = tx.LETTERS) -> object | None:
     """The tree of a query: a string's terms all have to match; blank is ``None``."""
     if text is None or isinstance(text, str):
-        terms = tx.query_terms(text)
+        terms = tx.query_terms(text, words)
         return AllOf(*map(Match, terms)) if terms else None
     return text
 
 
-def units(text, boosts: dict[str, float] | None = None) -> list[Unit]:
+def units(text, boosts: dict[str, float] | None = None, words: tx.Words = tx.LETTERS) -> list[Unit]:
     """Scored leaves of a query in order; equal ones in one field count once, with the last weight."""
     boosts = {term.lower(): float(weight) for term, weight in (boosts or {}).items()}
     found: dict[tuple, float] = {}
 
     def visit(node, weight: float, field: str | None) -> None:
-        node = parsed(node)
+        node = parsed(node, words)
         if node is None or isinstance(node, NoneOf):
             return
         if isinstance(node, Boost):
@@ -179,13 +197,13 @@ def query_condition(
     """
 
     def compiled(node, targets: list[Column]) -> Column | None:
-        node = parsed(node)
+        node = parsed(node, matcher.words)
         if node is None:
             return None
         if isinstance(node, Boost):
             return compiled(node.child, targets)
         if isinstance(node, InField):
-            return compiled(node.child, [folded(s) for s in searchable_fields(schema, [node.field])])
+            return compiled(node.child, [target(s, matcher) for s in searchable_fields(schema, [node.field])])
         if isinstance(node, _Group):
             parts = [c for c in (compiled(child, targets) for child in node.children) if c is not None]
             if not parts:
@@ -196,4 +214,4 @@ def query_condition(
             return ~F.coalesce(either, F.lit(False)) if isinstance(node, NoneOf) else either
         return reduce(or_, [node.matches(t, matcher) for t in targets]) if targets else F.lit(False)
 
-    return compiled(text, [folded(s) for s in searchable_fields(schema, fields)])
+    return compiled(text, [target(s, matcher) for s in searchable_fields(schema, fields)])

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import text as tx
 from ..functions.text import Analysis, Fuzzy
 from ..schema import FieldSpec, column
-from .matching import folded, searchable_fields
+from .matching import searchable_fields, target
 from .query import Unit, units
 from .sorting import SCORE
 
@@ -28,15 +28,15 @@ def corpus_stats(
     df: DataFrame, text, fields: Sequence[str] | None = None, matcher: Analysis | Fuzzy = Analysis()
 ) -> DataFrame:
     """One row: per field the filled rows and mean length, per field and query leaf the rows hit."""
-    leaves = units(text)
+    leaves = units(text, words=matcher.words)
     figures = []
     for i, spec in enumerate(searchable_fields(df.schema, fields)):
-        target = folded(spec)
+        text_i = target(spec, matcher)
         figures.append(F.count(column(spec)).alias(f"rows_{i}"))
-        figures.append(F.avg(tx.token_count(target)).alias(f"length_{i}"))
+        figures.append(F.avg(tx.token_count(text_i, matcher.words)).alias(f"length_{i}"))
         for j, unit in enumerate(leaves):
             if unit.in_field(spec):
-                figures.append(F.count_if(unit.leaf.matches(target, matcher)).alias(f"hits_{i}_{j}"))
+                figures.append(F.count_if(unit.leaf.matches(text_i, matcher)).alias(f"hits_{i}_{j}"))
     return df.agg(*figures)
 
 
@@ -54,10 +54,10 @@ def _counts(fields: list[FieldSpec], leaves: list[Unit], matcher: Analysis | Fuz
     """Struct of the token count per field and the hits per field and leaf."""
     counts = []
     for i, spec in enumerate(fields):
-        target = F.col(f"__text_{i}")
-        counts.append(tx.token_count(target).alias(f"__length_{i}"))
+        text_i = F.col(f"__text_{i}")
+        counts.append(tx.token_count(text_i, matcher.words).alias(f"__length_{i}"))
         counts += [
-            unit.leaf.frequency(target, matcher).alias(f"__tf_{i}_{j}")
+            unit.leaf.frequency(text_i, matcher).alias(f"__tf_{i}_{j}")
             for j, unit in enumerate(leaves)
             if unit.in_field(spec)
         ]
@@ -91,7 +91,7 @@ def score(
     ``corpus_stats`` for the same text and fields that was kept, which saves the
     pass over the corpus.  ``boosts`` maps a term to the factor of its contribution.
     """
-    leaves = units(text, boosts)
+    leaves = units(text, boosts, matcher.words)
     corpus = df if corpus is None else corpus
     targets = searchable_fields(df.schema, fields)
     if not leaves or not targets:
@@ -104,6 +104,6 @@ def score(
     total = reduce(add, [F.coalesce(p, F.lit(0.0)) for p in parts])
     # The counts are used several times each.  As output of a generator they are
     # computed once per row; as plain columns the optimizer would copy them into the sum.
-    texts = df.select("*", *[folded(s).alias(f"__text_{i}") for i, s in enumerate(targets)])
+    texts = df.select("*", *[target(s, matcher).alias(f"__text_{i}") for i, s in enumerate(targets)])
     counted = texts.select("*", F.inline(F.array(_counts(targets, leaves, matcher))))
     return counted.select(*[F.col(f"`{c}`") for c in df.columns if c != name], total.alias(name))

@@ -28,6 +28,8 @@ class SearchRequest:
 
     ``text`` is a string, all of whose terms must match, or a tree of ``operators.query``. ``raw`` is
     a Spark SQL predicate that replaces text and filter. ``take=None`` takes all rows after ``skip``.
+    ``stats`` is a row of ``corpus_stats`` for the same text, fields and matcher that was kept: it saves
+    the pass over the whole table that scores need otherwise.
     """
 
     text: object | None = None
@@ -41,6 +43,7 @@ class SearchRequest:
     facets: Sequence[TermFacet | RangeFacet] = ()
     raw: str | None = None
     use_backup: bool = False
+    stats: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -67,7 +70,7 @@ def matched(df: DataFrame, request: SearchRequest, analysis: Analysis = Analysis
 
 
 def _matcher(request: SearchRequest, analysis: Analysis) -> Analysis | Fuzzy:
-    return Fuzzy(request.fuzziness) if request.fuzzy else analysis
+    return Fuzzy(request.fuzziness, words=analysis.words) if request.fuzzy else analysis
 
 
 def _documents(df: DataFrame, request: SearchRequest, analysis: Analysis, key: str) -> DataFrame:
@@ -75,7 +78,7 @@ def _documents(df: DataFrame, request: SearchRequest, analysis: Analysis, key: s
     text = None if request.raw else request.text
 
     def scored(rows: DataFrame) -> DataFrame:
-        return score(rows, text, request.fields, _matcher(request, analysis), corpus=df, name=RELEVANCE)
+        return score(rows, text, request.fields, _matcher(request, analysis), corpus=df, stats=request.stats, name=RELEVANCE)
 
     own_score = resolve(df.schema, SCORE)
     by_field = sort_columns(request.sort, df.schema)

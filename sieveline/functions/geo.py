@@ -36,7 +36,8 @@ def haversine_km(lat: Column, lon: Column, to_lat: float, to_lon: float) -> Colu
     half_lon = F.radians(lon - F.lit(float(to_lon))) / 2
     scale = F.cos(F.radians(lat)) * F.lit(math.cos(math.radians(to_lat)))
     chord = F.sin(half_lat) * F.sin(half_lat) + scale * F.sin(half_lon) * F.sin(half_lon)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), chord)))
+    # Rounding may pass 1; ``least`` would take a null for 1 too.
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(chord > 1, 1.0).otherwise(chord)))
 
 
 def geo_distance(point: Column, lat: float, lon: float) -> Column:

@@ -6,8 +6,8 @@ discounted probabilities, and the contexts with the weight they give to the next
 context. A text's score in a language is its cross-entropy per character; the lowest wins.
 
 Models are trained on a bounded sample of the labelled texts (:data:`SAMPLE_TEXTS` per language,
-of :data:`SAMPLE_CHARS` characters together, drawn by a hash of the id). Of a long text the sample
-has the first :data:`TEXT_CHARS` characters, so that a few texts never fill it. Part of the sample
+of :data:`SAMPLE_CHARS` characters together, drawn by a hash of id and text). Of a long text the sample
+has :data:`TEXT_CHARS` characters from all its parts, so that a few texts never fill it. Part of the sample
 is held back to calibrate: per language, how much the cross-entropy of a text in the language
 varies, and, over all, how differences of cross-entropy turn into confidence.
 """
@@ -30,6 +30,8 @@ SAMPLE_TEXTS = 400
 SAMPLE_CHARS = 1_500_000
 # Characters of one text that are learned from: fifty texts at least fit into the sample.
 TEXT_CHARS = 30_000
+# A long text gives so many pieces.
+PIECES = 10
 # One text in so many of the sample is held back for calibration.
 HELD_BACK = 4
 # Standard deviations above the mean cross-entropy of its language at which a text is rejected: from
@@ -201,23 +203,38 @@ def held_out(doc_id: str) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
-def fit(labelled: DataFrame) -> dict:
+def pieces_of(text: Column, h: Column, chars: int) -> Column:
+    """A text of at most ``chars`` characters as it is; of a longer one, pieces from all over it with
+    together so many characters: one from each tenth, where in it the hash ``h`` decides."""
+    piece = max(1, chars // PIECES)
+    part = F.floor(F.length(text) / PIECES).cast("int")
+    start = lambda j: F.lit(j) * part + F.pmod(F.xxhash64(h, F.lit(j)), part - piece + 1).cast("int") + 1
+    return F.when(F.length(text) <= chars, text).otherwise(F.concat_ws(" ", *[F.substring(text, start(j), F.lit(piece)) for j in range(PIECES)]))
+
+
+def fit(labelled: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS, text_chars: int = TEXT_CHARS) -> dict:
     """Models and calibration from rows (key, lang, text): a few megabytes, bounded by the sample.
 
-    Rows are sampled by ``key``, smallest hash first; a language's first row is always taken.
+    Of each language the sample has at most ``texts`` rows with ``chars`` characters together, of each
+    row at most ``text_chars`` characters, from all parts of its text. Rows are drawn by a hash of
+    key, language and text, smallest first: rows that repeat a key are drawn each by its own text, rows that
+    repeat all three are one, and a language with any text has its first row in the sample.
     Languages without a letter in their sample are not learned.
     """
-    hash_ = F.shiftrightunsigned(F.xxhash64("key", "lang"), 11)
-    rows = labelled.filter("lang is not null and text is not null").withColumn("h", hash_)
-    rows = rows.withColumn("text", F.substring("text", 1, TEXT_CHARS))
+    h = F.shiftrightunsigned(F.xxhash64("key", "lang", "text"), 11)
+    rows = labelled.filter("lang is not null and text is not null").withColumn("h", h)
     # Only the smallest hashes are shuffled: of each language, about twice as many rows as are sampled.
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = F.lit(2.0 * SAMPLE_TEXTS + 100) / F.col("n")
-    rows = rows.join(broadcast_if_small(sizes), "lang").filter(F.col("h") <= share * float(1 << 53)).drop("n")
-    by_hash = Window.partitionBy("lang").orderBy("h", "key")
-    rows = rows.withColumn("i", F.row_number().over(by_hash)).filter(F.col("i") <= SAMPLE_TEXTS)
-    chars = F.sum(F.length("text")).over(by_hash.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = rows.withColumn("chars", chars).filter(F.col("chars") <= SAMPLE_CHARS)
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"), F.min("h").alias("first"))
+    share = F.lit(2.0 * texts + 100) / F.greatest(F.col("n"), F.lit(1))
+    drawn = (F.col("h") <= share * float(1 << 53)) | (F.col("h") == F.col("first"))
+    rows = rows.join(broadcast_if_small(sizes), "lang").filter(drawn)
+    rows = rows.select("lang", "h", pieces_of(F.col("text"), F.col("h"), text_chars).alias("text"))
+    # Rows that are equal are one before they leave their task.
+    rows = rows.groupBy("lang", "h").agg(F.min("text").alias("text"))
+    by_hash = Window.partitionBy("lang").orderBy("h")
+    rows = rows.withColumn("i", F.row_number().over(by_hash)).filter(F.col("i") <= texts)
+    so_far = F.sum(F.length("text")).over(by_hash.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("chars", so_far).filter((F.col("chars") <= chars) | (F.col("i") == 1))
     sample = staged(rows.select("lang", "i", "text"), "language-sample")
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -358,7 +375,10 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     return rows.mapInArrow(predict, schema)
 
 
-def fit_on(docs: DataFrame, doc_id: str = "doc_id", lang: str = "lang", text: str = "text") -> dict:
-    """A model from the labelled documents that are not held out; rows without an id are not used."""
+def fit_on(docs: DataFrame, doc_id: str = "doc_id", lang: str = "lang", text: str = "text", **bounds: int) -> dict:
+    """A model from the labelled documents that are not held out; rows without an id are not used.
+
+    ``bounds`` are those of :func:`fit`.
+    """
     labelled = docs.filter(F.col(doc_id).isNotNull() & ~held_out(doc_id))
-    return fit(labelled.select(F.col(doc_id).cast("string").alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")))
+    return fit(labelled.select(F.col(doc_id).cast("string").alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")), **bounds)

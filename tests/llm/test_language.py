@@ -126,6 +126,46 @@ def test_very_long_texts_do_not_fill_the_sample(spark, monkeypatch, first):
     assert len(learned[0][0]) == 100 // language.HELD_BACK
 
 
+@pytest.mark.parametrize("repeated", [7, 8, 9, 10])
+def test_a_language_whose_rows_all_have_one_id_is_learned(spark, repeated):
+    english = spark.range(10_000).selectExpr(f"{repeated}L as doc_id", "'en' as lang", "concat('the words of row ', id, ' are these') as text")
+    french = spark.range(300).selectExpr("1000 + 3 * id as doc_id", "'fr' as lang", "concat('les mots du texte ', id, ' sont ici') as text")
+    model = language.fit_on(english.unionByName(french))
+    assert model["langs"] == (["fr"] if held(repeated) else ["en", "fr"])
+    found = language.identify(spark.createDataFrame([(1, "the words are these"), (2, "les mots sont ici")], "doc_id long, text string"), model)
+    assert {r.doc_id: r.lang_pred for r in found.collect()} == {1: model["langs"][0], 2: "fr"}
+
+
+def held(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 3 == 1
+
+
+def test_equal_rows_are_one_and_bounds_hold(spark, monkeypatch):
+    monkeypatch.setattr(language, "calibrated", lambda models, back: {})
+    letters = "chr(97 + id % 26), chr(97 + id div 26 % 26), chr(97 + id div 676 % 26)"
+    one = spark.range(20_000).selectExpr("'1' as key", "'xx' as lang", f"if(id % 100 = 0, concat('text ', {letters}), 'hot') as text")
+    sample = spy_on_sample(spark, monkeypatch, one, texts=30, chars=100, text_chars=50)
+    assert len(sample) == len({r.text for r in sample}) <= 30 and sum(len(r.text) for r in sample) <= 100
+
+
+def spy_on_sample(spark, monkeypatch, labelled, **bounds):
+    """The rows that the models are learned from."""
+    kept = []
+    real = language.staged
+    monkeypatch.setattr(language, "staged", lambda df, name: kept.append(real(df, name)) or kept[-1])
+    language.fit(labelled, **bounds)
+    return kept[0].collect()
+
+
+def test_long_texts_are_read_throughout(spark, monkeypatch):
+    monkeypatch.setattr(language, "calibrated", lambda models, back: {})
+    text = "".join(chr(0x4E00 + i) for i in range(20_000))
+    labelled = spark.createDataFrame([("1", "xx", text), ("2", "xx", "short")], "key string, lang string, text string")
+    long, short = sorted((r.text for r in spy_on_sample(spark, monkeypatch, labelled, text_chars=1000)), key=len, reverse=True)
+    tenths = [(ord(c) - 0x4E00) // 2000 for c in long if c != " "]
+    assert short == "short" and len(tenths) == 1000 and all(tenths.count(i) == 100 for i in range(10))
+
+
 def test_held_back_texts_are_not_learned_from(monkeypatch):
     monkeypatch.setattr(language, "train", lambda used: used)
     text = lambda i: language.codes_of(f"{'abcdefgh'[i]} words " * 20)

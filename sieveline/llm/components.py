@@ -8,10 +8,6 @@ from sieveline.llm.common import join_groups
 from sieveline.sizing import staged
 
 
-# So many links are joined by one task instead of in rounds, whatever the input: none.
-ONE_TASK_LINKS = 0
-
-
 def forest(pairs: list[tuple]) -> list[tuple]:
     """(node, smallest node of its component) for the nodes of some links, in one task."""
     parent: dict = {}

@@ -301,12 +301,15 @@ def candidates(clusters: DataFrame, percent: int, stars: bool) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) of keys among candidate pairs, each compared once over its whole sets.
 
-    Pairs are dealt out by cluster, large clusters in parts, and the texts they need follow them.
-    Every task contracts its links to a spanning forest.
+    Pairs are dealt out by the component of the graph of all pairs, large ones in parts, and the texts they
+    need follow them: a text goes to one task only, in however many clusters it is, or to the
+    parts of its component. Every task contracts its links to a spanning forest.
     """
-    pairs = pairs.groupBy("a", "b").agg(F.min("c").alias("c"), *[F.first(x).alias(x) for x in ("id_a", "id_b", "words")])
+    pairs = pairs.groupBy("a", "b").agg(*[F.first(x).alias(x) for x in ("id_a", "id_b", "words")])
     pairs = staged(pairs, "ngram-distinct")
-    # Of all pairs, one cluster in CLUSTER_PAIRS at most is large.
+    near = components(pairs.select("a", "b")).select(F.col("node").alias("a"), F.col("component").alias("c"))
+    pairs = staged(pairs.join(broadcast_if_small(near), "a"), "ngram-dealt")
+    # Of all pairs, one component in CLUSTER_PAIRS at most is large.
     large = pairs.groupBy("c").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > CLUSTER_PAIRS)
     parts = F.coalesce(F.ceil(F.col("__n") / CLUSTER_PAIRS), F.lit(1))
     words = pairs.agg(F.sum("words")).first()[0] or 0
@@ -316,8 +319,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     needed = staged(
         pairs.select("grp", F.col("id_a").alias("id")).unionByName(pairs.select("grp", F.col("id_b").alias("id"))).distinct(), "ngram-needed"
     )
-    texts = docs.join(broadcast_if_small(needed.select("id").distinct()), "id", "left_semi")
-    with_text = needed.join(texts, "id").select("grp", "id", "text")
+    with_text = docs.select("id", "text").join(broadcast_if_small(needed), "id").select("grp", "id", "text")
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         batch = pa.RecordBatch.from_arrays([pa.array(right["text"], pa.large_string())], ["text"])
@@ -386,8 +388,8 @@ def grouped(docs: DataFrame, doc_id: str, text: str, percent: int, by_id: bool)
     parted = clusters.join(found.withColumnRenamed("node", "key"), "key", "left")
     parted = parted.withColumn("component", F.coalesce("component", "key"))
     apart = parted.groupBy("c").agg(F.count(F.lit(1)).alias("__n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    apart = apart.filter("__n > 2 and lo != hi").select("c")
-    left = staged(parted.join(apart, "c"), "ngram-parted")
+    apart = apart.filter("__n > 2 and lo != hi").select("c", "__n")
+    left = staged(join_groups(parted, apart, "c", "__n", parted.count()).drop("__n"), "ngram-parted")
     if not left.isEmpty():
         late = verified(candidates(left, percent, stars=False), rows, percent)
         found = staged(components(links.unionByName(late)), "ngram-components")

@@ -30,8 +30,11 @@ def corpus_stats(
     """One row: per field the filled rows and mean length, per field and query leaf the rows hit."""
     leaves = units(text, words=matcher.words)
     figures = []
-    for i, spec in enumerate(searchable_fields(df.schema, fields)):
-        text_i = target(spec, matcher)
+    targets = searchable_fields(df.schema, fields)
+    # A text is prepared once per row, however many figures look at it.
+    df = df.select("*", *[target(s, matcher).alias(f"__text_{i}") for i, s in enumerate(targets)])
+    for i, spec in enumerate(targets):
+        text_i = F.col(f"__text_{i}")
         figures.append(F.count(column(spec)).alias(f"rows_{i}"))
         figures.append(F.avg(tx.token_count(text_i, matcher.words)).alias(f"length_{i}"))
         for j, unit in enumerate(leaves):

@@ -44,6 +44,7 @@ VALUE_TYPES: dict[str, T.DataType] = {
     "DateTime": T.TimestampType(),
     "GeoPoint": GEO_TYPE,
     "Complex": T.StringType(),
+    "Variant": T.VariantType(),
 }
 
 # Name of each column type in a field-spec DataFrame.
@@ -57,6 +58,7 @@ TYPE_NAMES: dict[str, T.DataType] = {
     "boolean": T.BooleanType(),
     "timestamp": T.TimestampType(),
     "geo": GEO_TYPE,
+    "variant": T.VariantType(),
 }
 
 
@@ -140,11 +142,12 @@ class FieldSpec:
         """Flags from the metadata; a plain column may be used in every way its type allows."""
         spec = cls(field.name, field.dataType)
         is_point = isinstance(field.dataType, T.StructType)
+        is_variant = isinstance(field.dataType, T.VariantType)
         spec = replace(
             spec,
             searchable=spec.is_text and not spec.is_key,
-            facetable=not is_point,
-            sortable=not spec.is_collection,
+            facetable=not (is_point or is_variant),
+            sortable=not (spec.is_collection or is_variant),
         )
         return replace(spec, **field.metadata.get("flags", {}))
 

@@ -160,8 +160,8 @@ def infer_fields(long: DataFrame, known: Sequence[FieldSpec] = (), markers: bool
         "retrievable",
         (F.col("searchable") & is_text).alias("searchable"),
         "filterable",
-        (F.col("filterable") & (F.col("stored") != "geo")).alias("facetable"),
-        (F.col("filterable") & ~is_array).alias("sortable"),
+        (F.col("filterable") & ~F.col("stored").isin("geo", "variant")).alias("facetable"),
+        (F.col("filterable") & ~is_array & (F.col("stored") != "variant")).alias("sortable"),
         "suggestable",
     )
     if markers:
@@ -221,6 +221,8 @@ def check_types(long: DataFrame, specs: Sequence[FieldSpec], on_mismatch: str =
 def _typed(text: Column, data_type: T.DataType) -> Column:
     if type_name(data_type) == "geo":
         return parse_point(text)
+    if isinstance(data_type, T.VariantType):
+        return F.try_parse_json(text)
     return text.cast(data_type)
 
 

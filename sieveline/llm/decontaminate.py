@@ -6,7 +6,13 @@ twice the class's size, each overlapping the next by half: within a window, an i
 document contains has a large similarity. Item and window are compared by one-permutation
 MinHash: the hash space is cut into bins, and a signature is the least shingle hash of each bin.
 A window that shares a signature value with an item makes document and item a candidate pair,
-which is verified by exact containment over the whole document.
+which is verified by exact containment over the whole document. Items of fewer than five words are
+one shingle, the whole sequence, and are looked up by it.
+
+With 64 bins, a window of the largest ratio (four times the item's shingles) that holds 75 % of an item
+shares no signature value with it in about 4 of a million cases: each bin agrees with the Jaccard
+similarity, 0.18, as its chance. An item whose parts lie far apart is searched for by each part: of two
+halves, 99 % are found.
 
 A window's signature is only worked out around the shingles that some item has in its own
 signature, as no other value can agree; the candidates are those of the full signatures.
@@ -18,24 +24,29 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from sieveline.llm.words import shingles, texts_of_words
+from sieveline.llm.common import join_groups
+from sieveline.llm.words import grams, shingles, texts_of_words
 from sieveline.sizing import broadcast_if_small, measured_bytes, staged
 
 SHINGLE_WORDS = 5
 PERCENT = 75
-BIN_BITS = 10
+BIN_BITS = 6
 # Items are sent to the executors in blocks of about this size.
 BLOCK_BYTES = 16 << 20
 
 
 class Items:
-    """A block of test items, ready for search: sets of shingles and the signature of each class."""
+    """A block of test items, (id, words of a shingle, shingles), ready for search: sets of shingles,
+    the signature of each class, and the short items by their number of words."""
 
     def __init__(self, rows: list[tuple]):
-        self.ids = [r[0] for r in rows]
-        self.sets = [np.frombuffer(r[1], np.uint64) for r in rows]
-        keys, owners, widths = [], [], []
-        for i, s in enumerate(self.sets):
+        self.sets = [np.frombuffer(r[2], np.uint64) for r in rows]
+        keys, owners, widths = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        short: dict[int, list[int]] = {}
+        for i, (s, (_, size, _)) in enumerate(zip(self.sets, rows)):
+            if size < SHINGLE_WORDS:
+                short.setdefault(size, []).append(i)
+                continue
             bins = s >> np.uint64(64 - BIN_BITS)
             least = s[np.concatenate([[True], bins[1:] != bins[:-1]])]  # sets are sorted
             keys.append(least)
@@ -44,6 +55,21 @@ class Items:
         keys, owners, widths = map(np.concatenate, (keys, owners, widths))
         order = np.argsort(keys, kind="stable")
         self.keys, self.owners, self.widths = keys[order], owners[order], widths[order]
+        self.short = {k: (np.array(at), np.concatenate([self.sets[i] for i in at])) for k, at in sorted(short.items())}
+
+    def found_in(self, words: np.ndarray, percent: int) -> list[tuple[int, int]]:
+        """(item, shingles shared) of the items that a document of these words contains."""
+        found = []
+        for size, (items, keys) in self.short.items():
+            if len(words) >= size:
+                found += [(int(i), 1) for i in items[np.isin(keys, grams(words, size))]]
+        if len(self.keys) and len(words) >= SHINGLE_WORDS:
+            h = shingles(words, SHINGLE_WORDS)
+            for i in sorted(self.candidates(h)):
+                common = int(np.isin(self.sets[i], h).sum())
+                if common * 100 >= percent * len(self.sets[i]):
+                    found.append((i, common))
+        return found
 
     def candidates(self, h: np.ndarray) -> set[int]:
         """Items of which a window of the shingles ``h`` shares a signature value."""
@@ -69,18 +95,44 @@ class Items:
         return False
 
 
-def item_sets(items: DataFrame, item_id: str, text: str) -> DataFrame:
-    """(item_id, copies, shingles): one row per distinct set, with its smallest id."""
-    schema = T.StructType([T.StructField("item_id", items.schema[item_id].dataType), T.StructField("shingles", T.BinaryType())])
+def shingled(items: DataFrame, item_id: str, text: str) -> DataFrame:
+    """(item_id, size, shingles) of each item with words: its set, sorted, of shingles of ``size`` words."""
+    schema = T.StructType(
+        [
+            T.StructField("item_id", items.schema[item_id].dataType),
+            T.StructField("size", T.IntegerType()),
+            T.StructField("shingles", T.BinaryType()),
+        ]
+    )
 
     def sets(batches):
         for run, words in texts_of_words(batches, "text"):
-            keep = [i for i, w in enumerate(words) if len(w) >= SHINGLE_WORDS]
+            keep = [i for i, w in enumerate(words) if len(w)]
+            sizes = [min(len(words[i]), SHINGLE_WORDS) for i in keep]
             blobs = [np.unique(shingles(words[i], SHINGLE_WORDS)).tobytes() for i in keep]
-            yield pa.RecordBatch.from_arrays([run.column("item_id").take(pa.array(keep, pa.int64())), pa.array(blobs, pa.binary())], ["item_id", "shingles"])
+            ids = run.column("item_id").take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int32()), pa.array(blobs, pa.binary())], schema.names)
+
+    return items.select(F.col(item_id).alias("item_id"), F.col(text).cast("string").alias("text")).mapInArrow(sets, schema)
 
-    rows = items.select(F.col(item_id).alias("item_id"), F.col(text).cast("string").alias("text")).mapInArrow(sets, schema)
-    return rows.groupBy("shingles").agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("item_copies"))
+
+def item_sets(items: DataFrame, item_id: str, text: str) -> DataFrame:
+    """(size, shingles, item_id, item_copies): one row per distinct set, with its smallest id."""
+    rows = shingled(items, item_id, text)
+    return rows.groupBy("size", "shingles").agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("item_copies"))
+
+
+def item_members(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """``item_id, member_id``: the items that ``find_leaks`` reports under ``item_id``, itself included.
+
+    Items without words are in no row, rows that repeat an id count once each.
+    """
+    rows = staged(
+        shingled(items, item_id, text).select(F.col("item_id").alias("member_id"), F.sha2(F.concat(F.col("size").cast("string"), F.lit(":"), F.hex("shingles")).cast("binary"), 256).alias("set")),
+        "item-members",
+    )
+    groups = rows.groupBy("set").agg(F.min("member_id").alias("item_id"), F.count(F.lit(1)).alias("members"))
+    return join_groups(rows, groups, "set", "members", rows.count()).select("item_id", "member_id")
 
 
 def find_leaks(
@@ -95,10 +147,11 @@ def find_leaks(
     """``doc_id, item_id, item_copies, item_shingles, shared``: documents that contain an item.
 
     A document contains an item when it has at least ``percent`` of the item's distinct 5-word
-    shingles, anywhere in its text. Items with equal shingles are one, under the smallest id
-    (``item_copies`` counts them). Null, empty and shorter items and texts have no shingle: they
-    contain nothing and are contained in nothing. Repeated document rows are each reported. Empty
-    tables give no rows. Other columns are not read, whatever their names.
+    shingles, anywhere in its text; an item of one to four words is one shingle, the whole sequence.
+    Items with equal shingles are one, under the smallest id (``item_copies`` counts them,
+    ``item_members`` names them). Null and empty items and texts have no shingle: they contain nothing
+    and are contained in nothing. Repeated document rows are each reported. Empty tables give no
+    rows. Other columns are not read, whatever their names.
 
     Items are sent to the executors in blocks of bounded size, one pass over the documents per
     block; no document is shuffled.
@@ -116,7 +169,7 @@ def find_leaks(
     result = None
     for b in range(max(1, blocks)):
         block = sets.filter(F.pmod(F.xxhash64("shingles"), F.lit(max(1, blocks))) == b).orderBy("item_id").collect()
-        sent = [(r["item_id"], bytes(r["shingles"])) for r in block]
+        sent = [(i, r["size"], bytes(r["shingles"])) for i, r in enumerate(block)]
         names = docs.sparkSession.createDataFrame(
             [(i, r["item_id"], r["item_copies"], len(r["shingles"]) // 8) for i, r in enumerate(block)],
             T.StructType(
@@ -133,16 +186,11 @@ def find_leaks(
             index = Items(sent) if sent else None
             for run, words in texts_of_words(batches, "text"):
                 docs_at, found, shared = [], [], []
-                for i, w in enumerate(words):
-                    if index is None or len(w) < SHINGLE_WORDS:
-                        continue
-                    h = shingles(w, SHINGLE_WORDS)
-                    for k in sorted(index.candidates(h)):
-                        common = int(np.isin(index.sets[k], h).sum())
-                        if common * 100 >= percent * len(index.sets[k]):
-                            docs_at.append(i)
-                            found.append(k)
-                            shared.append(common)
+                for i, w in enumerate(words if index else []):
+                    for k, common in index.found_in(w, percent):
+                        docs_at.append(i)
+                        found.append(k)
+                        shared.append(common)
                 ids = run.column("doc_id").take(pa.array(docs_at, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(found, pa.int32()), pa.array(shared, pa.int64())], ["doc_id", "item", "shared"]

@@ -325,10 +325,15 @@ WITH {SHINGLES_SQL}, iw AS (
     SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
     FROM iw WHERE len(w) >= 5
 ), sets AS (SELECT item_id, string_agg(g, chr(10) ORDER BY g) AS s, count(*) AS m FROM ig GROUP BY item_id
-), item AS (SELECT min(item_id) AS item_id, count(*) AS item_copies, any_value(m) AS m FROM sets GROUP BY s)
+), item AS (SELECT min(item_id) AS item_id, count(*) AS item_copies, any_value(m) AS m FROM sets GROUP BY s
+), short AS (SELECT min(item_id) AS item_id, count(*) AS item_copies, ' ' || array_to_string(w, ' ') || ' ' AS s FROM iw
+    WHERE len(w) BETWEEN 1 AND 4 GROUP BY w
+), dw AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(translate(coalesce(text, ''), '{dedup.UPPER}', '{dedup.LOWER}'),
+        '[^\\x20\\x09-\\x0D]+'), ' ') || ' ' AS s FROM documents)
 SELECT g.doc_id, item.item_id, item.item_copies, item.m::INT AS item_shingles, count(*) AS shared
 FROM g JOIN ig ON ig.g = g.g JOIN item ON item.item_id = ig.item_id
 GROUP BY g.doc_id, item.item_id, item.item_copies, item.m HAVING 100 * count(*) >= 75 * item.m
+UNION ALL SELECT doc_id, item_id, item_copies, 1, 1 FROM dw JOIN short ON contains(dw.s, short.s)
 """
 
 

@@ -13,6 +13,7 @@ so inside of a member too, also in what inflates of a member that is damaged or
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -167,13 +168,22 @@ def parse(data: bytes | memoryview, at: int, offset: int | None = None) -> tuple
     return record, end + 4
 
 
+def sha1_digest(value: str) -> bytes | None:
+    """The bytes of a digest header: SHA-1 in hexadecimal or in base 32. None for any other."""
+    kind, _, digest = value.partition(":")
+    try:
+        decoded = bytes.fromhex(digest) if len(digest) == 40 else base64.b32decode(digest.upper()) if len(digest) == 32 else b""
+    except ValueError:
+        return None
+    return decoded if kind.lower() == "sha1" and len(decoded) == 20 else None
+
+
 def check(record: Record) -> None:
-    """Digests that are hexadecimal SHA-1 must hold; others are not looked at."""
+    """SHA-1 digests must hold, in hexadecimal or in base 32; others are not looked at."""
     for name, data in (("warc-block-digest", lambda: record.block), ("warc-payload-digest", lambda: record.payload)):
-        kind, _, digest = record.headers.get(name, "").partition(":")
-        if kind == "sha1" and len(digest) == 40 and record.headers.get("warc-type") != "revisit":
-            if hashlib.sha1(data()).hexdigest() != digest.lower():
-                raise Damaged(f"{name} differs")
+        wanted = sha1_digest(record.headers.get(name, ""))
+        if wanted and record.headers.get("warc-type") != "revisit" and hashlib.sha1(data()).digest() != wanted:
+            raise Damaged(f"{name} differs")
 
 
 def inflated(data: bytes, at: int) -> tuple[bytes, int, str | None]:
@@ -295,7 +305,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                         continue
                     h, payload = r.headers, r.payload
                     if h.get("warc-type") == "revisit":
-                        digest = h.get("warc-payload-digest", "").partition(":")[2] or None
+                        given = h.get("warc-payload-digest", "")
+                        known = sha1_digest(given)
+                        digest = known.hex() if known else given.partition(":")[2] or None
                         length = int(h["x-payload-length"]) if h.get("x-payload-length", "").isdigit() else None
                     else:
                         digest, length = hashlib.sha1(payload).hexdigest(), len(payload)

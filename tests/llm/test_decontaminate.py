@@ -7,26 +7,26 @@ from rows import clashing, empty_docs, odd_docs, odd_rows, sentence, words
 ITEMS = "item_id long, text string"
 
 
-def grams(text):
+def grams(text, size=5):
     w = words(text)
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
 
 
 def brute(docs, items):
     sets = {}
     for i, text in items:
-        if s := frozenset(grams(text)):
-            sets.setdefault(s, []).append(i)
+        if words(text):
+            sets.setdefault(frozenset(grams(text, min(5, len(words(text))))), []).append(i)
     found = []
     for d, text, *_ in docs:
-        g = grams(text)
+        g = set().union(*[grams(text, k) for k in range(1, 6)])
         found += [(d, min(ids), len(ids), len(s), len(s & g)) for s, ids in sets.items() if 4 * len(s & g) >= 3 * len(s)]
     return sorted(found, key=str)
 
 
 def items():
     return [(1, sentence(20, 5)), (2, sentence(20, 5).upper()), (3, None), (4, ""), (5, "w1 w2 w3 w4"), (6, sentence(5, 100)),
-            (7, sentence(12, 29_990)), (8, sentence(30, 20) + " z z z z z z"), (9, "not there at all in any text")]
+            (7, sentence(12, 29_990)), (10, "TINY"), (11, "b c"), (12, "c b"), (13, "w39"), (14, "w4 w3"), (8, sentence(30, 20) + " z z z z z z"), (9, "not there at all in any text")]
 
 
 def test_against_brute_force(spark):
@@ -74,3 +74,42 @@ def test_empty(spark):
     none = spark.createDataFrame([], ITEMS)
     assert decontaminate.find_leaks(odd_docs(spark), none).count() == 0
     assert decontaminate.find_leaks(empty_docs(spark), spark.createDataFrame(items(), ITEMS)).count() == 0
+
+
+def test_short_items(spark):
+    tests = spark.createDataFrame([(1, "alpha beta"), (2, "Beta  gamma DELTA"), (3, "beta"), (4, "betas"), (5, " ")], ITEMS)
+    docs = spark.createDataFrame([(1, "x alpha\nbeta gamma delta y z"), (2, "alpha"), (3, "beta alpha"), (4, None)], "doc_id long, text string")
+    found = decontaminate.find_leaks(docs, tests)
+    assert sorted((r.doc_id, r.item_id, r.shared) for r in found.collect()) == [(1, 1, 1), (1, 2, 1), (1, 3, 1), (3, 3, 1)]
+
+
+def test_members_of_items(spark):
+    tests = spark.createDataFrame([*items(), (20, "tiny"), (21, None)], ITEMS)
+    classes = {}
+    for i, text in [*items(), (20, "tiny")]:
+        if words(text):
+            classes.setdefault(frozenset(grams(text, min(5, len(words(text))))), []).append(i)
+    wanted = sorted((min(ids), i) for ids in classes.values() for i in ids)
+    assert sorted(tuple(r) for r in decontaminate.item_members(tests).collect()) == wanted
+
+
+def test_candidates_are_fewer_than_documents_that_share_a_shingle():
+    import numpy as np
+
+    from sieveline.llm.words import shingles
+
+    rng = np.random.default_rng(3)
+    rows, sets = [], []
+    for i in range(200):
+        w = rng.integers(0, 1 << 63, 104, dtype=np.uint64)
+        sets.append(w)
+        rows.append((i, 5, np.unique(shingles(w, 5)).tobytes()))
+    index = decontaminate.Items(rows)
+    shared = whole = halves = 0
+    for w in sets:
+        around = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        shared += len(index.candidates(shingles(np.concatenate([around(300), w[50:55], around(300)]), 5)))
+        # 76 of 100 shingles in a run, and in two parts far from each other.
+        whole += len(index.found_in(np.concatenate([around(300), w[:80], around(300)]), 75))
+        halves += len(index.found_in(np.concatenate([around(300), w[:50], around(900), w[50:], around(300)]), 75))
+    assert shared < 60 and whole == 200 and halves >= 196

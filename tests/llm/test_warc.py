@@ -145,3 +145,20 @@ def test_empty(spark, tmp_path):
     path = str(tmp_path / "none")
     warc.write_archives(spark.createDataFrame([], SCHEMA), path)
     assert warc.read_archives(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("form", ["hex", "HEX", "base32", "other"])
+def test_digests_in_hexadecimal_and_base_32(form):
+    import base64
+
+    digest = hashlib.sha1(b"right").digest()
+    text = {"hex": digest.hex(), "HEX": digest.hex().upper(), "base32": base64.b32encode(digest).decode(), "other": "x" * 32}[form]
+    make = lambda body: (
+        f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <r>\r\nWARC-Block-Digest: sha1:{text}\r\n"
+        f"Content-Length: 5\r\n\r\n{body}\r\n\r\n"
+    ).encode()
+    found = list(warc.salvage(make("right") + make("wrong") + make("right")))
+    gaps = [f for f in found if isinstance(f, warc.Gap)]
+    # A digest in no known form is not looked at.
+    assert (len(found), len(gaps)) == ((3, 0) if form == "other" else (3, 1))
+    assert form == "other" or gaps[0].reason == "warc-block-digest differs"

@@ -152,7 +152,7 @@ def test_digests_in_hexadecimal_and_base_32(form):
     import base64
 
     digest = hashlib.sha1(b"right").digest()
-    text = {"hex": digest.hex(), "HEX": digest.hex().upper(), "base32": base64.b32encode(digest).decode(), "other": "x" * 32}[form]
+    text = {"hex": digest.hex(), "HEX": digest.hex().upper(), "base32": base64.b32encode(digest).decode(), "other": "1" * 32}[form]
     make = lambda body: (
         f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <r>\r\nWARC-Block-Digest: sha1:{text}\r\n"
         f"Content-Length: 5\r\n\r\n{body}\r\n\r\n"

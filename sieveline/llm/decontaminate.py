@@ -11,8 +11,8 @@ one shingle, the whole sequence, and are looked up by it.
 
 With 64 bins, a window of the largest ratio (four times the item's shingles) that holds 75 % of an item
 shares no signature value with it in about 4 of a million cases: each bin agrees with the Jaccard
-similarity, 0.18, as its chance. An item whose parts lie far apart is searched for by each part: of two
-halves, 99 % are found.
+similarity, 0.18, as its chance. An item whose parts lie far apart is searched for by each part. Items of
+at most 8 shingles are candidates by any of these.
 
 A window's signature is only worked out around the shingles that some item has in its own
 signature, as no other value can agree; the candidates are those of the full signatures.
@@ -31,6 +31,8 @@ from sieveline.sizing import broadcast_if_small, measured_bytes, staged
 SHINGLE_WORDS = 5
 PERCENT = 75
 BIN_BITS = 6
+# Items of at most so many shingles are candidates by any of them: of so few, bins might hide all.
+SMALL_SET = 8
 # Items are sent to the executors in blocks of about this size.
 BLOCK_BYTES = 16 << 20
 
@@ -48,7 +50,7 @@ class Items:
                 short.setdefault(size, []).append(i)
                 continue
             bins = s >> np.uint64(64 - BIN_BITS)
-            least = s[np.concatenate([[True], bins[1:] != bins[:-1]])]  # sets are sorted
+            least = s if len(s) <= SMALL_SET else s[np.concatenate([[True], bins[1:] != bins[:-1]])]  # sets are sorted
             keys.append(least)
             owners.append(np.full(len(least), i))
             widths.append(np.full(len(least), 1 << (len(s) - 1).bit_length()))
@@ -78,7 +80,7 @@ class Items:
         for place in np.flatnonzero(self.keys[at] == h):
             k = at[place]
             while k < len(self.keys) and self.keys[k] == h[place]:
-                if self.owners[k] not in found and self.least_in_window(h, int(place), int(self.widths[k])):
+                if self.owners[k] not in found and (self.widths[k] <= SMALL_SET or self.least_in_window(h, int(place), int(self.widths[k]))):
                     found.add(int(self.owners[k]))
                 k += 1
         return found

@@ -195,10 +195,12 @@ def schema_evolution(spark, sf):
 
 
 def new_index(spark, scope: str) -> DocumentIndex:
-    """A fresh index in the folder all executors share."""
+    """A fresh index in a database of its own, which lies in the folder all executors share."""
     import uuid
 
-    return DocumentIndex(spark, f"{work_folder(spark)}/{uuid.uuid4().hex}", scope, "Part", buckets=8)
+    database = f"parts_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{work_folder(spark)}/{database}'")
+    return DocumentIndex(spark, database, scope, "Part")
 
 
 @query("""SELECT p_partkey::VARCHAR AS __id, p_name AS name, p_retailprice * 2 AS price, p_size AS size FROM part WHERE p_partkey % 4 <> 0""")
@@ -208,8 +210,7 @@ def rebuild_then_publish(spark, sf):
     doubled = part_fields(Price=FieldOf(F.array((F.col("p_retailprice") * 2).cast("string")), "Double"))
     index.index_with_backup(part_long(spark, sf, doubled).filter("doc_id % 4 <> 0"))
     index.swap()
-    active, _backup = index.register_views()
-    return spark.table(active).select(KEY, "name", "price", "size")
+    return spark.table(index.view()).select(KEY, "name", "price", "size")
 
 
 @query("SELECT p_partkey::VARCHAR AS __id, p_name AS name FROM part WHERE p_partkey % 6 = 0")
@@ -234,7 +235,6 @@ def index_lifecycle(spark, sf):
     bigger = {"Size": FieldOf(F.array((F.col("p_size") + 1).cast("string")), "Integer")}
     index.index_partial(part_long(spark, sf, bigger).filter("doc_id % 5 = 0"))
     index.remove(table(spark, sf, "part").filter("p_partkey % 7 = 0"))
-    index.compact()
     return index.table().select(KEY, "name", "size", "kind", "brand")
 
 
@@ -246,6 +246,6 @@ def streaming_index(spark, sf):
     from sieveline.sources.documents import to_long
 
     long = to_long(stream, F.col("p_partkey"), F.col("p_partkey"), part_fields())
-    run = index_stream(long, index, f"{index.folder}/_checkpoint").trigger(availableNow=True).start()
+    run = index_stream(long, index, f"{work_folder(spark)}/{index.database}-checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
     return index.table().select(KEY, "name", "size")

@@ -104,16 +104,6 @@ def filter_by_keys(df: DataFrame, keys: DataFrame, key: str = KEY) -> DataFrame:
     return df.join(broadcast_if_small(wanted), key, "left_semi")
 
 
-def required_ids(node) -> list[str] | None:
-    """Ids one of which every selected row must have; ``None`` if the tree does not say."""
-    if isinstance(node, Ids):
-        return [v for v in node.values or () if v] or None
-    if isinstance(node, And):
-        known = [ids for ids in map(required_ids, node.children or ()) if ids]
-        return min(known, key=len, default=None)
-    return None
-
-
 def join_conditions(conditions: Sequence[Column | None], combine) -> Column | None:
     present = [c for c in conditions if c is not None]
     return reduce(combine, present) if present else None

@@ -1,31 +1,29 @@
-"""A document index as Parquet folders that are only ever added to.
+"""A document index as catalog tables that two views publish.
 
-``<root>/<scope>-<type>/v=<n>`` holds one copy of the documents: ``base``, partitioned by a hash
-bucket of the key, and one folder ``c=<k>`` for each change made since. Reading applies the
-changes to the base: one aggregation of the changes by key and one join. :meth:`~DocumentIndex.compact`
-writes the result as the base of a new copy; when to do so is the caller's choice.
+``<database>.<scope>_<type>_active`` and ``..._backup`` are views, each over one table. A change
+joins the table that a view publishes with the batch, writes the result as a new table and replaces
+the view. No table is ever written twice: a write that stops before its view is replaced has changed
+nothing, and frames taken earlier go on reading what they read, until :meth:`~DocumentIndex.expire`
+drops the tables that no view publishes.
 
-A log says which copy is active, which one is the backup, their schemas and their changes. Each
-step adds one entry under a number of its own. A change takes effect with its entry: a write
-that stops before has changed nothing, and frames taken earlier go on reading what they read.
+A change scans and writes the copy once, without shuffling it where the batch is small; so changes
+should come in batches. One writer at a time: logs, concurrent writers and changes at the cost of
+their own size are what table formats bring, which take the same frames (``sources.mutations``).
 """
 
 from __future__ import annotations
 
-import json
+import re
 import uuid
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, replace
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import Analysis
-from ..operators.filters import required_ids
 from ..operators.matching import suggest
 from ..plans.search import SearchRequest, SearchResult, empty_result, search
 from ..schema import KEY, FieldError, FieldSpec, specs_of, to_schema
-from ..sizing import BROADCAST_LIMIT_BYTES, row_bytes
+from ..sizing import BROADCAST_LIMIT_BYTES, broadcast_if_small, measured_bytes, staged
 from .documents import (
     PRESENT,
     SEQ,
@@ -36,151 +34,55 @@ from .documents import (
     key_spec,
     read_documents,
 )
-from .mutations import latest, merge_update, mutation_report
+from .mutations import evolve, latest, merge_update, mutation_report, remove, upsert
 
-BUCKET = "__bucket"
 ACTIVE, BACKUP = "active", "backup"
-# Columns of a change: its number and the document's place in it, whether the row replaces the
-# whole document, and whether it removes it.
-ORDER, WHOLE, GONE = "__order", "__whole", "__gone"
-
-
-@dataclass(frozen=True)
-class _Copy:
-    version: int
-    schema: str
-    has_base: bool = False
-    changes: tuple[str, ...] = ()
-    change_bytes: int = 0
-
-    @property
-    def fields(self) -> T.StructType:
-        return T.StructType.fromJson(json.loads(self.schema))
-
-
-@dataclass(frozen=True)
-class _State:
-    """Newest entry of the log."""
-
-    seq: int = 0
-    buckets: int | None = None
-    versions: int = 0
-    active: _Copy | None = None
-    backup: _Copy | None = None
-
-    @classmethod
-    def parse(cls, text: str) -> _State:
-        row = json.loads(text)
-        copies = {r: _Copy(**row[r] | {"changes": tuple(row[r]["changes"])}) if row[r] else None for r in (ACTIVE, BACKUP)}
-        return cls(**row | copies)
+# Order of the documents within a batch; property of a view that names its table.
+ORDER, TABLE = "__order", "sieveline.table"
 
 
 class DocumentIndex:
-    """Index of one document type.
+    """Index of one document type in a database of the catalog.
 
-    A second writer that adds the same log entry fails. ``buckets`` counts when the index is made:
-    choose it so that a bucket holds a few gigabytes at the expected size.
+    The database says where the tables lie (``CREATE DATABASE ... LOCATION ...``). ``scope`` and
+    ``doc_type`` become parts of names: letters, digits and underscores only.
     """
 
     def __init__(
-        self,
-        spark: SparkSession,
-        root: str,
-        scope: str,
-        doc_type: str,
-        buckets: int = 64,
-        analysis: Analysis = Analysis(),
+        self, spark: SparkSession, database: str, scope: str, doc_type: str, analysis: Analysis = Analysis()
     ):
         self.spark = spark
-        self.name = f"{scope}-{doc_type}".lower()
-        self.folder = f"{root.rstrip('/')}/{self.name}"
-        self.new_buckets = buckets
+        self.database = database
+        self.name = f"{scope}_{doc_type}".lower()
         self.analysis = analysis
 
-    # -- state ---------------------------------------------------------------
-
-    def _state(self) -> _State:
-        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        try:
-            newest = files.load(f"{self.folder}/_log").agg(F.max("path")).first()[0]
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            newest = None
-        return _State() if newest is None else _State.parse(self.spark.read.text(newest, wholetext=True).first()[0])
-
-    def _record(self, state: _State) -> None:
-        state = replace(state, seq=state.seq + 1)
-        entry = self.spark.createDataFrame([(json.dumps(asdict(state)),)], "entry string")
-        entry.coalesce(1).write.mode("errorifexists").text(f"{self.folder}/_log/{state.seq:012d}")
-
-    def _path(self, copy: _Copy, part: str) -> str:
-        return f"{self.folder}/v={copy.version}/{part}"
-
     # -- reading -------------------------------------------------------------
 
-    def _base(self, copy: _Copy, buckets: Sequence[int] | None = None) -> DataFrame:
-        schema = T.StructType([*copy.fields.fields, T.StructField(BUCKET, T.IntegerType())])
-        if not copy.has_base:
-            return self.spark.createDataFrame([], schema).drop(BUCKET)
-        rows = self.spark.read.schema(schema).parquet(self._path(copy, "base"))
-        return (rows if buckets is None else rows.filter(F.col(BUCKET).isin(list(buckets)))).drop(BUCKET)
-
-    def _changes(self, copy: _Copy) -> DataFrame:
-        order = T.StructType([T.StructField("change", T.IntegerType()), T.StructField("seq", T.LongType())])
-        extra = [
-            T.StructField(ORDER, order),
-            T.StructField(WHOLE, T.BooleanType()),
-            T.StructField(GONE, T.BooleanType()),
-            T.StructField(PRESENT, T.ArrayType(T.StringType())),
-        ]
-        schema = T.StructType([*copy.fields.fields, *extra])
-        return self.spark.read.schema(schema).parquet(*[self._path(copy, c) for c in copy.changes])
-
-    def _read(self, state: _State, copy: _Copy, ids: Sequence[str] | None = None) -> DataFrame:
-        """Documents of a copy; with ``ids``, these only, out of their buckets."""
-        buckets = None
-        if ids is not None:
-            keys = self.spark.createDataFrame([(i,) for i in ids], f"{KEY} string")
-            buckets, _ = _survey(keys, state.buckets)
-        rows = self._base(copy, buckets)
-        if ids is not None:
-            rows = rows.filter(F.col(KEY).isin(list(ids)))
-        if not copy.changes:
-            return rows
-        changes = self._changes(copy)
-        if ids is not None:
-            changes = changes.filter(F.col(KEY).isin(list(ids)))
-        every = F.array(*[F.lit(c) for c in [*copy.fields.names[1:], GONE]])
-        own = F.concat(F.coalesce(PRESENT, F.array().cast("array<string>")), F.array(F.lit(GONE)))
-        changes = changes.withColumn(PRESENT, F.when(F.col(WHOLE), every).otherwise(own)).drop(WHOLE)
-        limit = None if copy.change_bytes <= BROADCAST_LIMIT_BYTES else 0
-        merged = merge_update(rows.withColumn(GONE, F.lit(False)), changes, KEY, ORDER, PRESENT, limit)
-        return merged.filter(~F.col(GONE)).drop(GONE)
-
-    def _copy(self, state: _State, use_backup: bool) -> _Copy | None:
-        return state.backup if use_backup else state.active
+    def view(self, use_backup: bool = False) -> str:
+        """Name of the view that publishes a copy."""
+        return f"{self.database}.{self.name}_{BACKUP if use_backup else ACTIVE}"
+
+    def _stored(self, use_backup: bool) -> DataFrame | None:
+        """Rows of a copy with the ``__seq`` that the view does not show."""
+        view = self.view(use_backup)
+        if not self.spark.catalog.tableExists(view):
+            return None
+        properties = {r.key: r.value for r in self.spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
+        return self.spark.table(f"{self.database}.{properties[TABLE]}")
 
     def table(self, use_backup: bool = False) -> DataFrame | None:
         """Documents of the active (or backup) copy; ``None`` if there is none."""
-        state = self._state()
-        copy = self._copy(state, use_backup)
-        return None if copy is None else self._read(state, copy)
+        view = self.view(use_backup)
+        return self.spark.table(view) if self.spark.catalog.tableExists(view) else None
 
     def get(self, ids: Sequence[str]) -> DataFrame | None:
-        """Documents with these ids; only their buckets are read."""
-        state = self._state()
-        return None if state.active is None else self._read(state, state.active, ids)
+        """Documents with these ids; row groups whose Bloom filters hold none of them are not read."""
+        table = self.table()
+        return None if table is None else table.filter(F.col(KEY).isin(list(ids)))
 
     def search(self, request: SearchRequest) -> SearchResult:
-        """Answer a request; ids that a filter requires limit the buckets that are read."""
-        state = self._state()
-        copy = self._copy(state, request.use_backup)
-        if copy is None:
-            return empty_result(self.spark)
-        narrow = not (request.raw or request.facets or request.text)
-        ids = required_ids(request.filter) if narrow else None
-        return search(self._read(state, copy, ids), request, self.analysis)
+        table = self.table(request.use_backup)
+        return empty_result(self.spark) if table is None else search(table, request, self.analysis)
 
     def suggest(self, query: str, fields: Sequence[str], size: int = 5) -> DataFrame:
         table = self.table()
@@ -188,175 +90,140 @@ class DocumentIndex:
             return self.spark.createDataFrame([], "text string")
         return suggest(table, query, fields, size)
 
-    def changed(self) -> DataFrame | None:
-        """(key, seq) of the documents changed since the active copy was last compacted."""
-        state = self._state()
-        if state.active is None or not state.active.changes:
-            return None
-        return self._changes(state.active).select(KEY, F.col(f"{ORDER}.seq").alias(SEQ))
-
     # -- writing -------------------------------------------------------------
 
-    def index(self, documents: DataFrame, as_change: bool = False) -> DataFrame:
+    def index(self, documents: DataFrame, continued: bool = False) -> DataFrame:
         """Insert or replace documents (long form); new fields widen the schema.
 
-        The first documents of a copy become its base, unless ``as_change``.
+        With ``continued``, a document whose id and ``seq`` are those of the stored one is more of
+        the same document and merged into it: a batch that comes twice changes nothing.
         """
-        return self._write(documents, ACTIVE, "upsert", as_change)
+        return self._write(documents, False, "continue" if continued else "upsert")
 
     def index_partial(self, documents: DataFrame) -> DataFrame:
         """Overwrite only the supplied fields; a field the schema lacks raises."""
-        return self._write(documents, ACTIVE, "merge", True)
-
-    def widen(self, documents: DataFrame) -> None:
-        """Add the fields of these documents to the active copy's schema, and nothing else."""
-        state = self._state()
-        if state.active is None:
-            raise FieldError(f"index {self.name!r} does not exist")
-        known = [s for s in specs_of(state.active.fields) if not s.is_key]
-        specs = collect_specs(infer_fields(read_documents(documents).filter(F.col("name") != KEY), known), known)
-        if len(specs) > len(known):
-            schema = to_schema([key_spec(), *specs])
-            self._record(replace(state, active=replace(state.active, schema=schema.json())))
+        return self._write(documents, False, "merge")
 
     def index_with_backup(self, documents: DataFrame) -> DataFrame:
         """Add to the backup copy while readers stay on the active one."""
-        return self._write(documents, BACKUP, "upsert")
+        return self._write(documents, True, "upsert")
 
     def rebuild(self, documents: DataFrame) -> DataFrame:
         """Fill a new backup copy with these documents only, whatever the backup held."""
-        return self._write(documents, BACKUP, "upsert", fresh=True)
+        return self._write(documents, True, "upsert", fresh=True)
 
     def create(self, sample: DataFrame) -> None:
         """Make an empty backup copy with the schema of sample documents (long form)."""
-        state = self._state()
-        specs = collect_specs(infer_fields(read_documents(sample)))
-        if state.backup is None:
-            state, copy = self._new_copy(state, to_schema([key_spec(), *specs]))
-            self._record(replace(state, backup=copy))
+        if self.table(use_backup=True) is None:
+            specs = collect_specs(infer_fields(read_documents(sample)))
+            self._publish(True, self._store(self._empty([key_spec(), *specs])))
 
     def remove(self, keys: DataFrame) -> DataFrame:
         """Delete the documents whose ``__id`` is given."""
-        state = self._state()
-        if state.active is None:
+        stored = self._stored(False)
+        if stored is None:
             raise FieldError(f"index {self.name!r} does not exist")
-        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in state.active.fields.fields[1:]]
-        rows = keys.select(F.col(KEY).cast("string")).distinct().select(KEY, *nothing, F.lit(0).cast("long").alias(SEQ))
-        return self._add_change(state, ACTIVE, state.active, rows, "remove")
+        keys = staged(keys.select(F.col(KEY).cast("string")).distinct(), f"{self.name}-keys")
+        limit = _limit(keys)
+        self._publish(False, self._store(remove(stored, keys, limit=limit)))
+        return mutation_report(stored, keys, "remove", limit=limit)
 
-    def compact(self, use_backup: bool = False) -> None:
-        """Write the documents as the base of a new copy, to which no changes have to be applied.
+    def swap(self) -> None:
+        """Exchange what the two views publish, one after the other; nothing happens without a backup.
 
-        The one step that reads and writes a whole copy.
+        An index that has no active copy yet keeps an empty one as its backup.
         """
-        state = self._state()
-        old = self._copy(state, use_backup)
-        if old is None or (old.has_base and not old.changes):
+        active, backup = self._stored(False), self._stored(True)
+        if backup is None:
             return
-        new_state, copy = self._new_copy(state, old.fields)
-        copy = self._write_base(new_state, copy, self._read(state, old))
-        self._record(replace(new_state, **{BACKUP if use_backup else ACTIVE: copy}))
-
-    def swap(self) -> None:
-        """Exchange active and backup; nothing happens without a backup."""
-        state = self._state()
-        if state.backup is None:
-            return
-        active = state.active
-        if active is None:
-            state, active = self._new_copy(state, state.backup.fields)
-        self._record(replace(state, active=state.backup, backup=active))
+        fresh = self._table_of(True)
+        old = self._store(self._empty(specs_of(self.table(True).schema))) if active is None else self._table_of(False)
+        self._publish(False, fresh)
+        self._publish(True, old)
 
     def forget_backup(self) -> None:
-        """Detach the backup copy; its folder is left for the storage's own clean-up."""
-        self._record(replace(self._state(), backup=None))
-
-    def register_views(self) -> list[str]:
-        """Temporary views ``<scope>_<type>_active`` and ``..._backup`` over the copies."""
-        made = []
-        for role in (ACTIVE, BACKUP):
-            table = self.table(role == BACKUP)
-            if table is not None:
-                made.append(f"{self.name}_{role}".replace("-", "_"))
-                table.createOrReplaceTempView(made[-1])
-        return made
-
-    def _new_copy(self, state: _State, schema: T.StructType) -> tuple[_State, _Copy]:
-        """State that knows a new, empty copy, and the copy."""
-        version = state.versions + 1
-        return (
-            replace(state, versions=version, buckets=state.buckets or self.new_buckets),
-            _Copy(version, schema.json()),
+        """Drop the view of the backup copy."""
+        self.spark.sql(f"DROP VIEW IF EXISTS {self.view(True)}")
+
+    def expire(self) -> list[str]:
+        """Drop the tables of this index that no view publishes; frames that still read them fail."""
+        published = {self._table_of(b) for b in (False, True) if self.table(b) is not None}
+        names = [r.tableName for r in self.spark.sql(f"SHOW TABLES IN {self.database}").collect()]
+        own = re.compile(rf"{self.name}_v_[0-9a-f]{{32}}")
+        dropped = sorted(n for n in names if own.fullmatch(n) and n not in published)
+        for name in dropped:
+            self.spark.sql(f"DROP TABLE {self.database}.{name}")
+        return dropped
+
+    def _table_of(self, use_backup: bool) -> str:
+        row = self.spark.sql(f"SHOW TBLPROPERTIES {self.view(use_backup)} ('{TABLE}')").first()
+        return row.value
+
+    def _empty(self, specs: Sequence[FieldSpec]) -> DataFrame:
+        return self.spark.createDataFrame([], to_schema(specs)).withColumn(SEQ, F.lit(None).cast("long"))
+
+    def _store(self, rows: DataFrame) -> str:
+        """Write a new table of this index; its name."""
+        name = f"{self.name}_v_{uuid.uuid4().hex}"
+        writer = rows.write.option(f"parquet.bloom.filter.enabled#{KEY}", "true")
+        writer.option("parquet.bloom.filter.adaptive.enabled", "true").saveAsTable(f"{self.database}.{name}")
+        return name
+
+    def _publish(self, use_backup: bool, name: str) -> None:
+        """Let the view of a copy show this table."""
+        table = f"{self.database}.{name}"
+        columns = ", ".join(f"`{c.replace('`', '``')}`" for c in self.spark.table(table).columns if c != SEQ)
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.view(use_backup)} TBLPROPERTIES ('{TABLE}'='{name}') AS SELECT {columns} FROM {table}"
         )
 
-    def _write_base(self, state: _State, copy: _Copy, rows: DataFrame) -> _Copy:
-        # Rebalancing splits a large bucket over several tasks and files.
-        bucketed = rows.withColumn(BUCKET, _bucket(state.buckets)).hint("rebalance", BUCKET)
-        bucketed.write.mode("errorifexists").partitionBy(BUCKET).parquet(self._path(copy, "base"))
-        return replace(copy, has_base=True)
-
-    def _write(self, documents: DataFrame, role: str, kind: str, as_change: bool = False, fresh: bool = False) -> DataFrame:
+    def _write(self, documents: DataFrame, use_backup: bool, kind: str, fresh: bool = False) -> DataFrame:
         long = read_documents(documents).filter(F.col("name") != KEY)
-        state = self._state()
-        copy = None if fresh else getattr(state, role)
-        known: list[FieldSpec] = [] if copy is None else [s for s in specs_of(copy.fields) if not s.is_key]
+        stored = None if fresh else self._stored(use_backup)
+        known = [] if stored is None else [s for s in specs_of(stored.drop(SEQ).schema) if not s.is_key]
         specs = collect_specs(infer_fields(long, known), known)
         if kind == "merge" and len(specs) > len(known):
             raise FieldError(f"partial update with unknown fields {[s.name for s in specs[len(known):]]}")
         check_types(long, specs, "raise")
-        wide = assemble(long, specs, present=PRESENT if kind == "merge" else None)
-        schema = to_schema([key_spec(), *specs])
-        if copy is not None:
-            return self._add_change(state, role, replace(copy, schema=schema.json()), wide, kind)
-        state, copy = self._new_copy(state, schema)
-        if as_change:
-            return self._add_change(state, role, copy, wide, kind)
-        # The key may be missing: such a document is reported, not stored.
-        keyed = latest(wide.filter(F.col(KEY).isNotNull()), KEY, SEQ)
-        copy = self._write_base(state, copy, keyed.select(*schema.names))
-        self._record(replace(state, **{role: copy}))
-        nothing = self.spark.createDataFrame([], f"{KEY} string")
-        # Read back from what was written, and the keys that were not.
-        lost = long.filter(F.col("doc_id").isNull()).select(F.col("doc_id").alias(KEY)).distinct()
-        return mutation_report(nothing, self._base(copy).select(KEY).unionByName(lost), kind, limit=0)
-
-    def _add_change(self, state: _State, role: str, copy: _Copy, rows: DataFrame, kind: str) -> DataFrame:
-        """Append a change and enter it in the log; the outcome by key against the documents before."""
-        number = state.seq + 1
-        name = f"c={number:09d}-{uuid.uuid4().hex[:8]}"
-        rows = rows.withColumns(
-            {
-                ORDER: F.struct(F.lit(number).alias("change"), F.col(SEQ).alias("seq")),
-                WHOLE: F.lit(kind != "merge"),
-                GONE: F.lit(kind == "remove"),
-            }
+        fields = [key_spec(), *specs]
+        # A copy of ``seq`` orders the batch; ``seq`` itself is stored.
+        batch = assemble(long, specs, present=PRESENT).withColumn(ORDER, F.col(SEQ))
+        if kind != "merge":
+            named = [s.name for s in fields]
+            batch = latest(batch, KEY, ORDER).select(*named, SEQ, PRESENT).withColumn(ORDER, F.col(SEQ))
+        outcome = "merge" if kind == "merge" else "upsert"
+        if stored is None:
+            # Nothing to join with: written once, and the outcome is read from what was written.
+            rows = merge_update(self._empty(fields), batch, KEY, ORDER, PRESENT, 0) if kind == "merge" else batch
+            table = self._store(rows.filter(F.col(KEY).isNotNull()).select(*[s.name for s in fields], SEQ))
+            self._publish(use_backup, table)
+            lost = long.filter(F.col("doc_id").isNull()).select(F.col("doc_id").alias(KEY)).distinct()
+            written = self.spark.table(f"{self.database}.{table}").select(KEY).unionByName(lost)
+            return mutation_report(self.spark.createDataFrame([], f"{KEY} string"), written, outcome, limit=0)
+        batch = staged(batch, f"{self.name}-batch")
+        limit = _limit(batch)
+        base = evolve(stored, fields)
+        if kind == "continue":
+            batch = _continued(stored, batch, limit)
+        changed = (
+            upsert(base, batch.drop(PRESENT), order=ORDER, limit=limit)
+            if kind == "upsert"
+            else merge_update(base, batch, KEY, ORDER, PRESENT, limit)
         )
-        rows.drop(SEQ).write.mode("errorifexists").parquet(self._path(copy, name))
-        changed = replace(copy, changes=(*copy.changes, name))
-        written = self._changes(replace(copy, changes=(name,)))
-        touched, size = _survey(written, state.buckets)
-        self._record(replace(state, **{role: replace(changed, change_bytes=copy.change_bytes + size)}))
-        # Nothing that the outcome reads is ever overwritten: it may be worked out later.
-        limit = None if copy.change_bytes + size <= BROADCAST_LIMIT_BYTES else 0
-        keys = written.select(KEY).distinct()
-        stored = self._stored_keys(copy, touched, keys)
-        return mutation_report(stored, keys, kind, limit=limit)
-
-    def _stored_keys(self, copy: _Copy, touched: list[int], keys: DataFrame) -> DataFrame:
-        """Keys of the documents before a change, as far as ``keys`` may name them."""
-        base = self._base(copy, touched).select(KEY)
-        if not copy.changes:
-            return base
-        earlier = self._changes(copy).groupBy(KEY).agg(F.max_by(GONE, ORDER).alias(GONE))
-        return base.join(earlier, KEY, "left_anti").unionByName(earlier.filter(~F.col(GONE)).select(KEY))
-
-
-def _bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
-
-
-def _survey(batch: DataFrame, buckets: int) -> tuple[list[int], int]:
-    """Buckets the batch touches (at most ``buckets`` numbers), and its size in bytes."""
-    keyed = batch.filter(F.col(KEY).isNotNull())
-    found = keyed.agg(F.collect_set(_bucket(buckets)).alias("b"), F.sum(row_bytes(batch)).alias("n")).first()
-    return sorted(found.b), found.n or 0
+        self._publish(use_backup, self._store(changed.select(*base.columns)))
+        return mutation_report(stored, batch, outcome, limit=limit)
+
+
+def _limit(batch: DataFrame) -> int | None:
+    """The answer to "is it small", measured once for all joins with a batch."""
+    return None if measured_bytes(batch) <= BROADCAST_LIMIT_BYTES else 0
+
+
+def _continued(stored: DataFrame, batch: DataFrame, limit: int | None) -> DataFrame:
+    """``batch`` with all fields marked as supplied, but for documents that go on with the stored one."""
+    mine = broadcast_if_small(batch.select(KEY, SEQ), limit)
+    same = broadcast_if_small(stored.select(KEY, SEQ).join(mine, [KEY, SEQ], "left_semi"), limit)
+    every = F.array(*[F.lit(c) for c in batch.columns if c not in (KEY, ORDER, PRESENT)])
+    marked = batch.join(same.withColumn("__same", F.lit(True)), [KEY, SEQ], "left")
+    present = F.when(F.col("__same"), F.col(PRESENT)).otherwise(every)
+    return marked.withColumn(PRESENT, present).select(*batch.columns)

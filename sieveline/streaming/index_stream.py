@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..schema import KEY
-from ..sizing import broadcast_if_small
-from ..sources.documents import SEQ
 from ..sources.index import DocumentIndex
 
 
 def index_stream(
     documents: DataFrame, index: DocumentIndex, checkpoint: str, partial: bool = False
 ) -> DataStreamWriter:
-    """Writer that adds each micro-batch to ``index`` as a change of its own size; start it with
-    the trigger you need, and call ``index.compact()`` when changes have grown.
+    """Writer that applies each micro-batch to ``index``; start it with the trigger you need.
 
+    Every micro-batch scans and writes the copy once, so choose triggers that gather large batches.
     A document whose fields are split over micro-batches keeps them all: rows with the id and the
-    ``seq`` of a document that was changed since the last compaction are merged into it. A
-    micro-batch that is replayed after a failure therefore changes nothing.
+    ``seq`` of the stored document are merged into it. A micro-batch that is replayed after a
+    failure therefore changes nothing.
     """
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
@@ -30,22 +27,8 @@ def index_stream(
                 return
             if partial:
                 index.index_partial(batch)
-                return
-            seen = index.changed()
-            known = batch.limit(0)
-            if seen is not None:
-                of_batch = batch.select(F.col("doc_id").cast("string").alias(KEY), F.col("seq").cast("long").alias(SEQ))
-                # No larger than the batch.
-                again = broadcast_if_small(seen.join(broadcast_if_small(of_batch.distinct()), [KEY, SEQ]).distinct())
-                same = (F.col("doc_id").cast("string") == F.col(KEY)) & (F.col("seq").cast("long") == F.col(SEQ))
-                known, batch_new = batch.join(again, same, "left_semi"), batch.join(again, same, "left_anti")
             else:
-                batch_new = batch
-            if not batch_new.isEmpty():
-                index.index(batch_new, as_change=True)
-            if not known.isEmpty():
-                index.widen(known)
-                index.index_partial(known)
+                index.index(batch, continued=True)
         finally:
             batch.unpersist()
 

@@ -1,5 +1,7 @@
 """Eight sample documents in long form (fixed values), and the index they are loaded into."""
 
+import uuid
+
 from sieveline import DocumentIndex
 
 LONG = (
@@ -58,8 +60,14 @@ def documents(spark, items):
     return spark.createDataFrame(rows, LONG)
 
 
+def new_index(spark, root, scope="Shop", doc_type="Item"):
+    database = f"db_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/{database}'")
+    return DocumentIndex(spark, database, scope, doc_type)
+
+
 def loaded_index(spark, root):
-    index = DocumentIndex(spark, root, "Test", "Item", buckets=4)
+    index = new_index(spark, root, "Test")
     reports = [
         index.index(documents(spark, ITEMS[:5])),
         index.index(documents(spark, ITEMS[5:])),

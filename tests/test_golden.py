@@ -220,11 +220,11 @@ def test_get_by_ids(index):
     assert [r["__id"] for r in index.get(["Item-3", "Item-7"]).collect()] == ["Item-3"]
 
 
-def test_ids_filter_reads_only_their_buckets(index):
+def test_ids_filter_reaches_the_reader(index):
     result = index.search(SearchRequest(filter=And([Ids(["Item-2", "Item-9"]), Term("Color", ["Red"])])))
     assert [r.id for r in result.documents.collect()] == ["Item-2"]
     assert result.total.first().total == 1
-    assert "__bucket" in result.documents._jdf.queryExecution().executedPlan().toString()
+    assert "In(__id, [Item-2,Item-9])" in result.documents._jdf.queryExecution().executedPlan().toString()
 
 
 def test_text_search_equals_a_scan_of_the_texts(index):

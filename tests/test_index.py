@@ -3,15 +3,15 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fixture import ITEMS, LONG, documents, row
-from sieveline import KEY, DocumentIndex, FieldError, SearchRequest, Term
+from fixture import ITEMS, LONG, documents, new_index, row
+from sieveline import KEY, FieldError, SearchRequest, Term
 from sieveline.sources.documents import TypeMismatch
 from sieveline.streaming import index_stream
 
 
 @pytest.fixture
 def index(spark, tmp_path):
-    return DocumentIndex(spark, str(tmp_path), "Shop", "Item", buckets=4)
+    return new_index(spark, tmp_path)
 
 
 def names(table):
@@ -66,10 +66,11 @@ def test_swap(spark, index):
     assert set(names(index.table())) == {"Item-3", "Item-4"}
     assert set(names(index.table(use_backup=True))) == {"Item-1", "Item-2"}
     assert index.search(SearchRequest(use_backup=True)).total.first().total == 2
-    assert index.register_views() == ["shop_item_active", "shop_item_backup"]
+    assert [r.viewName for r in spark.sql(f"SHOW VIEWS IN {index.database}").collect()] == ["shop_item_active", "shop_item_backup"]
+    assert set(names(spark.table(index.view()))) == {"Item-3", "Item-4"}
 
 
-def test_removing_the_last_document_of_a_bucket(spark, index):
+def test_removing_all_documents(spark, index):
     index.index(documents(spark, ITEMS[:4]))
     keys = spark.createDataFrame([(i[0],) for i in ITEMS[:4]] + [("absent",)], f"{KEY} string")
     actions = sorted(r.action for r in index.remove(keys).collect())
@@ -128,27 +129,13 @@ def test_frames_taken_before_a_change_keep_their_rows(spark, index):
     before, found = index.table(), index.search(SearchRequest(text="red")).documents
     index.index(spark.createDataFrame([row("Item-2", 0, "Name", "String", ["Blue Hat"])], LONG))
     index.remove(spark.createDataFrame([("Item-1",)], f"{KEY} string"))
-    index.compact()
     assert set(names(before)) == {"Item-1", "Item-2", "Item-3"} and found.count() == 3
     assert names(index.table()) == {"Item-2": "Blue Hat", "Item-3": "Red Shirt"}
 
 
-def test_a_change_writes_its_own_size(spark, index, tmp_path):
-    many = spark.range(20_000).selectExpr(
-        "string(id) doc_id", "id seq", "'Name' name", "'String' type", "array(concat('name ', id)) values",
-        "true searchable", "true filterable", "true retrievable", "false suggestable", "false collection",
-    )
-    index.index(many)
-    size = lambda: sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
-    before = size()
-    index.index(many.filter("seq < 5").withColumn("values", F.array(F.lit("changed"))))
-    assert size() - before < before / 10
-    assert index.table().filter("name = 'changed'").count() == 5 and index.table().count() == 20_000
-
-
-def test_a_write_without_its_log_entry_changes_nothing(spark, index, monkeypatch):
+def test_a_write_that_is_not_published_changes_nothing(spark, index, monkeypatch):
     index.index(documents(spark, ITEMS[:2]))
-    monkeypatch.setattr(index, "_record", lambda state: (_ for _ in ()).throw(RuntimeError("lost")))
+    monkeypatch.setattr(index, "_publish", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):
         index.index(documents(spark, ITEMS[2:4]))
     monkeypatch.undo()
@@ -157,12 +144,49 @@ def test_a_write_without_its_log_entry_changes_nothing(spark, index, monkeypatch
     assert len(names(index.table())) == 4
 
 
-def test_a_second_writer_fails(spark, index):
-    index.index(documents(spark, ITEMS[:2]))
-    state = index._state()
-    index.index(documents(spark, ITEMS[2:3]))
-    with pytest.raises(Exception, match="(?i)exists"):
-        index._record(state)
+def test_only_unpublished_tables_expire(spark, index):
+    for n in (1, 2, 3):
+        index.index(documents(spark, ITEMS[:n]))
+    index.rebuild(documents(spark, ITEMS[:1]))
+    assert len(index.expire()) == 2 and index.expire() == []
+    assert (index.table().count(), index.table(use_backup=True).count()) == (3, 1)
+    other = type(index)(spark, index.database, "Shop", "Item_2")
+    other.index(documents(spark, ITEMS[:1]))
+    index.forget_backup()
+    assert len(index.expire()) == 1 and other.table().count() == 1 and other.expire() == []
+
+
+def test_a_small_change_does_not_shuffle_the_copy(spark, index, monkeypatch):
+    many = spark.range(2_000).selectExpr(
+        "string(id) doc_id", "id seq", "'Name' name", "'String' type", "array(concat('name ', id)) values",
+        "true searchable", "true filterable", "true retrievable", "false suggestable", "false collection",
+    )
+    index.index(many)
+    plans = []
+    store = index._store
+    monkeypatch.setattr(index, "_store", lambda rows: plans.append(rows) or store(rows))
+    index.index(many.filter("seq < 5").withColumn("values", F.array(F.lit("changed"))))
+    index.index_partial(many.filter("seq < 5"))
+    index.remove(many.filter("seq >= 1990").select(F.col("doc_id").alias(KEY)))
+    assert len(plans) == 3 and index.table().count() == 1_990
+    for rows in plans:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    found = index.get(["3", "1995"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(__id" in found
+
+
+def test_a_replayed_batch_changes_nothing(spark, index):
+    batch = spark.createDataFrame(
+        [row("a", 0, "Name", "String", ["old"]), row("a", 0, "Size", "Integer", [1]), row("a", 7, "Name", "String", ["new"]),
+         row(None, 8, "Name", "String", ["lost"])], LONG,
+    )
+    index.index(spark.createDataFrame([row("a", 3, "Color", "String", ["Red"])], LONG), continued=True)
+    for _ in range(2):
+        report = {r.id: r.action for r in index.index(batch, continued=True).collect()}
+        assert report == {"a": "replaced", None: None}
+        found = [r.asDict() for r in index.table().collect()]
+        assert [(r["name"], r["size"], r["color"]) for r in found] == [("new", None, None)]
 
 
 def test_rebuild_forgets_the_old_backup(spark, index):
@@ -178,8 +202,6 @@ def test_partial_after_removal_inserts(spark, index):
     index.index_partial(spark.createDataFrame([row("Item-1", 0, "Name", "String", ["Back"])], LONG))
     again = {r[KEY]: r for r in index.table().collect()}["Item-1"]
     assert again.asDict()["name"] == "Back" and again.color is None
-    index.compact()
-    assert names(index.table())["Item-1"] == "Back"
 
 
 def test_many_fields_and_reserved_names(spark, index):

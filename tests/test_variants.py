@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sieveline import DocumentIndex, FieldError, Range, RangeValue, SearchRequest, SortField, Term
+from fixture import new_index
+from sieveline import FieldError, Range, RangeValue, SearchRequest, SortField, Term
 from sieveline.sources.documents import assemble, collect_specs, infer_fields
 from sieveline.sources.variants import Path, json_documents, json_fields, rejected_lines, variant_paths, with_paths
 
@@ -83,7 +84,7 @@ def test_paths(spark):
 
 
 def test_an_index_of_json_lines(spark, tmp_path):
-    index = DocumentIndex(spark, str(tmp_path), "Shop", "Json", buckets=2)
+    index = new_index(spark, tmp_path)
     index.index(json_documents(lines(spark)))
     index.index(json_documents(lines(spark, ['{"id": "a", "Name": "Blue", "box": {"w": 9}}'])))
     rows = with_paths(index.table(), [Path("w", "box", "$.w", "double")])

@@ -8,17 +8,20 @@ from sieveline import (
     AllOf,
     Analysis,
     AnyOf,
+    FacetRange,
     Boost,
     Match,
     NoneOf,
     Phrase,
     Range,
+    RangeFacet,
     RangeValue,
     SearchRequest,
     SortField,
     Term,
     TermFacet,
     Wildcard,
+    answer,
     search,
 )
 
@@ -99,6 +102,36 @@ def search_own_score(spark, sf):
     return found.select("id", "score", F.round("__score", 6).alias("relevance"))
 
 
+FIXED = [
+    RangeFacet("n_chars", [FacetRange("short", upper="400"), FacetRange("middle", "400", "3000"), FacetRange("long", "3000")]),
+    TermFacet("doc_id", id="some", size=0, values=["3", "50", "-1"]),
+    TermFacet(id="german", filter=Term("lang", ["de"])),
+    TermFacet("lang", size=0),
+]
+
+
+def answered(spark, sf):
+    return answer(table(spark, sf, "documents"), replace(REQUEST, facets=FIXED))
+
+
+@query(DOCUMENTS_SQL.replace("SELECT doc_id::VARCHAR AS id, lang, source, n_chars,", f"""SELECT doc_id::VARCHAR AS id,
+    (SELECT count(*) FROM scored WHERE tf0 > 0 AND tf1 > 0 AND n_chars >= 400 AND n_chars < 9000) AS total,"""))
+def answer_page(spark, sf):
+    found = answered(spark, sf)
+    rows = [(r.id, round(r.score, 6), found.total) for r in found.documents]
+    return spark.createDataFrame(rows, "id string, score double, total bigint")
+
+
+@query(f"""SELECT * FROM (
+    SELECT 0 AS agg_pos, 'n_chars' AS aggregation_id, CASE WHEN n_chars < 400 THEN 'short' WHEN n_chars < 3000 THEN 'middle' ELSE 'long' END AS value_id,
+      count(*) AS count FROM documents WHERE {MATCH} GROUP BY ALL
+    UNION ALL SELECT 1, 'some', doc_id::VARCHAR, count(*) FROM documents WHERE {MATCH} AND doc_id IN (3, 50) GROUP BY ALL
+    UNION ALL SELECT 2, 'lang', lang, count(*) FROM documents WHERE {MATCH} AND lang IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT 3, 'german', 'german', count(*) FROM documents WHERE {MATCH} AND lang = 'de') WHERE count > 0""")
+def answer_facets(spark, sf):
+    return spark.createDataFrame(answered(spark, sf).facets, "agg_pos int, aggregation_id string, value_id string, count bigint")
+
+
 def tree_sql(tfs: list[str], where: str, weights: list[float] | None = None) -> str:
     """BM25 of the leaves with the given counts over the token array ``toks``."""
     given = bm25_sql([f"leaf{i}" for i in range(len(tfs))], weights)

@@ -20,11 +20,13 @@ from .operators.matching import field_match, search_text, suggest
 from .operators.query import AllOf, AnyOf, Boost, InField, Match, Near, NearAll, NoneOf, Phrase, Regex, Wildcard
 from .operators.scoring import corpus_stats, score
 from .operators.sorting import GeoSort, SortField, page, retrieve, sort, total_count
-from .plans.search import SearchRequest, SearchResult, search
+from .plans.search import Answer, SearchRequest, SearchResult, answer, search
 from .schema import KEY, FieldError, FieldSpec, normalize_columns, normalize_name, with_flags
 from .sources.index import DocumentIndex
 
 __all__ = [
+    "Answer",
+    "answer",
     "KEY",
     "LETTERS",
     "STANDARD_WORDS",

@@ -77,6 +77,8 @@ class _Entry:
     data_type: T.DataType | None = None
     size: int = 0
     requested: tuple[str, ...] | None = None
+    # Value texts of ``values`` where these are known beforehand.
+    labels: tuple[str, ...] | None = None
 
 
 def _in_range(field: Column, data_type: T.DataType, value: FacetRange) -> Column:
@@ -93,14 +95,15 @@ def _entry(position: int, facet: TermFacet | RangeFacet, schema: T.StructType) -
     if isinstance(facet, TermFacet) and not facet.field:
         if facet.filter is None or not facet.id:
             return None
-        return _Entry(position, facet.id, guard, [F.lit(facet.id)])
+        return _Entry(position, facet.id, guard, [F.lit(facet.id)], labels=(facet.id,))
     spec = resolve(schema, facet.field)
     if spec is None:
         return None
     field = column(require(spec, "facetable"))
     if isinstance(facet, RangeFacet):
         ranges = [F.when(_in_range(field, spec.data_type, v), F.lit(v.id)) for v in facet.values]
-        return _Entry(position, facet.result_id, guard, ranges) if ranges else None
+        labels = tuple(v.id for v in facet.values)
+        return _Entry(position, facet.result_id, guard, ranges, labels=labels) if ranges else None
     return _term_entry(position, facet, spec, field, guard)
 
 
@@ -214,15 +217,45 @@ def _requested(counts: DataFrame, entries: list[_Entry]) -> DataFrame:
     )
 
 
-def facets(df: DataFrame, requests: Sequence[TermFacet | RangeFacet]) -> DataFrame:
+def _entries(schema: T.StructType, requests: Sequence[TermFacet | RangeFacet]) -> list[_Entry]:
+    ordered = sorted(requests, key=lambda f: isinstance(f, TermFacet) and not f.field)
+    entries = [_entry(i, f, schema) for i, f in enumerate(ordered)]
+    return [e for e in entries if e is not None]
+
+
+def _known_values(entry: _Entry) -> list[tuple[str, Column]]:
+    """(value text, what is not null where a row counts) if all values are known before any row is read.
+
+    Requested texts are not: which of several spellings counts is known at the end only.
+    """
+    if entry.labels is not None:
+        return [(label, _guarded(entry, v)) for label, v in zip(entry.labels, entry.values, strict=True)]
+    if entry.requested is None or entry.size or not isinstance(entry.data_type, T.IntegralType):
+        return []
+    text = _guarded(entry, entry.values[0])
+    return [(v, F.when(F.lower(text) == v.lower(), text)) for v in dict.fromkeys(entry.requested)]
+
+
+def known_counts(
+    schema: T.StructType, requests: Sequence[TermFacet | RangeFacet]
+) -> list[tuple[int, str, str, Column]]:
+    """(agg_pos, aggregation_id, value_id, aggregate) of the facets whose values are known beforehand:
+    ranges, numbers of rows under a filter, requested whole numbers."""
+    return [
+        (e.position, e.result_id, label, F.count(value))
+        for e in _entries(schema, requests)
+        for label, value in _known_values(e)
+    ]
+
+
+def facets(df: DataFrame, requests: Sequence[TermFacet | RangeFacet], unknown_only: bool = False) -> DataFrame:
     """Counts of all requested facets as rows (agg_pos, aggregation_id, value_id, count).
 
     ``df`` is the text-matched table: a facet counts under its own filter only.
-    ``agg_pos`` follows the request order, filter-only facets last.
+    ``agg_pos`` follows the request order, filter-only facets last. ``unknown_only`` leaves those
+    out that ``known_counts`` gives.
     """
-    ordered = sorted(requests, key=lambda f: isinstance(f, TermFacet) and not f.field)
-    entries = [_entry(i, f, df.schema) for i, f in enumerate(ordered)]
-    entries = [e for e in entries if e is not None]
+    entries = [e for e in _entries(df.schema, requests) if not (unknown_only and _known_values(e))]
     if not entries:
         return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
     counts = (

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, Row, functions as F
 
 from ..functions.text import Analysis, Fuzzy
-from ..operators.facets import RESULT_SCHEMA, RangeFacet, TermFacet, facets
+from ..operators.facets import RESULT_SCHEMA, RangeFacet, TermFacet, facets, known_counts
 from ..operators.filters import RawFilter, apply_filter
 from ..operators.query import query_condition
 from ..operators.scoring import score
-from ..operators.sorting import SCORE, GeoSort, SortField, page, retrieve, sort_columns, total_count
+from ..operators.sorting import DEEP_PAGE, SCORE, GeoSort, SortField, page, retrieve, sort_columns, total_count
 from ..schema import KEY, resolve
 
 # Fixed value: page length where none is asked for.
@@ -73,8 +73,7 @@ def _matcher(request: SearchRequest, analysis: Analysis) -> Analysis | Fuzzy:
     return Fuzzy(request.fuzziness, words=analysis.words) if request.fuzzy else analysis
 
 
-def _documents(df: DataFrame, request: SearchRequest, analysis: Analysis, key: str) -> DataFrame:
-    hits = matched(df, request, analysis)
+def _documents(df: DataFrame, hits: DataFrame, request: SearchRequest, analysis: Analysis, key: str) -> DataFrame:
     text = None if request.raw else request.text
 
     def scored(rows: DataFrame) -> DataFrame:
@@ -110,7 +109,56 @@ def search(
     else:
         total = total_count(matched(df, request, analysis))
     found = _text_matched(df, request, analysis)
-    return SearchResult(_documents(df, request, analysis, key), total, facets(found, request.facets))
+    hits = matched(df, request, analysis)
+    return SearchResult(_documents(df, hits, request, analysis, key), total, facets(found, request.facets))
+
+
+@dataclass(frozen=True)
+class Answer:
+    """A page of documents, the number of all matches, and facet counts
+    (agg_pos, aggregation_id, value_id, count), on the driver."""
+
+    documents: list[Row]
+    total: int | None
+    facets: list[Row]
+
+
+def answer(df: DataFrame, request: SearchRequest, analysis: Analysis = Analysis(), key: str = KEY) -> Answer:
+    """The rows of :func:`search`, asked at once: total and facets are counted while the page is found.
+
+    One scan gives the page, the total, and the facets whose values are known beforehand (ranges,
+    numbers of rows under a filter, requested whole numbers); other facets take an aggregation of
+    their own, and scores without ``stats`` the pass for the corpus figures. The page comes to the
+    driver, so it needs a ``take`` and ends within :data:`DEEP_PAGE` rows. Sorting a page takes no
+    shuffle, so each partition is counted once, however often a lost executor makes it run again.
+    Where the page is empty, the figures come from the frames of :func:`search`.
+    """
+    if request.take is None or request.skip + request.take > DEEP_PAGE:
+        raise ValueError(f"an answer is a page that ends within {DEEP_PAGE} rows")
+    # A raw predicate selects other rows than those that facets count.
+    known = [] if request.raw else known_counts(df.schema, request.facets)
+    facets_seen, total_seen = Observation(), Observation()
+    if known:
+        counted = [aggregate.alias(f"n{i}") for i, (*_, aggregate) in enumerate(known)]
+        # Facets count outside of the main filter too, which therefore comes after them.
+        hits = apply_filter(_text_matched(df, request, analysis).observe(facets_seen, *counted), request.filter)
+    else:
+        hits = matched(df, request, analysis)
+    hits = hits.observe(total_seen, F.count(F.lit(1)).alias("total"))
+    rows = _documents(df, hits, replace(request, take=max(request.take, 1)), analysis, key).collect()
+    if not rows:
+        # What cannot have rows may be answered without reading any: nothing was counted on the way.
+        wanted = search(df, request, analysis, key)
+        return Answer([], wanted.total.first().total, wanted.facets.collect())
+    counts: dict[tuple, int] = {}
+    for i, (*place, _) in enumerate(known):
+        counts[tuple(place)] = counts.get(tuple(place), 0) + facets_seen.get[f"n{i}"]
+    row = Row("agg_pos", "aggregation_id", "value_id", "count")
+    listed = [row(*place, n) for place, n in counts.items() if n]
+    if len({position for position, *_ in known}) < len(request.facets):
+        listed += facets(_text_matched(df, request, analysis), request.facets, unknown_only=bool(known)).collect()
+    total = None if request.raw else total_seen.get["total"]
+    return Answer(rows[: request.take], total, sorted(listed, key=lambda r: r.agg_pos))
 
 
 def empty_result(spark) -> SearchResult:

@@ -126,9 +126,10 @@ def frequency_classes(measured: DataFrame) -> np.ndarray:
 def prefixes(docs: DataFrame, classes: np.ndarray, groups: int, percent: int) -> DataFrame:
     """Second pass: prefix elements dealt out by hash, in blocks of many documents.
 
-    A block has the keys and sizes of its documents and, for each element, its hash, its
+    A block has the keys and sizes of its documents and, for each element, 32 bits of its hash, its
     document in the block and its position in the document's order. Documents with equal sets
-    are sent once per block.
+    are sent once per block. Elements of a group that agree in these bits by chance, some
+    128 pairs among 2**20 elements, only make candidates, which the filters and the comparison drop.
     """
     sent = docs.sparkSession.sparkContext.broadcast(classes)
 
@@ -156,7 +157,8 @@ def prefixes(docs: DataFrame, classes: np.ndarray, groups: int, percent: int) ->
             for g in np.flatnonzero(np.diff(bounds)):
                 at = order[bounds[g] : bounds[g + 1]]
                 used, own = np.unique(owners[at], return_inverse=True)
-                values = [names[used], sizes[used], tokens[at], own.astype(np.int32), places[at]]
+                bits = (mixed(tokens[at]) >> np.uint64(32)).astype(np.uint32)
+                values = [names[used], sizes[used], bits, own.astype(np.int32), places[at]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([g], pa.int32()), *[pa.array([v.tobytes()], pa.binary()) for v in values]],
                     ["grp", "keys", "sizes", "tokens", "owners", "places"],
@@ -183,7 +185,7 @@ def meetings(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     names, ids = np.unique(keys, return_inverse=True)
     sizes = np.zeros(len(names), np.int64)
     sizes[ids] = np.concatenate([np.frombuffer(s, np.int32) for s in pdf["sizes"]])
-    tokens = np.concatenate([np.frombuffer(t, np.uint64) for t in pdf["tokens"]])
+    tokens = np.concatenate([np.frombuffer(t, np.uint32) for t in pdf["tokens"]])
     owners = ids[np.concatenate([np.frombuffer(o, np.int32) + s for o, s in zip(pdf["owners"], starts)])]
     places = np.concatenate([np.frombuffer(p, np.int32) for p in pdf["places"]]).astype(np.int64)
     order = np.lexsort((owners, tokens))

@@ -44,6 +44,24 @@ CLUSTER_PAIRS = 2000
 SUFFIX_RANGES = 128
 
 
+def range_counts(u: np.ndarray, ranges: int) -> bytes:
+    """Elements in each of a power of two of hash ranges; counts end at 255, which only weakens filters."""
+    counts = np.bincount((u >> np.uint64(40)).astype(np.int64) % ranges, minlength=ranges)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def fine_counts(u: np.ndarray) -> bytes:
+    """Counts in ranges of one or two elements, for sets that fill :data:`SUFFIX_RANGES` too densely; else nothing."""
+    return b"" if len(u) <= 2 * SUFFIX_RANGES else range_counts(u, 1 << (len(u) - 1).bit_length() - 1)
+
+
+def fine_distance(x: bytes, y: bytes) -> int:
+    """Least symmetric difference of two sets, by their fine counts. The ranges of the coarser one
+    are unions of those of the finer one."""
+    a, b = sorted((np.frombuffer(x, np.uint8).astype(np.int32), np.frombuffer(y, np.uint8).astype(np.int32)), key=len)
+    return int(np.abs(a - b.reshape(-1, len(a)).sum(axis=0)).sum()) if len(a) else 0
+
+
 def set_key(u: np.ndarray) -> bytes:
     """128-bit fingerprint of a set of hashes."""
     other = mixed(u ^ np.uint64(0x5851F42D4C957F2D))
@@ -60,7 +78,7 @@ def least_overlap(m: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def measured_sets(docs: DataFrame) -> DataFrame:
-    """First pass, staged: a row per document (``id, hash, n, key, ranges``) and sketch rows (``block, counts``)."""
+    """First pass, staged: a row per document (``id, hash, n, key, ranges, fine``) and sketch rows (``block, counts``)."""
     schema = T.StructType(
         [
             T.StructField("id", docs.schema["id"].dataType),
@@ -68,6 +86,7 @@ def measured_sets(docs: DataFrame) -> DataFrame:
             T.StructField("n", T.IntegerType()),
             T.StructField("key", T.BinaryType()),
             T.StructField("ranges", T.BinaryType()),
+            T.StructField("fine", T.BinaryType()),
             T.StructField("block", T.IntegerType()),
             T.StructField("counts", T.BinaryType()),
         ]
@@ -80,25 +99,25 @@ def measured_sets(docs: DataFrame) -> DataFrame:
 
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
         for run, words in texts_of_words(batches, "text"):
-            n, key, ranges, all_ = [], [], [], []
+            n, key, ranges, fine, all_ = [], [], [], [], []
             for w in words:
                 u = np.unique(shingles(w, SHINGLE_WORDS))
                 n.append(len(u))
                 key.append(set_key(u) if len(u) else None)
-                counts = np.bincount((u >> np.uint64(40)).astype(np.int64) % SUFFIX_RANGES, minlength=SUFFIX_RANGES)
-                ranges.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+                ranges.append(range_counts(u, SUFFIX_RANGES))
+                fine.append(fine_counts(u))
                 all_.append(u)
             slots = (np.concatenate(all_) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
             sketch += np.bincount(slots, minlength=len(sketch)).astype(np.uint32)
             none = pa.nulls(len(n), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [run.column("id"), run.column("hash"), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(ranges, pa.binary()), none, pa.nulls(len(n), pa.binary())],
+                [run.column("id"), run.column("hash"), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(ranges, pa.binary()), pa.array(fine, pa.binary()), none, pa.nulls(len(n), pa.binary())],
                 names,
             )
         blocks = [sketch[i : i + SKETCH_BLOCK].tobytes() for i in range(0, len(sketch), SKETCH_BLOCK)]
         k = len(blocks)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(k, to_arrow_type(id_type)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), pa.array(blocks, pa.binary())],
+            [pa.nulls(k, to_arrow_type(id_type)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), *[pa.nulls(k, pa.binary())] * 3, pa.array(range(k), pa.int32()), pa.array(blocks, pa.binary())],
             names,
         )
 
@@ -213,7 +232,8 @@ def may_be_linked(rows: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, per
     """Length, positional and suffix filter of pairs of rows.
 
     The suffix filter counts elements in ranges of their hashes: the differences of the counts bound
-    the size of the symmetric difference from below.
+    the size of the symmetric difference from below. Pairs of large sets that pass it are tried
+    once more with ranges as fine as the sets.
     """
     m, n = rows["n"][x], rows["n"][y]
     need = least_overlap(m, n, percent)
@@ -222,6 +242,10 @@ def may_be_linked(rows: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, per
     for part in np.array_split(at, max(1, len(at) // 50_000)):
         apart = np.abs(rows["ranges"][x[part]] - rows["ranges"][y[part]]).sum(axis=1, dtype=np.int64)
         ok[part] = apart <= (m + n - 2 * need)[part]
+    fine = rows["fine"]
+    for p in np.flatnonzero(ok):
+        if fine[x[p]] and fine[y[p]]:
+            ok[p] = fine_distance(fine[x[p]], fine[y[p]]) <= m[p] + n[p] - 2 * need[p]
     return ok
 
 
@@ -239,6 +263,7 @@ def pairs_of(pdf: pd.DataFrame, percent: int, stars: bool) -> pd.DataFrame:
         "n": pdf["n"].to_numpy(np.int64),
         "place": pdf["place"].to_numpy(np.int64),
         "ranges": np.frombuffer(b"".join(pdf["ranges"]), np.uint8).reshape(-1, SUFFIX_RANGES).astype(np.int16),
+        "fine": pdf["fine"].to_numpy(),
     }
     same = (pdf[["c", "i", "j"]].shift() == pdf[["c", "i", "j"]]).all(axis=1).to_numpy()
     first = np.flatnonzero(~same)
@@ -278,7 +303,7 @@ def pairs_of(pdf: pd.DataFrame, percent: int, stars: bool) -> pd.DataFrame:
 
 
 def candidates(clusters: DataFrame, percent: int, stars: bool) -> DataFrame:
-    """Pairs that pass the filters, from rows (c, key, place, id, n, ranges, blocks) of clusters.
+    """Pairs that pass the filters, from rows (c, key, place, id, n, ranges, fine, blocks) of clusters.
 
     A large cluster is cut into blocks. For ``stars`` its first document goes to every block; else
     every block meets every other, each pair of blocks as a group of its own.
@@ -289,6 +314,8 @@ def candidates(clusters: DataFrame, percent: int, stars: bool) -> DataFrame:
         rows = rows.withColumn("i", F.explode(F.when(F.col("key") == F.col("c"), every).otherwise(F.array("block"))))
         rows = rows.withColumn("j", F.col("i"))
     else:
+        # Rows of a cut cluster go to every block: without their fine counts.
+        rows = rows.withColumn("fine", F.when(F.col("blocks") > 1, F.lit(b"")).otherwise(F.col("fine")))
         rows = rows.withColumn("other", F.explode(every))
         rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
     ids = clusters.schema["id"].dataType
@@ -364,9 +391,9 @@ def grouped(docs: DataFrame, doc_id: str, text: str, percent: int, by_id: bool)
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
     measured = measured_sets(rows)
-    sets = measured.filter("block is null").select("id", "hash", "n", "key", "ranges")
+    sets = measured.filter("block is null").select("id", "hash", "n", "key", "ranges", "fine")
     classes = sets.filter("key is not null and id is not null").groupBy("key").agg(
-        F.min("id").alias("id"), F.max("n").alias("n"), F.max("ranges").alias("ranges"), F.count(F.lit(1)).alias("members")
+        F.min("id").alias("id"), F.max("n").alias("n"), F.max("ranges").alias("ranges"), F.max("fine").alias("fine"), F.count(F.lit(1)).alias("members")
     )
     classes = staged(classes, "ngram-classes")
     tokens = classes.agg(F.sum("n")).first()[0] or 0
@@ -374,7 +401,7 @@ def grouped(docs: DataFrame, doc_id: str, text: str, percent: int, by_id: bool)
     met = prefixes(rows.filter("id is not null"), frequency_classes(measured), groups, percent)
     met = met.groupBy("grp").applyInPandas(lambda pdf: meetings(pdf, percent), "c binary, key binary, place int")
     met = met.groupBy("c", "key").agg(F.min("place").alias("place"))
-    clusters = staged(met.join(classes.select("key", "id", "n", "ranges"), "key"), "ngram-clusters")
+    clusters = staged(met.join(classes.select("key", "id", "n", "ranges", "fine"), "key"), "ngram-clusters")
     large = clusters.groupBy("c").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > BLOCK_MEMBERS)
     blocks = F.coalesce(F.ceil(F.col("__n") / BLOCK_MEMBERS), F.lit(1)).cast("int")
     clusters = clusters.join(broadcast_if_small(large), "c", "left").withColumn("blocks", blocks).drop("__n")

@@ -111,3 +111,21 @@ def test_word_hashes_of_long_and_odd_texts(monkeypatch):
         for word, h in zip(words(text), whole[0][a:b]):
             assert seen.setdefault(word, h) == h
     assert len(set(seen.values())) == len(seen)
+
+
+def test_fine_counts_bound_the_difference():
+    from sieveline.llm.ngram_join import fine_counts, fine_distance
+
+    draw = np.random.default_rng(5)
+    hashes = lambda n: np.unique(draw.integers(0, 2**64, n, np.uint64))
+    assert fine_counts(hashes(256)) == b"" and fine_distance(b"", fine_counts(hashes(999))) == 0
+    for n in (257, 300, 512, 513, 1000, 5000):
+        base = hashes(n)
+        assert len(base) / 2 <= len(fine_counts(base)) < len(base)
+        for gone, more in ((0, 0), (3, 40), (n // 5, n // 5), (0, 2 * n)):
+            other = np.unique(np.concatenate([base[gone:], hashes(more)]))
+            apart = len(np.setxor1d(base, other))
+            found = fine_distance(fine_counts(base), fine_counts(other))
+            assert abs(len(base) - len(other)) <= found <= apart
+        # Sets without a common element are told apart by far.
+        assert fine_distance(fine_counts(base), fine_counts(hashes(n))) > n * 2 // 3

@@ -45,9 +45,16 @@ SUFFIX_RANGES = 128
 
 
 def range_counts(u: np.ndarray, ranges: int) -> bytes:
-    """Elements in each of a power of two of hash ranges; counts end at 255, which only weakens filters."""
+    """Elements in each of a power of two of hash ranges, two counts a byte; counts end at 15, which only
+    weakens filters."""
     counts = np.bincount((u >> np.uint64(40)).astype(np.int64) % ranges, minlength=ranges)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+    counts = np.minimum(counts, 15).astype(np.uint8)
+    return (counts[0::2] | counts[1::2] << 4).tobytes()
+
+
+def counts_of(packed: bytes) -> np.ndarray:
+    both = np.frombuffer(packed, np.uint8)
+    return np.stack([both & 15, both >> 4], axis=1).reshape(-1).astype(np.int16)
 
 
 def fine_counts(u: np.ndarray) -> bytes:
@@ -58,7 +65,7 @@ def fine_counts(u: np.ndarray) -> bytes:
 def fine_distance(x: bytes, y: bytes) -> int:
     """Least symmetric difference of two sets, by their fine counts. The ranges of the coarser one
     are unions of those of the finer one."""
-    a, b = sorted((np.frombuffer(x, np.uint8).astype(np.int32), np.frombuffer(y, np.uint8).astype(np.int32)), key=len)
+    a, b = sorted((counts_of(x), counts_of(y)), key=len)
     return int(np.abs(a - b.reshape(-1, len(a)).sum(axis=0)).sum()) if len(a) else 0
 
 
@@ -262,7 +269,7 @@ def pairs_of(pdf: pd.DataFrame, percent: int, stars: bool) -> pd.DataFrame:
     rows = {
         "n": pdf["n"].to_numpy(np.int64),
         "place": pdf["place"].to_numpy(np.int64),
-        "ranges": np.frombuffer(b"".join(pdf["ranges"]), np.uint8).reshape(-1, SUFFIX_RANGES).astype(np.int16),
+        "ranges": counts_of(b"".join(pdf["ranges"])).reshape(-1, SUFFIX_RANGES),
         "fine": pdf["fine"].to_numpy(),
     }
     same = (pdf[["c", "i", "j"]].shift() == pdf[["c", "i", "j"]]).all(axis=1).to_numpy()
@@ -411,13 +418,16 @@ def grouped(docs: DataFrame, doc_id: str, text: str, percent: int, by_id: bool)
         links = links.unionByName(twice.filter("key != a").select("a", F.col("key").alias("b")))
     found = staged(components(links), "ngram-components")
     # What is left: members of one cluster that no chain of links joins.
-    parted = clusters.join(found.withColumnRenamed("node", "key"), "key", "left")
+    parted = clusters.drop("ranges", "fine").join(found.withColumnRenamed("node", "key"), "key", "left")
     parted = parted.withColumn("component", F.coalesce("component", "key"))
     apart = parted.groupBy("c").agg(F.count(F.lit(1)).alias("__n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     apart = apart.filter("__n > 2 and lo != hi").select("c", "__n")
     left = staged(join_groups(parted, apart, "c", "__n", parted.count()).drop("__n"), "ngram-parted")
     if not left.isEmpty():
-        late = verified(candidates(left, percent, stars=False), rows, percent)
+        # Counts come to the rows last, and only those that are needed.
+        some = broadcast_if_small(staged(left.select("key").distinct(), "ngram-left"))
+        counted = left.join(classes.select("key", "ranges", "fine").join(some, "key", "left_semi"), "key")
+        late = verified(candidates(counted, percent, stars=False), rows, percent)
         found = staged(components(links.unionByName(late)), "ngram-components")
     if not by_id:
         of_key = classes.join(found.withColumnRenamed("node", "key"), "key", "left")

@@ -207,6 +207,10 @@ def search_vectors(vectors: DataFrame, queries: list[Query], thresholds: list[in
         least = list(thresholds)
         dense = np.zeros(vocabulary, np.int64)
         for batch in batches:
+            # A task reads several files, or pieces of them, of which only each by itself is in order.
+            lengths = batch.column("length").to_numpy()
+            if (lengths[1:] > lengths[:-1]).any():
+                batch = batch.take(pa.array(np.argsort(-lengths, kind="stable")))
             for at in range(0, len(batch), BUCKET):
                 part = batch.slice(at, BUCKET)
                 terms, bounds = flat(part.column("terms"))

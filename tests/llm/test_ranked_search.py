@@ -89,6 +89,16 @@ def test_bounds_prune():
     assert not len(bucket.survivors(query, int(lengths.max() * query.rest[0] * 1.01)))
 
 
+def test_files_of_a_task_in_any_order(spark):
+    """A task reads several sorted files, one after another: the longest vector need not come first."""
+    weights = np.array([100, 100], np.int64)
+    rows = [(i, 10.0 * x, [0], [x]) for i, x in [(1, 9), (2, 7), (3, 800), (4, 6), (5, 900), (6, 1)]]
+    vectors = spark.createDataFrame(rows, "doc_id long, length double, terms array<int>, impacts array<bigint>").coalesce(1)
+    query = search.Query(np.array([0]), np.array([1]), weights)
+    found = search.search_vectors(vectors, [query], [50_000], 2, 2).collect()
+    assert sorted((r.doc_id, r.score) for r in found) == [(3, 80_000), (5, 90_000)]
+
+
 def test_odd_rows(spark):
     docs = [(r[0], r[1]) for r in odd_rows()]
     items = [(1, "W3 w4 w5"), (1, "tiny"), (1, "tiny"), (None, "straße"), (2, ""), (3, None), (4, "a a b d")]

@@ -32,9 +32,16 @@ def parse_point(text: Column) -> Column:
 
 
 def haversine_km(lat: Column, lon: Column, to_lat: float, to_lon: float) -> Column:
+    """Distance of each place to (to_lat, to_lon).
+
+    A place has one distance, whatever numbers it is given by: a pole at any longitude, the date line
+    from either side.
+    """
     half_lat = F.radians(lat - F.lit(float(to_lat))) / 2
-    half_lon = F.radians(lon - F.lit(float(to_lon))) / 2
-    scale = F.cos(F.radians(lat)) * F.lit(math.cos(math.radians(to_lat)))
+    turn = F.when(lon - F.lit(float(to_lon)) > 180, lon - 360).when(lon - F.lit(float(to_lon)) < -180, lon + 360).otherwise(lon)
+    half_lon = F.radians(turn - F.lit(float(to_lon))) / 2
+    # The cosine of a latitude as the sine of what is left to the pole, which is 0 there.
+    scale = F.sin(F.radians(90 - F.abs(lat))) * F.lit(math.sin(math.radians(90 - abs(to_lat))))
     chord = F.sin(half_lat) * F.sin(half_lat) + scale * F.sin(half_lon) * F.sin(half_lon)
     # Rounding may pass 1; ``least`` would take a null for 1 too.
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(chord > 1, 1.0).otherwise(chord)))

@@ -71,6 +71,22 @@ def test_nearest(table, places, spot):
         assert [round(r.km, 6) for r in got] == [round(d, 6) for d, _ in wanted]
 
 
+def test_one_place_has_one_distance(spark):
+    """A pole at any longitude and the date line from either side are one place: such rows are ties."""
+    rows = [(i, s * 90.0, float(lon)) for s in (1, -1) for i, lon in enumerate(range(-180, 181, 5))]
+    rows += [(i, lat, lon) for i, lat in enumerate((-33.3, 0.0, 71.5)) for lon in (-180.0, 180.0)]
+    df = spark.createDataFrame(rows, "i int, lat double, lon double")
+    for lat, lon in [(-88.0, 20.0), (3.7, 14.3), (10.0, 179.0), (12.5, -179.9), (90.0, 5.0), (-90.0, 5.0)]:
+        got = df.select("i", "lat", "lon", haversine_km(F.col("lat"), F.col("lon"), lat, lon).alias("km")).collect()
+        of = {}
+        for r in got:
+            of.setdefault(r.lat if abs(r.lat) == 90 else (r.lat, r.i), set()).add(r.km)
+            assert abs(r.km - distance(r.lat, r.lon, lat, lon)) < 1e-5
+        assert {k: len(v) for k, v in of.items()} == dict.fromkeys(of, 1), (lat, lon)
+    poles = with_cells(df.filter("lat = -90"), "lat", "lon")
+    assert [r.i for r in nearest(poles, "lat", "lon", -88.0, 20.0, 9, ["i"]).collect()] == list(range(9))
+
+
 TEXTS = ["red widget", "Red Gadget", "steel red bolt", "green gear", "widget-red", "can't stop", "Größe 42", "a" * 30 + " x", "a" * 30 + "b", "", None, "red widget"]
 TYPED = ["r", "Red w", "red g", "wid red", "red steel b", "grö", "a" * 25, "a" * 30 + "b", "nothing", "", None, "x a", "red re", "gear green"]
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schema import TYPE_NAMES, VALUE_TYPES, FieldError, normalize_name_column
-from ..sizing import broadcast_if_small
+from ..sizing import broadcast_if_small, staged
 from .documents import FLAG_DEFAULTS
 
 DOC = "__doc"
@@ -43,12 +43,15 @@ def parsed_lines(lines: DataFrame, doc_id: str = "id", text: str = "value", seq:
     ``reason`` is null for a document: a JSON object (``__doc``) with a text, number or boolean under
     ``doc_id``. Without ``seq``, lines count in the order in which they are read.
     """
-    rows = lines.select(
-        (F.monotonically_increasing_id() if seq is None else seq).cast("long").alias("seq"), F.col(text).cast("string").alias("line")
-    ).filter(F.trim("line") != "")
     if "'" in doc_id:
         raise FieldError(f"an id field cannot be called {doc_id!r}")
-    rows = rows.withColumn(DOC, F.try_parse_json("line"))
+    numbered = lines.select(
+        (F.monotonically_increasing_id() if seq is None else seq).cast("long").alias("seq"), F.col(text).cast("string").alias("line")
+    )
+    # A line is made and parsed once.  As output of a generator it stays so; the optimizer would copy plain
+    # columns into every condition on them, down to the scan.
+    parsed = F.struct("line", F.try_parse_json("line").alias(DOC))
+    rows = numbered.select("seq", F.inline(F.array(parsed))).filter(F.trim("line") != "")
     value = F.try_variant_get(DOC, f"$['{doc_id}']", "variant")
     kind = F.schema_of_variant(value)
     is_object = F.ltrim("line").startswith("{") & F.col(DOC).isNotNull()
@@ -114,7 +117,8 @@ def json_documents(
     unknown = sorted(set((types or {}).values()) - set(VALUE_TYPES))
     if unknown:
         raise FieldError(f"unsupported value types {unknown}")
-    known = (json_fields(lines, doc_id, text) if fields is None else fields).select("name", "type", "collection")
+    # The types come from a pass over all lines, which is made once.
+    known = (staged(json_fields(lines, doc_id, text), "json-fields") if fields is None else fields).select("name", "type", "collection")
     rows = _exploded(lines, doc_id, text, seq).join(broadcast_if_small(known), "name")
     kind = F.col("type")
     for name, given in (types or {}).items():

@@ -34,6 +34,14 @@ def test_fields_of_lines(spark):
     }
 
 
+def test_lines_are_parsed_once_a_pass(spark):
+    """However many conditions look at a line; and the types of a batch are worked out once, not with every use."""
+    made = spark.range(9).select(F.concat(F.lit('{"id": '), F.to_json(F.struct("id")), F.lit("}")).alias("value"))
+    for df in (json_fields(made), json_documents(made), json_documents(made).groupBy("name").count()):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("parseJson") == 1 and plan.count("StructsToJson") == 1, plan
+
+
 def test_rejected_lines(spark):
     found = [(r.line[:6], r.reason) for r in rejected_lines(lines(spark)).orderBy("seq").collect()]
     assert found == [

@@ -30,6 +30,9 @@ _RUN = rf"(?:(?:{_LETTERS}|{_DIGITS})++|(?:[{KATAKANA}]{_AFTER})++)"
 _JOIN = rf"(?:\p{{Pc}}{_AFTER})"
 STANDARD = rf"{_JOIN}*+{_RUN}(?:{_JOIN}++{_RUN})*+{_JOIN}*+|[\p{{IsIdeographic}}\p{{IsHiragana}}]{_AFTER}|(?:[{UNSPACED}]{_AFTER})++"
 
+# Most tokens: small Latin letters before a space, a comma or the end, where nothing can follow them.
+_PLAIN = r"[a-zß-öø-ÿ]++(?=[ ,\n\r\t]|\.[ \n\r\t]|\z)"
+
 _STANDARD_PY = regex.compile("(?V1)" + STANDARD)
 
 
@@ -40,8 +43,9 @@ def standard_tokens(text: Column) -> Column:
 
 def token_text(text: Column) -> Column:
     """The tokens of folded text with one space between: what matchers and counts work on."""
-    joined = F.array_join(F.regexp_extract_all(text, F.lit(STANDARD), F.lit(0)), " ")
-    return F.regexp_replace(joined, rf"([^ ]{{{MAX_TOKEN}}})(?=[^ ])", "$1 ")
+    joined = F.array_join(F.regexp_extract_all(text, F.lit(f"{_PLAIN}|{STANDARD}"), F.lit(0)), " ")
+    # Looked for where a token or a piece begins, not from every character.
+    return F.regexp_replace(joined, rf"(?:(?<![^ ])|\G)([^ ]{{{MAX_TOKEN}}})(?=[^ ])", "$1 ")
 
 
 def standard_terms(text: str) -> list[str]:

@@ -53,8 +53,18 @@ def search_text(
     matcher: Analysis | Fuzzy = Analysis(),
 ) -> DataFrame:
     """Rows that match all terms of ``text``; all rows for a blank text."""
-    condition = text_condition(df.schema, text, fields, matcher)
-    return df if condition is None else df.filter(condition)
+    terms = tx.query_terms(text, matcher.words)
+    specs = searchable_fields(df.schema, fields) if terms else []
+    if not (specs and matcher.words.standard and isinstance(matcher, Analysis)):
+        condition = text_condition(df.schema, text, fields, matcher)
+        return df if condition is None else df.filter(condition)
+    # Tokens are parts of the folded text: only a text that holds the terms is cut into tokens, and as
+    # output of a generator it is cut once, however many terms look at it.
+    held = [reduce(or_, [F.contains(folded(s), F.lit(t)) for s in specs]) for t in terms]
+    names = [f"__tokens_{i}" for i in range(len(specs))]
+    cut = F.inline(F.array(F.struct(*[target(s, matcher).alias(n) for s, n in zip(specs, names)])))
+    hits = [reduce(or_, [matcher.matches(F.col(n), t) for n in names]) for t in terms]
+    return df.filter(reduce(and_, held)).select("*", cut).filter(reduce(and_, hits)).drop(*names)
 
 
 def field_match(

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from sieveline import KEY, STANDARD_WORDS, Analysis, Fuzzy
+from sieveline import KEY, STANDARD_WORDS, Analysis, Fuzzy, search_text
 from sieveline.functions import standard, text as tx
 from sieveline.operators import vocabulary as vocab
 from sieveline.operators.postings import build_postings
@@ -45,6 +45,27 @@ def test_columns_and_query_texts_are_cut_alike(spark):
             assert r.a == r.b == standard.standard_terms(r.t) and r.n == len(r.a)
 
 
+def test_plain_tokens_are_standard_tokens(spark):
+    """What is taken for a token by its letters alone is one; long tokens are cut in the same places."""
+    r = random.Random(6)
+    letters = "abzßéÿ ,.\n'’:;_19-カ漢\u0301\u00ad"
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 40))) for _ in range(3000)]
+    texts += ["a" * n + s + "b" * m + " c" for n in (0, 1, 254, 255, 256, 510, 700) for m in (0, 1, 256) for s in (" ", "", "'", ". ")]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    whole = F.regexp_extract_all("t", F.lit(standard.STANDARD), F.lit(0))
+    for r in rows.select("t", whole.alias("a"), standard.standard_tokens(F.col("t")).alias("b")).collect():
+        assert r.b == [t[i : i + 255] for t in r.a for i in range(0, len(t), 255)], r.t
+    assert spark.range(1).select(F.regexp_extract_all(F.lit("red, blue. é1 grün"), F.lit(standard._PLAIN), F.lit(0))).first()[0] == ["red", "blue", "grün"]
+
+
+def test_a_search_by_standard_tokens_cuts_a_text_once(spark):
+    rows = [("The end of it",), ("of the",), ("other office",), ("the",), (None,), ("of, a the'm",)]
+    df = spark.createDataFrame(rows, "text string")
+    found = search_text(df, "the of", ["text"], Analysis("word", words=STANDARD_WORDS))
+    assert sorted(r.text for r in found.collect()) == ["The end of it", "of the"] and found.columns == ["text"]
+    assert found._jdf.queryExecution().executedPlan().toString().count("regexp_replace") == 1
+
+
 W = STANDARD_WORDS
 MATCHERS = [
     (lambda c: tx.prefix_match(c, "3.1", words=W), lambda w: any(t.startswith("3.1") for t in w)),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sieveline.llm.common import join_groups
+from sieveline.llm.common import HOT_ROWS, join_groups
 from sieveline.sizing import staged
 
 
@@ -32,7 +32,7 @@ def star(links: DataFrame, large: bool) -> DataFrame:
         around = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = around.groupBy("a").agg(F.min("b").alias("__least"), F.count(F.lit(1)).alias("__n"))
     least = least.withColumn("__least", F.least("a", "__least"))
-    around = join_groups(around, least, "a", "__n", around.count())
+    around = join_groups(around, least, "a", "__n", around.count(), HOT_ROWS)
     if large:
         moved = around.filter("b > a").select(F.col("b").alias("a"), F.col("__least").alias("b"))
     else:

@@ -5,9 +5,10 @@ a = ceil(t (m + n) / (1 + t)) elements. When both are sorted by one global order
 they must share an element among their first n - ceil(t n) + 1: the prefixes. Only prefixes are
 shuffled; documents that meet there are candidates, are filtered, and are compared once.
 
-The order goes by frequency class, then by hash. Frequencies come from a count sketch of
-2**20 counters over all documents: it tells apart what occurs in more than about one in 1600
-documents of average length, whatever their number. Any order gives the same links.
+The order goes by frequency, then by hash. Frequencies come from a count sketch of 2**20 counters
+over all documents. Their counts are compared as they are: what else falls into a counter varies by
+the root of the mean count only, so the more documents there are, the rarer are the elements that
+still come late. Any order gives the same links.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from sieveline.llm.common import join_groups
+from sieveline.llm.common import HOT_ROWS, join_groups
 from sieveline.llm.components import components, forest
 from sieveline.llm.words import mixed, shingles, texts_of_words
 from sieveline.sizing import broadcast_if_small, staged
@@ -42,6 +43,10 @@ BLOCK_MEMBERS = 2000
 # Pairs of one cluster that are verified together.
 CLUSTER_PAIRS = 2000
 SUFFIX_RANGES = 128
+# Documents that share an element and are tried pair by pair before they are sent on.
+RUN_MEMBERS = 64
+# Different counts that the order of elements tells apart.
+RANKS = 1 << 16
 
 
 def range_counts(u: np.ndarray, ranges: int) -> bytes:
@@ -131,8 +136,8 @@ def measured_sets(docs: DataFrame) -> DataFrame:
     return staged(docs.mapInArrow(measure, schema), "ngram-sets")
 
 
-def frequency_classes(measured: DataFrame) -> np.ndarray:
-    """Log2 class of each counter, from the sketches of all tasks: one MiB, whatever the input."""
+def frequency_ranks(measured: DataFrame) -> np.ndarray:
+    """Place of each counter by its count, from the sketches of all tasks: two MiB, whatever the input."""
     rows = measured.filter("block is not null").select("block", F.pmod(F.xxhash64("counts"), F.lit(1024)).alias("salt"), "counts")
 
     def total(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -146,10 +151,12 @@ def frequency_classes(measured: DataFrame) -> np.ndarray:
     first = rows.groupBy("block", "salt").applyInPandas(lambda pdf: total(pdf), schema)
     sums = {r["block"]: r["counts"] for r in first.groupBy("block").applyInPandas(total, schema).collect()}
     counts = np.concatenate([np.frombuffer(sums[b], np.uint64) for b in sorted(sums)]) if sums else np.zeros(1 << SKETCH_BITS)
-    return np.log2(np.maximum(counts, 1)).astype(np.uint8)
+    rank = np.unique(counts, return_inverse=True)[1]
+    # The rarer ones are told apart; the few most frequent counters are one.
+    return np.minimum(rank, RANKS - 1).astype(np.uint16)
 
 
-def prefixes(docs: DataFrame, classes: np.ndarray, groups: int, percent: int) -> DataFrame:
+def prefixes(docs: DataFrame, ranks: np.ndarray, groups: int, percent: int) -> DataFrame:
     """Second pass: prefix elements dealt out by hash, in blocks of many documents.
 
     A block has the keys and sizes of its documents and, for each element, 32 bits of its hash, its
@@ -157,7 +164,7 @@ def prefixes(docs: DataFrame, classes: np.ndarray, groups: int, percent: int) ->
     are sent once per block. Elements of a group that agree in these bits by chance, some
     128 pairs among 2**20 elements, only make candidates, which the filters and the comparison drop.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(classes)
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def deal(batches):
         for _, words in texts_of_words(batches, "text"):
@@ -203,8 +210,9 @@ def meetings(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
 
     Documents that share an element are a run; it belongs to the cluster named by its first
     document. ``place`` is the least position of an element that brought a document into a cluster.
-    A run of two is dropped if the lengths do not allow the overlap or if, from the positions of the
-    shared element on, too few elements are left.
+    A document leaves a run where with none of the others the lengths allow the overlap and, from the
+    positions of the shared element on, enough elements are left. Two that are linked stay together in
+    the run of the first element they share. Runs of over :data:`RUN_MEMBERS` stay whole.
     """
     keys = np.concatenate([np.frombuffer(k, "V16") for k in pdf["keys"]])
     starts = np.cumsum([0] + [len(k) // 16 for k in pdf["keys"]])
@@ -220,17 +228,31 @@ def meetings(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     tokens, owners, places = tokens[new], owners[new], places[new]
     first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
     length = np.diff(np.append(first, len(tokens)))
-    two = first[length == 2]
-    m, n = sizes[owners[two]], sizes[owners[two + 1]]
-    ok = possible(m, n, percent) & (np.minimum(m - places[two], n - places[two + 1]) >= least_overlap(m, n, percent))
-    kept = length > 2
-    kept[length == 2] = ok
-    at = np.flatnonzero(np.repeat(kept, length))
-    lead = np.repeat(owners[first], length)[at]
-    rows = pd.DataFrame({"c": lead, "key": owners[at], "place": places[at]}).groupby(["c", "key"], as_index=False)["place"].min()
+    kept = with_partner(sizes[owners], places, first, length, percent)
+    tokens, owners, places = tokens[kept], owners[kept], places[kept]
+    first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])[: len(tokens)])
+    lead = np.repeat(owners[first], np.diff(np.append(first, len(tokens))))
+    rows = pd.DataFrame({"c": lead, "key": owners, "place": places}).groupby(["c", "key"], as_index=False)["place"].min()
     return pd.DataFrame({"c": as_bytes(names[rows["c"]]), "key": as_bytes(names[rows["key"]]), "place": rows["place"].astype(np.int32)})
 
 
+def with_partner(n: np.ndarray, place: np.ndarray, first: np.ndarray, length: np.ndarray, percent: int) -> np.ndarray:
+    """Which members of runs pass the length and positional filter with another one of their run; all of a long run."""
+    size = np.repeat(length, length)
+    left = np.repeat(first + length, length)
+    kept = size > RUN_MEMBERS
+    at = np.flatnonzero((size > 1) & ~kept)
+    for step in range(1, RUN_MEMBERS):
+        at = at[at + step < left[at]]
+        if not len(at):
+            break
+        x, y = at, at + step
+        enough = np.minimum(n[x] - place[x], n[y] - place[y]) >= least_overlap(n[x], n[y], percent)
+        ok = possible(n[x], n[y], percent) & enough
+        kept[x[ok]] = kept[y[ok]] = True
+    return kept
+
+
 def as_bytes(keys: np.ndarray) -> list[bytes]:
     return [k.tobytes() for k in keys]
 
@@ -405,7 +427,7 @@ def grouped(docs: DataFrame, doc_id: str, text: str, percent: int, by_id: bool)
     classes = staged(classes, "ngram-classes")
     tokens = classes.agg(F.sum("n")).first()[0] or 0
     groups = max(12, math.ceil(tokens * (100 - percent) / 100 / GROUP_TOKENS))
-    met = prefixes(rows.filter("id is not null"), frequency_classes(measured), groups, percent)
+    met = prefixes(rows.filter("id is not null"), frequency_ranks(measured), groups, percent)
     met = met.groupBy("grp").applyInPandas(lambda pdf: meetings(pdf, percent), "c binary, key binary, place int")
     met = met.groupBy("c", "key").agg(F.min("place").alias("place"))
     clusters = staged(met.join(classes.select("key", "id", "n", "ranges", "fine"), "key"), "ngram-clusters")
@@ -419,10 +441,10 @@ def grouped(docs: DataFrame, doc_id: str, text: str, percent: int, by_id: bool)
     found = staged(components(links), "ngram-components")
     # What is left: members of one cluster that no chain of links joins.
     parted = clusters.drop("ranges", "fine").join(found.withColumnRenamed("node", "key"), "key", "left")
-    parted = parted.withColumn("component", F.coalesce("component", "key"))
+    parted = staged(parted.withColumn("component", F.coalesce("component", "key")), "ngram-members")
     apart = parted.groupBy("c").agg(F.count(F.lit(1)).alias("__n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     apart = apart.filter("__n > 2 and lo != hi").select("c", "__n")
-    left = staged(join_groups(parted, apart, "c", "__n", parted.count()).drop("__n"), "ngram-parted")
+    left = staged(join_groups(parted, staged(apart, "ngram-apart"), "c", "__n", parted.count(), HOT_ROWS).drop("__n"), "ngram-parted")
     if not left.isEmpty():
         # Counts come to the rows last, and only those that are needed.
         some = broadcast_if_small(staged(left.select("key").distinct(), "ngram-left"))
@@ -435,7 +457,7 @@ def grouped(docs: DataFrame, doc_id: str, text: str, percent: int, by_id: bool)
     # A component is named by its smallest id; what no link joins is a component by itself.
     named = staged(classes.select("key", "id").join(found.withColumnRenamed("node", "key"), "key"), "ngram-named")
     least = named.groupBy("component").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("__n"))
-    named = join_groups(named, least, "component", "__n", named.count()).select("key", "component_id")
+    named = join_groups(named, least, "component", "__n", named.count(), HOT_ROWS).select("key", "component_id")
     lead = staged(classes.join(named, "key", "left").select("key", "members", F.coalesce("component_id", "id").alias("component_id")), "ngram-lead")
     # A row without a set goes with the others of its id.
     bare = twice.filter("bare and a = key").join(lead, "key")
@@ -482,7 +504,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     found = staged(grouped(docs, doc_id, text, percent, by_id=False).filter("id is not null"), "ngram-grouped")
     some = staged(found.filter("component_id is not null").select("id", "hash", "component_id").distinct(), "ngram-rows")
     first = some.groupBy("component_id").agg(F.min(F.struct("id", "hash")).alias("first"), F.count(F.lit(1)).alias("__n"))
-    some = join_groups(some, first.filter("__n > 1"), "component_id", "__n", some.count())
+    some = join_groups(some, first.filter("__n > 1"), "component_id", "__n", some.count(), HOT_ROWS)
     gone = staged(some.filter(F.struct("id", "hash") != F.col("first")).select(F.col("id").alias("__id"), F.col("hash").alias("__gone")), "ngram-gone")
     rows = docs.withColumn("__hash", F.xxhash64(F.col(text).cast("string")))
     rows = rows.join(broadcast_if_small(gone), (F.col(doc_id) == F.col("__id")) & (F.col("__hash") == F.col("__gone")), "left_anti")

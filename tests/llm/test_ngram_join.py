@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -129,3 +130,63 @@ def test_fine_counts_bound_the_difference():
             assert abs(len(base) - len(other)) <= found <= apart
         # Sets without a common element are told apart by far.
         assert fine_distance(fine_counts(base), fine_counts(hashes(n))) > n * 2 // 3
+
+
+def blocks_of(sets, order):
+    """The blocks of one group: a document in each, with the first ``p`` elements of its ``order``."""
+    rows = []
+    for u in sets:
+        own = np.array(order(u), np.uint64)[: ngram_join.prefix_length(len(u), 75)]
+        values = [np.frombuffer(ngram_join.set_key(u), "V16"), np.array([len(u)], np.int32), own.astype(np.uint32)]
+        values += [np.zeros(len(own), np.int32), np.arange(len(own), dtype=np.int32)]
+        rows.append([v.tobytes() for v in values])
+    return pd.DataFrame(rows, columns=["keys", "sizes", "tokens", "owners", "places"])
+
+
+def test_runs_keep_only_who_may_be_linked():
+    base = np.arange(1000, 1100, dtype=np.uint64)
+    near = np.arange(1001, 1101, dtype=np.uint64)
+    # Two that are too long for the others or hold the shared element too late, in runs of more than two.
+    long = np.concatenate([np.arange(1001, 1005), np.arange(5000, 5300)]).astype(np.uint64)
+    late = np.concatenate([np.arange(900, 921), np.arange(1001, 1005), np.arange(7000, 7075)]).astype(np.uint64)
+    met = ngram_join.meetings(blocks_of([base, near, long, late], list), 75)
+    assert set(met["key"]) == {ngram_join.set_key(base), ngram_join.set_key(near)}
+    # Alone they meet nobody.
+    assert not len(ngram_join.meetings(blocks_of([base, long, late], list), 75))
+
+
+def test_runs_against_all_pairs(monkeypatch):
+    draw = np.random.default_rng(9)
+    n, place = draw.integers(1, 60, 3000), draw.integers(0, 8, 3000)
+    length = np.array([1, 2, 3, 9, 64, 65, 200] * 9)
+    length = length[np.cumsum(length) <= 3000]
+    first = np.cumsum(length) - length
+    total = length.sum()
+    got = ngram_join.with_partner(n[:total], place[:total], first, length, 75)
+    for f, k in zip(first, length):
+        for x in range(f, f + k):
+            some = any(
+                x != y and 100 * min(n[x], n[y]) >= 75 * max(n[x], n[y])
+                and min(n[x] - place[x], n[y] - place[y]) >= -(-75 * (n[x] + n[y]) // 175)
+                for y in range(f, f + k)
+            )
+            assert got[x] == (some or k > 64)
+
+
+def test_order_tells_close_counts_apart(spark):
+    """An element of some twenty documents comes after those of one, though its counter holds a hundred others."""
+    counts = np.full(1 << ngram_join.SKETCH_BITS, 100, np.uint32)
+    counts[5], counts[6], counts[7] = 120, 80, 100_000
+    blocks = [counts[i : i + ngram_join.SKETCH_BLOCK].tobytes() for i in range(0, len(counts), ngram_join.SKETCH_BLOCK)]
+    ranks = ngram_join.frequency_ranks(spark.createDataFrame(list(enumerate(blocks)), "block int, counts binary"))
+    assert ranks[6] < ranks[0] < ranks[5] < ranks[7] and ranks.dtype == np.uint16
+
+
+def test_small_groups_are_joined_without_a_broadcast(spark):
+    from sieveline.llm.common import HOT_ROWS, join_groups
+
+    rows = spark.createDataFrame([(i % 9, i) for i in range(100)], "k long, v long")
+    groups = rows.groupBy("k").agg({"v": "count"}).withColumnRenamed("count(v)", "n")
+    found = join_groups(rows, groups, "k", "n", 100, HOT_ROWS)
+    assert "Broadcast" not in found._jdf.queryExecution().toString()
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, join_groups(rows, groups, "k", "n", 100).collect()))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from sieveline import KEY, STANDARD_WORDS, AllOf, Analysis, Fuzzy, Match, NearAll, Wildcard, field_match, score, search_text
 from sieveline.functions import text as tx
 from sieveline.operators import vocabulary as vocab
-from sieveline.operators.postings import build_postings
+from sieveline.operators.postings import token_keys
 from sieveline.operators.query import query_condition
 from sieveline.sizing import staged
 
@@ -92,7 +92,7 @@ def match_window_repeated(spark, sf):
 
 def corpus(spark, sf):
     """(token, key) of all documents, written once: the tokens, their tables and the documents come from it."""
-    return staged(build_postings(table(spark, sf, "documents"), ["text"]).select("token", KEY), "postings")
+    return staged(token_keys(table(spark, sf, "documents"), ["text"]), "postings")
 
 
 def ids(postings, tokens):
@@ -109,7 +109,8 @@ def search_fuzzy_deletions(spark, sf):
 @query(f"""SELECT token FROM (SELECT DISTINCT unnest({tokens_sql('text')}) AS token FROM documents)
     WHERE damerau_levenshtein(token, 'hetat') <= 1 OR damerau_levenshtein(token, 'htea') <= 1""")
 def fuzzy_swapped_tokens(spark, sf):
-    postings = corpus(spark, sf)
+    # The tokens are asked for and no documents: read once, so nothing is written before.
+    postings = token_keys(table(spark, sf, "documents"), ["text"])
     parts = vocab.deletion_table(vocab.vocabulary(postings), 1)
     return vocab.fuzzy_tokens(parts, ["hetat", "htea"], Fuzzy(1, transpositions=True)).select("token").distinct()
 

@@ -48,6 +48,16 @@ def build_postings(
     return exploded.groupBy(*keep, "field", "length", "token").agg(F.count(F.lit(1)).cast("int").alias("tf"))
 
 
+def token_keys(df: DataFrame, fields: Sequence[str] | None = None, key: str = KEY, words: tx.Words = tx.LETTERS) -> DataFrame:
+    """(token, key): a row per distinct token of a row's field, for lookups that need neither counts nor lengths.
+
+    What ``build_postings`` has in these columns, but made within each row: nothing is shuffled. Rows
+    without a token have none here, with or without a key.
+    """
+    tokens = _field_tokens(df, fields, [key], words)
+    return tokens.select(F.explode(F.array_distinct("tokens")).alias("token"), key)
+
+
 def field_lengths(
     df: DataFrame, fields: Sequence[str] | None = None, by: Sequence[str] = (), words: tx.Words = tx.LETTERS
 ) -> DataFrame:

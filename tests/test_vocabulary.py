@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sieveline import KEY, STANDARD_WORDS, Analysis, Fuzzy, search_text
 from sieveline.functions import standard, text as tx
 from sieveline.operators import vocabulary as vocab
-from sieveline.operators.postings import build_postings
+from sieveline.operators.postings import build_postings, token_keys
 from test_functions import edits
 
 TOKENS = {
@@ -226,3 +226,26 @@ def test_documents_with_tokens(spark):
     assert vocab.fuzzy_tokens(vocab.deletion_table(tokens), []).count() == 0
     none = tokens.limit(0)
     assert vocab.documents_with(postings, none).count() == vocab.fuzzy_tokens(vocab.deletion_table(none), ["red"]).count() == 0
+
+
+def test_token_keys_are_those_of_postings_without_a_shuffle(spark):
+    texts = ["red Red blue", "blue-green", "", None, "a a a b", "red"]
+    rows = [(str(i), t, f"{t} also") for i, t in enumerate(texts)] + [(None, "lost red", None)]
+    df = spark.createDataFrame(rows, f"{KEY} string, t string, u string")
+    for fields in (["t"], ["t", "u"]):
+        found = token_keys(df, fields)
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        wanted = build_postings(df, fields).select("token", KEY).filter("token is not null")
+        assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+        counts = lambda postings: sorted(map(tuple, vocab.vocabulary(postings).collect()))
+        assert counts(found) == counts(wanted)
+
+
+def test_swapped_tokens_write_nothing_before(spark, monkeypatch):
+    from checks import vocabulary as checks
+    from conftest import SF
+
+    monkeypatch.setattr(checks, "corpus", None)
+    # Texts are cut in the plan that finds the tokens, and no postings are written before it.
+    plan = checks.fuzzy_swapped_tokens(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" in plan

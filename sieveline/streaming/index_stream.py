@@ -20,8 +20,9 @@ def index_stream(
     """
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        # Read from the source once; an executor that is lost only costs its share again.
-        batch = batch.persist()
+        # Read from the source once; an executor that is lost only costs its share again. A source may
+        # give a few large parts, so documents are dealt out first, as they have to be for assembling.
+        batch = batch.repartition("doc_id").persist()
         try:
             if batch.isEmpty():
                 return

@@ -247,3 +247,25 @@ def test_exact_decimals(spark, index):
     index.index(spark.createDataFrame(rows, LONG))
     found = index.search(SearchRequest(filter=Term("price", ["0.1"]))).documents
     assert sorted(r.id for r in found.collect()) == ["0", "1"]
+
+
+def test_micro_batch_of_one_file_is_dealt_out_by_document(spark, tmp_path):
+    rows = [(str(i), 1, f, "String", [str(i)]) for i in range(400) for f in ("a", "b")]
+    long = spark.createDataFrame(rows, "doc_id string, seq long, name string, type string, values array<string>")
+    long.coalesce(1).write.parquet(str(tmp_path / "in"))
+    parts = []
+
+    class Kept:
+        def index(self, batch, continued):
+            per = batch.select(F.spark_partition_id().alias("p"), "doc_id").groupBy("doc_id").agg(F.collect_set("p").alias("p")).collect()
+            assert all(len(r.p) == 1 for r in per)
+            parts.extend(r.p[0] for r in per)
+
+    stream = spark.readStream.schema(long.schema).parquet(str(tmp_path / "in"))
+    # Kept as they are, so that small partitions are not merged.
+    spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "false")
+    try:
+        index_stream(stream, Kept(), str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning")
+    assert len(parts) == 400 and len(set(parts)) == 4

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from sieveline.llm.common import join_groups
 from sieveline.llm.words import grams, shingles, texts_of_words
-from sieveline.sizing import broadcast_if_small, measured_bytes, staged
+from sieveline.sizing import broadcast_if_small, measured_bytes, small_batches, staged
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -158,6 +158,7 @@ def find_leaks(
     Items are sent to the executors in blocks of bounded size, one pass over the documents per
     block; no document is shuffled.
     """
+    small_batches(docs.sparkSession)
     sets = staged(item_sets(items, item_id, item_text), "item-sets")
     blocks = -(-measured_bytes(sets) // BLOCK_BYTES)
     schema = T.StructType(
@@ -170,10 +171,19 @@ def find_leaks(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     result = None
     for b in range(max(1, blocks)):
-        block = sets.filter(F.pmod(F.xxhash64("shingles"), F.lit(max(1, blocks))) == b).orderBy("item_id").collect()
-        sent = [(i, r["size"], bytes(r["shingles"])) for i, r in enumerate(block)]
+        block = sets.filter(F.pmod(F.xxhash64("shingles"), F.lit(max(1, blocks))) == b).orderBy("item_id").toArrow()
+        blobs = block["shingles"].to_pylist()
+        sent = list(zip(range(len(blobs)), block["size"].to_pylist(), blobs))
+        # As an Arrow table: rows of Python objects would be read by Python workers of their own.
         names = docs.sparkSession.createDataFrame(
-            [(i, r["item_id"], r["item_copies"], len(r["shingles"]) // 8) for i, r in enumerate(block)],
+            pa.table(
+                {
+                    "item": pa.array(range(len(blobs)), pa.int32()),
+                    "item_id": block["item_id"],
+                    "item_copies": block["item_copies"],
+                    "item_shingles": pa.array([len(s) // 8 for s in blobs], pa.int32()),
+                }
+            ),
             T.StructType(
                 [
                     T.StructField("item", T.IntegerType()),

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sieveline.llm.words import chunks, mixed
-from sieveline.sizing import broadcast_if_small, staged
+from sieveline.sizing import broadcast_if_small, small_batches, staged
 
 ORDER = 5
 SAMPLE_TEXTS = 400
@@ -339,10 +339,14 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     )
     names = [f.name for f in added]
     rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names or c == text])
-    value = "__text"
-    rows = rows.withColumn(value, F.col(text).cast("string"))
-    rows = rows.drop(*[c for c in names if c == text])
-    schema = T.StructType([*rows.drop(value).schema.fields, *added])
+    # A text that is returned as it is goes to Python once.
+    same = text not in names and dict(rows.dtypes).get(text) == "string"
+    value = text if same else "__text"
+    if not same:
+        rows = rows.withColumn(value, F.col(text).cast("string")).drop(*[c for c in names if c == text])
+    back = [c for c in rows.columns if same or c != value]
+    schema = T.StructType([*[f for f in rows.schema.fields if f.name in back], *added])
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,7 +364,7 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                 share = 1.0 / np.exp(-sharpness * (entropy - least[:, None])).sum(axis=1)
                 mean, between, per_char, deviations = np.array(limits or [(0, 0, 0, 0)]).T[:, best]
                 limit = mean + deviations * np.sqrt(between + per_char / n)
-                columns = [run.column(c) for c in run.schema.names if c != value]
+                columns = [run.column(c) for c in back]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *columns,
@@ -369,7 +373,7 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                         pa.array(least, mask=~known),
                         pa.array(~known | (by_window(windows, n) > limit)),
                     ],
-                    schema=pa.schema([*[run.schema.field(c) for c in run.schema.names if c != value], ("lang_pred", pa.string()), ("score", pa.float64()), ("entropy", pa.float64()), ("rejected", pa.bool_())]),
+                    schema=pa.schema([*[run.schema.field(c) for c in back], ("lang_pred", pa.string()), ("score", pa.float64()), ("entropy", pa.float64()), ("rejected", pa.bool_())]),
                 )
 
     return rows.mapInArrow(predict, schema)

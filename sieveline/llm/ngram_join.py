@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from sieveline.llm.common import HOT_ROWS, join_groups
 from sieveline.llm.components import components, forest
 from sieveline.llm.words import mixed, shingles, texts_of_words
-from sieveline.sizing import broadcast_if_small, staged
+from sieveline.sizing import broadcast_if_small, small_batches, staged
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -417,6 +417,7 @@ def grouped(docs: DataFrame, doc_id: str, text: str, percent: int, by_id: bool)
     The nodes are classes of equal sets. With ``by_id``, those that share an id are joined too, and
     ``component_id`` is the smallest id; else it is the key of a class, null without a set.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
     measured = measured_sets(rows)

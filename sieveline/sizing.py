@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BROADCAST_LIMIT_BYTES = 64 << 20
+# Bytes of a batch that a task sends to Python.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -35,6 +38,16 @@ def broadcast_if_small(df: DataFrame, limit: int | None = BROADCAST_LIMIT_BYTES)
     return F.broadcast(df) if is_small(df, limit) else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in Arrow batches of :data:`BATCH_BYTES`, unless the session has a size of its own.
+
+    Spark's 64 MB are held several times by each running task, in the executor and in its worker: as
+    the vectors being filled, their copy twice as large while they grow, and what the worker reads.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def work_folder(spark: SparkSession) -> str:
     """Folder all executors share: ``spark.checkpoint.dir``.
 

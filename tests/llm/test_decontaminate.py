@@ -1,6 +1,9 @@
 import random
 
+import pyarrow as pa
+from pyspark.sql import functions as F
 
+from sieveline import sizing
 from sieveline.llm import decontaminate
 from rows import clashing, empty_docs, odd_docs, odd_rows, sentence, words
 
@@ -113,3 +116,31 @@ def test_candidates_are_fewer_than_documents_that_share_a_shingle():
         whole += len(index.found_in(np.concatenate([around(300), w[:80], around(300)]), 75))
         halves += len(index.found_in(np.concatenate([around(300), w[:50], around(900), w[50:], around(300)]), 75))
     assert shared < 60 and whole == 200 and halves >= 196
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    spark.conf.unset(sizing.BATCH_SETTING)
+    docs = spark.range(3000, numPartitions=1).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("word "), 1400), F.col("id")).alias("text"))
+    found = decontaminate.find_leaks(docs, spark.createDataFrame([(1, "word word word word word 7")], ITEMS))
+    assert [r.doc_id for r in found.collect()] == [7]
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["size"])
+
+    sent = [r.size for r in docs.mapInArrow(sizes, "size long").collect()]
+    assert sum(sent) > 2 * sizing.BATCH_BYTES and max(sent) < 1.1 * sizing.BATCH_BYTES
+    # A size that the session was given stays.
+    spark.conf.set(sizing.BATCH_SETTING, "32m")
+    decontaminate.find_leaks(docs, spark.createDataFrame([], ITEMS))
+    assert spark.conf.get(sizing.BATCH_SETTING) == "32m"
+    spark.conf.unset(sizing.BATCH_SETTING)
+
+
+def test_names_of_items_need_no_python_workers(spark, capsys):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string").localCheckpoint()
+    items = spark.sql("select timestamp'2020-01-02 03:04:05' as item_id, 'b c' as text")
+    found = decontaminate.find_leaks(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), items)
+    found.explain()
+    assert "ExistingRDD" not in capsys.readouterr().out
+    assert decontaminate.find_leaks(docs, items).first().item_id == items.first().item_id

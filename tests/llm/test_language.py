@@ -84,6 +84,15 @@ def test_accuracy_on_held_out_documents(spark):
     assert sum(r.rejected for r in rows) / len(rows) < 0.002
 
 
+def test_text_that_is_returned_goes_to_python_once(spark, capsys):
+    model = {"langs": [], "models": [], "limits": [], "sharpness": 1.0}
+    docs = spark.createDataFrame([(1, "some words", "x"), (2, None, "y")], "doc_id long, text string, source string")
+    found = language.identify(docs, model)
+    found.explain()
+    assert "__text" not in capsys.readouterr().out
+    assert [(r.doc_id, r.text, r.source, r.lang_pred) for r in found.orderBy("doc_id").collect()] == [(1, "some words", "x", "und"), (2, None, "y", "und")]
+
+
 def test_rejects_foreign_text_and_keeps_odd_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language.fit_on(docs)

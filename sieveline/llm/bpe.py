@@ -2,9 +2,10 @@
 
 The distinct words (matches of the tokenizer's pattern) of all texts are counted, and each of those
 that occur more than once is encoded once: the words of a piece stand in one sequence of symbols
-with an inverted index from token pair to the places where the pair stands, and every merge is
-applied in rank order, all over the piece, touching only the places of its pair and their
-neighbours. The encodings of the most frequent words, up to a fixed size, are sent to the
+with an inverted index from token pair to the places where the pair stands, and the merges are
+applied in rank order, all over the piece, touching only the places of their pairs and the
+neighbours. Merges of ranks next to one another, none of which makes a pair that another one of them
+merges, form a band and are applied together. The encodings of the most frequent words, up to a fixed size, are sent to the
 executors; texts are then encoded by looking their words up. Words outside of that table, such as
 all that occur once, are encoded by the same replay over the texts at hand: the rarer a word, the
 fewer the tasks that meet it.
@@ -15,11 +16,10 @@ from __future__ import annotations
 import base64
 import gc
 import re
-import struct
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 from itertools import pairwise
 from pathlib import Path
 
@@ -35,15 +35,20 @@ from sieveline.sizing import staged
 # Texts handled together have about this many bytes; a longer text is a piece by itself.
 PIECE_BYTES = 2 << 20
 # Words are replayed together up to this many bytes; a longer word is a piece by itself.
-REPLAY_BYTES = 1 << 18
+REPLAY_BYTES = 1 << 20
 # The table of encodings that every executor gets, and the table of known units of a task.
 SHARED_BYTES = 16 << 20
 KNOWN_UNITS = 400_000
 # What an entry of the shared table takes besides its word and its ids.
 ENTRY_BYTES = 8
 
+# No rank.
+NONE = np.int32((1 << 31) - 1)
+
 # Places before which a text may be cut; spaces of which some are none.
 CUT, ODD_SPACE = regex.compile(r" (?=\S)"), re.compile(r" (?:\s|\Z)")
+# ASCII signs, none of which begins a contraction.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def read_ranks(path: str) -> bytes:
@@ -56,80 +61,127 @@ class Merges:
 
     def __init__(self, rank_file: bytes):
         self.ranks = self.ranks_of(rank_file)
-        self.single = [self.ranks.get(bytes([b])) for b in range(256)]
-        if None in self.single:
+        single = [self.ranks.get(bytes([b])) for b in range(256)]
+        if None in single:
             raise ValueError("a byte-level vocabulary has a token for every byte")
+        self.single = np.array(single, np.int32)
         self.bits = max(self.ranks.values()).bit_length()
-        self.pairs = {
-            self.ranks[token[:i]] << self.bits | self.ranks[token[i:]]: rank
+        pairs = sorted(
+            (self.ranks[token[:i]] << self.bits | self.ranks[token[i:]], rank)
             for token, rank in self.ranks.items()
             for i in range(1, len(token))
             if token[:i] in self.ranks and token[i:] in self.ranks
-        }
+        )
+        # One more pair, that none is equal to, so that a search always ends at one.
+        self.keys = np.array([*[key for key, _ in pairs], np.iinfo(np.int64).max], np.int64)
+        self.made = np.array([*[rank for _, rank in pairs], NONE], np.int32)
+        self.of_bytes = self.rank_of(np.repeat(self.single, 256), np.tile(self.single, 256)).reshape(256, 256)
+        self.starts = self.bands()
+        self.band = (np.searchsorted(self.starts, np.arange(self.starts[-1]), "right") - 1).astype(
+            np.uint16 if len(self.starts) < 1 << 16 else np.int32
+        )
 
     @staticmethod
     def ranks_of(rank_file: bytes) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines())}
 
-    def replayed(self, words: list[bytes]) -> list[list[int]]:
-        """The tokens of each word: all merges in rank order, from the left within a rank.
+    def bands(self) -> np.ndarray:
+        """The first rank of each band, and the rank after all: no band holds a token and a part of it."""
+        top = max(self.ranks.values()) + 1
+        nearest = np.full(top, -1)  # of the lower ranks, the highest that may not be in the same band
+        keys, made = self.keys[:-1], self.made[:-1]
+        for part in (keys >> self.bits, keys & (1 << self.bits) - 1):
+            np.maximum.at(nearest, np.maximum(part, made), np.minimum(part, made))
+        starts = [0]
+        for rank, other in enumerate(nearest.tolist()):
+            if other >= starts[-1]:
+                starts.append(rank)
+        return np.array([*starts, top])
+
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of the token that each pair makes. A pair with a negative symbol has a negative key, and no rank."""
+        keys = left.astype(np.int64) << self.bits | right
+        at = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[at] == keys, self.made[at], NONE)
+
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """The tokens of all words, one word after another, and where each word's end: all merges in
+        rank order, from the left within a rank.
 
         As in any vocabulary that merges have made, a token is encoded as itself by its own merges.
         """
-        pairs, bits, single = self.pairs, self.bits, self.single
-        symbols: list[int] = []
-        for word in words:
-            symbols += [single[b] for b in word]
-            symbols.append(-1)  # a pair with a negative symbol has a negative key, which none of the pairs has
-        symbols.append(-1)
-        after = list(range(1, len(symbols) + 1))
-        before = list(range(-1, len(symbols) - 1))
-        places: dict[int, list[int]] = {}
-        rank_of = pairs.get
-        for i, rank in enumerate(map(rank_of, [a << bits | b for a, b in pairwise(symbols)])):
-            if rank is not None:
-                if rank in places:
-                    places[rank].append(i)
-                else:
-                    places[rank] = [i]
-        waiting = list(places)
-        heapify(waiting)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        size = (int(ends[-1]) if words else -1) + 2
+        inside = np.ones(size, bool)
+        inside[ends] = inside[-1] = False
+        data = np.zeros(size, np.uint8)
+        data[inside] = np.frombuffer(b"".join(words), np.uint8)
+        symbols = np.where(inside, self.single[data], np.int32(-1))
+        after = np.arange(1, size + 1, dtype=np.int32)
+        after[-1] = size - 1
+        before = np.arange(-1, size - 1, dtype=np.int32)
+        # Of the pair that begins at each place.
+        ranks = np.full(size, NONE, np.int32)
+        ranks[:-1] = np.where(inside[:-1] & inside[1:], self.of_bytes[data[:-1], data[1:]], NONE)
+        places: dict[int, list[np.ndarray]] = {}
+        waiting: list[int] = []
+
+        def found(new: np.ndarray):
+            bands = self.band[ranks[new]]
+            order = np.argsort(bands, kind="stable")
+            new, bands = new[order], bands[order]
+            cuts = [0, *(np.flatnonzero(bands[1:] != bands[:-1]) + 1).tolist(), len(new)]
+            for start, end in pairwise(cuts if len(new) else []):
+                band = int(bands[start])
+                if band not in places:
+                    places[band] = []
+                    heappush(waiting, band)
+                places[band].append(new[start:end])
+
+        found(np.flatnonzero(ranks != NONE).astype(np.int32))
         while waiting:
-            rank = heappop(waiting)
-            here = places.pop(rank)
-            here.sort()
-            for i in here:
+            band = heappop(waiting)
+            first, last = self.starts[band], self.starts[band + 1]
+            here = np.sort(np.concatenate(places.pop(band)))
+            here = here[np.concatenate([[True], here[1:] != here[:-1]])]
+            touched = []
+            while True:
+                here = here[(ranks[here] >= first) & (ranks[here] < last)]
+                if not len(here):
+                    break
+                now = self.free(here, ranks[here], after[here])
+                i, here = here[now], here[~now]
                 j = after[i]
-                if rank_of(symbols[i] << bits | symbols[j]) != rank:
-                    continue
-                symbols[i], symbols[j] = rank, -2
-                k = after[i] = after[j]
-                before[k] = i
-                made = rank_of(rank << bits | symbols[k])
-                if made is not None:
-                    if made in places:
-                        places[made].append(i)
-                    else:
-                        places[made] = [i]
-                        heappush(waiting, made)
-                k = before[i]
-                made = rank_of(symbols[k] << bits | rank)
-                if made is not None:
-                    if made in places:
-                        places[made].append(k)
-                    else:
-                        places[made] = [k]
-                        heappush(waiting, made)
-        out: list[list[int]] = []
-        at = 0
-        for word in words:
-            ids, end = [], at + len(word)
-            while at < end:
-                ids.append(symbols[at])
-                at = after[at]
-            out.append(ids)
-            at = end + 1
-        return out
+                k = after[j]
+                symbols[i], symbols[j], ranks[j] = ranks[i], -2, NONE
+                after[i], before[k] = k, i
+                new = np.concatenate([i, before[i]])
+                ranks[new] = self.rank_of(symbols[new], symbols[after[new]])
+                touched.append(new)
+            if touched:
+                new = np.concatenate(touched)
+                found(new[ranks[new] != NONE])
+        left = symbols >= 0
+        return symbols[left], np.cumsum(left)[ends].tolist()
+
+    @staticmethod
+    def free(here: np.ndarray, ranks: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Which of the places of a band's pairs can be merged now: those that overlap none of a lower
+        rank; of places of one rank that overlap one another, every second from the left."""
+        joined = here[1:] == after[:-1]
+        if not joined.any():
+            return np.ones(len(here), bool)
+        heads = np.concatenate([[True], ~joined | (ranks[1:] != ranks[:-1])])
+        run = np.cumsum(heads) - 1
+        waits = np.zeros(run[-1] + 1, bool)
+        waits[run[:-1][joined & (ranks[1:] < ranks[:-1])]] = True
+        waits[run[1:][joined & (ranks[1:] > ranks[:-1])]] = True
+        return ((np.arange(len(here)) - np.flatnonzero(heads)[run]) % 2 == 0) & ~waits[run]
+
+    def replayed(self, words: list[bytes]) -> list[list[int]]:
+        """The tokens of each word."""
+        ids, ends = self.merged(words)
+        return [ids[start:end].tolist() for start, end in pairwise([0, *ends])]
 
     def encoded(self, words: Iterable[str]) -> Iterator[tuple[str, bytes]]:
         """Each word with its ids as 32-bit integers. A word that is a token is that token."""
@@ -150,7 +202,9 @@ class Merges:
         yield from zip(rest, self.packed(texts))
 
     def packed(self, words: list[bytes]) -> list[bytes]:
-        return [struct.pack(f"<{len(ids)}i", *ids) for ids in self.replayed(words)]
+        ids, ends = self.merged(words)
+        data = ids.astype("<i4").tobytes()
+        return [data[4 * start : 4 * end] for start, end in pairwise([0, *ends])]
 
 
 @contextmanager
@@ -183,11 +237,14 @@ def units_of(text: str) -> list[str]:
     return text.split(" ") if ODD_SPACE.search(text) is None else CUT.split(text)
 
 
-def words_of(units: Iterable[str], find) -> Iterator[tuple[str, list[str]]]:
-    """Each unit that follows a space with its words."""
+def words_of(units: Iterable[str], find, signs: str = "") -> Iterator[tuple[str, list[str]]]:
+    """Each unit that follows a space with its words. Letters and then ``signs`` are two words."""
     plain = []
     for unit in units:
-        if " " in unit:
+        stem = unit.rstrip(signs) if signs else unit
+        if len(stem) < len(unit) and stem.isalpha():
+            yield unit, [" " + stem, unit[len(stem) :]]
+        elif " " in unit:
             yield unit, find(" " + unit)
         else:
             plain.append(unit)
@@ -215,6 +272,11 @@ def takes_letters(pattern: str) -> bool:
     return r"| ?\p{L}+|" in pattern
 
 
+def taken_signs(pattern: str) -> str:
+    """Signs of which the pattern takes any run after letters as one word; none if it may not."""
+    return SIGNS if r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|" in pattern else ""
+
+
 def word_counts(docs: DataFrame, text: str, pattern: str) -> DataFrame:
     """(word, n): the words of all texts and how often they occur; counted first within each task."""
 
@@ -231,7 +293,7 @@ def word_counts(docs: DataFrame, text: str, pattern: str) -> DataFrame:
             alone, others = parted(units, takes_letters(pattern))
             words = Counter({" " + unit: units[unit] for unit in alone})
             words.update(leading)
-            for unit, found in words_of(others, find):
+            for unit, found in words_of(others, find, taken_signs(pattern)):
                 n = units[unit]
                 for word in found:
                     words[word] += n
@@ -319,7 +381,7 @@ def encode(
     def encoded_texts(batches):
         merges, shared = merges_of(rank_file), table.value
         find = regex.compile(pattern).findall
-        letters = takes_letters(pattern)
+        letters, signs = takes_letters(pattern), taken_signs(pattern)
         known: dict[str, bytes] = {}
         ids_of = dict(shared)
         for batch in batches:
@@ -333,7 +395,7 @@ def encode(
                     tails.append(tail)
                 alone, mixed = parted(set().union(*tails).difference(known), letters)
                 single = [" " + unit for unit in alone]
-                split = dict(words_of(mixed, find))
+                split = dict(words_of(mixed, find, signs))
                 words = set().union(single, *split.values(), *heads)
                 ids_of.update(merges.encoded(words.difference(ids_of)))
                 known.update(zip(alone, map(ids_of.__getitem__, single)))

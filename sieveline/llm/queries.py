@@ -371,8 +371,9 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    return coded.select(
+    # The texts give way to their ids: no text comes back from the tasks' Python.
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, ids="text").withColumnRenamed("text", "ids")
+    return bpe.decode(coded, ranks).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),

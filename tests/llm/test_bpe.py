@@ -5,6 +5,7 @@ import random
 
 import public_tokenizers as public
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -40,6 +41,53 @@ def test_every_token_is_made_by_its_own_merges(path):
     assert merges.replayed(tokens) == [[merges.ranks[t]] for t in tokens]
 
 
+@pytest.mark.parametrize("path", [RANKS, MULTI])
+def test_no_band_holds_a_token_and_a_part_of_it(path):
+    merges = bpe.Merges(bpe.read_ranks(path))
+    band, ranks = merges.band, merges.ranks
+    for token, rank in ranks.items():
+        for i in range(1, len(token)):
+            if token[:i] in ranks and token[i:] in ranks:
+                assert band[rank] not in (band[ranks[token[:i]]], band[ranks[token[i:]]])
+
+
+@pytest.mark.parametrize("path", [RANKS, MULTI])
+def test_replayed_like_the_library(path):
+    r = random.Random(5)
+    tokens = [t for t in (t.decode(errors="ignore") for t in bpe.Merges(bpe.read_ranks(path)).ranks) if t.isalpha()]
+    words = ["".join(r.choice(tokens) for _ in range(r.randint(1, 12))) for _ in range(3_000)]
+    words += ["".join(r.choice("ab") for _ in range(r.randint(1, 300))) for _ in range(300)] + ["a" * n for n in (1, 2, 3, 4_001)]
+    wanted = library(path)
+    assert bpe.Merges(bpe.read_ranks(path)).replayed([w.encode() for w in words]) == [wanted._encode_single_piece(w) for w in words]
+
+
+def test_steps_of_the_replay_do_not_grow_with_the_words(monkeypatch):
+    merges = bpe.Merges(bpe.read_ranks(RANKS))
+    steps, rank_of = [], bpe.Merges.rank_of
+    monkeypatch.setattr(bpe.Merges, "rank_of", lambda *args: steps.append(1) or rank_of(*args))
+    words = [t.encode() for t in ("strangelyunhappiest", "aaaaaaa", "thenwhreonwhingin", "geschwindigkeiten")]
+    once, n = merges.replayed(words), len(steps)
+    assert merges.replayed(words * 500) == once * 500 and len(steps) == 2 * n
+
+
+def test_letters_and_signs_are_words_as_by_the_pattern():
+    r, find = random.Random(7), regex.compile(public.PATTERN).findall
+    pieces = [*bpe.SIGNS, "a", "é", "中", "ª", "ʰ", "1", "½", "'", "'s", "'ll", "\n", "\x00", "\u0301", "🙂", "\u2019"]
+    units = {"".join(r.choice(pieces) for _ in range(r.randint(1, 5))) for _ in range(5_000)} | {"ab" + s for s in bpe.SIGNS}
+    units = {u for u in units if not u[0].isspace()}
+    calls = []
+    got = dict(bpe.words_of(units, lambda text: calls.append(text) or find(text), bpe.taken_signs(public.PATTERN)))
+    assert got == {u: find(" " + u) for u in units}
+    assert not any(" ab" in text for text in calls)
+
+
+def test_no_text_comes_back_from_the_tasks(spark, monkeypatch):
+    seen, encode = [], bpe.encode
+    monkeypatch.setattr(bpe, "encode", lambda *args, **named: seen.append(encode(*args, **named)) or seen[0])
+    queries.QUERIES["op12_byte_bpe"](spark, SF)
+    assert [kind for _, kind in seen[0].dtypes] == ["bigint", "array<int>"]
+
+
 @pytest.mark.parametrize("shared_bytes", [bpe.SHARED_BYTES, 200, 0])
 def test_like_the_library(spark, shared_bytes):
     texts = [*odd_texts(), *odd_texts(50)]

@@ -348,7 +348,9 @@ def most_frequent(encoded: DataFrame, limit: int) -> dict[str, bytes]:
         least = r["__class"]
     if least is None:
         return {}
-    return {r.word: bytes(r.ids) for r in rows.filter(F.col("__class") >= least).select("word", "ids").collect()}
+    # As columns: half a million rows would take several times the table's memory on the driver.
+    found = rows.filter(F.col("__class") >= least).select("word", "ids").toArrow()
+    return dict(zip(found["word"].to_pylist(), found["ids"].to_pylist()))
 
 
 def encode(
